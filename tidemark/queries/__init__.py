@@ -1 +1,4 @@
+"""Importing this package registers every query."""
 
+from tidemark.queries import window_queries  # noqa: F401
+from tidemark.queries.registry import ORACLES, QUERIES  # noqa: F401
