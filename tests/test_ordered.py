@@ -62,5 +62,12 @@ def test_hot_key_is_cut_small(spark):
     sizes = with_slices(df, ["k"], "ts", hot_rows=20).groupBy("k", SLICE).count().collect()
     hot = [r["count"] for r in sizes if r["k"] == 1]
     assert len(hot) > 20 and max(hot) <= 40
-    cold = with_slices(df, ["k"], "ts").select(SLICE).distinct().collect()
-    assert [r[0] for r in cold] == [0]
+    assert with_slices(df, ["k"], "ts") is None
+
+
+def test_plain_path_equals_hot_path(spark):
+    df = spark.createDataFrame(rows(), "k int, ts timestamp, id int, v int")
+    key = lambda r: r["id"]
+    a = o.along_key(df, ["k"], ["ts", "id"], STEPS, hot_rows=None).collect()
+    b = o.along_key(df, ["k"], ["ts", "id"], STEPS, hot_rows=50).collect()
+    assert sorted(a, key=key) == sorted(b, key=key)

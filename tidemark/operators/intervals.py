@@ -26,7 +26,6 @@ def clipped_days(
     cycle_start: str,
     cycle_end: str,
     out: str = "days",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Days of each (key, cycle) covered by the key's intervals, summed.
 
@@ -70,7 +69,7 @@ def clipped_days(
         keys,
         ["_day", "_side", cycle_start, cycle_end, "_sign"],
         {"_n": running_sum("_open"), "_s": running_sum("_moment")},
-        hot_rows=hot_rows,
+        hot_rows=None,  # one row per key and day, plus two per cycle
     )
     covered = number * F.col("_n") - F.col("_s")
     return (
@@ -91,7 +90,6 @@ def overlap_totals(
     cycle_end: str,
     count_col: str = "overlapping",
     sum_col: str = "overlapping_value",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per (key, cycle): how many spans touch the cycle and the sum of their value.
 
@@ -129,7 +127,7 @@ def overlap_totals(
         keys,
         ["_day", "_side", cycle_start, cycle_end],
         {f"_r{c}": running_sum(c) for c in ("_bn", "_bv", "_gn", "_gv")},
-        hot_rows=hot_rows,
+        hot_rows=None,  # one row per key and day, plus two per cycle
     )
     at_end, at_start = F.col("_side") == 2, F.col("_side") == 1
     return (

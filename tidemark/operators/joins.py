@@ -128,7 +128,6 @@ def lookback_counts(
     event_date: str,
     days: int,
     conditions: Mapping[str, Column],
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per (key, reference date): events in [reference - days, reference] under each condition.
 
@@ -152,9 +151,9 @@ def lookback_counts(
         ).alias("_p"),
     ).select(*keys, "_ref", "_p.*")
     line = daily.withColumn("_side", F.lit(1)).unionByName(asked, allowMissingColumns=True)
-    totals = along_key(
-        line, keys, ["_day", "_side", "_ref"], {f"_r_{n}": running_sum(n) for n in names}, hot_rows=hot_rows
-    )
+    # at most a few rows per key and day, so the window groups are bounded
+    steps = {f"_r_{n}": running_sum(n) for n in names}
+    totals = along_key(line, keys, ["_day", "_side", "_ref"], steps, hot_rows=None)
     sign = F.when(F.col("_side") == 2, 1).otherwise(-1)
     return (
         totals.where(F.col("_side") != 1)
@@ -170,7 +169,6 @@ def asof_last(
     ref_date: str,
     event_ts: str,
     out: str,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per (key, reference date): the last event time on or before the reference date."""
     keys = list(keys)
@@ -178,7 +176,7 @@ def asof_last(
     daily = days.groupBy(*keys, "_day").agg(F.max("_ts").alias("_ts")).withColumn("_side", F.lit(0))
     points = grid.select(*keys, F.col(ref_date).alias("_day"), F.lit(1).alias("_side")).distinct()
     line = daily.unionByName(points, allowMissingColumns=True)
-    seen = along_key(line, keys, ["_day", "_side"], {out: last_seen("_ts")}, hot_rows=hot_rows)
+    seen = along_key(line, keys, ["_day", "_side"], {out: last_seen("_ts")}, hot_rows=None)
     return seen.where(F.col("_side") == 1).select(*keys, F.col("_day").alias(ref_date), out)
 
 
@@ -190,7 +188,6 @@ def recurrence(
     days: int,
     count_col: str = "previous",
     last_col: str = "last_id",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add how many rows of the key fall in the ``days`` days before, and the newest one's id.
 
@@ -198,7 +195,7 @@ def recurrence(
     """
     keys = list(keys)
     before = df.select(*keys, F.date_sub(day, 1).alias("_ref")).distinct()
-    counts = lookback_counts(before, df, keys, "_ref", day, days - 1, {count_col: F.lit(True)}, hot_rows)
+    counts = lookback_counts(before, df, keys, "_ref", day, days - 1, {count_col: F.lit(True)})
     newest = df.groupBy(*keys, F.col(day).alias("_day")).agg(F.max(row_id).alias("_id"))
     line = (
         newest.select(*keys, "_day", F.lit(0).alias("_side"), F.struct("_day", "_id").alias("_last"))
@@ -207,7 +204,7 @@ def recurrence(
             allowMissingColumns=True,
         )
     )
-    seen = along_key(line, keys, ["_day", "_side"], {"_prev": last_seen("_last")}, hot_rows=hot_rows)
+    seen = along_key(line, keys, ["_day", "_side"], {"_prev": last_seen("_last")}, hot_rows=None)
     last = seen.where(F.col("_side") == 1).select(*keys, F.col("_day").alias("_ref"), "_prev")
     facts = counts.join(last, [*keys, "_ref"], "left")
     facts = facts.select(

@@ -124,12 +124,10 @@ def _from_neighbours(step: Step, value: Column, slices, before, whole) -> Column
 
 
 def _stitch(step: Step, inside: Column, outside: Column) -> Column:
-    if step.kind in ("lag", "lead"):
-        return F.coalesce(inside, outside).getField(step.column)
-    if step.kind == "first":
-        return F.coalesce(outside, inside).getField(step.column)
-    if step.kind == "last_seen":
+    if step.kind in ("lag", "lead", "last_seen"):
         return F.coalesce(inside, outside)
+    if step.kind == "first":
+        return F.coalesce(outside, inside)
     if step.kind in ("running_sum", "ordinal"):
         return inside + F.coalesce(outside, F.lit(0))
     if step.kind == "running_max":
@@ -139,6 +137,10 @@ def _stitch(step: Step, inside: Column, outside: Column) -> Column:
     return F.coalesce(outside, inside)
 
 
+def _unpack(step: Step, value: Column) -> Column:
+    return value.getField(step.column) if step.kind in ("lag", "lead", "first") else value
+
+
 def along_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -146,30 +148,33 @@ def along_key(
     steps: Mapping[str, Step],
     *,
     descending: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add one column per step, computed along ``order_by`` inside each key.
 
     ``order_by`` must be total inside a key (end it with a unique column) and
     start with a numeric, date or timestamp column.  NULL order values sort
-    first, or last when ``descending``.
+    first, or last when ``descending``.  Pass ``hot_rows=None`` only where the
+    rows per key are bounded anyway (one row per key and day).
     """
     keys = list(keys)
-    laid = with_slices(df, keys, order_by[0], hot_rows)
+    laid = None if hot_rows is None else with_slices(df, keys, order_by[0], hot_rows)
+    group = keys if laid is None else [*keys, SLICE]
     direction = [F.col(c).desc() if descending else F.col(c).asc() for c in order_by]
-    ordered = Window.partitionBy(*keys, SLICE).orderBy(*direction)
+    whole = Window.partitionBy(*group)
+    ordered = whole.orderBy(*direction)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys, SLICE)
-    inside = laid.select(
-        "*", *[_inside(s, ordered, so_far, whole).alias(f"_in_{n}") for n, s in steps.items()]
-    )
+    within = {n: _inside(s, ordered, so_far, whole) for n, s in steps.items()}
+    kept = [F.col(c) for c in df.columns if c not in steps]
+    if laid is None:
+        plain = df.select("*", *[c.alias(f"_in_{n}") for n, c in within.items()])
+        return plain.select(*kept, *[_unpack(s, F.col(f"_in_{n}")).alias(n) for n, s in steps.items()])
 
+    inside = laid.select("*", *[c.alias(f"_in_{n}") for n, c in within.items()])
     rank = F.struct(*order_by)
-    slices = Window.partitionBy(*keys).orderBy(
-        F.col(SLICE).desc() if descending else F.col(SLICE).asc()
-    )
-    before = slices.rowsBetween(Window.unboundedPreceding, -1)
     all_slices = Window.partitionBy(*keys)
+    slices = all_slices.orderBy(F.col(SLICE).desc() if descending else F.col(SLICE).asc())
+    before = slices.rowsBetween(Window.unboundedPreceding, -1)
     edges = (
         laid.where(F.col(SLICE) > 0)
         .groupBy(*keys, SLICE)
@@ -185,7 +190,7 @@ def along_key(
     )
     pairs = [(k, f"_e{i}") for i, k in enumerate(keys)] + [(SLICE, "_e_slice")]
     joined = inside.join(edges, same_keys(inside, edges, pairs), "left")
-    kept = [F.col(c) for c in df.columns if c not in steps]
     return joined.select(
-        *kept, *[_stitch(s, F.col(f"_in_{n}"), F.col(f"_out_{n}")).alias(n) for n, s in steps.items()]
+        *kept,
+        *[_unpack(s, _stitch(s, F.col(f"_in_{n}"), F.col(f"_out_{n}"))).alias(n) for n, s in steps.items()],
     )

@@ -6,9 +6,11 @@ fine for ordinary keys and fatal for a key that holds a third of the table.
 along their order column, so a window over (key, slice) has bounded groups;
 ``along_key`` in ``ordered.py`` then stitches neighbouring slices together.
 
-Finding the frequent keys costs one pre-aggregated count per key.  When there
-are none (the normal case) the broadcast side is empty and adaptive execution
-removes the branches that would have computed the cuts.
+The frequent keys are found by a pre-aggregated count that runs when the plan
+is built, like the sampling job of a range partitioning.  What comes back is
+bounded (``MAX_HOT_KEYS`` keys with ``QUANTILES`` cuts each) and becomes a
+literal table: every branch and every retried task cuts at the same places.
+Results never depend on where the cuts are.
 """
 
 from __future__ import annotations
@@ -51,48 +53,64 @@ def as_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be numeric, date or timestamp, not {kind}")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, as columns _h0.. plus _rows; at most MAX_HOT_KEYS."""
-    named = [F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]
-    return (
-        df.groupBy(*named)
+def _local(df: DataFrame, names: Sequence[str], rows: list, extra: Sequence[T.StructField]) -> DataFrame:
+    fields = [T.StructField(f"_h{i}", df.schema[k].dataType) for i, k in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, T.StructType([*fields, *extra]))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows as a literal table (_h0.., _rows); None without any."""
+    rows = (
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *[f"_h{i}" for i in range(len(keys))])
+        .orderBy(F.desc("_rows"))
         .limit(MAX_HOT_KEYS)
+        .collect()
     )
+    if not rows:
+        return None
+    return _local(df, keys, [tuple(r) for r in rows], [T.StructField("_rows", T.LongType())])
 
 
-def with_slices(
-    df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add ``_slice``: 0 for ordinary keys, 1.. along ``order`` for frequent ones."""
-    number = as_number(df, order)
+def hot_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -> DataFrame | None:
+    """Per frequent key its quantile cuts along ``order`` and the parts to make of each quantile."""
     hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return None
+    slim = df.select(*keys, as_number(df, order).alias("_o"))
     pairs = [(k, f"_h{i}") for i, k in enumerate(keys)]
-    slim = df.select(*keys, number.alias("_o"))
-    cut_at = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES + 1)])
+    named = [f"_h{i}" for i in range(len(keys))]
+    at = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES + 1)])
     cuts = (
         slim.join(F.broadcast(hot), same_keys(slim, hot, pairs), "inner")
-        .groupBy(*[f"_h{i}" for i in range(len(keys))])
-        .agg(
-            F.percentile_approx("_o", cut_at).alias("_cuts"),
-            F.ceil(F.first("_rows") / (hot_rows * QUANTILES)).alias("_parts"),
-        )
+        .groupBy(*named, "_rows")
+        .agg(F.percentile_approx("_o", at).alias("_cuts"))
+        .select(*named, "_cuts", F.ceil(F.col("_rows") / (hot_rows * QUANTILES)).alias("_parts"))
     )
+    extra = [T.StructField("_cuts", T.ArrayType(T.DoubleType())), T.StructField("_parts", T.LongType())]
+    return _local(df, keys, [tuple(r) for r in cuts.collect()], extra)
+
+
+def with_slices(
+    df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """Add ``_slice``: 0 for ordinary keys, 1.. along ``order`` for frequent ones.
+
+    None when no key is frequent, so that callers use a plain window.
+    """
+    cuts = hot_cuts(df, keys, order, hot_rows)
+    if cuts is None:
+        return None
+    pairs = [(k, f"_h{i}") for i, k in enumerate(keys)]
     wide = df.join(F.broadcast(cuts), same_keys(df, cuts, pairs), "left")
-    # quantile number q in 0..QUANTILES-1, then an equal-width part inside it
-    q = F.least(
-        F.greatest(F.size(F.filter("_cuts", lambda c: c <= number)) - 1, F.lit(0)),
-        F.lit(QUANTILES - 1),
-    )
-    low, high = F.get("_cuts", q), F.get("_cuts", q + 1)
-    share = F.when(high > low, (number - low) / (high - low)).otherwise(F.lit(0.0))
-    part = F.least(
-        F.greatest(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_parts")), F.lit(0)),
-        F.col("_parts") - 1,
-    )
-    slice_no = F.when(F.col("_cuts").isNull(), F.lit(0).cast("long")).otherwise(
-        1 + q * F.col("_parts") + part
-    )
-    return wide.withColumn(SLICE, slice_no).drop("_cuts", "_parts", *[b for _, b in pairs])
+    wide = wide.withColumn("_num", as_number(df, order))
+    below = F.size(F.filter("_cuts", lambda c: c <= F.col("_num"))) - 1
+    wide = wide.withColumn("_q", F.least(F.greatest(below, F.lit(0)), F.lit(QUANTILES - 1)))
+    low, high = F.get("_cuts", F.col("_q")), F.get("_cuts", F.col("_q") + 1)
+    share = F.when(high > low, (F.col("_num") - low) / (high - low))
+    part = F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_parts"))
+    part = F.least(F.greatest(part, F.lit(0)), F.col("_parts") - 1)
+    slice_no = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(1 + F.col("_q") * F.col("_parts") + part)
+    helpers = ["_cuts", "_parts", "_num", "_q", *[b for _, b in pairs]]
+    return wide.withColumn(SLICE, slice_no).drop(*helpers)
