@@ -245,8 +245,8 @@ def contains_join(
     usable = needles.where(F.length(needle) > 0).select(*cols)
     if usable.limit(list_limit + 1).count() <= list_limit:
         listed = usable.agg(F.collect_list(F.struct(*cols)).alias("_l")).select("_l").scalar()
-        hits = F.filter(listed, lambda n: F.contains(F.col(text), n.getField(needle)))
-        return df.select("*", F.explode(hits).alias("_hit")).select(
+        hits = F.filter("_l", lambda n: F.contains(F.col(text), n.getField(needle)))
+        return df.withColumn("_l", listed).select("*", F.explode(hits).alias("_hit")).select(
             *df.columns, *[F.col("_hit").getField(c).alias(c) for c in take]
         )
     body = F.col(text)
