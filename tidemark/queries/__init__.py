@@ -1,4 +1,4 @@
 """Importing this package registers every query."""
 
-from tidemark.queries import join_queries, window_queries  # noqa: F401
+from tidemark.queries import aggregate_queries, join_queries, reshape_queries, window_queries  # noqa: F401
 from tidemark.queries.registry import ORACLES, QUERIES  # noqa: F401
