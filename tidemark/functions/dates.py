@@ -23,11 +23,8 @@ def days_between(start, end) -> Column:
 
 
 def whole_months_between(start, end) -> Column:
-    """Completed months from start to end."""
-    a, b = _c(start), _c(end)
-    boundary = (F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a)
-    short = F.when(F.dayofmonth(b) < F.dayofmonth(a), 1).otherwise(0)
-    return (boundary - short).cast("bigint")
+    """Completed months from start to end; the last day of a shorter month does not complete one."""
+    return F.timestamp_diff("MONTH", _c(start), _c(end))
 
 
 def ts_from_parts(day, clock, offset_hours: int = 0) -> Column:

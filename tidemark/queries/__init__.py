@@ -1,4 +1,14 @@
 """Importing this package registers every query."""
 
-from tidemark.queries import aggregate_queries, join_queries, reshape_queries, window_queries  # noqa: F401
+from tidemark.queries import (  # noqa: F401
+    aggregate_queries,
+    join_queries,
+    quality_queries,
+    receivable_queries,
+    reshape_queries,
+    scalar_queries,
+    stream_queries,
+    window_queries,
+    write_queries,
+)
 from tidemark.queries.registry import ORACLES, QUERIES  # noqa: F401

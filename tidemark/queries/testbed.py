@@ -100,3 +100,26 @@ def grid_sql(first: str, last: str) -> str:
     return f"""grid AS (
   SELECT c_custkey AS client_id, CAST(last_day(m) AS DATE) AS ref
   FROM customer, generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 MONTH) AS g(m))"""
+
+
+def accounts(t: Tables) -> DataFrame:
+    """One contract per customer; every seventh is cancelled in 2000 or 2001."""
+    key = F.col("c_custkey")
+    ended = F.date_add(day("2000-06-01"), (key % 500).cast("int"))
+    return t.customer.select(
+        key.alias("contract_id"),
+        key.alias("client_id"),
+        F.col("c_nationkey").alias("unit_id"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_acctbal").alias("balance"),
+        F.date_add(day("1995-01-01"), ((key * 13) % 2000).cast("int")).alias("activated"),
+        F.when((key % 7 == 0) & (ended <= day()), ended).alias("cancelled"),
+    )
+
+
+ACC = f"""acc AS (
+  SELECT c_custkey AS contract_id, c_custkey AS client_id, c_nationkey AS unit_id, c_mktsegment AS segment, c_acctbal AS balance,
+         DATE '1995-01-01' + CAST(c_custkey * 13 % 2000 AS INTEGER) AS activated,
+         CASE WHEN c_custkey % 7 = 0 AND DATE '2000-06-01' + CAST(c_custkey % 500 AS INTEGER) <= DATE '{AS_OF}'
+              THEN DATE '2000-06-01' + CAST(c_custkey % 500 AS INTEGER) END AS cancelled
+  FROM customer)"""
