@@ -1,13 +1,23 @@
-"""Contract plans: replaced contracts and links between them."""
+"""Contract plans: 360 view, status, activation, cancellation, big base, sheets, audits and churned pairs.
+
+Contracts carry ``contract_id, client_id, plan, price, activated, cancelled``.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import days_between, whole_months_between
+from tidemark.functions.numbers import discounted_value
+from tidemark.functions.text import bucketize, extract_after, rule_ladder, speed_mbps
+from tidemark.operators.aggregates import distinct_list, money, pivot_max
+from tidemark.operators.joins import exclude, recurrence
+from tidemark.operators.latest import latest_version, nth_by, summary_row_per_key
 from tidemark.operators.linkage import earlier_link
+from tidemark.operators.sets import cutover_union, union_distinct
 
 
 def replaced_contracts(contracts: DataFrame, keys: Sequence[str], from_days: int, to_days: int) -> DataFrame:
@@ -20,3 +30,161 @@ def replaced_contracts(contracts: DataFrame, keys: Sequence[str], from_days: int
         contracts, keys, "contract_id", "activated", "cancelled", -from_days, to_days, "replaced_contract"
     )
     return out.where(F.col("replaced_contract").isNotNull())
+
+
+def contract_360(
+    contracts: DataFrame, clients: DataFrame, items: DataFrame, is_add_on: Column, loyalty_days: int, as_of: Column
+) -> DataFrame:
+    """Contract with plan and add-on value, add-on names, newest item, loyalty flag and channel."""
+    value = items.groupBy("contract_id").agg(
+        F.sum(F.when(~is_add_on, money("price"))).cast("double").alias("plan_value"),
+        F.sum(F.when(is_add_on, money("price"))).cast("double").alias("add_on_value"),
+        F.count_if(is_add_on).alias("add_ons"),
+        F.max("sold").alias("last_item"),
+    )
+    names = distinct_list(items.where(is_add_on), ["contract_id"], "name", "add_on_names", "; ")
+    channel = rule_ladder(
+        [(F.col("segment") == "BUILDING", "CORPORATE"), (F.col("plan").like("1-%"), "TELESALES"), (F.col("plan").like("5-%"), "STORE")],
+        "DIGITAL",
+    )
+    loyal = days_between("activated", as_of) <= loyalty_days
+    return (
+        contracts.join(clients, "client_id", "left")
+        .join(value, "contract_id", "left")
+        .join(names, "contract_id", "left")
+        .select(
+            "contract_id", "client_id", "segment", "plan", "price", "activated", "cancelled",
+            "plan_value", "add_on_value", "add_ons", "add_on_names", "last_item",
+            loyal.cast("int").alias("in_loyalty"), channel.alias("channel"),
+        )
+    )
+
+
+def contract_status(contracts: DataFrame, own_clients: DataFrame) -> DataFrame:
+    """Status with cancellation type; contracts of the company itself are left out."""
+    early = F.col("cancelled") < F.date_add("activated", 7)
+    how = rule_ladder(
+        [
+            (F.col("cancelled").isNull(), "NONE"),
+            (early, "BEFORE ACTIVATION"),
+            (F.col("plan").isin("1-URGENT", "2-HIGH"), "VOLUNTARY"),
+        ],
+        "INVOLUNTARY",
+    )
+    kept = exclude(contracts, own_clients, "client_id")
+    return kept.select(
+        "contract_id", "client_id", "activated", "cancelled",
+        F.when(F.col("cancelled").isNull(), "ACTIVE").otherwise("CANCELLED").alias("status"),
+        how.alias("cancellation_type"),
+    )
+
+
+def first_activation(legacy: DataFrame, current: DataFrame, cut: Column, holidays: DataFrame) -> DataFrame:
+    """First activation per client over the old and the new system, with a working-day mark."""
+    every = cutover_union(legacy, current, "activated", cut)
+    first = summary_row_per_key(
+        every, ["client_id"], ["activated", "contract_id"], True, contract_id="contract_id", activated="activated", origin="origin"
+    )
+    marked = first.join(holidays.select(F.col("day").alias("activated"), F.lit(True).alias("_h")), "activated", "left")
+    return marked.select(
+        "client_id", "contract_id", "activated", "origin",
+        (F.col("_h").isNull() & (F.weekday("activated") < 5)).alias("working_day"),
+    )
+
+
+def cancellation_fact(contracts: DataFrame, excluded: DataFrame, as_of: Column) -> DataFrame:
+    """Cancelled contracts with tenure band, minus the excluded ones."""
+    gone = contracts.where(F.col("cancelled") <= as_of)
+    months = whole_months_between("activated", "cancelled")
+    band = bucketize(months, [3, 6, 12], ["0-3", "4-6", "7-12", "13+"])
+    return exclude(gone, excluded, "contract_id").select(
+        "contract_id", "client_id", "plan", "activated", "cancelled",
+        days_between("activated", "cancelled").alias("lived_days"), band.alias("tenure"),
+    )
+
+
+def big_base(
+    contracts: DataFrame, discounts: DataFrame, as_of: Column, categories: Mapping[str, str]
+) -> DataFrame:
+    """Active contracts with the running discount of each category and the price after them.
+
+    Of several running discounts of a category the one ending last counts.
+    """
+    running = discounts.where((F.col("begun") <= as_of) & (F.col("ended") >= as_of))
+    last = nth_by(running, ["contract_id", "category"], [F.desc("ended"), F.desc("percent")], 1)
+    wide = pivot_max(last, ["contract_id"], "category", "percent", categories)
+    active = contracts.where((F.col("activated") <= as_of) & (F.col("cancelled").isNull() | (F.col("cancelled") > as_of)))
+    joined = active.join(wide, "contract_id", "left")
+    total = sum((F.coalesce(F.col(n), F.lit(0.0)) for n in categories.values()), F.lit(0.0))
+    return joined.select(
+        "contract_id", "client_id", "plan", "price", *categories.values(),
+        F.least(total, F.lit(100.0)).alias("total_percent"),
+        discounted_value("price", total).alias("final_price"),
+    )
+
+
+def contract_sheet(contracts: DataFrame, speeds: DataFrame, markers: DataFrame) -> DataFrame:
+    """Contract with its newest plan speed in Mbps and its markers as sorted text."""
+    newest = latest_version(speeds, ["contract_id"], ["day", "version_id"])
+    tags = distinct_list(markers, ["contract_id"], "marker", "markers")
+    return (
+        contracts.select("contract_id", "client_id", "activated")
+        .join(newest.select("contract_id", speed_mbps("label").alias("mbps")), "contract_id", "left")
+        .join(tags, "contract_id", "left")
+    )
+
+
+def status_reconciliation(own: DataFrame, provider: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Does the provider's state agree with ours?  One row per key on either side."""
+    keys = list(keys)
+    both = own.select(*keys, F.col("state").alias("own_state")).join(
+        provider.select(*keys, F.col("state").alias("provider_state")), keys, "full"
+    )
+    a, b = F.col("own_state"), F.col("provider_state")
+    verdict = rule_ladder(
+        [(a.isNull(), "ONLY PROVIDER"), (b.isNull(), "ONLY OWN"), (a == b, "AGREES")], "DIFFERS"
+    )
+    return both.withColumn("verdict", verdict)
+
+
+def to_suspend(contracts: DataFrame, invoices: DataFrame, as_of: Column, days: int = 11) -> DataFrame:
+    """Active contracts with invoices open for more than ``days`` after the due day."""
+    late = invoices.where(F.col("paid_on").isNull() & (F.col("due") < F.date_sub(as_of, days)))
+    owed = late.groupBy("contract_id").agg(
+        F.count(F.lit(1)).alias("late_invoices"), F.min("due").alias("oldest_due"),
+        F.sum(money("amount")).cast("double").alias("owed"),
+    )
+    active = contracts.where(F.col("cancelled").isNull()).select("contract_id", "client_id")
+    return active.join(owed, "contract_id")
+
+
+def latest_event_with_ref(events: DataFrame, key: str, ts: str, row_id: str, note: str, marker: str, length: int) -> DataFrame:
+    """Newest event per key with the reference number that follows a marker in its note."""
+    newest = latest_version(events, [key], [ts, row_id])
+    ref = F.regexp_extract(extract_after(note, marker, length), r"^(\d+)", 1).try_cast("bigint")
+    return newest.select(key, row_id, ts, ref.alias("reference"))
+
+
+def cancellation_requests(
+    requests: DataFrame, cancellations: DataFrame, groups: Sequence[tuple[Column, str]], days: int = 90
+) -> DataFrame:
+    """Retention requests and cancellations in one list with reason group and recurrence.
+
+    Both frames have ``request_id, contract_id, day, reason``; ids must not clash.
+    """
+    every = union_distinct(requests, cancellations).withColumn("reason_group", rule_ladder(groups, "OTHER"))
+    return recurrence(every, ["contract_id"], "day", "request_id", days, "requests_before", "last_request")
+
+
+def enabled_log(contracts: DataFrame, logins: DataFrame, invoices: DataFrame, as_of: Column) -> DataFrame:
+    """Daily row per contract: status, last login and last invoice up to the day."""
+    seen = logins.where(F.to_date("ts") <= as_of).groupBy("contract_id").agg(F.max("ts").alias("last_login"))
+    billed = invoices.where(F.col("issued") <= as_of).groupBy("contract_id").agg(
+        F.max_by("invoice_id", F.struct("issued", "invoice_id")).alias("last_invoice")
+    )
+    status = F.when(F.col("cancelled").isNull() | (F.col("cancelled") > as_of), "ENABLED").otherwise("CANCELLED")
+    return (
+        contracts.select("contract_id", as_of.alias("day"), status.alias("status"))
+        .join(seen, "contract_id", "left")
+        .join(billed, "contract_id", "left")
+    )

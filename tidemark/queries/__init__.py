@@ -2,6 +2,8 @@
 
 from tidemark.queries import (  # noqa: F401
     aggregate_queries,
+    billing_queries,
+    contract_queries,
     join_queries,
     quality_queries,
     receivable_queries,
