@@ -273,12 +273,12 @@ def _(t):
 
 @query(
     "star_except_prefix",
-    "SELECT n_nationkey AS src_n_nationkey_x, n_name AS src_n_name_x FROM nation",
+    "SELECT c_custkey AS src_c_custkey_x, c_name AS src_c_name_x, c_mktsegment AS src_c_mktsegment_x FROM customer",
 )
 def _(t):
     from tidemark.functions.text import star
 
-    return star(t.nation, exclude=["n_regionkey"], prefix="src_", suffix="_x")
+    return star(t.customer, exclude=["c_nationkey", "c_acctbal"], prefix="src_", suffix="_x")
 
 
 @query(

@@ -147,9 +147,10 @@ def _(t):
 
 @query(
     "valid_contact_filter",
-    """WITH e AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'client' || c_custkey || '@example.com' WHEN 1 THEN 'atualize@example.com'
+    r"""WITH e AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'client' || c_custkey || '@example.com' WHEN 1 THEN 'atualize@example.com'
          WHEN 2 THEN 'no mail' ELSE 'Naotem' || c_custkey || '@example.org' END AS email FROM customer)
-       SELECT * FROM e WHERE c_custkey % 4 = 0""",
+       SELECT * FROM e WHERE regexp_matches(lower(email), '^[^@\s]+@[^@\s]+\.[^@\s]+$')
+         AND lower(email) NOT LIKE 'atualize%' AND lower(email) NOT LIKE 'naotem%'""",
 )
 def _(t):
     key = F.col("c_custkey")

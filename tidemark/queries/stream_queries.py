@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.queries.registry import query
-from tidemark.sources.lake import Lake, work_dir
+from tidemark.sources.lake import work_dir
 from tidemark.streaming import streams
 
 
@@ -17,10 +17,9 @@ def _live(t):
 )
 def _(t):
     root = work_dir(t.spark, "stream-latest")
-    lake = Lake(t.spark, f"{root}/lake")
-    rows = _live(t).select("user_id", "event_id", "ts", "event_type")
-    streams.stream_latest(rows, lake, "app", "events", ["user_id"], ["ts", "event_id"], f"{root}/checkpoint")
-    return lake.read("silver", "app", "events")
+    rows, keys, order = _live(t).select("user_id", "event_id", "ts", "event_type"), ["user_id"], ["ts", "event_id"]
+    streams.stream_latest(rows, f"{root}/log", keys, order, f"{root}/checkpoint")
+    return streams.read_latest(t.spark, f"{root}/log", keys, order)
 
 
 @query("stream_dedupe", "SELECT event_id, user_id, ts, event_type FROM events")

@@ -139,15 +139,15 @@ def _(t):
 
 @query(
     "refresh_open_rows",
-    f"""WITH h AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS status FROM orders WHERE o_orderkey % 5 <> 0),
-            n AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, 'X' AS status FROM orders WHERE o_orderkey % 3 <> 0)
+    f"""WITH h AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS status FROM orders WHERE o_orderpriority <> '5-LOW'),
+            n AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, 'X' AS status FROM orders WHERE o_orderstatus <> 'P')
        SELECT h.o_orderkey, h.day, CASE WHEN DATE '{AS_OF}' - h.day <= 365 THEN coalesce(n.status, h.status) ELSE h.status END AS status
        FROM h LEFT JOIN n USING (o_orderkey) UNION ALL SELECT * FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM h)""",
 )
 def _(t):
-    rows = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"), F.col("o_orderstatus").alias("status"))
-    history = rows.where("o_orderkey % 5 <> 0")
-    new = rows.where("o_orderkey % 3 <> 0").withColumn("status", F.lit("X"))
+    cols = ["o_orderkey", F.to_date("o_orderdate").alias("day"), F.col("o_orderstatus").alias("status")]
+    history = t.orders.where("o_orderpriority <> '5-LOW'").select(*cols)
+    new = t.orders.where("o_orderstatus <> 'P'").select(*cols).withColumn("status", F.lit("X"))
     return writers.refresh_open_rows(history, new, ["o_orderkey"], F.datediff(day(), F.col("day")) <= 365, ["status"])
 
 

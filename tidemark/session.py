@@ -9,6 +9,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a frequent key in a join even when the next step then shuffles again
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # merge the sessions of a frequent key before they are shuffled
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
 }
 

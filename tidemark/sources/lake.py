@@ -91,7 +91,9 @@ class Lake:
         known = self.versions(layer, schema, table)
         version = (known[-1] if known else 0) + (1 if mode == "overwrite" or not known else 0)
         if cluster_by:
-            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+            # the row hash at the end lets a very frequent value span several files
+            spread = F.xxhash64(*df.columns)
+            df = df.repartitionByRange(*cluster_by, spread).sortWithinPartitions(*cluster_by)
         writer = df.write.mode(mode)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -104,11 +106,15 @@ class Lake:
         return self.write(stamped, "bronze", schema, table, "append", ["_extraction_date"])
 
     def replace_periods(self, df: DataFrame, layer: str, schema: str, table: str, period: str) -> None:
-        """Overwrite only the periods present in ``df``; all others stay untouched on disk."""
+        """Overwrite only the periods present in ``df``; all others stay untouched on disk.
+
+        The rebalance groups rows by period but splits a period that is too big
+        for one task, which the current month usually is.
+        """
         known = self.versions(layer, schema, table)
         target = f"{self.path(layer, schema, table)}/v{known[-1] if known else 1}"
         (
-            df.repartition(period)
+            df.hint("rebalance", period)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(period)

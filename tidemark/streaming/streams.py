@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_version
-from tidemark.sources.lake import Lake
-from tidemark.sources.writers import merge_upsert
 
 
 def drop_folder(spark: SparkSession, folder: str, schema, fmt: str = "parquet", files_per_batch: int = 100) -> DataFrame:
@@ -33,23 +31,21 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, partition_by: Se
 
 
 def stream_latest(
-    stream: DataFrame, lake: Lake, schema: str, table: str, keys: Sequence[str], newest_by: Sequence[str], checkpoint: str
+    stream: DataFrame, path: str, keys: Sequence[str], newest_by: Sequence[str], checkpoint: str
 ) -> None:
-    """Keep a table with the newest row per key, one new version per micro-batch.
+    """Append the newest row per key of every micro-batch to a version log.
 
-    The version number is the batch number, so a batch that runs again after a
-    failure rewrites its own version and never counts twice.
+    A batch costs what the batch holds, not what the table holds: the newest row
+    over all batches is taken on reading (``read_latest``).  Each batch owns a
+    folder, so one that runs again after a failure replaces its own rows.
     """
-    base = lake.path("silver", schema, table)
 
-    def apply(batch: DataFrame, epoch: int) -> None:
-        done = [v for v in lake.versions("silver", schema, table) if v < epoch + 1]
-        state = lake.read("silver", schema, table, done[-1]) if done else None
-        rows = batch if state is None else state.unionByName(batch)
-        latest_version(rows, keys, newest_by).write.mode("overwrite").parquet(f"{base}/v{epoch + 1}")
+    def append(batch: DataFrame, epoch: int) -> None:
+        newest = latest_version(batch, keys, newest_by)
+        newest.write.mode("overwrite").parquet(f"{path}/_batch={epoch}")
 
     query = (
-        stream.writeStream.foreachBatch(apply)
+        stream.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -57,26 +53,17 @@ def stream_latest(
     query.awaitTermination()
 
 
-def stream_upsert(
-    stream: DataFrame, lake: Lake, schema: str, table: str, keys: Sequence[str], newest_by: Sequence[str], checkpoint: str
-) -> None:
-    """Like ``stream_latest`` for a source whose newer batch always wins."""
-    base = lake.path("silver", schema, table)
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
+    """Newest row per key over all batches of a version log."""
+    log = spark.read.parquet(f"{path}/_batch=*")
+    return latest_version(log, keys, newest_by)
 
-    def apply(batch: DataFrame, epoch: int) -> None:
-        done = [v for v in lake.versions("silver", schema, table) if v < epoch + 1]
-        rows = latest_version(batch, keys, newest_by)
-        if done:
-            rows = merge_upsert(lake.read("silver", schema, table, done[-1]), rows, keys)
-        rows.write.mode("overwrite").parquet(f"{base}/v{epoch + 1}")
 
-    query = (
-        stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def compact_log(
+    spark: SparkSession, path: str, compacted: str, keys: Sequence[str], newest_by: Sequence[str]
+) -> None:
+    """Write the log's newest rows as the single batch of another log, to read from and append to instead."""
+    read_latest(spark, path, keys, newest_by).write.mode("overwrite").parquet(f"{compacted}/_batch=-1")
 
 
 def dedupe(stream: DataFrame, ts: str, row_id: str, delay: str = "1 hour") -> DataFrame:
