@@ -17,6 +17,30 @@ def money(col: str | Column) -> Column:
     return c.cast("decimal(18,2)")
 
 
+def cents(col: str | Column) -> Column:
+    """Amount in whole hundredths (bigint); much cheaper to sum than a decimal made from a double."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.rint(c * 100).cast("bigint")
+
+
+def exact_sum(whole: Column, scale: int = 100) -> Column:
+    """Sum of whole units, exact and without overflow, as a double divided by ``scale``.
+
+    For products and global totals; ``sum_money`` is faster for plain amounts.
+    """
+    return F.sum(whole.cast("decimal(18,0)")).cast("double") / scale
+
+
+def sum_money(col: str | Column, when: Column | None = None) -> Column:
+    """Exact sum of two-decimal amounts (of the rows under ``when``), whatever the row order.
+
+    Sums hundredths as bigint: good up to totals of 92 quadrillion, beyond which
+    ANSI mode raises an error instead of giving a wrong sum.
+    """
+    c = cents(col)
+    return F.sum(c if when is None else F.when(when, c)).cast("double") / 100
+
+
 def conditional_agg(
     df: DataFrame, keys: Sequence[str], aggs: Mapping[str, tuple[str, Column, Column | None]]
 ) -> DataFrame:
@@ -61,12 +85,18 @@ def list_parts(
     return packed.select(*keys, "part", F.array_join(F.transform("_l", lambda s: s["_v"]), sep).alias(out))
 
 
+def joined_set(value: Column, sep: str = ", ") -> Column:
+    """Aggregate: distinct values of a small domain, sorted and joined; NULL when there are none.
+
+    The set is built map-side, so a frequent key ships one small set per task.
+    """
+    found = F.collect_set(value.cast("string"))
+    return F.when(F.size(found) > 0, F.array_join(F.sort_array(found), sep))
+
+
 def distinct_list(df: DataFrame, keys: Sequence[str], value: str, out: str, sep: str = ", ") -> DataFrame:
     """Distinct values of a small domain (codes, flags) per key, sorted and joined to text."""
-    once = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
-    return once.groupBy(*keys).agg(
-        F.array_join(F.sort_array(F.collect_list(F.col(value).cast("string"))), sep).alias(out)
-    )
+    return df.groupBy(*keys).agg(joined_set(F.col(value), sep).alias(out))
 
 
 def ratio(num: Column, den: Column, scale: float = 1.0, zero_as: float | None = None) -> Column:

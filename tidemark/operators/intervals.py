@@ -17,6 +17,13 @@ from tidemark.operators.ordered import Step, along_key, lag, lead, running_sum
 from tidemark.operators.skew import HOT_ROWS
 
 
+def clipped_length(start, end, cycle_start, cycle_end) -> Column:
+    """Days of one interval inside one cycle, by the rule of ``clipped_days``."""
+    after = F.date_add(cycle_end, 1)
+    low, high = F.greatest(start, cycle_start), F.least(F.coalesce(F.col(end), after), after)
+    return F.greatest(F.datediff(high, low), F.lit(0)).cast("bigint")
+
+
 def clipped_days(
     intervals: DataFrame,
     cycles: DataFrame,
@@ -97,21 +104,27 @@ def overlap_totals(
     started by its end minus those ended before its start.
     """
     keys = list(keys)
-    begun = spans.select(*keys, F.col(start).alias("_day"), F.lit(1).alias("_w"), F.col(value).alias("_v"))
-    gone = spans.where(F.col(end).isNotNull()).select(
-        *keys, F.date_add(end, 1).alias("_day"), F.lit(-1).alias("_w"), F.col(value).alias("_v")
-    )
-    zero = F.lit(0)
+    marks = spans.select(
+        *keys,
+        F.col(value).alias("_v"),
+        F.explode(
+            F.array(
+                F.struct(F.col(start).alias("_day"), F.lit(True).alias("_begins")),
+                F.struct(F.date_add(end, 1).alias("_day"), F.lit(False).alias("_begins")),
+            )
+        ).alias("_m"),
+    ).select(*keys, "_v", "_m.*")
+    begins, none = F.col("_begins"), F.lit(0)
     daily = (
-        begun.unionByName(gone)
+        marks.where(F.col("_day").isNotNull())
         .groupBy(*keys, "_day")
         .agg(
-            F.sum(F.when(F.col("_w") == 1, 1).otherwise(0)).alias("_bn"),
-            F.sum(F.when(F.col("_w") == 1, F.col("_v"))).alias("_bv"),
-            F.sum(F.when(F.col("_w") == -1, 1).otherwise(0)).alias("_gn"),
-            F.sum(F.when(F.col("_w") == -1, F.col("_v"))).alias("_gv"),
+            F.count_if(begins).alias("_bn"),
+            F.count_if(~begins).alias("_gn"),
+            F.sum(F.when(begins, F.col("_v")).otherwise(none)).alias("_bv"),
+            F.sum(F.when(begins, none).otherwise(F.col("_v"))).alias("_gv"),
         )
-        .withColumn("_side", zero)
+        .withColumn("_side", F.lit(0))
     )
     cyc = cycles.select(*keys, cycle_start, cycle_end).distinct()
     asked = cyc.select(

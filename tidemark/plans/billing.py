@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import days_between
+from tidemark.functions.dates import day_in_month, days_between
 from tidemark.functions.text import rule_ladder
-from tidemark.operators.aggregates import money, pivot_max
-from tidemark.operators.intervals import clipped_days, overlap_totals
+from tidemark.operators.aggregates import cents, exact_sum, pivot_max, sum_money
+from tidemark.operators.intervals import clipped_length
 from tidemark.operators.latest import dedupe_by_priority, latest_version
 from tidemark.operators.sets import waterfall_union
 
@@ -25,39 +25,61 @@ def billing_base(
 ) -> DataFrame:
     """Invoices of a month with cycle, discounts, suspended days, extra services and net value.
 
-    Contracts active at the month end or cancelled inside the month take part.
-    ``suspensions`` and ``discounts`` are day spans per contract; ``extras`` are
-    dated amounts.  A contract's value is reduced by the share of suspended days.
+    A contract's cycle ends on its ``closing_day`` of the month (the last day of
+    a shorter month) and starts the day after the one before.  Contracts active
+    at the cycle end or cancelled inside the cycle take part.  ``suspensions``
+    (end day not included) and ``discounts`` are day spans per contract;
+    ``extras`` are dated amounts.  Every contract has one cycle, so spans meet
+    at most one cycle row and are summed right after that join.
     """
     first, last = F.trunc(month, "MM"), F.last_day(month)
-    billed = invoices.where((F.col("issued") >= first) & (F.col("issued") <= last))
-    took_part = contracts.where(
-        (F.col("activated") <= last) & (F.col("cancelled").isNull() | (F.col("cancelled") >= first))
-    ).select(
-        "contract_id", "unit_id", "activated", "cancelled",
-        F.when(F.col("cancelled").isNull(), "ACTIVE").when(F.col("cancelled") > last, "ACTIVE").otherwise("CANCELLED").alias("contract_status"),
+    earliest = F.add_months(first, -1)  # no cycle of this month starts before
+    ends = day_in_month(first, "closing_day")
+    starts = F.date_add(day_in_month(F.add_months(first, -1), "closing_day"), 1)
+    cycles = (
+        contracts.select("contract_id", "unit_id", "activated", "cancelled", starts.alias("cycle_start"), ends.alias("cycle_end"))
+        .where((F.col("activated") <= F.col("cycle_end")) & (F.col("cancelled").isNull() | (F.col("cancelled") >= F.col("cycle_start"))))
+        .withColumn(
+            "contract_status",
+            F.when(F.col("cancelled") <= F.col("cycle_end"), "CANCELLED").otherwise("ACTIVE"),
+        )
+    )
+    window = cycles.select("contract_id", "cycle_start", "cycle_end")
+    stopped = (
+        suspensions.where((F.col("begun") <= last) & (F.col("ended").isNull() | (F.col("ended") > earliest)))
+        .join(window, "contract_id")
+        .groupBy("contract_id")
+        .agg(F.sum(clipped_length("begun", "ended", "cycle_start", "cycle_end")).alias("_suspended"))
     )
-    base = billed.join(took_part, "contract_id").select("*", first.alias("cycle_start"), last.alias("cycle_end"))
-    cycles = base.select("contract_id", "cycle_start", "cycle_end").distinct()
-    keys = ["contract_id"]
-    stopped = clipped_days(suspensions, cycles, keys, "begun", "ended", "cycle_start", "cycle_end", "suspended_days")
-    reduced = overlap_totals(discounts, cycles, keys, "begun", "ended", "percent", "cycle_start", "cycle_end", "discounts", "discount_percent")
-    extra = extras.where((F.col("sold") >= first) & (F.col("sold") <= last)).groupBy("contract_id").agg(
-        F.count(F.lit(1)).alias("extra_services"), F.sum(money("price")).cast("double").alias("extra_value")
+    reduced = (
+        discounts.where((F.col("begun") <= last) & (F.col("ended") >= earliest))
+        .join(window, "contract_id")
+        .where((F.col("begun") <= F.col("cycle_end")) & (F.col("ended") >= F.col("cycle_start")))
+        .groupBy("contract_id")
+        .agg(F.count(F.lit(1)).alias("_discounts"), F.sum("percent").cast("double").alias("_percent"))
     )
-    on = ["contract_id", "cycle_start", "cycle_end"]
-    wide = base.join(stopped, on, "left").join(reduced, on, "left").join(extra, "contract_id", "left")
+    added = (
+        extras.where((F.col("sold") <= last) & (F.col("sold") >= earliest))
+        .join(window, "contract_id")
+        .where(F.col("sold").between(F.col("cycle_start"), F.col("cycle_end")))
+        .groupBy("contract_id")
+        .agg(F.count(F.lit(1)).alias("_extras"), sum_money("price").alias("_extra_value"))
+    )
+    facts = cycles
+    for part in (stopped, reduced, added):
+        facts = facts.join(part, "contract_id", "left")
+    billed = invoices.where((F.col("issued") >= first) & (F.col("issued") <= last))
     days = days_between("cycle_start", "cycle_end") + 1
-    percent = F.least(F.coalesce("discount_percent", F.lit(0)).cast("double"), F.lit(100.0))
-    wide = wide.select(
+    none = F.lit(0).cast("bigint")
+    wide = billed.join(facts, "contract_id").select(
         "invoice_id", "contract_id", "unit_id", "contract_status", "kind", "amount", "issued",
         "cycle_start", "cycle_end",
         days.alias("cycle_days"),
-        F.least(F.coalesce("suspended_days", F.lit(0).cast("bigint")), days).alias("suspended_days"),
-        F.coalesce("discounts", F.lit(0).cast("bigint")).alias("discounts"),
-        percent.alias("discount_percent"),
-        F.coalesce("extra_services", F.lit(0).cast("bigint")).alias("extra_services"),
-        F.coalesce("extra_value", F.lit(0.0)).alias("extra_value"),
+        F.least(F.coalesce("_suspended", none), days).alias("suspended_days"),
+        F.coalesce("_discounts", none).alias("discounts"),
+        F.least(F.coalesce("_percent", F.lit(0.0)), F.lit(100.0)).alias("discount_percent"),
+        F.coalesce("_extras", none).alias("extra_services"),
+        F.coalesce("_extra_value", F.lit(0.0)).alias("extra_value"),
     )
     kept = F.col("amount") * (F.col("cycle_days") - F.col("suspended_days")) / F.col("cycle_days")
     return wide.withColumn("net_value", kept * (1 - F.col("discount_percent") / 100) + F.col("extra_value"))
@@ -96,7 +118,7 @@ def month_events(events: DataFrame, kinds: Mapping[str, str], month: Column) ->
     aggs = []
     for kind, name in kinds.items():
         hit = F.col("kind") == kind
-        aggs += [F.count_if(hit).alias(f"{name}_count"), F.sum(F.when(hit, money("value"))).cast("double").alias(f"{name}_value")]
+        aggs += [F.count_if(hit).alias(f"{name}_count"), sum_money("value", hit).alias(f"{name}_value")]
     return inside.groupBy("contract_id").agg(*aggs)
 
 
@@ -129,23 +151,29 @@ def prorata_billing(contracts: DataFrame, month: Column) -> DataFrame:
 
 def component_totals(components: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Gross, discount and net per key out of priced components with a discount share."""
-    gross, share = money("price"), F.col("share").cast("decimal(18,2)")
+    gross, share = cents("price"), cents("share")
     return components.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("components"),
-        F.sum(gross).cast("double").alias("gross"),
-        F.sum(gross * share).cast("double").alias("discount"),
-        F.sum(gross * (1 - share)).cast("double").alias("net"),
+        exact_sum(gross).alias("gross"),
+        exact_sum(gross * share, 10_000).alias("discount"),
+        exact_sum(gross * (100 - share), 10_000).alias("net"),
     )
 
 
 def fiscal_components(lines: DataFrame, notes: DataFrame, units: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
-    """Tax by kind per region: lines are summed per note before the notes are joined to regions."""
-    per_note = lines.groupBy("note_id", "kind").agg(F.sum(money("value")).alias("_v"))
+    """Tax by kind per region.
+
+    Lines become one row per note before notes are joined to regions, so the
+    joins carry notes, not lines, and notes are counted without a distinct.
+    """
+    value = cents("value")
+    per_note = lines.groupBy("note_id").agg(
+        *[F.sum(F.when(F.col("kind") == k, value)).alias(n) for k, n in kinds.items()], F.sum(value).alias("total")
+    )
     placed = per_note.join(notes.select("note_id", "unit_id"), "note_id").join(units.select("unit_id", "region"), "unit_id")
     return placed.groupBy("region").agg(
-        *[F.sum(F.when(F.col("kind") == k, F.col("_v"))).cast("double").alias(n) for k, n in kinds.items()],
-        F.sum("_v").cast("double").alias("total"),
-        F.count_distinct("note_id").alias("notes"),
+        *[(F.sum(n).cast("double") / 100).alias(n) for n in [*kinds.values(), "total"]],
+        F.count(F.lit(1)).alias("notes"),
     )
 
 

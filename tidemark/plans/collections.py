@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between
 from tidemark.functions.text import bucketize
-from tidemark.operators.aggregates import list_parts, money, pivot_max
+from tidemark.operators.aggregates import list_parts, pivot_max, sum_money
 from tidemark.operators.joins import exclude
 from tidemark.operators.latest import nth_by, topk_per_key
 from tidemark.operators.sets import waterfall_union
@@ -49,7 +49,7 @@ def mailing_cohort(
     oldest = nth_by(overdue, ["contract_id"], [F.asc("due"), F.asc("invoice_id")], 1)
     is_overdue = F.col("paid_on").isNull() & (F.col("amount") >= MIN_AMOUNT) & (F.col("due") < as_of)
     facts = invoices.groupBy("contract_id").agg(
-        F.sum(F.when(is_overdue, money("amount"))).cast("double").alias("debt"),
+        sum_money("amount", is_overdue).alias("debt"),
         F.count_if(is_overdue).alias("open_invoices"),
         F.max("paid_on").alias("last_payment"),
         F.max(agreement.cast("int")).alias("negotiated"),
@@ -138,7 +138,7 @@ def mailing_summary(mailing: DataFrame, units: DataFrame, reference: Column) ->
     named = month.join(units.select(F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("unit")), "unit_id", "left")
     return named.groupBy("unit", "age_band").agg(
         F.count(F.lit(1)).alias("contracts"),
-        F.sum(money("debt")).cast("double").alias("debt"),
+        sum_money("debt").alias("debt"),
         F.count("exit_reason").alias("left_mailing"),
     )
 

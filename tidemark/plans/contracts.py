@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import days_between, whole_months_between
 from tidemark.functions.numbers import discounted_value
 from tidemark.functions.text import bucketize, extract_after, rule_ladder, speed_mbps
-from tidemark.operators.aggregates import distinct_list, money, pivot_max
+from tidemark.operators.aggregates import distinct_list, joined_set, pivot_max, sum_money
 from tidemark.operators.joins import exclude, recurrence
 from tidemark.operators.latest import latest_version, nth_by, summary_row_per_key
 from tidemark.operators.linkage import earlier_link
@@ -37,12 +37,12 @@ def contract_360(
 ) -> DataFrame:
     """Contract with plan and add-on value, add-on names, newest item, loyalty flag and channel."""
     value = items.groupBy("contract_id").agg(
-        F.sum(F.when(~is_add_on, money("price"))).cast("double").alias("plan_value"),
-        F.sum(F.when(is_add_on, money("price"))).cast("double").alias("add_on_value"),
+        sum_money("price", ~is_add_on).alias("plan_value"),
+        sum_money("price", is_add_on).alias("add_on_value"),
         F.count_if(is_add_on).alias("add_ons"),
         F.max("sold").alias("last_item"),
+        joined_set(F.when(is_add_on, F.col("name")), "; ").alias("add_on_names"),
     )
-    names = distinct_list(items.where(is_add_on), ["contract_id"], "name", "add_on_names", "; ")
     channel = rule_ladder(
         [(F.col("segment") == "BUILDING", "CORPORATE"), (F.col("plan").like("1-%"), "TELESALES"), (F.col("plan").like("5-%"), "STORE")],
         "DIGITAL",
@@ -51,7 +51,6 @@ def contract_360(
     return (
         contracts.join(clients, "client_id", "left")
         .join(value, "contract_id", "left")
-        .join(names, "contract_id", "left")
         .select(
             "contract_id", "client_id", "segment", "plan", "price", "activated", "cancelled",
             "plan_value", "add_on_value", "add_ons", "add_on_names", "last_item",
@@ -152,7 +151,7 @@ def to_suspend(contracts: DataFrame, invoices: DataFrame, as_of: Column, days: i
     late = invoices.where(F.col("paid_on").isNull() & (F.col("due") < F.date_sub(as_of, days)))
     owed = late.groupBy("contract_id").agg(
         F.count(F.lit(1)).alias("late_invoices"), F.min("due").alias("oldest_due"),
-        F.sum(money("amount")).cast("double").alias("owed"),
+        sum_money("amount").alias("owed"),
     )
     active = contracts.where(F.col("cancelled").isNull()).select("contract_id", "client_id")
     return active.join(owed, "contract_id")

@@ -8,18 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import bucketize
-from tidemark.operators.aggregates import money, pivot_max, run_rate
+from tidemark.operators.aggregates import run_rate, sum_money
 from tidemark.operators.joins import star_join
 
 
-def tax_by_kind(lines: DataFrame, keys: Sequence[str], kind: str, tax: Column, columns: Mapping[str, str]) -> DataFrame:
-    """Tax per key and kind, then one row per key with a column per kind and the total."""
-    per_kind = lines.groupBy(*keys, kind).agg(F.sum(tax).alias("_tax"))
-    wide = per_kind.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col(kind) == k, F.col("_tax"))).cast("double").alias(n) for k, n in columns.items()],
-        F.sum("_tax").cast("double").alias("tax_total"),
+def tax_by_kind(
+    lines: DataFrame, keys: Sequence[str], kind: str, tax: Column, scale: int, columns: Mapping[str, str]
+) -> DataFrame:
+    """Tax per key and kind, then one row per key with a column per kind and the total.
+
+    ``tax`` is in whole units of 1/``scale``.
+    """
+    per_kind = lines.groupBy(*keys, kind).agg(F.sum(tax.cast("decimal(18,0)")).alias("_tax"))
+    units = lambda c: F.sum(c).cast("double") / scale
+    return per_kind.groupBy(*keys).agg(
+        *[units(F.when(F.col(kind) == k, F.col("_tax"))).alias(n) for k, n in columns.items()],
+        units(F.col("_tax")).alias("tax_total"),
     )
-    return wide
 
 
 def _month_to_date(facts: DataFrame, ts: str, keys: Sequence[str], as_of: Column) -> DataFrame:
@@ -63,12 +68,12 @@ def two_point_average(contracts: DataFrame, keys: Sequence[str], now: Column, be
 def first_last_payment(invoices: DataFrame, client: str, paid_on: str, amount: str) -> DataFrame:
     """First and last payment day per client with the amounts paid on those days."""
     paid = invoices.where(F.col(paid_on).isNotNull())
-    daily = paid.groupBy(client, paid_on).agg(F.sum(money(amount)).alias("_sum"))
+    daily = paid.groupBy(client, paid_on).agg(sum_money(amount).alias("_sum"))
     return daily.groupBy(client).agg(
         F.min(paid_on).alias("first_payment"),
         F.max(paid_on).alias("last_payment"),
-        F.min_by("_sum", paid_on).cast("double").alias("first_amount"),
-        F.max_by("_sum", paid_on).cast("double").alias("last_amount"),
+        F.min_by("_sum", paid_on).alias("first_amount"),
+        F.max_by("_sum", paid_on).alias("last_amount"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between, period_key
 from tidemark.functions.text import bucketize, rule_ladder
-from tidemark.operators.aggregates import money, ratio
+from tidemark.operators.aggregates import ratio, sum_money
 from tidemark.operators.latest import dedupe_by_priority, latest_version
 
 # Class names of the doubtful-debt report and of the payer profile.
@@ -146,7 +146,7 @@ def collected_months(invoices: DataFrame, as_of: Column) -> DataFrame:
     late = days_between("due", "paid_on")
     band = bucketize(late, [0, 5, 15, 30], ["on time", "1-5", "6-15", "16-30", "31+"])
     return paid.groupBy(F.trunc("paid_on", "MM").alias("period"), "kind", band.alias("paid_band")).agg(
-        F.count(F.lit(1)).alias("invoices"), F.sum(money("amount")).cast("double").alias("collected")
+        F.count(F.lit(1)).alias("invoices"), sum_money("amount").alias("collected")
     )
 
 
@@ -154,16 +154,16 @@ def negotiation_reversal(invoices: DataFrame, agreed: Column, as_of: Column) ->
     """Per client and month: debt before, agreed value, discount share and the age band of the debt."""
     age = days_between("due", as_of)
     totals = invoices.groupBy("client_id", F.trunc("issued", "MM").alias("month")).agg(
-        F.sum(F.when(~agreed, money("amount"))).alias("_before"),
-        F.sum(F.when(agreed, money("amount"))).alias("_agreed"),
+        sum_money("amount", ~agreed).alias("debt_before"),
+        sum_money("amount", agreed).alias("agreed_value"),
         F.max(F.when(~agreed, age)).alias("_age"),
     )
-    both = totals.where(F.col("_before").isNotNull() & F.col("_agreed").isNotNull())
+    both = totals.where(F.col("debt_before").isNotNull() & F.col("agreed_value").isNotNull())
     return both.select(
         "client_id",
         "month",
-        F.col("_before").cast("double").alias("debt_before"),
-        F.col("_agreed").cast("double").alias("agreed_value"),
-        (1 - ratio(F.col("_agreed"), F.col("_before"))).alias("discount_share"),
+        "debt_before",
+        "agreed_value",
+        (1 - ratio(F.col("agreed_value"), F.col("debt_before"))).alias("discount_share"),
         bucketize("_age", [30, 90, 365], ["up to 30", "31-90", "91-365", "366+"]).alias("age_band"),
     )

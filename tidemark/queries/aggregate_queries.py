@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import safe_divide
 from tidemark.operators import aggregates as agg
 from tidemark.operators import latest
-from tidemark.operators.aggregates import money
+from tidemark.operators.aggregates import cents, exact_sum, money, sum_money
 from tidemark.plans import indicators
 from tidemark.queries.registry import query
 from tidemark.queries.testbed import AS_OF, CON, INV, contracts, day, invoices
@@ -21,8 +21,8 @@ DEC = "CAST({} AS DECIMAL(18,2))"
 def _(t):
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("lines"),
-        F.sum(money("l_quantity")).cast("double").alias("quantity"),
-        F.sum(money("l_extendedprice") * (1 - money("l_discount"))).cast("double").alias("net"),
+        sum_money("l_quantity").alias("quantity"),
+        exact_sum(cents("l_extendedprice") * (100 - cents("l_discount")), 10_000).alias("net"),
         F.min("l_shipdate").alias("first_ship"),
         F.max("l_shipdate").alias("last_ship"),
     )
@@ -136,7 +136,7 @@ def _(t):
 )
 def _(t):
     return indicators.tax_by_kind(
-        t.lineitem, ["l_orderkey"], "l_returnflag", money("l_extendedprice") * money("l_tax"), {"A": "tax_a", "N": "tax_n", "R": "tax_r"}
+        t.lineitem, ["l_orderkey"], "l_returnflag", cents("l_extendedprice") * cents("l_tax"), 10_000, {"A": "tax_a", "N": "tax_n", "R": "tax_r"}
     )
 
 
@@ -243,7 +243,7 @@ def _(t):
 )
 def _(t):
     billed = invoices(t).groupBy("client_id").agg(
-        F.sum(money("amount")).cast("double").alias("billed"), F.count(F.lit(1)).alias("invoices")
+        sum_money("amount").alias("billed"), F.count(F.lit(1)).alias("invoices")
     )
     return billed.withColumn("ticket", safe_divide("billed", F.col("invoices").cast("double")))
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tidemark.operators.aggregates import money
+from tidemark.operators.aggregates import cents
 from tidemark.plans import billing
 from tidemark.queries.registry import query
 from tidemark.queries.testbed import ACC, CON, INV, accounts, contracts, day, invoices
@@ -30,7 +30,7 @@ def _discounts(t):
         F.col("o_custkey").alias("contract_id"),
         begun.alias("begun"),
         F.date_add(begun, F.col("l_quantity").cast("int")).alias("ended"),
-        (money("l_discount") * 100).alias("percent"),
+        cents("l_discount").alias("percent"),
     )
 
 
@@ -41,15 +41,18 @@ DISC = """disc AS (SELECT o_custkey AS contract_id, CAST(l_shipdate AS DATE) AS
 @query(
     "billing_base",
     f"""WITH {ACC}, {INV}, {SUSP}, {DISC},
-       part AS (SELECT *, CASE WHEN cancelled IS NULL OR cancelled > DATE '2001-05-31' THEN 'ACTIVE' ELSE 'CANCELLED' END AS contract_status FROM acc
-                WHERE activated <= DATE '2001-05-31' AND (cancelled IS NULL OR cancelled >= DATE '2001-05-01')),
-       stop AS (SELECT contract_id, CAST(least(sum(greatest(0, least(coalesce(ended, DATE '9999-12-31'), DATE '2001-06-01') - greatest(begun, DATE '2001-05-01'))), 31) AS BIGINT) AS sd FROM susp GROUP BY 1),
-       dsc AS (SELECT contract_id, count(*) AS n, CAST(sum(percent) AS DOUBLE) AS pct FROM disc WHERE begun <= DATE '2001-05-31' AND ended >= DATE '2001-05-01' GROUP BY 1),
-       ext AS (SELECT o_custkey AS contract_id, count(*) AS n, CAST(sum(CAST(l_tax * 100 AS DECIMAL(18,2))) AS DOUBLE) AS v FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-               WHERE l_shipdate BETWEEN TIMESTAMP '2001-05-01' AND TIMESTAMP '2001-05-31' GROUP BY 1),
-       w AS (SELECT invoice_id, p.contract_id, unit_id, contract_status, kind, amount, issued, DATE '2001-05-01' AS cycle_start, DATE '2001-05-31' AS cycle_end,
-         CAST(31 AS BIGINT) AS cycle_days, coalesce(sd, 0) AS suspended_days, coalesce(dsc.n, 0) AS discounts, least(coalesce(pct, 0), 100) AS discount_percent,
-         coalesce(ext.n, 0) AS extra_services, coalesce(ext.v, 0) AS extra_value
+       part AS (SELECT *, CASE WHEN cancelled <= cycle_end THEN 'CANCELLED' ELSE 'ACTIVE' END AS contract_status FROM (
+           SELECT *, least(DATE '2001-05-01' + CAST(contract_id % 31 AS INTEGER), DATE '2001-05-31') AS cycle_end,
+             least(DATE '2001-04-01' + CAST(contract_id % 31 AS INTEGER), DATE '2001-04-30') + 1 AS cycle_start FROM acc)
+         WHERE activated <= cycle_end AND (cancelled IS NULL OR cancelled >= cycle_start)),
+       stop AS (SELECT contract_id, CAST(sum(greatest(0, least(coalesce(ended, DATE '9999-12-31'), cycle_end + 1) - greatest(begun, cycle_start))) AS BIGINT) AS sd
+                FROM susp JOIN part USING (contract_id) GROUP BY 1),
+       dsc AS (SELECT contract_id, count(*) AS n, CAST(sum(percent) AS DOUBLE) AS pct FROM disc JOIN part USING (contract_id) WHERE begun <= cycle_end AND ended >= cycle_start GROUP BY 1),
+       ext AS (SELECT contract_id, count(*) AS n, CAST(sum(CAST(l_tax * 100 AS DECIMAL(18,2))) AS DOUBLE) AS v FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON o_custkey = contract_id
+               WHERE CAST(l_shipdate AS DATE) BETWEEN cycle_start AND cycle_end GROUP BY 1),
+       w AS (SELECT invoice_id, p.contract_id, unit_id, contract_status, kind, amount, issued, cycle_start, cycle_end,
+         cycle_end - cycle_start + 1 AS cycle_days, least(coalesce(sd, 0), cycle_end - cycle_start + 1) AS suspended_days, coalesce(dsc.n, 0) AS discounts,
+         least(coalesce(pct, 0), 100) AS discount_percent, coalesce(ext.n, 0) AS extra_services, coalesce(ext.v, 0) AS extra_value
         FROM inv JOIN part p ON inv.client_id = p.contract_id LEFT JOIN stop ON stop.contract_id = p.contract_id
         LEFT JOIN dsc ON dsc.contract_id = p.contract_id LEFT JOIN ext ON ext.contract_id = p.contract_id
         WHERE issued BETWEEN DATE '2001-05-01' AND DATE '2001-05-31')
@@ -59,7 +62,8 @@ def _(t):
     extras = _lines(t).select(
         F.col("o_custkey").alias("contract_id"), F.to_date("l_shipdate").alias("sold"), (F.col("l_tax") * 100).alias("price")
     )
-    return billing.billing_base(_billed(t), accounts(t), _suspensions(t), _discounts(t), extras, day("2001-05-15"))
+    billed_by = accounts(t).withColumn("closing_day", (F.col("contract_id") % 31 + 1).cast("int"))
+    return billing.billing_base(_billed(t), billed_by, _suspensions(t), _discounts(t), extras, day("2001-05-15"))
 
 
 CLASSES = ["3-MEDIUM", "1-URGENT", "2-HIGH", "5-LOW"]

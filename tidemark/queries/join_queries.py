@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import clean_text_key
 from tidemark.operators import intervals, joins, latest, linkage
 from tidemark.operators import ordered as o
-from tidemark.operators.aggregates import money
+from tidemark.operators.aggregates import cents, sum_money
 from tidemark.plans import contracts as contract_plans
 from tidemark.queries.registry import query
 from tidemark.queries.testbed import CON, INV, contracts, day, grid_sql, invoices, month_end_grid
@@ -24,7 +24,7 @@ def _(t):
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     return chain.groupBy("r_name", "c_mktsegment").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(money("l_extendedprice")).cast("double").alias("gross")
+        F.count(F.lit(1)).alias("lines"), sum_money("l_extendedprice").alias("gross")
     )
 
 
@@ -354,7 +354,7 @@ def _(t):
         "l_suppkey",
         F.to_date("l_shipdate").alias("begun"),
         F.date_add(F.to_date("l_shipdate"), F.col("l_quantity").cast("int")).alias("ended"),
-        money("l_extendedprice").alias("value"),
+        cents("l_extendedprice").alias("value"),
     )
     starts = F.sequence(day("2001-01-01"), day("2001-06-01"), F.expr("interval 1 month"))
     cycles = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.explode(starts).alias("cycle_start"))
@@ -362,7 +362,7 @@ def _(t):
     out = intervals.overlap_totals(
         spans, cycles, ["l_suppkey"], "begun", "ended", "value", "cycle_start", "cycle_end"
     )
-    return out.withColumn("overlapping_value", F.col("overlapping_value").cast("double"))
+    return out.withColumn("overlapping_value", F.col("overlapping_value") / 100)
 
 
 SUSPENDED = """susp AS (
