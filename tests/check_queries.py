@@ -1,5 +1,6 @@
 """Run registered queries against their SQL: python tests/check_queries.py [dir] [name ...]"""
 
+import os
 import sys
 import time
 import traceback
@@ -19,7 +20,10 @@ def main():
     queries, oracles = entry.queries(), entry.oracle_sql()
     names = sys.argv[2:] or list(queries)
     names = [q for n in names for q in queries if (q.startswith(n[:-1]) if n.endswith("*") else q == n)]
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"}
+    if "HOT_ROWS" in os.environ:
+        conf["spark.tidemark.hotRows"] = os.environ["HOT_ROWS"]
+    spark = build_session("check", "local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), []
     for name in names:

@@ -74,13 +74,16 @@ def expression_is_true(df, expression: Column) -> DataFrame:
 
 def mutually_exclusive_ranges(
     df, lower: str, upper: str, by: Sequence[str] = (), gaps: str = "allowed", zero_length: bool = False,
-    hot_rows: int = HOT_ROWS,
+    tiebreak: Sequence[str] = (), hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``gaps``: allowed, not_allowed (next starts exactly at the end) or required."""
-    if by:
-        return range_violations(df, by, lower, upper, gaps, zero_length, hot_rows)
-    one = df.withColumn("_all", F.lit(1))
-    return range_violations(one, ["_all"], lower, upper, gaps, zero_length, hot_rows).drop("_all")
+    """``gaps``: allowed, not_allowed (next starts exactly at the end) or required.
+
+    ``tiebreak`` columns decide which of several identical ranges is reported.
+    """
+    keys, frame = list(by), df
+    if not keys:
+        keys, frame = ["_all"], df.withColumn("_all", F.lit(1))
+    return range_violations(frame, keys, lower, upper, gaps, zero_length, tiebreak, hot_rows).drop("_all")
 
 
 def not_accepted_values(df, col: str, values: Sequence) -> DataFrame:

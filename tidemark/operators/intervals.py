@@ -243,10 +243,11 @@ def range_violations(
     upper: str,
     gaps: str = "allowed",
     zero_length: bool = False,
+    tiebreak: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Ranges of a key that overlap the next one or break the gap rule (see checks)."""
-    seq = along_key(df, keys, [lower, upper], {"_next": lead(lower)}, hot_rows=hot_rows)
+    seq = along_key(df, keys, [lower, upper, *tiebreak], {"_next": lead(lower)}, hot_rows=hot_rows)
     c, n = F.col(upper), F.col("_next")
     rule = {"allowed": c <= n, "not_allowed": c == n, "required": c < n}[gaps]
     ordered_ok = (F.col(lower) <= c) if zero_length else (F.col(lower) < c)

@@ -23,8 +23,10 @@ from pyspark.sql import types as T
 
 SLICE = "_slice"
 
-# A key is frequent above this many rows; slices aim at about this size.
+# A key is frequent above this many rows; slices aim at about this size.  The
+# session setting spark.tidemark.hotRows overrides the default.
 HOT_ROWS = 1_000_000
+HOT_ROWS_SETTING = "spark.tidemark.hotRows"
 # The most frequent keys considered.  Any key beyond this rank holds less than
 # 1/10,000 of the table, so it needs no cutting; this also bounds the broadcast.
 MAX_HOT_KEYS = 10_000
@@ -99,6 +101,8 @@ def with_slices(
 
     None when no key is frequent, so that callers use a plain window.
     """
+    if hot_rows == HOT_ROWS:
+        hot_rows = int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
     cuts = hot_cuts(df, keys, order, hot_rows)
     if cuts is None:
         return None

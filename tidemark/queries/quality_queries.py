@@ -71,13 +71,13 @@ def _(t):
 @query(
     "dq_mutually_exclusive_ranges",
     """WITH r AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS lower, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 AS INTEGER) AS upper FROM orders),
-            n AS (SELECT *, lead(lower) OVER (PARTITION BY o_custkey ORDER BY lower, upper) AS nxt FROM r)
+            n AS (SELECT *, lead(lower) OVER (PARTITION BY o_custkey ORDER BY lower, upper, o_orderkey) AS nxt FROM r)
        SELECT o_orderkey, o_custkey, lower, upper FROM n WHERE NOT (lower < upper AND coalesce(upper <= nxt, TRUE))""",
 )
 def _(t):
     lower = F.to_date("o_orderdate")
     spans = t.orders.select("o_orderkey", "o_custkey", lower.alias("lower"), F.date_add(lower, (F.col("o_orderkey") % 60).cast("int")).alias("upper"))
-    return checks.mutually_exclusive_ranges(spans, "lower", "upper", ["o_custkey"])
+    return checks.mutually_exclusive_ranges(spans, "lower", "upper", ["o_custkey"], tiebreak=["o_orderkey"])
 
 
 @query("dq_not_accepted_values", "SELECT event_id, event_type FROM events WHERE event_type IN ('error', 'click')")

@@ -130,8 +130,9 @@ def _(t):
 
 @query(
     "mailing_open_list",
-    f"""WITH {INV} SELECT client_id AS contract_id, CAST(1 AS BIGINT) AS part, string_agg(CAST(invoice_id AS VARCHAR), ', ' ORDER BY due, invoice_id) AS open_list
-       FROM inv WHERE paid_on IS NULL AND amount >= 30 AND due < DATE '{AS_OF}' GROUP BY 1""",
+    f"""WITH {INV}, n AS (SELECT client_id AS contract_id, invoice_id, row_number() OVER (PARTITION BY client_id ORDER BY due, invoice_id) AS p
+           FROM inv WHERE paid_on IS NULL AND amount >= 30 AND due < DATE '{AS_OF}')
+       SELECT contract_id, CAST((p - 1) // 1000 + 1 AS BIGINT) AS part, string_agg(CAST(invoice_id AS VARCHAR), ', ' ORDER BY p) AS open_list FROM n GROUP BY ALL""",
 )
 def _(t):
     return collections.open_list(_billed(t), day())
