@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import along_key, last_seen, ordinal, running_sum
@@ -194,24 +194,14 @@ def recurrence(
     ``row_id`` must be unique; rows of the same day do not count.
     """
     keys = list(keys)
-    before = df.select(*keys, F.date_sub(day, 1).alias("_ref")).distinct()
-    counts = lookback_counts(before, df, keys, "_ref", day, days - 1, {count_col: F.lit(True)})
-    newest = df.groupBy(*keys, F.col(day).alias("_day")).agg(F.max(row_id).alias("_id"))
-    line = (
-        newest.select(*keys, "_day", F.lit(0).alias("_side"), F.struct("_day", "_id").alias("_last"))
-        .unionByName(
-            before.select(*keys, F.col("_ref").alias("_day"), F.lit(1).alias("_side")),
-            allowMissingColumns=True,
-        )
-    )
-    seen = along_key(line, keys, ["_day", "_side"], {"_prev": last_seen("_last")}, hot_rows=None)
-    last = seen.where(F.col("_side") == 1).select(*keys, F.col("_day").alias("_ref"), "_prev")
-    facts = counts.join(last, [*keys, "_ref"], "left")
-    facts = facts.select(
+    daily = df.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("_n"), F.max(row_id).alias("_id"))
+    # one row per key and day, so a frame holds at most ``days`` rows
+    back = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-days, -1)
+    facts = daily.select(
         *keys,
-        F.date_add("_ref", 1).alias(day),
-        count_col,
-        F.when(F.col(count_col) > 0, F.col("_prev._id")).alias(last_col),
+        day,
+        F.coalesce(F.sum("_n").over(back), F.lit(0)).alias(count_col),
+        F.last("_id").over(back).alias(last_col),
     )
     return df.join(facts, [*keys, day], "left")
 

@@ -28,15 +28,17 @@ def earlier_link(
     ``before_days`` before to ``after_days`` after the opening day of the row.
     """
     keys = list(keys)
-    closing = (
-        df.where(F.col(closed).isNotNull())
-        .groupBy(*keys, F.col(closed).alias("_day"))
-        .agg(F.min(row_id).alias("_low"))
-    )
-    opening = df.where(F.col(opened).isNotNull()).select(*keys, F.col(opened).alias("_day")).distinct()
-    # at most one row per key and day on each side, so this window stays small
-    line = closing.unionByName(opening, allowMissingColumns=True)
-    daily = line.groupBy(*keys, "_day").agg(F.min("_low").alias("_low"))
+    marks = df.select(
+        *keys,
+        F.explode(
+            F.array(
+                F.struct(F.col(closed).alias("_day"), F.col(row_id).alias("_low")),
+                F.struct(F.col(opened).alias("_day"), F.lit(None).cast(df.schema[row_id].dataType).alias("_low")),
+            )
+        ).alias("_m"),
+    ).select(*keys, "_m.*")
+    # one row per key and day, so the window groups stay small
+    daily = marks.where(F.col("_day").isNotNull()).groupBy(*keys, "_day").agg(F.min("_low").alias("_low"))
     near = Window.partitionBy(*keys).orderBy(F.unix_date("_day")).rangeBetween(-before_days, after_days)
     lows = daily.select(*keys, F.col("_day").alias(opened), F.min("_low").over(near).alias("_best"))
     joined = df.join(lows, [*keys, opened], "left")

@@ -49,8 +49,17 @@ def waterfall_union(
     keys = list(keys)
     numbered = [df.withColumn(rank_col, F.lit(i + 1)) for i, df in enumerate(branches)]
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
-    first = every.groupBy(*keys).agg(F.min(rank_col).alias(rank_col))
-    return every.join(first, [*keys, rank_col], "left_semi")
+    return lowest_rank(every, keys, rank_col)
+
+
+def lowest_rank(df: DataFrame, keys: Sequence[str], rank_col: str) -> DataFrame:
+    """All rows of a key that carry the key's lowest rank.
+
+    Branches cut from one frame by conditions are better numbered by an
+    expression and passed here than stacked by ``waterfall_union``.
+    """
+    first = df.groupBy(*keys).agg(F.min(rank_col).alias(rank_col))
+    return df.join(first, [*keys, rank_col], "left_semi")
 
 
 def symmetric_difference(a: DataFrame, b: DataFrame, side_col: str = "only_in") -> DataFrame:

@@ -12,7 +12,7 @@ from tidemark.functions.text import rule_ladder
 from tidemark.operators.aggregates import cents, exact_sum, pivot_max, sum_money
 from tidemark.operators.intervals import clipped_length
 from tidemark.operators.latest import dedupe_by_priority, latest_version
-from tidemark.operators.sets import waterfall_union
+from tidemark.operators.sets import lowest_rank
 
 
 def billing_base(
@@ -105,11 +105,8 @@ def past_months(invoices: DataFrame, suspended: DataFrame, month: Column) -> Dat
     held = invoices.where(F.col("paid_on").isNull() & (F.col("issued") < first)).join(
         suspended.select("contract_id").distinct(), "contract_id", "left_semi"
     )
-    ago = lambda n: F.add_months(first, -n)
-    bands = [
-        held.where((F.col("issued") >= ago(n)) & (F.col("issued") < ago(n - 1))) for n in (1, 2, 3)
-    ] + [held.where(F.col("issued") < ago(3))]
-    return waterfall_union(bands, ["contract_id"], "months_ago")
+    months = F.months_between(first, F.trunc("issued", "MM")).cast("int")
+    return lowest_rank(held.withColumn("months_ago", F.least(months, F.lit(4))), ["contract_id"], "months_ago")
 
 
 def month_events(events: DataFrame, kinds: Mapping[str, str], month: Column) -> DataFrame:

@@ -17,8 +17,6 @@ from tidemark.functions.text import bucketize
 from tidemark.operators.aggregates import list_parts, pivot_max, sum_money
 from tidemark.operators.joins import exclude
 from tidemark.operators.latest import nth_by, topk_per_key
-from tidemark.operators.sets import waterfall_union
-from tidemark.sources.writers import merge_upsert
 
 MIN_AMOUNT = 30
 
@@ -87,21 +85,22 @@ def exit_reasons(
     cohort: DataFrame, contracts: DataFrame, invoices_now: DataFrame, as_of: Column, agreement: Column
 ) -> DataFrame:
     """Why a cohort row leaves: the contract's reason first, then that of its motivating invoice."""
-    base = cohort.select("motivating_invoice", "contract_id", "oldest_due")
-    gone = contracts.where((F.col("cancelled") <= as_of)).select("contract_id", F.col("cancelled").alias("reason_day"))
-    by_contract = base.join(gone, "contract_id").withColumn("exit_reason", F.lit("CANCELAMENTO"))
-    now = invoices_now.select(
-        F.col("invoice_id").alias("motivating_invoice"), "paid_on", agreement.alias("_agreed")
+    base = cohort.select("motivating_invoice", "contract_id")
+    gone = contracts.where(F.col("cancelled") <= as_of).select("contract_id", "cancelled")
+    now = invoices_now.select(F.col("invoice_id").alias("motivating_invoice"), "paid_on", agreement.alias("_agreed"))
+    known = base.join(gone, "contract_id", "left").join(now, "motivating_invoice", "left")
+    reasons = [
+        (F.col("cancelled").isNotNull(), "CANCELAMENTO", F.col("cancelled")),
+        (F.col("_agreed"), "NEGOCIACAO", F.coalesce("paid_on", as_of)),
+        (F.col("paid_on") <= as_of, "PAGAMENTO", F.col("paid_on")),
+    ]
+    found = F
+    for i, (cond, label, on) in enumerate(reasons):
+        entry = F.struct(F.lit(label).alias("exit_reason"), on.alias("reason_day"), F.lit(i + 1).alias("priority"))
+        found = found.when(cond, entry)
+    return known.select("motivating_invoice", found.alias("_r")).where(F.col("_r").isNotNull()).select(
+        "motivating_invoice", "_r.*"
     )
-    by_invoice = base.join(now, "motivating_invoice")
-    negotiated = by_invoice.where("_agreed").select(
-        *base.columns, F.coalesce("paid_on", as_of).alias("reason_day"), F.lit("NEGOCIACAO").alias("exit_reason")
-    )
-    paid = by_invoice.where(F.col("paid_on") <= as_of).select(
-        *base.columns, F.col("paid_on").alias("reason_day"), F.lit("PAGAMENTO").alias("exit_reason")
-    )
-    first = waterfall_union([by_contract.select(*base.columns, "reason_day", "exit_reason"), negotiated, paid], ["motivating_invoice"])
-    return first.select("motivating_invoice", "exit_reason", "reason_day", F.col("branch").alias("priority"))
 
 
 def apply_exits(mailing: DataFrame, reasons: DataFrame, as_of: Column) -> DataFrame:
@@ -119,7 +118,10 @@ def apply_exits(mailing: DataFrame, reasons: DataFrame, as_of: Column) -> DataFr
 
 
 def monthly_mailing(stored: DataFrame, reasons: DataFrame, new_cohort: DataFrame | None, as_of: Column) -> DataFrame:
-    """Next content of the mailing table: exits applied; on a month's first day the new cohort joins."""
+    """Next content of the mailing table: exits applied; on a month's first day the new cohort joins.
+
+    The key is motivating invoice and reference month; running it again adds nothing.
+    """
     updated = apply_exits(stored, reasons, as_of)
     if new_cohort is not None:
         blank = new_cohort.select(
@@ -128,8 +130,8 @@ def monthly_mailing(stored: DataFrame, reasons: DataFrame, new_cohort: DataFrame
             F.lit(None).cast("date").alias("reason_day"),
             F.lit(None).cast("date").alias("left_on"),
         )
-        updated = updated.unionByName(blank)
-    return merge_upsert(stored, updated, ["motivating_invoice", "reference"])
+        updated = updated.unionByName(exclude(blank, stored, ["motivating_invoice", "reference"]))
+    return updated
 
 
 def mailing_summary(mailing: DataFrame, units: DataFrame, reference: Column) -> DataFrame:

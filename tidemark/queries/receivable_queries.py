@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import collections, receivables
 from tidemark.queries.registry import query
+from tidemark.sources.lake import Lake, work_dir
 from tidemark.queries.scalar_queries import PHONE_SQL, raw_phones
 from tidemark.queries.testbed import ACC, AS_OF, INV, accounts, day, invoices
 
@@ -123,6 +124,12 @@ def _cohort(t):
     return collections.mailing_cohort(acc, _billed(t), banned, day(), F.col("kind") == "5-LOW")
 
 
+def _stored_cohort(t):
+    """The cohort as the month's table, the way the follow-up runs find it."""
+    lake = Lake(t.spark, work_dir(t.spark, "mailing"))
+    return lake.materialize("mailing", _cohort(t), "table")
+
+
 @query("mailing_cohort", f"WITH {COHORT} SELECT * FROM cohort")
 def _(t):
     return _cohort(t)
@@ -163,7 +170,7 @@ def _reasons(t, cohort):
 
 @query("mailing_exit_reason", f"WITH {EXITS} SELECT motivating_invoice, exit_reason, reason_day, priority FROM reason")
 def _(t):
-    return _reasons(t, _cohort(t))
+    return _reasons(t, _stored_cohort(t))
 
 
 NO_EXIT = {"exit_reason": "string", "reason_day": "date", "left_on": "date"}
@@ -181,7 +188,7 @@ def _stored(cohort):
        UNION ALL SELECT contract_id, unit_id, motivating_invoice, DATE '2001-07-01', age_band, debt, NULL, NULL, NULL FROM cohort WHERE mailing_status = 'ATIVO'""",
 )
 def _(t):
-    cohort = _cohort(t)
+    cohort = _stored_cohort(t)
     fresh = cohort.where("mailing_status = 'ATIVO'").withColumn("reference", day("2001-07-01"))
     return collections.monthly_mailing(_stored(cohort), _reasons(t, cohort), fresh, day("2001-07-31"))
 
@@ -192,7 +199,7 @@ def _(t):
        FROM cohort LEFT JOIN reason USING (motivating_invoice) LEFT JOIN nation ON unit_id = n_nationkey GROUP BY ALL""",
 )
 def _(t):
-    cohort = _cohort(t)
+    cohort = _stored_cohort(t)
     now = collections.apply_exits(_stored(cohort), _reasons(t, cohort), day("2001-07-31"))
     return collections.mailing_summary(now, t.nation, day("2001-06-01"))
 
