@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import ordered as o
-from tidemark.operators.skew import SLICE, with_slices
+from tidemark.operators.skew import SLICE, as_number, find_cuts, with_slices
 
 STEPS = {
     "prev": o.lag("v"),
@@ -59,10 +59,20 @@ def test_along_key_equals_plain_window(spark, descending):
 
 def test_hot_key_is_cut_small(spark):
     df = spark.createDataFrame(rows(), "k int, ts timestamp, id int, v int")
-    sizes = with_slices(df, ["k"], "ts", hot_rows=20).groupBy("k", SLICE).count().collect()
+    sizes = with_slices(df, ["k"], "ts", find_cuts(df, ["k"], "ts", 20)).groupBy("k", SLICE).count().collect()
     hot = [r["count"] for r in sizes if r["k"] == 1]
     assert len(hot) > 20 and max(hot) <= 40
-    assert with_slices(df, ["k"], "ts") is None
+    assert find_cuts(df, ["k"], "ts").table is None
+
+
+def test_order_numbers_keep_the_order_of_local_times(spark):
+    texts = ["2024-03-10 01:59:59.999999", "2024-03-10 02:30:00", "2024-03-10 03:00:00", "1960-01-01 00:00:00.5"]
+    df = spark.createDataFrame([(x,) for x in texts], "x string").select(F.col("x").cast("timestamp_ntz").alias("t"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    got = [r[0] for r in df.select(as_number(df, "t")).collect()]
+    spark.conf.set("spark.sql.session.timeZone", before)
+    assert got[3] < 0 < got[0] < got[1] < got[2] and got[2] - got[1] == 1800.0
 
 
 def test_plain_path_equals_hot_path(spark):

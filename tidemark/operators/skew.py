@@ -16,6 +16,7 @@ Results never depend on where the cuts are.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +47,12 @@ def as_number(df: DataFrame, name: str) -> Column:
     """The order column as a double, keeping its order."""
     kind = df.schema[name].dataType
     col = F.col(name)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # by its parts: going through a time zone could swap values around a clock change
+        seconds = F.unix_date(F.to_date(col)) * 86400.0 + F.hour(col) * 3600 + F.minute(col) * 60
+        return seconds + F.date_part(F.lit("SECOND"), col).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(col).cast("double")
     if isinstance(kind, T.NumericType):
@@ -75,11 +80,23 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return _local(df, keys, [tuple(r) for r in rows], [T.StructField("_rows", T.LongType())])
 
 
-def hot_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -> DataFrame | None:
-    """Per frequent key its quantile cuts along ``order`` and the parts to make of each quantile."""
+@dataclass(frozen=True)
+class Cuts:
+    """Where to cut frequent keys; ``table`` is None when no key is frequent."""
+
+    table: DataFrame | None
+
+
+def find_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS) -> Cuts:
+    """Per frequent key its quantile cuts along ``order`` and the parts to make of each quantile.
+
+    Cuts found once serve every later step over the same keys and order.
+    """
+    if hot_rows == HOT_ROWS:
+        hot_rows = int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
-        return None
+        return Cuts(None)
     slim = df.select(*keys, as_number(df, order).alias("_o"))
     pairs = [(k, f"_h{i}") for i, k in enumerate(keys)]
     named = [f"_h{i}" for i in range(len(keys))]
@@ -91,19 +108,15 @@ def hot_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -> D
         .select(*named, "_cuts", F.ceil(F.col("_rows") / (hot_rows * QUANTILES)).alias("_parts"))
     )
     extra = [T.StructField("_cuts", T.ArrayType(T.DoubleType())), T.StructField("_parts", T.LongType())]
-    return _local(df, keys, [tuple(r) for r in cuts.collect()], extra)
+    return Cuts(_local(df, keys, [tuple(r) for r in cuts.collect()], extra))
 
 
-def with_slices(
-    df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS
-) -> DataFrame | None:
+def with_slices(df: DataFrame, keys: Sequence[str], order: str, found: Cuts) -> DataFrame | None:
     """Add ``_slice``: 0 for ordinary keys, 1.. along ``order`` for frequent ones.
 
     None when no key is frequent, so that callers use a plain window.
     """
-    if hot_rows == HOT_ROWS:
-        hot_rows = int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
-    cuts = hot_cuts(df, keys, order, hot_rows)
+    cuts = found.table
     if cuts is None:
         return None
     pairs = [(k, f"_h{i}") for i, k in enumerate(keys)]

@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import rule_ladder, surrogate_key
 from tidemark.operators import ordered as o
 from tidemark.operators.latest import nth_by
+from tidemark.operators.skew import Cuts, find_cuts
 
 
 def transfers(
-    legs: DataFrame, call: Sequence[str], order_by: Sequence[str], agent: str, skill: str, ignored: Column
+    legs: DataFrame,
+    call: Sequence[str],
+    order_by: Sequence[str],
+    agent: str,
+    skill: str,
+    ignored: Column,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Flag legs handed to another agent and name the skill they went to.
 
@@ -23,7 +30,7 @@ def transfers(
     """
     marked = legs.withColumn("_ignored", F.coalesce(ignored, F.lit(False)))
     steps = {"_next_agent": o.lead(agent), "_next_skill": o.lead(skill)}
-    real = o.along_key(marked.where(~F.col("_ignored")), call, order_by, steps)
+    real = o.along_key(marked.where(~F.col("_ignored")), call, order_by, steps, cuts=cuts)
     moved = F.col("_next_agent").isNotNull() & (F.col("_next_agent") != F.col(agent))
     real = real.select(
         *legs.columns,
@@ -56,8 +63,9 @@ def inbound_calls(
     call_values: Sequence[str],
 ) -> DataFrame:
     """Calls with their agent legs; calls without legs stay, call values sit on the last leg only."""
-    flagged = transfers(legs, call, order_by, agent, skill, ignored)
-    ranked = o.along_key(flagged, call, order_by, {"leg_no": o.ordinal(), "_last": o.is_last()})
+    cuts = find_cuts(legs, call, order_by[0])
+    flagged = transfers(legs, call, order_by, agent, skill, ignored, cuts)
+    ranked = o.along_key(flagged, call, order_by, {"leg_no": o.ordinal(), "_last": o.is_last()}, cuts=cuts)
     joined = calls.join(ranked, list(call), "left")
     lonely = F.col("leg_no").isNull()
     values = [

@@ -4,6 +4,7 @@ from tidemark.functions.text import clean_text_key
 from tidemark.operators import intervals, joins, latest, linkage
 from tidemark.operators import ordered as o
 from tidemark.operators.aggregates import cents, sum_money
+from tidemark.operators.skew import find_cuts
 from tidemark.plans import contracts as contract_plans
 from tidemark.queries.registry import query
 from tidemark.queries.testbed import CON, INV, contracts, day, grid_sql, invoices, month_end_grid
@@ -470,8 +471,9 @@ def _(t):
 )
 def _(t):
     marked = t.events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "signup", F.col("ts")).alias("_s"))
-    seen = o.along_key(marked, ["user_id"], ["ts", "event_id"], {"_seen": o.last_seen("_s"), "_prev": o.lag("_s")})
-    before = o.along_key(seen, ["user_id"], ["ts", "event_id"], {"previous_signup": o.lag("_seen")})
+    cuts = find_cuts(marked, ["user_id"], "ts")
+    seen = o.along_key(marked, ["user_id"], ["ts", "event_id"], {"_seen": o.last_seen("_s")}, cuts=cuts)
+    before = o.along_key(seen, ["user_id"], ["ts", "event_id"], {"previous_signup": o.lag("_seen")}, cuts=cuts)
     return before.select("event_id", "user_id", "previous_signup")
 
 
