@@ -16,6 +16,10 @@ PLAIN = "AEIOUaeiouAEIOUaeiouAEIOUaeiouAEIOUaeiouCcNnAaoO"
 NULL_MARKERS = ("", "nan", "[None]", "[Deleted]", "undefined")
 
 
+# Fixed value: what stands for NULL inside a surrogate key.
+NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
+
+
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -181,7 +185,7 @@ def weak_secret(secret, document) -> Column:
     return (F.length(digits) > 0) & F.contains(digits_only(secret), digits)
 
 
-def surrogate_key(*cols, null_token: str = "_dbt_utils_surrogate_key_null_") -> Column:
+def surrogate_key(*cols, null_token: str = NULL_TOKEN) -> Column:
     """MD5 of the '-'-joined texts of the columns, NULLs as a fixed token."""
     parts = [F.coalesce(_c(c).cast("string"), F.lit(null_token)) for c in cols]
     return F.md5(F.concat_ws("-", *parts))

@@ -223,7 +223,7 @@ def _(t):
 
 @query(
     "surrogate_key",
-    """SELECT l_orderkey, l_linenumber, l_partkey, md5(CAST(l_orderkey AS VARCHAR) || '-' || coalesce(nullif(l_returnflag, 'N'), '_dbt_utils_surrogate_key_null_')
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, md5(CAST(l_orderkey AS VARCHAR) || '-' || coalesce(nullif(l_returnflag, 'N'), '{text.NULL_TOKEN}')
          || '-' || CAST(l_partkey AS VARCHAR)) AS row_key FROM lineitem""",
 )
 def _(t):
