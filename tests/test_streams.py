@@ -1,6 +1,5 @@
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
 
 from tidemark.streaming import streams
 

@@ -251,7 +251,6 @@ def _(t):
        UNION ALL SELECT y.client_id, y.cleaned, 'other' FROM y ANTI JOIN x ON x.client_id = y.client_id""",
 )
 def _(t):
-    from tidemark.functions.text import clean_phone
     from tidemark.plans.contacts import phone_dimension
 
     main = raw_phones(t).select(F.col("c_custkey").alias("client_id"), "phone")
