@@ -7,9 +7,9 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from tidemark.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
