@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
+from tidemark.llm import personal
+from tidemark.llm import secrets as secret_rules
 from tidemark.llm.minhash import near_duplicates
+from tidemark.llm.spans import digest
 from tidemark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 OP1_SQL = r"""
@@ -38,3 +41,15 @@ FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND c.k = list_sort(s.s) LEFT JO
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates on 2-word shingles at a similarity of 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text, with the digest of the base spans."""
+    return digest(personal.personal_data(table(spark, sf_dir, "documents")), personal.BASE_KINDS)
+
+
+@query("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text, with the digest of the base spans."""
+    return digest(secret_rules.secrets(table(spark, sf_dir, "documents")), secret_rules.BASE_KINDS)
