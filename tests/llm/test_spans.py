@@ -70,7 +70,7 @@ def test_added_personal_kinds():
 
 def test_added_secret_kinds():
     scan = rules.scanner(rules.BASE + rules.ADDED)
-    t = f"ghp_{'A' * 36} xoxb-{'1' * 20} -----BEGIN RSA PRIVATE KEY-----\nMII= eyJ{'a.' * 40}"
+    t = f"ghp_{'A' * 36} xoxb-{'Z' * 20} -----BEGIN RSA PRIVATE KEY-----\nMII= eyJ{'a.' * 40}"
     assert [k for k, _, _ in scan.spans(t)] == ["github", "slack", "pem", "jwt"]
 
 
