@@ -11,9 +11,8 @@ def digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
     joined = lambda column: F.array_join(
         F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in base
-    ]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(f"n_{kind}") for kind in base]
     own = F.filter("spans", lambda s: s["kind"].isin(*base))
     return found.select(
         "doc_id", *counts, F.sha2(joined(own).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
