@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tidemark.llm import personal
+from tidemark.llm import personal, warc
 from tidemark.llm import secrets as secret_rules
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.spans import digest
@@ -53,3 +53,25 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text, with the digest of the base spans."""
     return digest(secret_rules.secrets(table(spark, sf_dir, "documents")), secret_rules.BASE_KINDS)
+
+
+OP5_SQL = """
+WITH payload AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
+bits AS (
+  SELECT page_id, strlen(html) AS payload_bytes, digest,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(
+           [(((strpos('0123456789abcdef', substr(digest, 1 + (5 * g + k) // 4, 1)) - 1) >> (3 - (5 * g + k) % 4)) & 1)
+            << (4 - k) FOR k IN range(5)]) AS INTEGER), 1) FOR g IN range(32)], '') AS payload_digest
+  FROM payload),
+lead AS (SELECT digest, max(page_id) AS lead FROM payload GROUP BY digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> lead THEN lead END AS refers_to
+FROM bits JOIN lead USING (digest)
+"""
+
+
+@query("op5_warc", OP5_SQL)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through a one-stream archive, the normaliser and the index."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
