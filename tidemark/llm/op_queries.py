@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
@@ -9,6 +10,7 @@ from tidemark.llm import personal, warc
 from tidemark.llm import secrets as secret_rules
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.spans import digest
+from tidemark.llm.packing import packed_documents
 from tidemark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 OP1_SQL = r"""
@@ -75,3 +77,9 @@ FROM bits JOIN lead USING (digest)
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through a one-stream archive, the normaliser and the index."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
