@@ -4,13 +4,14 @@ Every text becomes the set of its word shingles.  The hash range is divided into
 smallest hash that falls in it, and an empty bin borrows from a full one in an order of its own, the same for
 every text (optimal densification).  ``rows`` bins in a row form a band, and equal bands form a bucket.  A bucket
 proposes a star: its smallest document with every other one, so candidates grow with the bucket and not with its
-square.  Candidates are confirmed on the full sets.  Where a bucket then still holds several components, the
-documents of different components are compared by a sketch of one bit per bin, and likely pairs are confirmed too,
-so a star hides no link.
+square.  Candidates are confirmed on the full sets.  Where a bucket then still holds several components, its star may
+have hidden a link: small buckets give all pairs of different components, larger ones a star around another document,
+turn by turn until ``QUIET`` turns add no link.  A sketch of one bit per bin keeps hopeless pairs out.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,12 @@ BINS, ROWS = 512, 8
 SKETCH_AGREE = 0.82
 #: Below this many full bins, ranks of the full bins are compared; above, bins are probed in order.
 _FEW = 22
+#: Buckets of so many documents give all pairs of different components at once.
+SMALL = 32
+#: New centres of a larger bucket in a turn.
+CENTRES = 12
+#: Turns in a row without a new link that end the search in larger ones.
+QUIET = 2
 
 
 def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
@@ -127,6 +134,39 @@ def _sets(width: int):
     return run
 
 
+def _across(node: DataFrame, turn: int, percent: int, bins: int) -> DataFrame:
+    """Pairs (u, v) of different components in one bucket whose sketches and sizes allow a link.
+
+    A bucket of at most ``SMALL`` documents gives all its pairs, in the first turn; a larger one the pairs of
+    ``CENTRES`` documents outside its largest component with all others, other documents each turn.
+    """
+    node = node.withColumn("label", F.coalesce("label", "id"))
+    picks = [
+        F.min(F.struct(F.xxhash64("id", F.lit(turn * CENTRES + j)), "id")).alias(f"pick{j}") for j in range(CENTRES)
+    ]
+    group = node.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), *picks)
+    mixed = group.groupBy("key").agg(
+        F.max(F.struct("c", "label"))["label"].alias("most"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("k")
+    ).where("k > 1").select("key", "most", "n")
+    centre = group.join(mixed.where(F.col("n") > SMALL), "key").where("label <> most")
+    centre = centre.groupBy("key").agg(F.array(*[F.min(f"pick{j}")["id"] for j in range(CENTRES)]).alias("ids"))
+    centre = centre.select("key", F.explode(F.array_distinct("ids")).alias("id")).join(node, ["key", "id"])
+    if turn == 0:
+        few = mixed.where(F.col("n") <= SMALL).select("key")
+        centre = centre.union(node.join(few, "key", "left_semi").select(*centre.columns))
+    x, y = node.alias("x"), centre.alias("y")
+    differing = sum(
+        (F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(bins // 64)), F.lit(0)
+    )
+    alike = (
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
+        & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
+        & (differing <= int(bins * (1 - SKETCH_AGREE)))
+    )
+    pair = x.join(y, alike)
+    return pair.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets reach the similarity."""
     left = sets.select(F.col("id").alias("u"), F.col("found").alias("a"), F.size("found").alias("na"))
@@ -184,33 +224,31 @@ def near_duplicates(
     star = buckets.where("n = 2").select("u", "v").union(large.where("u <> v").select("u", "v")).distinct()
     star = space.store(star, "star")
     wanted = star.select(F.col("u").alias("doc_id")).union(star.select("v")).distinct()
-    sets = slim.where("doc_id is not null").join(wanted, "doc_id", "left_semi")
+    # by merging at every size: a broadcast of the candidates would grow with the corpus
+    sets = slim.where("doc_id is not null").join(wanted.hint("merge"), "doc_id", "left_semi")
     sets = space.store(sets.mapInArrow(_sets(width), "id long, found array<long>"), "sets")
     edges = space.store(_confirmed(star, sets, percent), "edges")
     labels = components(edges, space, "labels")
 
-    # buckets that still hold several components: all pairs of different components that look alike
+    # buckets that still hold several components: every pair of a small one, new centres for a large one
     node = large.select("key", F.col("v").alias("id")).distinct()
-    node = node.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = node.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("key")
-    node = node.join(mixed, "key", "left_semi").join(
-        leads.select(F.col("lead").alias("id"), "n_shingles", "sketch"), "id"
-    )
-    node = space.store(node, "mixed")
-    x, y = node.alias("x"), node.alias("y")
-    differing = sum(
-        (F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(bins // 64)), F.lit(0)
-    )
-    alike = (
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-        & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-        & (differing <= int(bins * (1 - SKETCH_AGREE)))
-    )
-    more = x.join(y, alike).select(F.col("x.id").alias("u"), F.col("y.id").alias("v")).distinct()
-    more = space.store(_confirmed(more.join(star, ["u", "v"], "left_anti"), sets, percent), "more")
-    if not more.isEmpty():
-        labels = components(edges.union(more), space, "relabels")
-    space.drop("buckets", "large", "star", "sets", "edges", "mixed", "more")
+    node = node.join(leads.select(F.col("lead").alias("id"), "n_shingles", "sketch"), "id")
+    node, tested, quiet = space.store(node, "node"), [star], 0
+    for turn in itertools.count():
+        fresh = _across(node.join(labels, "id", "left"), turn, percent, bins)
+        for seen in tested:
+            fresh = fresh.join(seen, ["u", "v"], "left_anti")
+        fresh = space.store(fresh, f"fresh-{turn}")
+        more = space.store(_confirmed(fresh, sets, percent), f"more-{turn}")
+        tested.append(fresh)
+        quiet = quiet + 1 if more.isEmpty() else 0
+        if quiet == QUIET:
+            break
+        if quiet:
+            continue
+        edges = space.store(edges.union(more), f"edges-{turn}")
+        labels = components(edges, space, f"labels-{turn}")
+    space.drop("buckets", "large", "star", "sets", "edges", "node")
 
     named = members.select("doc_id", "n_shingles", "lead").join(
         labels.select(F.col("id").alias("lead"), "label"), "lead", "left"

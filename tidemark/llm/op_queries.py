@@ -8,6 +8,7 @@ from pyspark.sql import functions as F  # noqa: F401
 
 from tidemark.llm import personal, warc
 from tidemark.llm import secrets as secret_rules
+from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.spans import digest
 from tidemark.llm.packing import packed_documents
@@ -83,3 +84,44 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+OP10_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM t),
+j AS (
+  SELECT *, list_filter(lines, l ->
+      10 * (length(l) - length(translate(l, '#*$%&|<>', ''))) > length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g'))
+   OR 20 * (length(l) - length(replace(l, '!', ''))) > length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g'))
+   OR len(regexp_extract_all(' ' || l || ' ', ' [|]')) - len(regexp_extract_all(' ' || l || ' ', ' [|][^ ]'))
+    + len(regexp_extract_all(' ' || l || ' ', ' »')) - len(regexp_extract_all(' ' || l || ' ', ' »[^ ]'))
+    + len(regexp_extract_all(' ' || l || ' ', ' ›')) - len(regexp_extract_all(' ' || l || ' ', ' ›[^ ]'))
+    + len(regexp_extract_all(' ' || l || ' ', ' •')) - len(regexp_extract_all(' ' || l || ' ', ' •[^ ]')) >= 2
+   OR len(regexp_extract_all(' ' || l || ' ', ' >')) - len(regexp_extract_all(' ' || l || ' ', ' >[^ ]')) >= 2
+   OR regexp_matches(lower(l), 'all rights reserved|terms of use|terms of service|privacy policy|cookie policy|use cookies|accept cookies|enable javascript|javascript is disabled|click here|sign up for our newsletter|subscribe to our|powered by|skip to content|back to top|licensed under|permission is hereby granted|without warranty|copyright \(c\)|copyright ©|lorem ipsum')
+  ) AS failed FROM w),
+g AS (SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, words FROM j WHERE len(words) >= 5),
+h AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS x FROM g),
+d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM h),
+p AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM d WHERE c > 1),
+r AS (SELECT doc_id, CAST(sum(CASE WHEN nxt IS NULL THEN 5 ELSE least(5, nxt - i) END) AS BIGINT) AS n FROM p GROUP BY doc_id),
+c AS (
+  SELECT j.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+         CAST(length(regexp_replace(array_to_string(failed, ''), '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS lost,
+         CAST(len(failed) AS BIGINT) AS n_failed_lines
+  FROM j LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_failed_lines,
+       NOT base_failed AND 100 * lost <= 50 * word_chars AS kept FROM b
+"""
+
+
+@query("op10_line_rules", OP10_SQL)
+def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-first cleaning of every text."""
+    found = clean_lines(table(spark, sf_dir, "documents"))
+    return found.drop("n_lines", "clean_text")

@@ -286,8 +286,7 @@ def write_archives(records: DataFrame, folder: str, *, date: str = "2024-01-01T0
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """Every file of ``archives`` (column file) record by record under ``folder``, with its index; a task a file."""
-    dealt = archives.select("file").repartition(F.col("file"))
-    return dealt.mapInArrow(_normaliser(folder), "file string, records long")
+    return _dealt(archives).mapInArrow(_normaliser(folder), "file string, records long")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -296,7 +295,12 @@ def read_archives(archives: DataFrame) -> DataFrame:
     Length and digest are those of the full payload; a revisit takes its length from the response it refers to.
     """
     kind = "page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long"
-    return archives.select("file").repartition(F.col("file")).mapInArrow(_reader, kind)
+    return _dealt(archives).mapInArrow(_reader, kind)
+
+
+def _dealt(archives: DataFrame) -> DataFrame:
+    """The files over as many tasks; a number of its own keeps adaptive execution from putting them in one."""
+    return archives.select("file").repartition(max(1, archives.count()), "file")
 
 
 def round_trip(pages: DataFrame, *, least: int = 0) -> DataFrame:
