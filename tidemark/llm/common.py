@@ -170,6 +170,6 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
-def unix(column: str = "doc_id"):
+def id_crc32(column: str = "doc_id"):
     """crc32 of an id written as text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

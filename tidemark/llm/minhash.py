@@ -32,7 +32,7 @@ _FEW = 22
 #: Buckets of so many documents give all pairs of different components at once.
 SMALL = 32
 #: New centres of a larger bucket in a turn.
-CENTRES = 12
+CENTRES = 1
 #: Turns in a row without a new link that end the search in larger ones.
 QUIET = 2
 

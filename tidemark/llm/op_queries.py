@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
 from tidemark.llm import personal, warc
 from tidemark.llm import secrets as secret_rules
+from tidemark.llm.common import id_crc32
+from tidemark.llm.kneser_ney import language_scores
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.spans import digest
@@ -89,9 +91,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-             list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM t),
+             [l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines FROM t),
 j AS (
-  SELECT *, list_filter(lines, l ->
+  SELECT *, [l FOR l IN lines IF
       10 * (length(l) - length(translate(l, '#*$%&|<>', ''))) > length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g'))
    OR 20 * (length(l) - length(replace(l, '!', ''))) > length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g'))
    OR len(regexp_extract_all(' ' || l || ' ', ' [|]')) - len(regexp_extract_all(' ' || l || ' ', ' [|][^ ]'))
@@ -100,7 +102,7 @@ j AS (
     + len(regexp_extract_all(' ' || l || ' ', ' •')) - len(regexp_extract_all(' ' || l || ' ', ' •[^ ]')) >= 2
    OR len(regexp_extract_all(' ' || l || ' ', ' >')) - len(regexp_extract_all(' ' || l || ' ', ' >[^ ]')) >= 2
    OR regexp_matches(lower(l), 'all rights reserved|terms of use|terms of service|privacy policy|cookie policy|use cookies|accept cookies|enable javascript|javascript is disabled|click here|sign up for our newsletter|subscribe to our|powered by|skip to content|back to top|licensed under|permission is hereby granted|without warranty|copyright \(c\)|copyright ©|lorem ipsum')
-  ) AS failed FROM w),
+  ] AS failed FROM w),
 g AS (SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, words FROM j WHERE len(words) >= 5),
 h AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS x FROM g),
 d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM h),
@@ -125,3 +127,11 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of every text."""
     found = clean_lines(table(spark, sf_dir, "documents"))
     return found.drop("n_lines", "clean_text")
+
+
+@query("op8_kneser_ney")
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every text under a model of those whose crc32(doc_id) mod 7 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_scores(docs, id_crc32() % 7 != 2)
+    return found.withColumn("held_out", ~F.col("learnt")).drop("learnt", "perplexity")
