@@ -14,6 +14,7 @@ from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.spans import digest
 from tidemark.llm.packing import packed_documents
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 OP1_SQL = r"""
@@ -135,3 +136,10 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_scores(docs, id_crc32() % 7 != 2)
     return found.withColumn("held_out", ~F.col("learnt")).drop("learnt", "perplexity")
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learnt from labels of documents whose crc32(doc_id) mod 3 is not 1."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality_scores(table(spark, sf_dir, "documents"), labels, id_crc32() % 3 == 1)
