@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import personal, warc
 from tidemark.llm import secrets as secret_rules
 from tidemark.llm.common import id_crc32
+from tidemark.llm.decontaminate import leaks
 from tidemark.llm.kneser_ney import language_scores
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.minhash import near_duplicates
@@ -143,3 +144,9 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every text, learnt from labels of documents whose crc32(doc_id) mod 3 is not 1."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return quality_scores(table(spark, sf_dir, "documents"), labels, id_crc32() % 3 == 1)
+
+
+@query("op6_decontaminate")
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items that they hold."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
