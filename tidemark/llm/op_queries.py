@@ -16,6 +16,7 @@ from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.spans import digest
 from tidemark.llm.packing import packed_documents
 from tidemark.llm.quality import quality_scores
+from tidemark.llm.quotes import linked_conversations
 from tidemark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 OP1_SQL = r"""
@@ -150,3 +151,9 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the benchmark items that they hold."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_quote_links")
+def op3_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations in reply order, quotes linked and left out."""
+    return linked_conversations(table(spark, sf_dir, "conversations"))
