@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
 #: Phrases of boilerplate, in lower case.
 PHRASES = (
     "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use cookies",
@@ -27,8 +27,9 @@ PHRASES = (
 MOST_LOST = 50
 
 
-def _count(text: Column, signs: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, signs, ""))
+def _count(text: Column, sign: str) -> Column:
+    """Matches of a one-character pattern."""
+    return F.size(F.split(text, sign, -1)) - 1
 
 
 def _solid(text: Column) -> Column:
@@ -37,17 +38,18 @@ def _solid(text: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line that has a word fails a rule."""
-    chars = _solid(line)
-    punctuation = (10 * _count(line, SYMBOLS) > chars) | (20 * _count(line, "!") > chars)
+    """Whether a line that has a word fails a rule; the costly parts are looked at only where a sign calls for them."""
+    symbols, calls = _count(line, SYMBOL), _count(line, "!")
+    punctuation = ((symbols > 0) & (10 * symbols > _solid(line))) | ((calls > 0) & (20 * calls > _solid(line)))
     padded = F.concat(F.lit(" "), line, F.lit(" "))
     marks = sum((F.size(F.split(padded, f" \\{m}(?= )")) - 1 for m in "|»›•"), F.lit(0))
-    navigation = (marks >= 2) | (F.size(F.split(padded, " >(?= )")) - 1 >= 2)
+    some = F.contains(line, F.lit("|")) | F.contains(line, F.lit("»")) | F.contains(line, F.lit("›")) | F.contains(line, F.lit("•"))
+    crumbs = F.contains(line, F.lit(">")) & (F.size(F.split(padded, " >(?= )")) - 1 >= 2)
     low = F.lower(line)
     boilerplate = F.lit(False)
     for phrase in PHRASES:
         boilerplate = boilerplate | F.contains(low, F.lit(phrase))
-    return punctuation | navigation | boilerplate
+    return punctuation | (some & (marks >= 2)) | crumbs | boilerplate
 
 
 def _repeated(hashes: Column) -> Column:
@@ -77,13 +79,13 @@ def clean_lines(docs: DataFrame, *, most_lost: int = MOST_LOST, id_column="doc_i
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    words = F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
-    worded = lambda line: F.translate(line, BLANKS, "") != ""
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), "")
+    worded = lambda line: F.ltrim(line, F.lit(BLANKS)) != ""
     lines = F.split(text, "\n", -1)
     step = slim.withColumns({"words": words, "lines": F.filter(lines, worded)})
     count = F.size("words")
     hashes = F.when(
-        count >= 5, F.transform(F.sequence(F.lit(1), count - 4), lambda i: F.xxhash64(F.slice("words", i, 5)))
+        count >= 5, F.transform(F.sequence(F.lit(1), count - 4), lambda i: F.xxhash64(*(F.get("words", i + k) for k in range(-1, 4))))
     ).otherwise(F.array().cast("array<bigint>"))
     step = step.withColumns({"hashes": hashes, "failed": F.filter("lines", line_fails)})
     step = step.withColumn("pairs", _repeated(F.col("hashes")))
@@ -92,7 +94,7 @@ def clean_lines(docs: DataFrame, *, most_lost: int = MOST_LOST, id_column="doc_i
     n_words = count.cast("long")
     step = step.select(
         "doc_id", "text", "lines", "failed", n_words.alias("n_words"),
-        _solid(text).cast("long").alias("word_chars"), _count(text, SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"), _count(text, SYMBOL).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.aggregate(gaps, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("long").alias("n_repeat_words"),
         _solid(F.array_join("failed", "")).cast("long").alias("lost"),

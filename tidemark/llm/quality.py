@@ -157,6 +157,15 @@ def _scores(network: Network):
     return run
 
 
+def _good(network: Network, where: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [bool(network.score([bag])[0] >= 0.5) for bag in _bags(batch, where)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Network:
     """A network fitted on ``sample`` documents at most; ``labels`` has doc_id and label (1 good, 0 bad).
 
@@ -191,3 +200,13 @@ def quality_scores(
         _scores(network), "doc_id long, score double, held_out boolean"
     )
     return found.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def good_documents(
+    docs: DataFrame, labels: DataFrame, held_out: Column, *, sample: int = SAMPLE, text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that score one half or more, with all their columns; trained as in ``quality_scores``."""
+    out = F.coalesce(held_out, F.lit(False))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    network = train(slim, labels.where(~out), sample=sample)
+    return docs.mapInArrow(_good(network, docs.columns.index(text_column)), docs.schema)
