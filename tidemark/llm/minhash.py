@@ -5,13 +5,13 @@ smallest hash that falls in it, and an empty bin borrows from a full one in an o
 every text (optimal densification).  ``rows`` bins in a row form a band, and equal bands form a bucket.  A bucket
 proposes a star: its smallest document with every other one, so candidates grow with the bucket and not with its
 square.  Candidates are confirmed on the full sets.  Where a bucket then still holds several components, its star may
-have hidden a link: small buckets give all pairs of different components, larger ones a star around another document,
-turn by turn until ``QUIET`` turns add no link.  A sketch of one bit per bin keeps hopeless pairs out.
+have hidden a link: small buckets give all pairs of different components, larger ones stars around ``CENTRES`` more
+documents.  A sketch of one bit per bin keeps hopeless pairs out.  So the work grows with the buckets' sizes, and a
+link can go unseen only where all buckets that its documents share are large and none of their centres reaches it.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,16 +25,14 @@ from tidemark.llm.common import Workspace, batch_words, chain, mix, shingles
 from tidemark.llm.components import components
 
 BINS, ROWS = 512, 8
-#: Bits of two sketches that agree, of ``BINS``: 0.82 is expected at a similarity of 0.64, well under the threshold.
-SKETCH_AGREE = 0.82
+#: Share of sketch bits that agree: 0.9 is expected at a similarity of 0.8, this at 0.7.
+SKETCH_AGREE = 0.85
 #: Below this many full bins, ranks of the full bins are compared; above, bins are probed in order.
 _FEW = 22
 #: Buckets of so many documents give all pairs of different components at once.
 SMALL = 32
-#: New centres of a larger bucket in a turn.
-CENTRES = 1
-#: Turns in a row without a new link that end the search in larger ones.
-QUIET = 2
+#: New centres of a larger bucket.
+CENTRES = 2
 
 
 def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
@@ -134,15 +132,15 @@ def _sets(width: int):
     return run
 
 
-def _across(node: DataFrame, turn: int, percent: int, bins: int) -> DataFrame:
+def _across(node: DataFrame, percent: int, bins: int) -> DataFrame:
     """Pairs (u, v) of different components in one bucket whose sketches and sizes allow a link.
 
-    A bucket of at most ``SMALL`` documents gives all its pairs, in the first turn; a larger one the pairs of
-    ``CENTRES`` documents outside its largest component with all others, other documents each turn.
+    A bucket of at most ``SMALL`` documents gives all its pairs; a larger one the pairs of up to ``CENTRES``
+    documents outside its largest component, drawn by hash, with all others.
     """
     node = node.withColumn("label", F.coalesce("label", "id"))
     picks = [
-        F.min(F.struct(F.xxhash64("id", F.lit(turn * CENTRES + j)), "id")).alias(f"pick{j}") for j in range(CENTRES)
+        F.min(F.struct(F.xxhash64("id", F.lit(j)), "id")).alias(f"pick{j}") for j in range(CENTRES)
     ]
     group = node.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), *picks)
     mixed = group.groupBy("key").agg(
@@ -151,9 +149,8 @@ def _across(node: DataFrame, turn: int, percent: int, bins: int) -> DataFrame:
     centre = group.join(mixed.where(F.col("n") > SMALL), "key").where("label <> most")
     centre = centre.groupBy("key").agg(F.array(*[F.min(f"pick{j}")["id"] for j in range(CENTRES)]).alias("ids"))
     centre = centre.select("key", F.explode(F.array_distinct("ids")).alias("id")).join(node, ["key", "id"])
-    if turn == 0:
-        few = mixed.where(F.col("n") <= SMALL).select("key")
-        centre = centre.union(node.join(few, "key", "left_semi").select(*centre.columns))
+    few = mixed.where(F.col("n") <= SMALL).select("key")
+    centre = centre.union(node.join(few, "key", "left_semi").select(*centre.columns))
     x, y = node.alias("x"), centre.alias("y")
     differing = sum(
         (F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(bins // 64)), F.lit(0)
@@ -233,22 +230,12 @@ def near_duplicates(
     # buckets that still hold several components: every pair of a small one, new centres for a large one
     node = large.select("key", F.col("v").alias("id")).distinct()
     node = node.join(leads.select(F.col("lead").alias("id"), "n_shingles", "sketch"), "id")
-    node, tested, quiet = space.store(node, "node"), [star], 0
-    for turn in itertools.count():
-        fresh = _across(node.join(labels, "id", "left"), turn, percent, bins)
-        for seen in tested:
-            fresh = fresh.join(seen, ["u", "v"], "left_anti")
-        fresh = space.store(fresh, f"fresh-{turn}")
-        more = space.store(_confirmed(fresh, sets, percent), f"more-{turn}")
-        tested.append(fresh)
-        quiet = quiet + 1 if more.isEmpty() else 0
-        if quiet == QUIET:
-            break
-        if quiet:
-            continue
-        edges = space.store(edges.union(more), f"edges-{turn}")
-        labels = components(edges, space, f"labels-{turn}")
-    space.drop("buckets", "large", "star", "sets", "edges", "node")
+    node = space.store(node.join(labels, "id", "left"), "node")
+    fresh = space.store(_across(node, percent, bins).join(star, ["u", "v"], "left_anti"), "fresh")
+    more = space.store(_confirmed(fresh, sets, percent), "more")
+    if not more.isEmpty():
+        labels = components(edges.union(more), space, "relabels")
+    space.drop("buckets", "large", "star", "sets", "edges", "node", "fresh", "more")
 
     named = members.select("doc_id", "n_shingles", "lead").join(
         labels.select(F.col("id").alias("lead"), "label"), "lead", "left"
