@@ -143,38 +143,42 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
     if len(order) < 2:
         return [b for b in bins if b]
     items = {b: sorted((lengths[k], k) for k in bins[b]) for b in order}
-    # the emptiest bins give, the fullest take
-    low, tries = 0, 0
-    while low < len(order) - 1 and tries < 40 * len(order):
-        giver = order[low]
-        changed = False
-        for b in reversed(order[low + 1 :]):
-            tries += 1
-            room = capacity - fills[b]
-            if room <= 0 or not items[giver]:
-                continue
-            step = _best_step(items[giver], items[b], room, fills[giver] - fills[b])
-            if step:
-                give, take = step
-                for x in give:
-                    items[giver].remove(x)
-                    bisect.insort(items[b], x)
-                for x in take:
-                    items[b].remove(x)
-                    bisect.insort(items[giver], x)
-                moved = sum(x[0] for x in give) - sum(x[0] for x in take)
-                fills[b] += moved
-                fills[giver] -= moved
-                changed = True
-                if not items[giver]:
+    # the emptiest bins give, the fullest take, pass after pass while anything moves
+    tries, most, moved_any = 0, 200 * len(order), True
+    while moved_any and tries < most:
+        moved_any = False
+        order = sorted((b for b in order if items[b]), key=lambda b: fills[b])
+        for low, giver in enumerate(order):
+            for b in reversed(order[low + 1 :]):
+                room = capacity - fills[b]
+                if room <= 0 or not items[b]:
+                    continue
+                tries += 1
+                step = _best_step(items[giver], items[b], room, fills[giver] - fills[b])
+                if step:
+                    moved = _transfer(items[giver], items[b], *step)
+                    fills[b] += moved
+                    fills[giver] -= moved
+                    moved_any = True
+                if not items[giver] or tries >= most:
                     break
-        if not items[giver] or not changed:
-            low += 1
+    order = list(items)
     for b in order:
         bins[b] = [k for _, k in items[b]]
     return [b for b in bins if b]
 
 
+def _transfer(mine: list, other: list, give: list, take: list) -> int:
+    """Carry out a step on the sorted items of two bins; the tokens that the other bin gains."""
+    for x in give:
+        mine.remove(x)
+        bisect.insort(other, x)
+    for x in take:
+        other.remove(x)
+        bisect.insort(mine, x)
+    return sum(x[0] for x in give) - sum(x[0] for x in take)
+
+
 def _best_step(mine: list, other: list, room: int, above: int) -> tuple[list, list] | None:
     """What to give and take so that the other bin gains most, at most ``room``, and squared fill rises.
 
