@@ -2,7 +2,7 @@
 
 A word is a run of bytes other than space and the control characters 9 to 13, as in
 ``[^\\x20\\x09-\\x0D]+``; only the letters A-Z are lower-cased.  Words are found and hashed with numpy on
-the Arrow buffers of a batch, in pieces of a few megabytes, so memory follows the piece and not the text.
+the Arrow buffers of a batch, in small pieces, so memory follows the piece and not the text.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that are taken apart at once.
-PIECE = 1 << 21
+PIECE = 1 << 18
 
 _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -26,10 +26,10 @@ from tidemark.llm.common import Workspace, batch_words
 
 #: Marks of a text's begin and end; no word has these hashes but by a chance of one in 2^64.
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
-#: Tokens that a task counts or scores at once.
-CHUNK = 1 << 21
+#: Tokens that a task counts at once, and scores at once.
+COUNTED, SCORED = 1 << 21, 1 << 20
 #: Bytes of input (as stored) for a shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 MOST_BITS = 17
 
 PAIR, WORD = 0, 1
@@ -70,7 +70,7 @@ def _unblob(blobs: list[bytes], rows: list[int], kinds: list[str]) -> list[np.nd
     return [np.concatenate(p) if p else np.zeros(0, k) for p, k in zip(parts, kinds)]
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list, list[int], np.ndarray]]:
+def _sequences(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[tuple[list, list[int], np.ndarray]]:
     """Chunks of texts: (batch and row of each, words of each, all words in order)."""
     where, sizes, words, total = [], [], [], 0
     for batch in batches:
@@ -79,7 +79,7 @@ def _sequences(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple
             sizes.append(len(hashes))
             words.append(hashes.copy())
             total += len(hashes) + 1
-            if total >= CHUNK:
+            if total >= most:
                 yield where, sizes, np.concatenate(words)
                 where, sizes, words, total = [], [], [], 0
     if where:
@@ -102,7 +102,7 @@ def _pairs(sizes: list[int], words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _count(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sizes, words in _sequences(batches, 0):
+        for _, sizes, words in _sequences(batches, 0, COUNTED):
             left, right = _pairs(sizes, words)
             keys = pair_hash(left, right)
             order = np.argsort(keys)
@@ -136,10 +136,15 @@ def _write(folder: str, name: str, data: np.ndarray) -> None:
     fs.create_dir(path, recursive=True)
     draft = f"{path}/.{name}.{np.random.default_rng().integers(1 << 62)}"
     with fs.open_output_stream(draft, compression=None) as out:
-        out.write(np.ascontiguousarray(data).tobytes())
+        out.write(memoryview(np.ascontiguousarray(data)).cast("B") if data.size else b"")
     fs.move(draft, f"{path}/{name}")
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in the smallest unsigned numbers that hold them; a reader learns which from the file's size."""
+    return counts.astype(np.min_scalar_type(int(counts.max()) if len(counts) else 0))
+
+
 def _counts_of_counts(counts: np.ndarray) -> list[int]:
     return [int(np.count_nonzero(counts == k)) for k in (1, 2, 3, 4)]
 
@@ -158,7 +163,7 @@ def _merge_pairs(folder: str, bits: int):
         total = np.add.reduceat(counts[order].astype(np.uint64), first)
         left, right = left[order[first]], right[order[first]]
         _write(folder, f"{PAIR}-{shard}-hash", keys[first])
-        _write(folder, f"{PAIR}-{shard}-count", total)
+        _write(folder, f"{PAIR}-{shard}-count", _narrow(total))
         one, two, more = (total == 1), (total == 2), (total > 2)
         before = _totals(left, total, *(x.astype(np.uint64) for x in (one, two, more)))
         behind = _totals(right, total, np.ones(len(right), np.uint64))
@@ -182,23 +187,33 @@ def _merge_pairs(folder: str, bits: int):
 
 
 def _merge_words(folder: str):
-    """Adds up a shard of words, writes it, and returns its sums: tokens, words, types, and counts of type counts."""
+    """Adds up a shard of words, writes it, and returns its sums: tokens, words, types, and counts of type counts.
+
+    Shards below 0 bring the counts of counts of pairs, which follow as four more sums.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
         sizes = group.column("n").to_pylist()
+        if shard < 0:
+            (counts,) = _unblob(group.column("data").to_pylist(), sizes, ["<u8"])
+            return _sums([0] * 7 + counts.reshape(-1, 4).sum(axis=0).tolist())
         words, *columns = _unblob(group.column("data").to_pylist(), sizes, ["<u8"] * (1 + len(FIELDS[WORD])))
         words, *columns = _totals(words, *columns)
         _write(folder, f"{WORD}-{shard}-hash", words)
         for name, column in zip(FIELDS[WORD], columns):
-            _write(folder, f"{WORD}-{shard}-{name}", column)
+            _write(folder, f"{WORD}-{shard}-{name}", _narrow(column))
         count, types = columns[0], columns[1]
         sums = [int(count.sum()), int(np.count_nonzero(count)), int(types.sum()), *_counts_of_counts(types)]
-        return pa.table({f"s{k}": pa.array([v], pa.int64()) for k, v in enumerate(sums)})
+        return _sums([*sums, 0, 0, 0, 0])
 
     return run
 
 
+def _sums(values: list[int]) -> pa.Table:
+    return pa.table({f"s{k}": pa.array([v], pa.int64()) for k, v in enumerate(values)})
+
+
 def _discounts(n: list[int]) -> np.ndarray:
     """What is taken from counts of 1, 2 and more, from the numbers of counts of 1 to 4."""
     n1, n2, n3, n4 = n
@@ -229,23 +244,11 @@ def train(docs: DataFrame, space: Workspace, *, text_column: str = "text") -> Mo
     texts = docs.select(F.col(text_column).cast("string"))
     counted = texts.mapInArrow(_count(bits), kind).repartition(1 << bits, "shard")
     pairs = counted.groupBy("shard").applyInArrow(_merge_pairs(folder, bits), kind)
-    pairs = space.store(pairs, "pairs")
-    seen = np.zeros(4, np.int64)
-    some = pairs.where("shard < 0")
-    for row in some.mapInArrow(_add_counts, "a long, b long, c long, d long").agg(*map(F.sum, "abcd")).collect():
-        seen += np.array([x or 0 for x in row], np.int64)
-    words = pairs.where("shard >= 0").repartition(1 << bits, "shard").groupBy("shard")
-    sums = words.applyInArrow(_merge_words(folder), ", ".join(f"s{k} long" for k in range(7)))
-    total = [x or 0 for x in sums.agg(*[F.sum(f"s{k}") for k in range(7)]).first()]
-    space.drop("pairs")
-    return Model(folder, bits, *total[:3], tuple(int(x) for x in seen), tuple(total[3:]))
-
-
-def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [np.frombuffer(x.as_py(), "<u8").astype(np.int64) for x in batch.column("data")]
-        table = np.array(rows, np.int64).reshape(-1, 4).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in table], list("abcd"))
+    words = pairs.repartition(1 << bits, "shard").groupBy("shard")
+    names = [f"s{k}" for k in range(11)]
+    sums = words.applyInArrow(_merge_words(folder), ", ".join(f"{n} long" for n in names))
+    total = [x or 0 for x in sums.agg(*[F.sum(n) for n in names]).first()]
+    return Model(folder, bits, *total[:3], tuple(total[7:]), tuple(total[3:7]))
 
 
 class _Arrays:
@@ -262,11 +265,12 @@ class _Arrays:
             info = self.fs.get_file_info(path)
             if info.type != files.FileType.File or not info.size:
                 self.open[key] = np.zeros(0, "<u8")
-            elif isinstance(self.fs, files.LocalFileSystem):
-                self.open[key] = np.memmap(path, "<u8", "r")
-            else:
+                return self.open[key]
+            width = 8 if name == "hash" else info.size // len(self.get(kind, shard, "hash"))
+            if not isinstance(self.fs, files.LocalFileSystem):
                 with self.fs.open_input_stream(path, compression=None) as data:
-                    return np.frombuffer(data.read(), "<u8")
+                    return np.frombuffer(data.read(), f"<u{width}")
+            self.open[key] = np.memmap(path, f"<u{width}", "r")
         return self.open[key]
 
     def look_up(self, kind: int, wanted: np.ndarray) -> list[np.ndarray]:
@@ -295,7 +299,7 @@ def _score(model: Model):
         cut, low = _discounts(list(model.pair_counts)), _discounts(list(model.type_counts))
         m1, m2 = model.type_counts[:2]
         spread = 1.0 / (model.words + 1)
-        for where, sizes, words in _sequences(batches, 1):
+        for where, sizes, words in _sequences(batches, 1, SCORED):
             left, right = _pairs(sizes, words)
             known, back = np.unique(np.concatenate([left, right]), return_inverse=True)
             count, types, after, n1, n2, n3 = arrays.look_up(WORD, known)
