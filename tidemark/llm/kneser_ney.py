@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Workspace, batch_words
 
-#: Marks of a text's begin and end; no word has these hashes but by a chance of one in 2^64.
-BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
+#: Words are known by 56 bits of their hash, which travel as 7 bytes: at a thousand million words 7 pairs may be one.
+LOW = np.uint64(0xFFFFFFFFFFFFFF00)
+#: Marks of a text's begin and end; no word has these hashes but by a chance of one in 2^56.
+BEGIN, END = np.uint64(0x243F6A8885A30800), np.uint64(0x13198A2E03707300)
 #: Tokens that a task counts at once, and scores at once.
 COUNTED, SCORED = 1 << 21, 1 << 20
 #: Bytes of input (as stored) for a shard.
@@ -60,14 +62,25 @@ def _blob(*columns: np.ndarray) -> bytes:
     return b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
 
 
+def _seven(words: np.ndarray) -> np.ndarray:
+    """The upper seven bytes of word hashes."""
+    return np.ascontiguousarray(words, "<u8").view(np.uint8).reshape(-1, 8)[:, 1:]
+
+
 def _unblob(blobs: list[bytes], rows: list[int], kinds: list[str]) -> list[np.ndarray]:
     parts: list[list[np.ndarray]] = [[] for _ in kinds]
     for blob, n in zip(blobs, rows):
         at = 0
         for part, kind in zip(parts, kinds):
-            part.append(np.frombuffer(blob, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-    return [np.concatenate(p) if p else np.zeros(0, k) for p, k in zip(parts, kinds)]
+            if kind == "word":
+                whole = np.zeros((n, 8), np.uint8)
+                whole[:, 1:] = np.frombuffer(blob, np.uint8, 7 * n, at).reshape(n, 7)
+                part.append(whole.view("<u8").ravel())
+                at += 7 * n
+            else:
+                part.append(np.frombuffer(blob, kind, n, at))
+                at += n * np.dtype(kind).itemsize
+    return [np.concatenate(p) for p in parts]
 
 
 def _sequences(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[tuple[list, list[int], np.ndarray]]:
@@ -77,7 +90,7 @@ def _sequences(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Ite
         for row, hashes, _, _ in batch_words(batch.column(column)):
             where.append((batch, row))
             sizes.append(len(hashes))
-            words.append(hashes.copy())
+            words.append(hashes & LOW)
             total += len(hashes) + 1
             if total >= most:
                 yield where, sizes, np.concatenate(words)
@@ -117,7 +130,7 @@ def _count(bits: int):
                 a, b = cuts[s], cuts[s + 1]
                 if a < b:
                     by = np.argsort(left[a:b], kind="stable")
-                    rows.append((s, b - a, _blob(left[a:b][by], right[a:b][by], counts[a:b][by])))
+                    rows.append((s, b - a, _blob(_seven(left[a:b][by]), _seven(right[a:b][by]), counts[a:b][by])))
             yield _rows(rows)
 
     return run
@@ -155,7 +168,7 @@ def _merge_pairs(folder: str, bits: int):
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
         sizes = group.column("n").to_pylist()
-        left, right, counts = _unblob(group.column("data").to_pylist(), sizes, ["<u8", "<u8", "<u4"])
+        left, right, counts = _unblob(group.column("data").to_pylist(), sizes, ["word", "word", "<u4"])
         keys = pair_hash(left, right)
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
@@ -180,7 +193,7 @@ def _merge_pairs(folder: str, bits: int):
         for s in range(1 << bits):
             a, b = cuts[s], cuts[s + 1]
             if a < b:
-                rows.append((s, b - a, _blob(words[a:b], *(c[a:b] for c in columns))))
+                rows.append((s, b - a, _blob(_seven(words[a:b]), *(c[a:b] for c in columns))))
         return pa.Table.from_batches([_rows(rows)])
 
     return run
@@ -198,7 +211,7 @@ def _merge_words(folder: str):
         if shard < 0:
             (counts,) = _unblob(group.column("data").to_pylist(), sizes, ["<u8"])
             return _sums([0] * 7 + counts.reshape(-1, 4).sum(axis=0).tolist())
-        words, *columns = _unblob(group.column("data").to_pylist(), sizes, ["<u8"] * (1 + len(FIELDS[WORD])))
+        words, *columns = _unblob(group.column("data").to_pylist(), sizes, ["word", *["<u8"] * len(FIELDS[WORD])])
         words, *columns = _totals(words, *columns)
         _write(folder, f"{WORD}-{shard}-hash", words)
         for name, column in zip(FIELDS[WORD], columns):
