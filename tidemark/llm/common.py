@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that are taken apart at once.
 PIECE = 1 << 18
+#: Rows of texts in a batch for Python.
+BATCH_ROWS = 1000
+_ROWS_SETTING, _ROWS_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,11 +135,14 @@ def batch_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray,
 class Workspace:
     """Tables of one run in the shared folder that the session names in ``spark.checkpoint.dir``.
 
-    Only a local session may leave the setting out; it then gets a temporary folder.
+    Only a local session may leave the setting out; it then gets a temporary folder.  Rows of texts go to Python in
+    batches of ``BATCH_ROWS`` unless the session says otherwise: whole documents are large rows.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
+        if spark.conf.get(_ROWS_SETTING) == _ROWS_DEFAULT:
+            spark.conf.set(_ROWS_SETTING, str(BATCH_ROWS))
         self.path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
     def folder(self, name: str) -> str:
