@@ -35,6 +35,9 @@ def test_hms_to_seconds(spark):
 
 def test_lenient_numbers_and_flags(spark):
     assert each(spark, ["12.0", "7", "abc", "", None, "16777217.0"], text.to_int_lenient) == [12, 7, None, None, None, 16777217]
+    assert each(spark, ["9007199254740993", "9007199254740993.0", "-9223372036854775808", "1e3"], text.to_int_lenient) == [
+        9007199254740993, 9007199254740993, -9223372036854775808, 1000
+    ]
     assert each(spark, ["true", "F", "1", "0", "?", None], text.to_bool) == [True, False, True, False, None, None]
     assert each(spark, ["nan", " ", "[None]", "ok", None], text.null_markers) == [None, None, None, "ok", None]
     assert each(spark, ["123", "12a", ""], text.is_all_digits) == [True, False, False]

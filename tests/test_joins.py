@@ -1,7 +1,7 @@
 """Join and interval operators against brute force, with and without sliced keys."""
 
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,7 +122,7 @@ def test_overlap_totals_match_brute_force(spark):
     cycles = [(k, day(i * 10), day(i * 10 + 9)) for k in (1, 2, 3) for i in range(10)]
     got = intervals.overlap_totals(
         spark.createDataFrame(spans, "k int, s date, e date, v int"), spark.createDataFrame(cycles, "k int, a date, b date"),
-        ["k"], "s", "e", "v", "a", "b",
+        ["k"], "s", "e", "v", "a", "b", open_end=True,
     )
     want = []
     for k, a, b in cycles:
@@ -146,13 +146,42 @@ def test_earlier_link_matches_brute_force(spark):
     assert rows(got, "id", "link") == sorted(want, key=str)
 
 
-def test_contains_join_both_ways_agree(spark):
-    texts = spark.createDataFrame([(1, "abcabc xyz"), (2, "zz"), (3, ""), (4, None), (5, "a")], "id int, body string")
-    needles = spark.createDataFrame([("a", 1), ("abc", 2), ("cab", 3), ("xyz!", 4), ("zz", 5), ("", 6), (" x", 7)], "word string, n int")
-    want = [(1, 1), (1, 2), (1, 3), (1, 7), (2, 5), (5, 1)]
-    for limit in (1000, 2):
-        got = joins.contains_join(texts, "body", needles, "word", ["n"], list_limit=limit)
-        assert rows(got, "id", "n") == want
+def test_contains_join_equals_all_pairs(spark):
+    texts = [(1, "abcabc xyz"), (2, "zz"), (3, ""), (4, None), (5, "a"), (6, "zz"), (7, "é🙂 abx")]
+    needles = [("a", 1), ("abc", 2), ("cab", 3), ("xyz!", 4), ("zz", 5), ("", 6), (" x", 7), ("é🙂", 8), (None, 9), ("a", 10)]
+    want = [(i, n) for i, t in texts for w, n in needles if t and w and w in t]
+    got = joins.contains_join(
+        spark.createDataFrame(texts, "id int, body string"), "body", spark.createDataFrame(needles, "word string, n int"), "word", ["n"]
+    )
+    assert rows(got, "id", "n") == sorted(want, key=str)
+
+
+def test_null_keys_match_nothing(spark):
+    t0 = datetime(2024, 1, 2)
+    events = spark.createDataFrame([(1, None, t0), (2, 7, t0)], "id int, k int, ts timestamp")
+    versions = spark.createDataFrame([(None, t0, 5, "x"), (7, None, 6, "y")], "k int, since timestamp, v int, name string")
+    got = joins.asof_validity(events, versions, ["k"], "ts", "since", "v", {"name": "name"})
+    assert rows(got, "id", "name") == [(1, None), (2, None)]
+    grid = spark.createDataFrame([(None, date(2024, 1, 3)), (7, date(2024, 1, 3)), (8, date(2024, 1, 3))], "k int, ref date")
+    seen = events.withColumn("day", F.to_date("ts"))
+    counts = joins.lookback_counts(grid, seen, ["k"], "ref", "day", 10, {"n": F.lit(True)})
+    assert rows(counts, "k", "n") == [(7, 1), (8, 0), (None, 0)]
+    last = joins.asof_last(grid, events, ["k"], "ref", "ts", "last")
+    assert rows(last, "k", "last") == [(7, t0), (8, None), (None, None)]
+    again = joins.recurrence(seen, ["k"], "day", "id", 90)
+    assert rows(again, "id", "previous") == [(1, 0), (2, 0)]
+
+
+def test_bad_spans_cover_nothing(spark):
+    d = lambda n: date(2024, 1, n)
+    spans = spark.createDataFrame(
+        [(1, d(9), d(4), 5), (2, None, d(4), 5), (3, d(4), None, 5), (4, d(4), d(5), 5), (None, d(4), d(5), 5)], "k int, a date, b date, v int"
+    )
+    cycles = spark.createDataFrame([(k, d(1), d(31)) for k in (1, 2, 3, 4, None)], "k int, lo date, hi date")
+    got = intervals.overlap_totals(spans, cycles, ["k"], "a", "b", "v", "lo", "hi")
+    assert rows(got, "k", "overlapping", "overlapping_value") == [(1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 1, 5), (None, 0, 0)]
+    got = intervals.clipped_days(spans, cycles, ["k"], "a", "b", "lo", "hi")
+    assert rows(got, "k", "days") == [(1, 0), (2, 0), (3, 28), (4, 1), (None, 0)]
 
 
 def test_exclude_null_meanings(spark):
@@ -165,11 +194,11 @@ def test_exclude_null_meanings(spark):
     assert rows(joins.exclude(df, with_null.limit(0), "k", null_aware=True), "k") == [(1,), (2,), (None,)]
 
 
-def test_or_join_prefers_the_first_alternative(spark):
-    left = spark.createDataFrame([(1, 10, None), (2, None, 20), (3, 10, 20), (4, 99, 99)], "id int, a int, b int")
-    right = spark.createDataFrame([(10, 30, "x"), (40, 20, "y")], "p int, q int, name string")
+def test_or_join_gives_all_matches_once(spark):
+    left = spark.createDataFrame([(1, 10, None), (2, None, 20), (3, 10, 20), (4, 99, 99), (5, 50, 60)], "id int, a int, b int")
+    right = spark.createDataFrame([(10, 30, "x"), (40, 20, "y"), (50, 60, "z"), (None, None, "w")], "p int, q int, name string")
     got = joins.or_join(left, right, [("a", "p"), ("b", "q")], {"name": "name"})
-    assert rows(got, "id", "name") == [(1, "x"), (2, "y"), (3, "x"), (4, None)]
+    assert rows(got, "id", "name") == [(1, "x"), (2, "y"), (3, "x"), (3, "y"), (4, None), (5, "z")]
 
 
 def test_business_seconds_skip_closed_days(spark):

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import billing, calls, collections, first_payment, receivables
-from tidemark.plans.catalogue import results_as_dict, single_value
+from tidemark.operators.sets import symmetric_difference
+from tidemark.plans.catalogue import single_value
+from tidemark.session import CLUSTER
 
 def as_of():
     return F.lit("2024-06-30").cast("date")
@@ -113,9 +115,26 @@ def test_prorata(spark):
     ]
 
 
-def test_driver_side_helpers_are_bounded(spark):
+def test_single_value_is_single(spark):
     df = spark.range(5)
     assert single_value(df.where("id = 3"), "id") == 3 and single_value(df.limit(0), "id") is None
-    assert results_as_dict(df) == {"id": [0, 1, 2, 3, 4]}
     with pytest.raises(ValueError):
-        results_as_dict(df, limit=3)
+        single_value(df, "id")
+
+
+def test_scans_and_filters(spark):
+    """A difference reads each side once; a month is a range that reaches the scan."""
+    sf = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_custkey")
+    plan = symmetric_difference(orders, orders.where("o_custkey > 3"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    events = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(
+        "l_orderkey AS contract_id", "cast(l_shipdate AS date) AS day", "l_returnflag AS kind", "l_extendedprice AS value"
+    )
+    inside = billing.month_events(events, {"R": "returned"}, F.lit("1996-02-01").cast("date"))
+    plan = inside._jdf.queryExecution().optimizedPlan().toString()
+    assert "trunc" not in plan and plan.count(">=") == 1 and plan.count("<=") == 1
+
+
+def test_cluster_sessions_begin_with_many_partitions():
+    assert int(CLUSTER["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 10_000

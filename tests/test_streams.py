@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 
 
+from pyspark.sql import functions as F
+
 from tidemark.streaming import streams
 
 T0 = datetime(2024, 1, 1)
@@ -30,14 +32,19 @@ def test_latest_over_batches_and_compaction(spark, tmp_path):
     assert newest(str(tmp_path / "compact")) == [(1, 3), (2, 2)]
 
 
-def test_dedupe_across_batches(spark, tmp_path):
+def test_dedupe_across_batches_keeps_late_rows(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    stream = streams.dedupe(live(spark, src), "ts", "id")
-    drop(spark, src, "a", [(1, 1, 0, "x"), (1, 1, 0, "x"), (2, 1, 1, "x")])
-    streams.run_to_table(stream, out, str(tmp_path / "cp"))
-    drop(spark, src, "b", [(2, 1, 1, "x"), (3, 1, 2, "x")])
-    streams.run_to_table(stream, out, str(tmp_path / "cp"))
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+    day = 24 * 60
+    for name, rows in (("a", [(1, 1, 10 * day, "x")] * 2), ("b", [(3, 1, 11 * day, "x"), (1, 1, 10 * day, "x")]), ("c", [(4, 1, 12 * day, "x")]), ("d", [(2, 1, day, "x")])):
+        drop(spark, src, name, rows)
+        streams.dedupe_to_log(live(spark, src), out, "id", ["ts"], str(tmp_path / "cp"))
+    assert sorted(r.id for r in streams.read_deduped(spark, out, "id", ["ts"]).collect()) == [1, 2, 3, 4]
+
+
+def test_open_windows_come_from_a_batch_read(spark):
+    rows = spark.createDataFrame([(1, 1, T0 + timedelta(minutes=m), "x") for m in (0, 70, 80)], SCHEMA)
+    got = streams.open_counts(rows, "ts", ["kind"], F.lit(T0 + timedelta(minutes=61)))
+    assert [(r.window_start, r.rows) for r in got.collect()] == [(T0 + timedelta(hours=1), 2)]
 
 
 def test_windows_close_after_the_delay_and_leave_late_rows_out(spark, tmp_path):

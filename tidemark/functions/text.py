@@ -49,8 +49,10 @@ def is_all_digits(col) -> Column:
 
 
 def to_int_lenient(col) -> Column:
-    """``'12.0'`` to 12; anything unreadable to NULL.  Goes through double, which keeps large ids."""
-    return _c(col).try_cast("double").try_cast("bigint")
+    """``'12.0'`` to 12; anything unreadable to NULL.  Exact for all whole numbers of 64 bits."""
+    c = _c(col)
+    exact = F.coalesce(c.try_cast("bigint"), c.try_cast("decimal(38,10)").try_cast("bigint"))
+    return F.coalesce(exact, c.try_cast("double").try_cast("bigint"))
 
 
 def to_bool(col) -> Column:
@@ -103,7 +105,7 @@ def clean_phone(col) -> Column:
     c = _c(col)
     bare = F.regexp_replace(F.translate(c, "() -.+", ""), "^[^1-9]*", "")
     coded = F.length(bare).between(12, 13) & bare.startswith("55")
-    local = F.when(coded, F.substring(bare, 3, 20)).otherwise(bare)
+    local = F.when(coded, F.substr(bare, F.lit(3))).otherwise(bare)
     short_mobile = (F.length(local) == 10) & F.substring(local, 3, 1).isin("6", "7", "8", "9")
     full = F.when(
         short_mobile, F.concat(F.substring(local, 1, 2), F.lit("9"), F.substring(local, 3, 8))

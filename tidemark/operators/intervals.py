@@ -39,10 +39,14 @@ def clipped_days(
     Intervals run from their start day up to but not including their end day;
     an interval without an end is still open.  The cycle end day is included.
     So a suspension lifted inside the cycle does not count the day it was
-    lifted, and one still open at the cycle end counts that day.
+    lifted, and one still open at the cycle end counts that day.  Intervals
+    without a start or key, or that end before they start, cover nothing.
     """
     keys = list(keys)
-    marks = intervals.select(
+    usable = F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start)))
+    for key in keys:
+        usable = usable & F.col(key).isNotNull()
+    marks = intervals.where(usable).select(
         *keys,
         F.explode(
             F.array(
@@ -82,7 +86,7 @@ def clipped_days(
     return (
         totals.where(F.col("_side") == 1)
         .groupBy(*keys, cycle_start, cycle_end)
-        .agg(F.sum(F.col("_sign") * covered).alias(out))
+        .agg(F.coalesce(F.sum(F.col("_sign") * covered), F.lit(0)).alias(out))
     )
 
 
@@ -97,14 +101,22 @@ def overlap_totals(
     cycle_end: str,
     count_col: str = "overlapping",
     sum_col: str = "overlapping_value",
+    open_end: bool = False,
 ) -> DataFrame:
     """Per (key, cycle): how many spans touch the cycle and the sum of their value.
 
     Spans and cycles include both end days.  Spans touching a cycle are those
-    started by its end minus those ended before its start.
+    started by its end minus those ended before its start.  Spans without a key
+    or an end, or that end before they start, touch nothing; with ``open_end``
+    one without an end goes on.
     """
     keys = list(keys)
-    marks = spans.select(
+    usable = F.col(start) <= F.col(end)
+    if open_end:
+        usable = usable | (F.col(start).isNotNull() & F.col(end).isNull())
+    for key in keys:
+        usable = usable & F.col(key).isNotNull()
+    marks = spans.where(usable).select(
         *keys,
         F.col(value).alias("_v"),
         F.explode(
@@ -147,8 +159,8 @@ def overlap_totals(
         totals.where(F.col("_side") > 0)
         .groupBy(*keys, cycle_start, cycle_end)
         .agg(
-            (F.max(F.when(at_end, F.col("_r_bn"))) - F.max(F.when(at_start, F.col("_r_gn")))).alias(count_col),
-            (F.max(F.when(at_end, F.col("_r_bv"))) - F.max(F.when(at_start, F.col("_r_gv")))).alias(sum_col),
+            F.coalesce(F.max(F.when(at_end, F.col("_r_bn"))) - F.max(F.when(at_start, F.col("_r_gn"))), F.lit(0)).alias(count_col),
+            F.coalesce(F.max(F.when(at_end, F.col("_r_bv"))) - F.max(F.when(at_start, F.col("_r_gv"))), F.lit(0)).alias(sum_col),
         )
     )
 
@@ -159,8 +171,8 @@ def business_seconds(
     """Seconds between two times that fall on working days.
 
     ``calendar`` has one row per day (a few thousand rows), which is what makes
-    its broadcast and its single running total safe.  Both times must lie
-    inside the calendar.
+    its single running total safe; the joins with it are Catalyst's to plan.
+    Both times must lie inside the calendar.
     """
     by_day = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
     cal = calendar.select(
@@ -170,7 +182,7 @@ def business_seconds(
     )
 
     def clock(frame: DataFrame, ts: str, name: str) -> DataFrame:
-        c = F.broadcast(cal.select(F.col("_day").alias("_d"), F.col("_open").alias("_o"), F.col("_before").alias("_b")))
+        c = cal.select(F.col("_day").alias("_d"), F.col("_open").alias("_o"), F.col("_before").alias("_b"))
         joined = frame.join(c, F.to_date(frame[ts]) == c["_d"], "left")
         into = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts))
         return joined.withColumn(name, F.col("_b") * 86400 + F.col("_o") * into).drop("_d", "_o", "_b")

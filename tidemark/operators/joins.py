@@ -17,6 +17,10 @@ from tidemark.operators.ordered import along_key, last_seen, ordinal, running_su
 from tidemark.operators.skew import HOT_ROWS
 
 
+def _all_known(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
+
+
 def _on(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
@@ -72,16 +76,20 @@ def or_join(
 ) -> DataFrame:
     """Left join on ``a1 = b1 OR a2 = b2 ...`` as one equi join per alternative.
 
-    An OR condition would be a nested loop.  Every right key column must be
-    unique; the first alternative that matches supplies the columns.
+    An OR condition would be a nested loop.  A pair of rows that several
+    alternatives match comes back once, by the first of them.
     """
-    out = left
-    for i, (a, b) in enumerate(pairs):
-        value = F.struct(*[F.col(c).alias(n) for c, n in take.items()]).alias(f"_v{i}")
-        alt = right.where(F.col(b).isNotNull()).select(F.col(b).alias(f"_k{i}"), value)
-        out = out.join(alt, out[a] == alt[f"_k{i}"], "left").drop(f"_k{i}")
-    best = F.coalesce(*[F.col(f"_v{i}") for i in range(len(pairs))])
-    return out.select(*left.columns, *[best.getField(n).alias(n) for n in take.values()])
+    values = [F.col(c).alias(n) for c, n in take.items()]
+    keys = [F.col(b).alias(f"_k{i}") for i, (_, b) in enumerate(pairs)]
+    found, lonely = [], left
+    for i, (a, _) in enumerate(pairs):
+        alt = right.select(*keys, *values)
+        hit = left.join(alt, left[a] == alt[f"_k{i}"])
+        for j, (earlier, _) in enumerate(pairs[:i]):
+            hit = hit.where(~F.coalesce(F.col(earlier) == F.col(f"_k{j}"), F.lit(False)))
+        found.append(hit.select(*left.columns, *take.values()))
+        lonely = lonely.join(right.select(keys[i]), F.col(a) == F.col(f"_k{i}"), "left_anti")
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [*found, lonely])
 
 
 def asof_validity(
@@ -99,11 +107,12 @@ def asof_validity(
     A version is valid on the half-open interval [start, next start); of two
     versions with one start the greater ``version_id`` counts.  Events and
     versions are laid on one time line and the last version is carried forward,
-    so there is no range join and there are no pairs.
+    so there is no range join and there are no pairs.  A NULL key or start never
+    matches, as in a join.
     """
     keys = list(keys)
     payload = F.struct(*[F.col(c).alias(n) for c, n in take.items()])
-    begun = versions.select(
+    begun = versions.where(_all_known([*keys, start])).select(
         *keys,
         F.col(start).alias("_ts"),
         F.lit(0).alias("_side"),
@@ -137,7 +146,7 @@ def lookback_counts(
     per distinct (key, reference date).
     """
     keys, names = list(keys), list(conditions)
-    daily = events.groupBy(*keys, F.col(event_date).alias("_day")).agg(
+    daily = events.where(_all_known(keys)).groupBy(*keys, F.col(event_date).alias("_day")).agg(
         *[F.count_if(c).alias(n) for n, c in conditions.items()]
     )
     points = grid.select(*keys, F.col(ref_date).alias("_ref")).distinct()
@@ -158,7 +167,7 @@ def lookback_counts(
     return (
         totals.where(F.col("_side") != 1)
         .groupBy(*keys, F.col("_ref").alias(ref_date))
-        .agg(*[F.sum(sign * F.col(f"_r_{n}")).alias(n) for n in names])
+        .agg(*[F.coalesce(F.sum(sign * F.col(f"_r_{n}")), F.lit(0)).alias(n) for n in names])
     )
 
 
@@ -172,7 +181,7 @@ def asof_last(
 ) -> DataFrame:
     """Per (key, reference date): the last event time on or before the reference date."""
     keys = list(keys)
-    days = events.select(*keys, F.to_date(event_ts).alias("_day"), F.col(event_ts).alias("_ts"))
+    days = events.where(_all_known(keys)).select(*keys, F.to_date(event_ts).alias("_day"), F.col(event_ts).alias("_ts"))
     daily = days.groupBy(*keys, "_day").agg(F.max("_ts").alias("_ts")).withColumn("_side", F.lit(0))
     points = grid.select(*keys, F.col(ref_date).alias("_day"), F.lit(1).alias("_side")).distinct()
     line = daily.unionByName(points, allowMissingColumns=True)
@@ -203,7 +212,7 @@ def recurrence(
         F.coalesce(F.sum("_n").over(back), F.lit(0)).alias(count_col),
         F.last("_id").over(back).alias(last_col),
     )
-    return df.join(facts, [*keys, day], "left")
+    return df.join(facts, [*keys, day], "left").withColumn(count_col, F.coalesce(count_col, F.lit(0)))
 
 
 def pair_positionally(
@@ -222,31 +231,37 @@ def pair_positionally(
 
 
 def contains_join(
-    df: DataFrame, text: str, needles: DataFrame, needle: str, take: Sequence[str], gram: int = 3,
-    list_limit: int = 1_000,
+    df: DataFrame, text: str, needles: DataFrame, needle: str, take: Sequence[str], gram: int = 3
 ) -> DataFrame:
     """Rows of ``df`` with each needle whose text occurs inside ``text``.
 
-    Up to ``list_limit`` needles travel as one small array next to the plan.
-    A longer list is matched through character n-grams: a needle is looked up by
-    its first ``gram`` characters, then verified, so both ways give all matches.
+    Texts and needles meet on character n-grams: of a text only a hash goes with
+    its grams, and only grams that some needle has are kept.  A needle is looked
+    up by the one of its grams that the fewest texts hold, then verified in the
+    text itself.  Frequent grams are split by adaptive execution.
     """
-    cols = [needle, *[c for c in take if c != needle]]
-    usable = needles.where(F.length(needle) > 0).select(*cols)
-    if usable.limit(list_limit + 1).count() <= list_limit:
-        listed = usable.agg(F.collect_list(F.struct(*cols)).alias("_l")).select("_l").scalar()
-        hits = F.filter("_l", lambda n: F.contains(F.col(text), n.getField(needle)))
-        return df.withColumn("_l", listed).select("*", F.explode(hits).alias("_hit")).select(
-            *df.columns, *[F.col("_hit").getField(c).alias(c) for c in take]
-        )
-    body = F.col(text)
-    found = []
-    for width in range(1, gram + 1):
-        part = usable.where(F.length(needle) == width if width < gram else F.length(needle) >= width)
-        part = part.withColumn("_gram", F.substring(needle, 1, width))
-        starts = F.sequence(F.lit(1), F.length(body) - width + 1)
-        grams = F.array_distinct(F.transform(starts, lambda i: F.substring(body, i, F.lit(width))))
-        rows = df.where(F.length(body) >= width).select("*", F.explode(grams).alias("_gram"))
-        hit = rows.join(part, "_gram").where(F.contains(body, F.col(needle)))
-        found.append(hit.select(*df.columns, *take))
-    return reduce(DataFrame.unionByName, found)
+    cols = list(dict.fromkeys([needle, *take]))
+    usable = needles.where(F.length(needle) > 0).select(*cols).withColumn("_needle", F.struct(*cols))
+    asked = usable.select("_needle", F.explode(F.array_distinct(_grams(F.col(needle), gram, False))).alias("_gram"))
+    keyed = df.where(F.length(text) > 0).withColumn("_text", F.sha2(F.col(text).cast("binary"), 256))
+    held = keyed.select("_text", F.explode(F.array_distinct(_grams(F.col(text), gram, True))).alias("_gram"))
+    held = held.join(asked.select("_gram").distinct(), "_gram", "left_semi").distinct()
+    spread = held.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    # a needle with a gram that no text holds is nowhere; so all its grams must be counted
+    rarest = asked.join(spread, "_gram", "left").groupBy("_needle").agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram")).alias("_r")
+    ).where("_r.n > 0").select("_needle", F.col("_r._gram").alias("_gram"))
+    maybe = held.join(rarest, "_gram").select("_text", "_needle")
+    hit = keyed.join(maybe, "_text").where(F.contains(F.col(text), F.col("_needle").getField(needle)))
+    names = [c for c in take if c not in df.columns]
+    return hit.select(*df.columns, *[F.col("_needle").getField(c).alias(c) for c in names])
+
+
+def _grams(text: Column, width: int, shorter: bool) -> Column:
+    """Runs of ``width`` characters; of a shorter text the whole, or with ``shorter`` all shorter runs besides."""
+    signs = F.split(text, "")
+    run = lambda n: lambda c, i: F.concat(c, *[F.get(signs, i + k) for k in range(1, n)])
+    of = lambda n: F.filter(F.transform(signs, run(n)), lambda g: g.isNotNull())
+    if shorter:
+        return F.concat(*[of(n) for n in range(1, width + 1)])
+    return F.when(F.length(text) < width, F.array(text)).otherwise(of(width))

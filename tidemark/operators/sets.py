@@ -64,7 +64,9 @@ def lowest_rank(df: DataFrame, keys: Sequence[str], rank_col: str) -> DataFrame:
 
 def symmetric_difference(a: DataFrame, b: DataFrame, side_col: str = "only_in") -> DataFrame:
     """Rows (with multiplicity) that only one side holds."""
-    b = b.select(*a.columns)
-    return a.exceptAll(b).withColumn(side_col, F.lit("a")).unionByName(
-        b.exceptAll(a).withColumn(side_col, F.lit("b"))
-    )
+    cols = a.columns
+    both = a.withColumn("_w", F.lit(1)).unionByName(b.select(*cols).withColumn("_w", F.lit(-1)))
+    surplus = both.groupBy(*cols).agg(F.sum("_w").alias("_w")).where("_w <> 0")
+    side = F.when(F.col("_w") > 0, "a").otherwise("b").alias(side_col)
+    copies = F.explode(F.sequence(F.lit(1), F.abs("_w"))).alias("_copy")
+    return surplus.select(*cols, side, copies).drop("_copy")

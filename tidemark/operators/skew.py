@@ -7,9 +7,9 @@ along their order column, so a window over (key, slice) has bounded groups;
 ``along_key`` in ``ordered.py`` then stitches neighbouring slices together.
 
 The frequent keys are found by a pre-aggregated count that runs when the plan
-is built, like the sampling job of a range partitioning.  What comes back is
-bounded (``MAX_HOT_KEYS`` keys with ``QUANTILES`` cuts each) and becomes a
-literal table: every branch and every retried task cuts at the same places.
+is built, like the sampling job of a range partitioning.  What it finds is a
+table under the session's shared folder: nothing comes back to the driver, and
+every branch and every retried task cuts at the same places.
 Results never depend on where the cuts are.
 """
 
@@ -22,15 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.lake import work_dir
+
 SLICE = "_slice"
 
 # A key is frequent above this many rows; slices aim at about this size.  The
 # session setting spark.tidemark.hotRows overrides the default.
 HOT_ROWS = 1_000_000
 HOT_ROWS_SETTING = "spark.tidemark.hotRows"
-# The most frequent keys considered.  Any key beyond this rank holds less than
-# 1/10,000 of the table, so it needs no cutting; this also bounds the broadcast.
-MAX_HOT_KEYS = 10_000
 # Quantile cuts per frequent key; each quantile is cut further by equal width.
 QUANTILES = 64
 
@@ -60,24 +59,18 @@ def as_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be numeric, date or timestamp, not {kind}")
 
 
-def _local(df: DataFrame, names: Sequence[str], rows: list, extra: Sequence[T.StructField]) -> DataFrame:
-    fields = [T.StructField(f"_h{i}", df.schema[k].dataType) for i, k in enumerate(names)]
-    return df.sparkSession.createDataFrame(rows, T.StructType([*fields, *extra]))
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows as a stored table (_h0.., _rows); None without any."""
+    named = [F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]
+    found = df.groupBy(*named).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    stored = _stored(found, "hot-keys")
+    return None if stored.isEmpty() else stored
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows as a literal table (_h0.., _rows); None without any."""
-    rows = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not rows:
-        return None
-    return _local(df, keys, [tuple(r) for r in rows], [T.StructField("_rows", T.LongType())])
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -102,13 +95,12 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HO
     named = [f"_h{i}" for i in range(len(keys))]
     at = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES + 1)])
     cuts = (
-        slim.join(F.broadcast(hot), same_keys(slim, hot, pairs), "inner")
+        slim.join(hot, same_keys(slim, hot, pairs), "inner")
         .groupBy(*named, "_rows")
         .agg(F.percentile_approx("_o", at).alias("_cuts"))
         .select(*named, "_cuts", F.ceil(F.col("_rows") / (hot_rows * QUANTILES)).alias("_parts"))
     )
-    extra = [T.StructField("_cuts", T.ArrayType(T.DoubleType())), T.StructField("_parts", T.LongType())]
-    return Cuts(_local(df, keys, [tuple(r) for r in cuts.collect()], extra))
+    return Cuts(_stored(cuts, "cuts"))
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: str, found: Cuts) -> DataFrame | None:
@@ -120,7 +112,7 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: str, found: Cuts) ->
     if cuts is None:
         return None
     pairs = [(k, f"_h{i}") for i, k in enumerate(keys)]
-    wide = df.join(F.broadcast(cuts), same_keys(df, cuts, pairs), "left")
+    wide = df.join(cuts, same_keys(df, cuts, pairs), "left")
     wide = wide.withColumn("_num", as_number(df, order))
     below = F.size(F.filter("_cuts", lambda c: c <= F.col("_num"))) - 1
     wide = wide.withColumn("_q", F.least(F.greatest(below, F.lit(0)), F.lit(QUANTILES - 1)))

@@ -111,7 +111,7 @@ def past_months(invoices: DataFrame, suspended: DataFrame, month: Column) -> Dat
 
 def month_events(events: DataFrame, kinds: Mapping[str, str], month: Column) -> DataFrame:
     """Counts and values per contract of each kind of event in a month, one column pair per kind."""
-    inside = events.where(F.trunc("day", "MM") == F.trunc(month, "MM"))
+    inside = events.where((F.col("day") >= F.trunc(month, "MM")) & (F.col("day") <= F.last_day(month)))
     aggs = []
     for kind, name in kinds.items():
         hit = F.col("kind") == kind

@@ -21,14 +21,8 @@ def column_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def single_value(df: DataFrame, col: str):
-    """The value of a one-row result on the driver; None for no row."""
-    row = df.select(col).limit(1).collect()
-    return row[0][0] if row else None
-
-
-def results_as_dict(df: DataFrame, limit: int = 10_000) -> dict[str, list]:
-    """A small result on the driver as {column: values}; refuses more than ``limit`` rows."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rows")
-    return {c: [r[c] for r in rows] for c in df.columns}
+    """The value of a one-row result on the driver; None for no row, an error for several."""
+    rows = df.select(col).limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("more than one row")
+    return rows[0][0] if rows else None

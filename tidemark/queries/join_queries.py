@@ -185,8 +185,7 @@ def _(t):
 
 @query(
     "or_join",
-    """SELECT p_partkey, coalesce(a.s_name, b.s_name) AS supplier_name FROM part
-       LEFT JOIN supplier a ON p_size * 3 = a.s_suppkey LEFT JOIN supplier b ON p_partkey = b.s_suppkey""",
+    """SELECT p_partkey, s_name AS supplier_name FROM part LEFT JOIN supplier ON p_size * 3 = s_suppkey OR p_partkey = s_suppkey""",
 )
 def _(t):
     parts = t.part.select("p_partkey", (F.col("p_size") * 3).cast("bigint").alias("main_key"))
@@ -233,6 +232,25 @@ def _(t):
     )
 
 
+@query(
+    "contains_join_documents",
+    """WITH w AS (SELECT string_split(regexp_replace(text, '\\s+', ' ', 'g'), ' ') AS w FROM benchmark),
+       needles AS (SELECT DISTINCT unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS words FROM w)
+       SELECT doc_id, count(*) AS needles, min(words) AS first_needle FROM documents JOIN needles ON contains(text, words)
+       WHERE length(words) >= 8 GROUP BY doc_id""",
+)
+def _(t):
+    """Well over a thousand needles: neighbouring words of the benchmark in all documents."""
+    words = F.split(F.regexp_replace("text", r"\s+", " "), " ")
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i))
+    )
+    split = t.benchmark.select(words.alias("w")).where(F.size("w") > 1)
+    needles = split.select(F.explode(pairs).alias("words")).distinct().where(F.length("words") >= 8)
+    found = joins.contains_join(t.documents.select("doc_id", "text"), "text", needles, "words", ["words"])
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("needles"), F.min("words").alias("first_needle"))
+
+
 @query(
     "asof_validity",
     """SELECT e.event_id, e.user_id, e.ts, v.event_id AS version_id, v.value AS plan_value
@@ -487,3 +505,96 @@ def _(t):
     urgent = t.orders.where("o_orderpriority = '1-URGENT' AND o_orderdate >= timestamp_ntz'2001-01-01'")
     kept = joins.exclude(t.orders, urgent.select("o_custkey"), "o_custkey")
     return latest.latest_version(kept, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey")
+
+
+_KEYED = """e AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS k, o_orderkey AS id,
+                          CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS TIMESTAMP) AS ts FROM orders)"""
+
+
+def _keyed(t):
+    """Orders as events of clients, every fifth without its client."""
+    k = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey"))
+    day = F.to_date("o_orderdate")
+    return t.orders.select(k.alias("k"), F.col("o_orderkey").alias("id"), day.alias("day"), day.cast("timestamp_ntz").alias("ts"))
+
+
+@query(
+    "null_keys_asof",
+    f"""WITH {_KEYED}, v AS (SELECT k, CASE WHEN id % 7 = 0 THEN NULL ELSE ts END AS since, id AS v FROM e WHERE id % 3 = 0)
+       SELECT id, (SELECT max_by(v.v, (v.since, v.v)) FROM v WHERE v.k = e.k AND v.since <= e.ts) AS version FROM e""",
+)
+def _(t):
+    events = _keyed(t)
+    versions = events.where("id % 3 = 0").select("k", F.when(F.col("id") % 7 != 0, F.col("ts")).alias("since"), F.col("id").alias("v"))
+    got = joins.asof_validity(events, versions, ["k"], "ts", "since", "v", {"v": "version"})
+    return got.select("id", "version")
+
+
+@query(
+    "null_keys_lookback",
+    f"""WITH {_KEYED}, g AS (SELECT DISTINCT k, day AS ref FROM e WHERE id % 4 = 0)
+       SELECT g.k, g.ref, count(e.id) AS seen FROM g LEFT JOIN e ON e.k = g.k AND e.day BETWEEN g.ref - 400 AND g.ref GROUP BY 1, 2""",
+)
+def _(t):
+    events = _keyed(t)
+    grid = events.where("id % 4 = 0").select("k", F.col("day").alias("ref"))
+    return joins.lookback_counts(grid, events, ["k"], "ref", "day", 400, {"seen": F.lit(True)})
+
+
+@query(
+    "null_keys_last_before",
+    f"""WITH {_KEYED}, g AS (SELECT DISTINCT k, day AS ref FROM e WHERE id % 4 = 0)
+       SELECT g.k, g.ref, max(e.ts) AS last FROM g LEFT JOIN e ON e.k = g.k AND e.id % 3 = 0 AND e.day <= g.ref GROUP BY 1, 2""",
+)
+def _(t):
+    events = _keyed(t)
+    grid = events.where("id % 4 = 0").select("k", F.col("day").alias("ref"))
+    return joins.asof_last(grid, events.where("id % 3 = 0"), ["k"], "ref", "ts", "last")
+
+
+@query(
+    "null_keys_recurrence",
+    f"""WITH {_KEYED}
+       SELECT e.id, count(b.id) AS previous FROM e LEFT JOIN e b ON b.k = e.k AND b.day BETWEEN e.day - 90 AND e.day - 1 GROUP BY 1""",
+)
+def _(t):
+    return joins.recurrence(_keyed(t), ["k"], "day", "id", 90).select("id", "previous")
+
+
+_SPANS = """s AS (SELECT o_custkey AS k, o_orderkey % 9 AS v,
+                         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS a,
+                         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 - 10 AS INTEGER) END AS b
+                  FROM orders),
+            c AS (SELECT DISTINCT o_custkey AS k, date_trunc('month', o_orderdate)::DATE AS lo, last_day(o_orderdate)::DATE AS hi FROM orders)"""
+
+
+def _spans(t):
+    """Orders as spans, some without start or end and some that end before they start, and months as cycles."""
+    day = F.to_date("o_orderdate")
+    until = F.date_add(day, (F.col("o_orderkey") % 60 - 10).cast("int"))
+    spans = t.orders.select(
+        F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 9).alias("v"),
+        F.when(F.col("o_orderkey") % 11 != 0, day).alias("a"), F.when(F.col("o_orderkey") % 7 != 0, until).alias("b"),
+    )
+    cycles = t.orders.select(F.col("o_custkey").alias("k"), F.trunc(day, "MM").alias("lo"), F.last_day(day).alias("hi")).distinct()
+    return spans, cycles
+
+
+@query(
+    "bad_spans_overlap",
+    f"""WITH {_SPANS} SELECT c.k, c.lo, count(s.k) AS overlapping, CAST(coalesce(sum(s.v), 0) AS BIGINT) AS overlapping_value
+        FROM c LEFT JOIN s ON s.k = c.k AND s.a <= s.b AND s.a <= c.hi AND s.b >= c.lo GROUP BY 1, 2""",
+)
+def _(t):
+    spans, cycles = _spans(t)
+    return intervals.overlap_totals(spans, cycles, ["k"], "a", "b", "v", "lo", "hi").drop("hi")
+
+
+@query(
+    "bad_spans_clipped",
+    f"""WITH {_SPANS} SELECT c.k, c.lo, CAST(coalesce(sum(greatest(0, date_diff('day', greatest(s.a, c.lo), least(coalesce(s.b, c.hi + 1), c.hi + 1)))), 0) AS BIGINT) AS days
+        FROM c LEFT JOIN s ON s.k = c.k AND s.a IS NOT NULL AND (s.b IS NULL OR s.b >= s.a) GROUP BY 1, 2""",
+)
+def _(t):
+    spans, cycles = _spans(t)
+    return intervals.clipped_days(spans, cycles, ["k"], "a", "b", "lo", "hi").drop("hi")

@@ -28,8 +28,9 @@ def _(t):
     seen = _live(t).withColumn("ts", F.col("ts").cast("timestamp"))
     # every row arrives twice
     twice = seen.select("event_id", "user_id", "ts", "event_type", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).drop("copy")
-    streams.run_to_table(streams.dedupe(twice, "ts", "event_id"), f"{root}/out", f"{root}/checkpoint")
-    return t.spark.read.parquet(f"{root}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    streams.dedupe_to_log(twice, f"{root}/out", "event_id", ["ts"], f"{root}/checkpoint")
+    found = streams.read_deduped(t.spark, f"{root}/out", "event_id", ["ts"])
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query(

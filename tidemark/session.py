@@ -17,12 +17,18 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+# On a cluster an exchange begins with many partitions, which adaptive execution
+# puts together as the sizes come in; it cannot split those of an aggregate or
+# a window.  20,000 parts of an exchange of 10 TB hold 500 MB each.
+CLUSTER = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; on a cluster leave ``master`` to spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    wide = {} if master and master.startswith("local") else CLUSTER
+    for key, value in {**DEFAULTS, **wide, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -76,9 +76,12 @@ def read_file_drop(
 
 
 def jdbc_predicates(col: str, bounds: Sequence[str]) -> list[str]:
-    """Adjoining WHERE clauses for a partitioned ``spark.read.jdbc(predicates=...)``."""
-    inner = [f"{col} >= '{a}' AND {col} < '{b}'" for a, b in zip(bounds, bounds[1:])]
-    return inner
+    """WHERE clauses for a partitioned ``spark.read.jdbc(predicates=...)`` that together read every row once.
+
+    Rows before the first bound and NULLs come with the first slice, rows from the last bound on with the last.
+    """
+    first, last = f"{col} < '{bounds[0]}' OR {col} IS NULL", f"{col} >= '{bounds[-1]}'"
+    return [first, *[f"{col} >= '{a}' AND {col} < '{b}'" for a, b in zip(bounds, bounds[1:])], last]
 
 
 def read_export(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, options: Mapping[str, str] | None = None) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -15,11 +14,14 @@ from pyspark.sql.types import StructType
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables, under the shared folder of the session.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; only a session
-    without it (a test) gets a local one.
+    The cluster names that folder in ``spark.checkpoint.dir``.  A local session
+    without it uses the warehouse folder; any other must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    root = root or tempfile.mkdtemp(prefix="tidemark-")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.latest import latest_version
+from tidemark.operators.latest import latest_version, nth_by
 
 
 def drop_folder(spark: SparkSession, folder: str, schema, fmt: str = "parquet", files_per_batch: int = 100) -> DataFrame:
@@ -66,19 +66,47 @@ def compact_log(
     read_latest(spark, path, keys, newest_by).write.mode("overwrite").parquet(f"{compacted}/_batch=-1")
 
 
-def dedupe(stream: DataFrame, ts: str, row_id: str, delay: str = "1 hour") -> DataFrame:
-    """Drop replays of an id that arrive within the delay."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([row_id])
+def dedupe_to_log(stream: DataFrame, path: str, row_id: str, first_by: Sequence[str], checkpoint: str) -> None:
+    """Append the first row per id of every micro-batch to a log, however late it comes.
+
+    Replays across batches go on reading (``read_deduped``), so no state is kept and no late row is lost.
+    """
+
+    def append(batch: DataFrame, epoch: int) -> None:
+        nth_by(batch, [row_id], [F.col(c).asc_nulls_last() for c in first_by], 1).write.mode("overwrite").parquet(f"{path}/_batch={epoch}")
+
+    query = (
+        stream.writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def read_deduped(spark: SparkSession, path: str, row_id: str, first_by: Sequence[str]) -> DataFrame:
+    """One row per id over all batches of the log: the first by ``first_by``."""
+    log = spark.read.parquet(f"{path}/_batch=*")
+    return nth_by(log, [row_id], [F.col(c).asc_nulls_last() for c in first_by], 1)
 
 
 def tumbling_counts(stream: DataFrame, ts: str, keys: Sequence[str], width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Counts per closed window and key; rows later than the delay are left out."""
+    """Counts per closed window and key; rows later than the delay are left out.
+
+    Windows still open when the stream ends are not there; ``open_counts`` has them from a batch read.
+    """
     counted = stream.withWatermark(ts, delay).groupBy(F.window(ts, width), *keys).agg(F.count(F.lit(1)).alias("rows"))
     return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "rows")
 
 
+def open_counts(rows: DataFrame, ts: str, keys: Sequence[str], since: Column, width: str = "1 hour") -> DataFrame:
+    """The counts of the windows that end after ``since``, from the stored rows: a stream's last windows."""
+    counted = rows.groupBy(F.window(ts, width), *keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("window.end") > since)
+    return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "rows")
+
+
 def sessions(stream: DataFrame, ts: str, key: str, gap: str = "24 hours", delay: str = "1 hour") -> DataFrame:
-    """Contacts of a key that follow each other within the gap, as closed sessions."""
+    """Contacts of a key that follow each other within the gap, as closed sessions; open ones come when they close."""
     grouped = stream.withWatermark(ts, delay).groupBy(F.session_window(ts, gap), key)
     return grouped.agg(F.count(F.lit(1)).alias("contacts")).select(
         key, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "contacts"
