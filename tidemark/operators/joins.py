@@ -242,9 +242,12 @@ def contains_join(
     """
     cols = list(dict.fromkeys([needle, *take]))
     usable = needles.where(F.length(needle) > 0).select(*cols).withColumn("_needle", F.struct(*cols))
-    asked = usable.select("_needle", F.explode(F.array_distinct(_grams(F.col(needle), gram, False))).alias("_gram"))
+    # the characters become a column first: inside the transform they would be split anew for each of them
+    asked = usable.select("_needle", F.split(needle, "").alias("_signs"))
+    asked = asked.select("_needle", F.explode(F.array_distinct(_grams("_signs", gram, False))).alias("_gram"))
     keyed = df.where(F.length(text) > 0).withColumn("_text", F.sha2(F.col(text).cast("binary"), 256))
-    held = keyed.select("_text", F.explode(F.array_distinct(_grams(F.col(text), gram, True))).alias("_gram"))
+    held = keyed.select("_text", F.split(text, "").alias("_signs"))
+    held = held.select("_text", F.explode(F.array_distinct(_grams("_signs", gram, True))).alias("_gram"))
     held = held.join(asked.select("_gram").distinct(), "_gram", "left_semi").distinct()
     spread = held.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     # a needle with a gram that no text holds is nowhere; so all its grams must be counted
@@ -257,11 +260,11 @@ def contains_join(
     return hit.select(*df.columns, *[F.col("_needle").getField(c).alias(c) for c in names])
 
 
-def _grams(text: Column, width: int, shorter: bool) -> Column:
-    """Runs of ``width`` characters; of a shorter text the whole, or with ``shorter`` all shorter runs besides."""
-    signs = F.split(text, "")
+def _grams(signs: str, width: int, shorter: bool) -> Column:
+    """Runs of ``width`` of an array of characters; of a shorter one the whole, or with ``shorter`` all shorter runs besides."""
     run = lambda n: lambda c, i: F.concat(c, *[F.get(signs, i + k) for k in range(1, n)])
-    of = lambda n: F.filter(F.transform(signs, run(n)), lambda g: g.isNotNull())
+    of = lambda n: F.filter(F.transform(signs, run(n)), lambda g: g.isNotNull() & (g != ""))
     if shorter:
         return F.concat(*[of(n) for n in range(1, width + 1)])
-    return F.when(F.length(text) < width, F.array(text)).otherwise(of(width))
+    whole = F.array_join(signs, "")
+    return F.when(F.length(whole) < width, F.array(whole)).otherwise(of(width))
