@@ -199,7 +199,8 @@ def near_duplicates(
 
     # exact copies of a set stand behind their smallest document
     some = signed.where("digest is not null and doc_id is not null")
-    lead = some.groupBy("digest").agg(F.min("doc_id").alias("lead"))
+    # stored, so that the join has an exchange of its own on both sides and a frequent set can be split
+    lead = space.store(some.groupBy("digest").agg(F.min("doc_id").alias("lead")), "leads")
     first = F.col("doc_id") == F.col("lead")
     members = some.join(lead, "digest").select(
         "doc_id", "n_shingles", "lead",
@@ -208,7 +209,7 @@ def near_duplicates(
     members = space.store(members, "members")
     alone = signed.where("digest is null or doc_id is null").select("doc_id", "n_shingles")
     alone = space.store(alone, "alone")
-    space.drop("signed")
+    space.drop("signed", "leads")
 
     leads = members.where("bands is not null")
     banded = leads.select(F.col("lead").alias("id"), F.explode("bands").alias("key"))
