@@ -263,7 +263,7 @@ def _lines(stream) -> Iterator[str]:
         yield from (x.decode() for x in whole)
 
 
-def with_revisits(pages: DataFrame, *, least: int = 0) -> DataFrame:
+def with_revisits(pages: DataFrame, space: Workspace, *, least: int = 0) -> DataFrame:
     """page_id, url, html (null for revisits), sha1, refers_to: of equal payloads the largest page_id is kept whole.
 
     Payloads under ``least`` bytes, and rows without a page_id, stay whole; so do rows that repeat the page_id and
@@ -273,6 +273,7 @@ def with_revisits(pages: DataFrame, *, least: int = 0) -> DataFrame:
     slim = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"))
     slim = slim.withColumn("sha1", F.sha1("html"))
     lead = slim.where(F.length("html") >= least).groupBy("sha1").agg(F.max("page_id").alias("lead"))
+    lead = space.store(lead, "leads")  # so that a frequent payload can be split in the join
     refers = F.when(F.col("page_id") != F.col("lead"), F.col("lead"))
     return slim.join(lead, "sha1", "left").select(
         "page_id", "url", F.when(refers.isNull(), F.col("html")).alias("html"), "sha1", refers.alias("refers_to")
@@ -310,7 +311,7 @@ def round_trip(pages: DataFrame, *, least: int = 0) -> DataFrame:
     are not looked at; an empty table gives no files and no rows.
     """
     space = Workspace(pages.sparkSession, "warc")
-    whole = space.store(write_archives(with_revisits(pages, least=least), space.folder("whole")), "written")
+    whole = space.store(write_archives(with_revisits(pages, space, least=least), space.folder("whole")), "written")
     single = space.store(normalise(whole, space.folder("records")), "normalised")
     space.drop("whole", "written")
     found = space.store(read_archives(single), "found")
