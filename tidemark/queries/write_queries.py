@@ -192,3 +192,26 @@ def _(t):
     first = lake.write(t.customer.select("c_custkey", "c_acctbal"), "gold", "base", "clients", cluster_by=["c_custkey"])
     lake.write(lake.read("gold", "base", "clients").withColumn("c_acctbal", F.lit(0.0)), "gold", "base", "clients")
     return lake.read("gold", "base", "clients", version=first)
+
+
+@query(
+    "time_travel_after_append_and_replace",
+    """WITH o AS (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS period FROM orders)
+       SELECT 'first' AS state, o_orderkey, period FROM o WHERE o_orderkey % 2 = 0
+       UNION ALL SELECT 'appended', o_orderkey, period FROM o
+       UNION ALL SELECT 'replaced', o_orderkey, period FROM o WHERE period <> DATE '1998-01-01' OR o_orderkey % 3 = 0""",
+)
+def _(t):
+    lake, place = Lake(t.spark, work_dir(t.spark, "states")), ("gold", "base", "orders")
+    rows = t.orders.select("o_orderkey", F.trunc("o_orderdate", "MM").alias("period"))
+    states = {
+        "first": lake.write(rows.where("o_orderkey % 2 = 0"), *place, partition_by=["period"]),
+        "appended": lake.write(rows.where("o_orderkey % 2 = 1"), *place, mode="append", partition_by=["period"]),
+    }
+    lake.replace_periods(rows.where("period = date'1998-01-01' AND o_orderkey % 3 = 0"), *place, "period")
+    states["replaced"] = lake.versions(*place)[-1]
+    seen = [
+        lake.read(*place, version=v).select(F.lit(name).alias("state"), "o_orderkey", F.col("period").cast("date").alias("period"))
+        for name, v in states.items()
+    ]
+    return seen[0].union(seen[1]).union(seen[2])

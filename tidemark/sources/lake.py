@@ -37,6 +37,15 @@ def _children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(jpath)]
 
 
+def rename(spark: SparkSession, folder: str, ending: str, target: str) -> None:
+    """Give the one file with this ending in a folder its final name."""
+    (name,) = [n for n, _ in _children(spark, folder) if n.endswith(ending) and not n.startswith(".")]
+    fs, path = _fs(spark, f"{folder}/{name}")
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(goal.getParent())
+    fs.rename(path, goal)
+
+
 class Lake:
     """Tables at ``root/layer[_env]/schema/table``.
 
@@ -77,7 +86,30 @@ class Lake:
         if wanted not in known:
             raise FileNotFoundError(f"{layer}.{schema}.{table} version {wanted}")
         reader = self.spark.read.schema(as_type) if as_type else self.spark.read
-        return reader.parquet(f"{self.path(layer, schema, table)}/v{wanted}")
+        own = reader.parquet(f"{self.path(layer, schema, table)}/v{wanted}")
+        base = self._base(layer, schema, table, wanted)
+        if base is None:
+            return own
+        older, period = base
+        before = self.read(layer, schema, table, older, as_type)
+        if period:
+            before = before.join(own.select(period).distinct(), period, "left_anti")
+        return before.unionByName(own, allowMissingColumns=True)
+
+    def _base(self, layer: str, schema: str, table: str, version: int) -> tuple[int, str] | None:
+        """The version that this one goes on from, and the column whose periods it replaces ("" for an append)."""
+        for name, _ in _children(self.spark, f"{self.path(layer, schema, table)}/v{version}"):
+            found = re.fullmatch(r"_on_(\d+)(?:_(.+))?", name)
+            if found:
+                return int(found[1]), found[2] or ""
+        return None
+
+    def _begin(self, layer: str, schema: str, table: str, older: int, period: str = "") -> int:
+        """The next version, marked as going on from ``older`` before anything is written to it."""
+        mark = f"_on_{older}" + (f"_{period}" if period else "")
+        fs, path = _fs(self.spark, f"{self.path(layer, schema, table)}/v{older + 1}/{mark}")
+        fs.create(path).close()
+        return older + 1
 
     def write(
         self,
@@ -89,9 +121,14 @@ class Lake:
         partition_by: Sequence[str] = (),
         cluster_by: Sequence[str] = (),
     ) -> int:
-        """``overwrite`` makes the next version; ``append`` adds files to the newest one."""
+        """Writes the next version: a new table, or with ``append`` rows that go on from the newest one.
+
+        A version never changes once it is there; an overwrite ends a chain of appends.
+        """
         known = self.versions(layer, schema, table)
-        version = (known[-1] if known else 0) + (1 if mode == "overwrite" or not known else 0)
+        version = (known[-1] if known else 0) + 1
+        if mode == "append" and known:
+            self._begin(layer, schema, table, known[-1])
         if cluster_by:
             # the row hash at the end lets a very frequent value span several files
             spread = F.xxhash64(*df.columns)
@@ -108,29 +145,29 @@ class Lake:
         return self.write(stamped, "bronze", schema, table, "append", ["_extraction_date"])
 
     def replace_periods(self, df: DataFrame, layer: str, schema: str, table: str, period: str) -> None:
-        """Overwrite only the periods present in ``df``; all others stay untouched on disk.
+        """The next version: the periods present in ``df`` instead of the newest version's, all others from there.
 
-        The rebalance groups rows by period but splits a period that is too big
+        Only the new periods are written.  The rebalance groups rows by period but splits a period that is too big
         for one task, which the current month usually is.
         """
         known = self.versions(layer, schema, table)
-        target = f"{self.path(layer, schema, table)}/v{known[-1] if known else 1}"
-        (
-            df.hint("rebalance", period)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(period)
-            .parquet(target)
-        )
+        version = self._begin(layer, schema, table, known[-1], period) if known else 1
+        target = f"{self.path(layer, schema, table)}/v{version}"
+        df.hint("rebalance", period).write.mode("append").partitionBy(period).parquet(target)
 
     def purge_versions(self, layer: str, schema: str, table: str, keep_hours: int, now_ms: int) -> list[int]:
-        """Delete versions older than ``keep_hours`` at ``now_ms``; the newest one always stays."""
+        """Delete versions older than ``keep_hours`` at ``now_ms``; the newest stays, with all that a kept one goes on from."""
         base = self.path(layer, schema, table)
         known = self.versions(layer, schema, table)
         ages = dict(_children(self.spark, base))
-        gone = []
-        for version in known[:-1]:
-            if now_ms - ages[f"v{version}"] > keep_hours * 3_600_000:
+        old = {v for v in known[:-1] if now_ms - ages[f"v{v}"] > keep_hours * 3_600_000}
+        for version in reversed(known):
+            base = None if version in old else self._base(layer, schema, table, version)
+            if base:
+                old.discard(base[0])
+        base, gone = self.path(layer, schema, table), []
+        for version in known:
+            if version in old:
                 fs, jpath = _fs(self.spark, f"{base}/v{version}")
                 fs.delete(jpath, True)
                 gone.append(version)
