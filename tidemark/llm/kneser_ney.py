@@ -250,8 +250,10 @@ class Model:
 
 def train(docs: DataFrame, space: Workspace, *, text_column: str = "text") -> Model:
     """Count the texts of ``docs``; null texts count as empty, that is as one end."""
-    size = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    bits = min(MOST_BITS, max(2, (int(str(size)) // SHARD_BYTES).bit_length()))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > 1 << 60:  # not known for rows that come from no files
+        size = docs.agg(F.sum(F.octet_length(F.col(text_column)))).first()[0] or 0
+    bits = min(MOST_BITS, max(2, (size // SHARD_BYTES).bit_length()))
     folder = space.folder("arrays")
     kind = "shard long, n long, data binary"
     texts = docs.select(F.col(text_column).cast("string"))
