@@ -23,7 +23,7 @@ from tidemark.llm.line_rules import clean_lines
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-@pytest.mark.parametrize("name", ["op5_warc", "op10_line_rules"])
+@pytest.mark.parametrize("name", list(op_queries.ORACLES))
 def test_queries_equal_their_sql(spark, sf, name):
     assert compare(op_queries.QUERIES[name](spark, sf), connect(sf), op_queries.ORACLES[name]) is None
 

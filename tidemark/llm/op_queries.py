@@ -37,8 +37,8 @@ counted AS (SELECT u, v, a.s AS sa, b.s AS sb, len(list_intersect(a.s, b.s)) AS
             FROM near JOIN classes a ON a.lead = u JOIN classes b ON b.lead = v),
 link AS (SELECT u, v FROM counted WHERE 100 * i >= 80 * (len(sa) + len(sb) - i)),
 edge AS (SELECT u, v FROM link UNION SELECT v, u FROM link),
-walk(id, at) AS (SELECT lead, lead FROM classes UNION SELECT walk.id, edge.v FROM walk JOIN edge ON edge.u = walk.at),
-label AS (SELECT id, min(at) AS component FROM walk GROUP BY id)
+walk(id, node) AS (SELECT lead, lead FROM classes UNION SELECT walk.id, edge.v FROM walk JOIN edge ON edge.u = walk.node),
+label AS (SELECT id, min(node) AS component FROM walk GROUP BY id)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component, s.doc_id) AS component_id,
        s.doc_id = coalesce(l.component, s.doc_id) AS kept
 FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND c.k = list_sort(s.s) LEFT JOIN label l ON l.id = c.lead
