@@ -15,13 +15,13 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables, under the shared folder of the session.
 
     The cluster names that folder in ``spark.checkpoint.dir``.  A local session
-    without it uses the warehouse folder; any other must name one.
+    without it uses its scratch folder; any other must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
-        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+        root = f"{spark.conf.get('spark.local.dir', '/tmp')}/tidemark-work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
