@@ -1,5 +1,8 @@
 """Quotation links on written conversations."""
 
+import duckdb
+
+from tidemark.llm.op_queries import OP3_SQL
 from tidemark.llm.quotes import linked_conversations
 
 TALK = [
@@ -50,3 +53,14 @@ def test_long_chains_and_odd_rows(spark):
 
 def test_empty(spark):
     assert rows(spark, []) == []
+
+
+def test_sql_agrees_where_messages_quote(spark, tmp_path):
+    kind = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame(TALK, kind).coalesce(1).write.parquet(str(tmp_path / "talk"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/talk/*.parquet')")
+    names = ["conv_id", "turn", "body", "n_quoted_lines", "n_passages", "n_linked", "reply_to", "thread", "depth", "place"]
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({OP3_SQL})").fetchall()
+    got = [tuple(r[n] for n in names) for r in linked_conversations(spark.read.parquet(str(tmp_path / "talk"))).collect()]
+    assert sorted(got) == sorted(want)

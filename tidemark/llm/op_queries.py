@@ -153,7 +153,49 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op3_quote_links")
+OP3_SQL = r"""
+WITH RECURSIVE m AS (
+  SELECT row_number() OVER () AS rid, conv_id, turn, role, string_split(coalesce(text, ''), chr(10)) AS ls FROM conversations),
+cut AS (SELECT rid, conv_id, turn, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM m),
+marked AS (SELECT *, regexp_extract(l, '^([ \t]*>)+') AS marks FROM cut),
+line AS (
+  SELECT rid, conv_id, turn, i, l, length(marks) - length(replace(marks, '>', '')) AS level,
+         lower(trim(regexp_replace(substr(l, length(marks) + 1), '\s+', ' ', 'g'))) AS norm FROM marked),
+step AS (SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY rid ORDER BY i) THEN 0 ELSE 1 END AS new FROM line),
+run AS (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY i) AS r FROM step),
+passage AS (
+  SELECT rid, conv_id, turn, level, list(norm ORDER BY i) AS said, row_number() OVER (PARTITION BY rid ORDER BY r) AS no
+  FROM run WHERE level > 0 AND norm <> '' GROUP BY rid, conv_id, turn, level, r),
+own AS (SELECT rid, conv_id, turn, list(norm ORDER BY i) AS said FROM line WHERE level = 0 AND norm <> '' GROUP BY ALL),
+says AS (
+  SELECT conv_id, turn, unnest(list_append(said, array_to_string(said, ' '))) AS x FROM own),
+origin AS (SELECT conv_id, x, min(turn) AS origin FROM says WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+unit AS (
+  SELECT DISTINCT conv_id, turn, no, level, unnest(list_append(said, array_to_string(said, ' '))) AS x,
+         unnest(range(len(said) + 1)) AS k FROM passage),
+link AS (
+  SELECT conv_id, turn, no, level, max((k, origin))[2] AS origin FROM unit JOIN origin USING (conv_id, x)
+  WHERE origin < turn GROUP BY ALL),
+answer AS (
+  SELECT conv_id, turn, count(*) AS n_linked, max((-level, origin))[2] AS reply_to FROM link GROUP BY ALL),
+walk AS (
+  SELECT conv_id, turn, reply_to AS at_turn, 1 AS depth FROM answer
+  UNION ALL SELECT w.conv_id, w.turn, a.reply_to, w.depth + 1 FROM walk w JOIN answer a ON a.conv_id = w.conv_id AND a.turn = w.at_turn),
+thread AS (SELECT conv_id, turn, max((depth, at_turn))[2] AS thread, max(depth) AS depth FROM walk GROUP BY ALL),
+body AS (
+  SELECT rid, trim(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE level = 0), '')) AS body,
+         count(*) FILTER (WHERE level > 0) AS n_quoted_lines FROM line GROUP BY rid),
+counted AS (SELECT rid, count(*) AS n FROM passage GROUP BY rid),
+ready AS (
+  SELECT m.conv_id, m.turn, role, body, n_quoted_lines, coalesce(counted.n, 0) AS n_passages, coalesce(n_linked, 0) AS n_linked,
+         reply_to, coalesce(thread.thread, m.turn) AS thread, CAST(coalesce(thread.depth, 0) AS BIGINT) AS depth
+  FROM m JOIN body USING (rid) LEFT JOIN counted USING (rid) LEFT JOIN answer ON answer.conv_id = m.conv_id AND answer.turn = m.turn
+  LEFT JOIN thread ON thread.conv_id = m.conv_id AND thread.turn = m.turn)
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread, turn) AS place FROM ready
+"""
+
+
+@query("op3_quote_links", OP3_SQL)
 def op3_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations in reply order, quotes linked and left out."""
     return linked_conversations(table(spark, sf_dir, "conversations"))
