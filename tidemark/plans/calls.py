@@ -99,13 +99,13 @@ def retention_points(
     return out.withColumn("kept_in_ivr", (answered & (F.col("repeat_24h") == 0)).cast("int"))
 
 
-def chat_fact(turns: DataFrame, chat: str, turn: str, role: str, text: str) -> DataFrame:
+def chat_fact(turns: DataFrame, chat: str, turn: str, role: str, text: str, client: str, agent: str) -> DataFrame:
     """One row per chat: turns by role, first and last speaker, characters written, surrogate key."""
     pos = F.struct(turn, role)
     fact = turns.groupBy(chat).agg(
         F.count(F.lit(1)).alias("turns"),
-        F.count_if(F.col(role) == "user").alias("client_turns"),
-        F.count_if(F.col(role) == "assistant").alias("agent_turns"),
+        F.count_if(F.col(role) == client).alias("client_turns"),
+        F.count_if(F.col(role) == agent).alias("agent_turns"),
         F.min_by(role, pos).alias("opened_by"),
         F.max_by(role, pos).alias("closed_by"),
         F.sum(F.length(text)).alias("characters"),

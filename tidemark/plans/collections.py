@@ -135,9 +135,9 @@ def monthly_mailing(stored: DataFrame, reasons: DataFrame, new_cohort: DataFrame
 
 
 def mailing_summary(mailing: DataFrame, units: DataFrame, reference: Column) -> DataFrame:
-    """Contracts, debt and exits of one reference month by unit and age band."""
+    """Contracts, debt and exits of one reference month by unit (unit_id, unit) and age band."""
     month = mailing.where(F.col("reference") == reference)
-    named = month.join(units.select(F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("unit")), "unit_id", "left")
+    named = month.join(units.select("unit_id", "unit"), "unit_id", "left")
     return named.groupBy("unit", "age_band").agg(
         F.count(F.lit(1)).alias("contracts"),
         sum_money("debt").alias("debt"),

@@ -33,9 +33,13 @@ def replaced_contracts(contracts: DataFrame, keys: Sequence[str], from_days: int
 
 
 def contract_360(
-    contracts: DataFrame, clients: DataFrame, items: DataFrame, is_add_on: Column, loyalty_days: int, as_of: Column
+    contracts: DataFrame, clients: DataFrame, items: DataFrame, is_add_on: Column, loyalty_days: int, as_of: Column,
+    channels: Sequence[tuple[Column, str]], other_channel: str,
 ) -> DataFrame:
-    """Contract with plan and add-on value, add-on names, newest item, loyalty flag and channel."""
+    """Contract with plan and add-on value, add-on names, newest item, loyalty flag and channel.
+
+    ``channels`` are rules over contract and client columns, the first that holds counts.
+    """
     value = items.groupBy("contract_id").agg(
         sum_money("price", ~is_add_on).alias("plan_value"),
         sum_money("price", is_add_on).alias("add_on_value"),
@@ -43,10 +47,7 @@ def contract_360(
         F.max("sold").alias("last_item"),
         joined_set(F.when(is_add_on, F.col("name")), "; ").alias("add_on_names"),
     )
-    channel = rule_ladder(
-        [(F.col("segment") == "BUILDING", "CORPORATE"), (F.col("plan").like("1-%"), "TELESALES"), (F.col("plan").like("5-%"), "STORE")],
-        "DIGITAL",
-    )
+    channel = rule_ladder(channels, other_channel)
     loyal = days_between("activated", as_of) <= loyalty_days
     return (
         contracts.join(clients, "client_id", "left")
@@ -59,14 +60,17 @@ def contract_360(
     )
 
 
-def contract_status(contracts: DataFrame, own_clients: DataFrame) -> DataFrame:
-    """Status with cancellation type; contracts of the company itself are left out."""
+def contract_status(contracts: DataFrame, own_clients: DataFrame, voluntary: Column) -> DataFrame:
+    """Status with cancellation type; contracts of the company itself are left out.
+
+    ``voluntary`` says which cancellations after activation the client asked for.
+    """
     early = F.col("cancelled") < F.date_add("activated", 7)
     how = rule_ladder(
         [
             (F.col("cancelled").isNull(), "NONE"),
             (early, "BEFORE ACTIVATION"),
-            (F.col("plan").isin("1-URGENT", "2-HIGH"), "VOLUNTARY"),
+            (voluntary, "VOLUNTARY"),
         ],
         "INVOLUNTARY",
     )

@@ -56,13 +56,13 @@ def kpi_bonus(indicators: DataFrame, goals: DataFrame) -> DataFrame:
     return scored.select("company", "indicator", "result", "weight", points.alias("points"))
 
 
-def service_orders(events: DataFrame, order: Sequence[str], ts: str, row_id: str, kind: str, rules: Sequence[tuple[Column, str]]) -> DataFrame:
+def service_orders(events: DataFrame, order: Sequence[str], ts: str, row_id: str, kind: str, rules: Sequence[tuple[Column, str]], start: str, finish: str) -> DataFrame:
     """One row per order: first start, first finish, last event and conclusion, by one aggregation."""
     at = F.struct(ts, row_id)
     only = lambda k: F.when(F.col(kind) == k, at)
     facts = events.groupBy(*order).agg(
-        F.min(only("signup")).alias("_start"),
-        F.min(only("purchase")).alias("_finish"),
+        F.min(only(start)).alias("_start"),
+        F.min(only(finish)).alias("_finish"),
         F.max_by(F.col(kind), at).alias("last_event"),
         F.max(F.col(ts)).alias("last_at"),
         F.count(F.lit(1)).alias("events"),

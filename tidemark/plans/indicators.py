@@ -80,6 +80,8 @@ def first_last_payment(invoices: DataFrame, client: str, paid_on: str, amount: s
 def active_base(contracts: DataFrame, clients: DataFrame, units: DataFrame, regions: DataFrame, as_of: Column) -> DataFrame:
     """Active contracts on a day by plan, unit, region and tenure.
 
+    Dimensions: clients (client_id, unit_id), units (unit_id, unit, region_id), regions (region_id, region).
+
     Contracts are counted per client before the dimensions are joined.
     """
     age = F.datediff(as_of, F.col("activated"))
@@ -92,9 +94,9 @@ def active_base(contracts: DataFrame, clients: DataFrame, units: DataFrame, regi
     wide = star_join(
         counted,
         [
-            (clients, "client_id", "c_custkey", {"c_nationkey": "_n_key"}),
-            (units, "_n_key", "n_nationkey", {"n_name": "unit", "n_regionkey": "_r_key"}),
-            (regions, "_r_key", "r_regionkey", {"r_name": "region"}),
+            (clients, "client_id", "client_id", {"unit_id": "_n_key"}),
+            (units, "_n_key", "unit_id", {"unit": "unit", "region_id": "_r_key"}),
+            (regions, "_r_key", "region_id", {"region": "region"}),
         ],
     )
     return wide.groupBy(as_of.alias("ref"), "plan", "unit", "region", "tenure").agg(F.sum("_n").alias("active"))

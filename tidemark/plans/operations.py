@@ -26,9 +26,11 @@ def provisioned_by_unit(state: DataFrame, unit: str, device: str) -> DataFrame:
     )
 
 
-def confirmation_status(turns: DataFrame, chat: str, turn: str, role: str, text: str, rules: Sequence[tuple[Column, str]]) -> DataFrame:
+def confirmation_status(
+    turns: DataFrame, chat: str, turn: str, role: str, text: str, rules: Sequence[tuple[Column, str]], client: str, agent: str
+) -> DataFrame:
     """Dispatch (first agent turn) and the last answer of the client, classified."""
-    mine, theirs = F.col(role) == "assistant", F.col(role) == "user"
+    mine, theirs = F.col(role) == agent, F.col(role) == client
     facts = turns.groupBy(chat).agg(
         F.min(F.when(mine, F.col(turn))).alias("dispatched_turn"),
         F.max_by(F.when(theirs, F.col(text)), F.when(theirs, F.col(turn))).alias("answer"),

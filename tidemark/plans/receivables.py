@@ -125,13 +125,14 @@ def payer_profile_recurrent(
 def invoice_current(
     versions: DataFrame, clients: DataFrame, units: DataFrame, as_of: Column, collectable_from: float
 ) -> DataFrame:
-    """Newest version per invoice with client, unit, and whether it may be collected."""
+    """Newest version per invoice with client, unit, and whether it may be collected.
+
+    Dimensions: clients (client_id, unit_id, segment), units (unit_id, unit).
+    """
     newest = latest_version(versions, ["invoice_id"], ["version"])
     named = newest.join(
-        clients.select(F.col("c_custkey").alias("client_id"), F.col("c_nationkey").alias("_unit"), F.col("c_mktsegment").alias("segment")),
-        "client_id",
-        "left",
-    ).join(units.select(F.col("n_nationkey").alias("_unit"), F.col("n_name").alias("unit")), "_unit", "left")
+        clients.select("client_id", F.col("unit_id").alias("_unit"), "segment"), "client_id", "left"
+    ).join(units.select(F.col("unit_id").alias("_unit"), "unit"), "_unit", "left")
     may = F.col("paid_on").isNull() & (F.col("due") < as_of) & (F.col("amount") >= collectable_from)
     return named.select(
         "invoice_id", "client_id", "version", "amount", "due", "paid_on", "segment", "unit",

@@ -271,4 +271,7 @@ def _(t):
        WHERE activated <= DATE '{AS_OF}' AND (cancelled IS NULL OR cancelled > DATE '{AS_OF}') GROUP BY ALL""",
 )
 def _(t):
-    return indicators.active_base(contracts(t), t.customer, t.nation, t.region, day())
+    clients = t.customer.select(F.col("c_custkey").alias("client_id"), F.col("c_nationkey").alias("unit_id"))
+    units = t.nation.select(F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("unit"), F.col("n_regionkey").alias("region_id"))
+    regions = t.region.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region"))
+    return indicators.active_base(contracts(t), clients, units, regions, day())

@@ -4,6 +4,11 @@ from tidemark.plans import contracts as plans
 from tidemark.queries.registry import query
 from tidemark.queries.testbed import ACC, AS_OF, CON, INV, accounts, contracts, day, invoices
 
+def _channels():
+    return [
+        (F.col("segment") == "BUILDING", "CORPORATE"), (F.col("plan").like("1-%"), "TELESALES"), (F.col("plan").like("5-%"), "STORE")
+    ]
+
 
 @query(
     "contract_360",
@@ -23,7 +28,7 @@ def _(t):
         F.concat(F.lit("flag "), "l_returnflag").alias("name"), F.col("l_shipdate").alias("sold"),
     )
     clients = t.customer.select(F.col("c_custkey").alias("client_id"), F.col("c_mktsegment").alias("segment"))
-    return plans.contract_360(contracts(t), clients, items, F.col("l_linenumber") > 1, 365, day())
+    return plans.contract_360(contracts(t), clients, items, F.col("l_linenumber") > 1, 365, day(), _channels(), "DIGITAL")
 
 
 @query(
@@ -34,7 +39,7 @@ def _(t):
 )
 def _(t):
     own = t.customer.where("c_acctbal > 9500").select(F.col("c_custkey").alias("client_id"))
-    return plans.contract_status(contracts(t), own)
+    return plans.contract_status(contracts(t), own, F.col("plan").isin("1-URGENT", "2-HIGH"))
 
 
 @query(

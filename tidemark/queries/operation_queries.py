@@ -213,7 +213,7 @@ def _(t):
 def _(t):
     log = t.events.withColumn("order_day", F.to_date("ts"))
     rules = [(F.col("last_event") == "error", "FAILED"), (F.col("first_finish").isNotNull(), "DONE")]
-    return fieldservice.service_orders(log, ["user_id", "order_day"], "ts", "event_id", "event_type", rules)
+    return fieldservice.service_orders(log, ["user_id", "order_day"], "ts", "event_id", "event_type", rules, "signup", "purchase")
 
 
 @query(
@@ -257,7 +257,7 @@ def _(t):
        FROM conversations GROUP BY conv_id""",
 )
 def _(t):
-    return call_plans.chat_fact(t.conversations, "conv_id", "turn", "role", "text")
+    return call_plans.chat_fact(t.conversations, "conv_id", "turn", "role", "text", "user", "assistant")
 
 
 @query(
@@ -309,7 +309,7 @@ def _(t):
 )
 def _(t):
     rules = [(F.col("answer").ilike("%the%"), "CONFIRMED"), (F.length("answer") > 500, "RESCHEDULE")]
-    return operations.confirmation_status(t.conversations, "conv_id", "turn", "role", "text", rules)
+    return operations.confirmation_status(t.conversations, "conv_id", "turn", "role", "text", rules, "user", "assistant")
 
 
 @query(

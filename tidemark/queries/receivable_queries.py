@@ -15,6 +15,10 @@ PDD = f"""WITH {INV}, a AS (SELECT invoice_id, client_id, amount, due, DATE '{AS
         CASE WHEN aging > 90 THEN 'PDD' WHEN aging <= 0 THEN 'A VENCER' ELSE 'VENCIDO DE 1 A 90' END AS own_class FROM a)"""
 
 
+def _units(t):
+    return t.nation.select(F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("unit"))
+
+
 @query("pdd_aging", f"{PDD} SELECT * FROM c")
 def _(t):
     return receivables.pdd_aging(invoices(t), day())
@@ -75,7 +79,10 @@ def _(t):
         "*", F.explode(F.sequence(F.lit(1), (1 + F.col("invoice_id") % 3).cast("int"))).alias("version")
     )
     versions = versions.withColumn("amount", F.col("amount") + F.col("version") - 1)
-    return receivables.invoice_current(versions, t.customer, t.nation, day(), 100000)
+    clients = t.customer.select(
+        F.col("c_custkey").alias("client_id"), F.col("c_nationkey").alias("unit_id"), F.col("c_mktsegment").alias("segment")
+    )
+    return receivables.invoice_current(versions, clients, _units(t), day(), 100000)
 
 
 @query(
@@ -201,7 +208,7 @@ def _(t):
 def _(t):
     cohort = _stored_cohort(t)
     now = collections.apply_exits(_stored(cohort), _reasons(t, cohort), day("2001-07-31"))
-    return collections.mailing_summary(now, t.nation, day("2001-06-01"))
+    return collections.mailing_summary(now, _units(t), day("2001-06-01"))
 
 
 @query(
