@@ -1,6 +1,5 @@
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import NULL_TOKEN
 from tidemark.operators.reshape import date_grid
 from tidemark.plans import calls as call_plans
 from tidemark.plans import churn, fieldservice, first_payment, operations, sales
@@ -61,7 +60,7 @@ INST = f"""{ACC}, {INV}, inst AS (SELECT contract_id, invoice_id, due, paid_on,
     "fpd_flags",
     f"""WITH {INST}, x AS (SELECT *, coalesce(paid_on, DATE '{AS_OF}') - due AS late_days FROM inst WHERE n = 1)
        SELECT contract_id, invoice_id, due, paid_on, amount, late_days, CAST(due <= DATE '{AS_OF}' AS INTEGER) AS flag_fb, """
-    + ", ".join(f"CAST(late_days >= {n} AS INTEGER) AS flag_fpd{n}d" for n in first_payment.LATE_DAYS)
+    + ", ".join(f"CAST(late_days >= {n} AS INTEGER) AS flag_fpd{n}d" for n in (1, 5, 10, 15, 20, 30))
     + " FROM x",
 )
 def _(t):
@@ -238,7 +237,7 @@ def _(t):
                  UNION ALL SELECT event_id, ts, user_id, call_day, agent, skill, 0, NULL FROM calls WHERE agent = 'error'),
        r AS (SELECT *, row_number() OVER w AS leg_no, row_number() OVER (PARTITION BY user_id, call_day ORDER BY ts DESC, event_id DESC) = 1 AS is_last FROM every WINDOW w AS (PARTITION BY user_id, call_day ORDER BY ts, event_id))
        SELECT c.user_id, c.call_day, CASE WHEN leg_no IS NULL OR is_last THEN duration END AS duration, segments, event_id, ts, agent, skill, coalesce(transferred, 0) AS transferred, transferred_to, leg_no,
-         md5(CAST(c.user_id AS VARCHAR) || '-' || CAST(c.call_day AS VARCHAR) || '-' || coalesce(CAST(leg_no AS VARCHAR), '{NULL_TOKEN}')) AS call_key
+         md5(CAST(c.user_id AS VARCHAR) || '-' || CAST(c.call_day AS VARCHAR) || '-' || coalesce(CAST(leg_no AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS call_key
        FROM c LEFT JOIN r ON c.user_id = r.user_id AND c.call_day = r.call_day""",
 )
 def _(t):

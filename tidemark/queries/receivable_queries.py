@@ -6,10 +6,13 @@ from tidemark.sources.lake import Lake, work_dir
 from tidemark.queries.scalar_queries import PHONE_SQL, raw_phones
 from tidemark.queries.testbed import ACC, AS_OF, INV, accounts, day, invoices
 
-BAND = "CASE " + " ".join(
-    f"WHEN aging <= {b} THEN '{n}'" for b, n in zip(receivables.BANDS, receivables.BAND_NAMES)
-) + " ELSE '366+' END"
-BAND_NO = "CASE " + " ".join(f"WHEN aging <= {b} THEN {i}" for i, b in enumerate(receivables.BANDS)) + " ELSE 13 END"
+BAND = """CASE WHEN aging <= 0 THEN 'A VENCER' WHEN aging <= 30 THEN '1-30' WHEN aging <= 60 THEN '31-60' WHEN aging <= 90 THEN '61-90'
+  WHEN aging <= 120 THEN '91-120' WHEN aging <= 150 THEN '121-150' WHEN aging <= 180 THEN '151-180' WHEN aging <= 210 THEN '181-210'
+  WHEN aging <= 240 THEN '211-240' WHEN aging <= 270 THEN '241-270' WHEN aging <= 300 THEN '271-300' WHEN aging <= 330 THEN '301-330'
+  WHEN aging <= 365 THEN '331-365' ELSE '366+' END"""
+BAND_NO = """CASE WHEN aging <= 0 THEN 0 WHEN aging <= 30 THEN 1 WHEN aging <= 60 THEN 2 WHEN aging <= 90 THEN 3 WHEN aging <= 120 THEN 4
+  WHEN aging <= 150 THEN 5 WHEN aging <= 180 THEN 6 WHEN aging <= 210 THEN 7 WHEN aging <= 240 THEN 8 WHEN aging <= 270 THEN 9
+  WHEN aging <= 300 THEN 10 WHEN aging <= 330 THEN 11 WHEN aging <= 365 THEN 12 ELSE 13 END"""
 PDD = f"""WITH {INV}, a AS (SELECT invoice_id, client_id, amount, due, DATE '{AS_OF}' - due AS aging FROM inv WHERE paid_on IS NULL),
   c AS (SELECT *, {BAND} AS band, {BAND_NO} AS band_order,
         CASE WHEN aging > 90 THEN 'PDD' WHEN aging <= 0 THEN 'A VENCER' ELSE 'VENCIDO DE 1 A 90' END AS own_class FROM a)"""

@@ -9,7 +9,7 @@ from tidemark.queries.testbed import AS_OF, INV, day, invoices
 MONTHS = f"""(date_diff('month', o_orderdate, DATE '{AS_OF}')
   - CASE WHEN o_orderdate <= DATE '{AS_OF}' AND day(o_orderdate) > day(DATE '{AS_OF}') THEN 1
          WHEN o_orderdate > DATE '{AS_OF}' AND day(o_orderdate) < day(DATE '{AS_OF}') THEN -1 ELSE 0 END)"""
-FOLD = f"translate({{}}, '{text.ACCENTED}', '{text.PLAIN}')"
+FOLD = """translate({}, 'ÁÉÍÓÚáéíóúÂÊÎÔÛâêîôûÀÈÌÒÙàèìòùÄËÏÖÜäëïöüÇçÑñÃãõÕ', 'AEIOUaeiouAEIOUaeiouAEIOUaeiouAEIOUaeiouCcNnAaoO')"""
 
 
 @query("strip_accents", f"SELECT doc_id, md5({FOLD.format('text')}) AS folded FROM documents")
@@ -223,7 +223,7 @@ def _(t):
 
 @query(
     "surrogate_key",
-    f"""SELECT l_orderkey, l_linenumber, l_partkey, md5(CAST(l_orderkey AS VARCHAR) || '-' || coalesce(nullif(l_returnflag, 'N'), '{text.NULL_TOKEN}')
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, md5(CAST(l_orderkey AS VARCHAR) || '-' || coalesce(nullif(l_returnflag, 'N'), '_dbt_utils_surrogate_key_null_')
          || '-' || CAST(l_partkey AS VARCHAR)) AS row_key FROM lineitem""",
 )
 def _(t):
