@@ -64,6 +64,18 @@ def test_large_group_with_stragglers(spark):
     assert got == plain(rows, 2)
 
 
+def test_large_group_of_many_components(spark):
+    """Copies just about as far from each other as a link allows: most links are out of any star's reach."""
+    draw = random.Random(4)
+    base = [f"w{draw.randrange(300)}" for _ in range(200)]
+    rows = [(k, edited(draw, base, draw.choice([7, 8]))) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs, width=2).collect()}
+    want = plain(rows, 2)
+    assert 20 < len({label for _, label in want.values()}) < 180
+    assert got == want
+
+
 def test_odd_rows(spark):
     long = " ".join(f"w{k % 7001}" for k in range(200_000))
     rows = [

@@ -5,9 +5,9 @@ smallest hash that falls in it, and an empty bin borrows from a full one in an o
 every text (optimal densification).  ``rows`` bins in a row form a band, and equal bands form a bucket.  A bucket
 proposes a star: its smallest document with every other one, so candidates grow with the bucket and not with its
 square.  Candidates are confirmed on the full sets.  Where a bucket then still holds several components, its star may
-have hidden a link: small buckets give all pairs of different components, larger ones stars around ``CENTRES`` more
-documents.  A sketch of one bit per bin keeps hopeless pairs out.  So the work grows with the buckets' sizes, and a
-link can go unseen only where all buckets that its documents share are large and none of their centres reaches it.
+have hidden a link.  The documents of such buckets are searched once more, exactly: those of different components that
+share one of their rarest shingles (prefix filter, with sizes and places) are confirmed as well.  So no link between
+documents that share a bucket goes unseen; pairs grow with the documents outside the largest component of a shingle.
 """
 
 from __future__ import annotations
@@ -25,14 +25,8 @@ from tidemark.llm.common import Workspace, batch_words, chain, mix, shingles
 from tidemark.llm.components import components
 
 BINS, ROWS = 512, 8
-#: Share of sketch bits that agree: 0.9 is expected at a similarity of 0.8, this at 0.7.
-SKETCH_AGREE = 0.85
 #: Below this many full bins, ranks of the full bins are compared; above, bins are probed in order.
 _FEW = 22
-#: Buckets of so many documents give all pairs of different components at once.
-SMALL = 32
-#: New centres of a larger bucket.
-CENTRES = 2
 
 
 def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
@@ -94,28 +88,25 @@ def _band_keys(sign: np.ndarray, rows: int) -> np.ndarray:
 def _signed(width: int, bins: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, bands, sketches = [], [], [], []
+            sizes, digests, bands = [], [], []
             for _, words, _, _ in batch_words(batch.column(1)):
                 found = shingle_set(words, width)
                 sizes.append(len(found))
                 if not len(found):
                     digests.append(None)
                     bands.append(None)
-                    sketches.append(None)
                     continue
                 sign = signature(found, bins)
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                 bands.append(_band_keys(sign, rows).view(np.int64))
-                sketches.append(np.packbits((sign & np.uint64(1)).astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "digest", "bands", "sketch"],
+                ["doc_id", "n_shingles", "digest", "bands"],
             )
 
     return run
@@ -132,36 +123,43 @@ def _sets(width: int):
     return run
 
 
-def _across(node: DataFrame, percent: int, bins: int) -> DataFrame:
-    """Pairs (u, v) of different components in one bucket whose sketches and sizes allow a link.
+def _prefixes(sets: DataFrame, labels: DataFrame, space: Workspace, percent: int) -> DataFrame:
+    """The rarest shingles of every set, as many as a linked set cannot miss all of: x, id, label, n, place (from 1).
 
-    A bucket of at most ``SMALL`` documents gives all its pairs; a larger one the pairs of up to ``CENTRES``
-    documents outside its largest component, drawn by hash, with all others.
+    Shingles are ordered by the number of these sets that hold them, the same for every set.
     """
-    node = node.withColumn("label", F.coalesce("label", "id"))
-    picks = [
-        F.min(F.struct(F.xxhash64("id", F.lit(j)), "id")).alias(f"pick{j}") for j in range(CENTRES)
-    ]
-    group = node.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), *picks)
-    mixed = group.groupBy("key").agg(
-        F.max(F.struct("c", "label"))["label"].alias("most"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("k")
-    ).where("k > 1").select("key", "most", "n")
-    centre = group.join(mixed.where(F.col("n") > SMALL), "key").where("label <> most")
-    centre = centre.groupBy("key").agg(F.array(*[F.min(f"pick{j}")["id"] for j in range(CENTRES)]).alias("ids"))
-    centre = centre.select("key", F.explode(F.array_distinct("ids")).alias("id")).join(node, ["key", "id"])
-    few = mixed.where(F.col("n") <= SMALL).select("key")
-    centre = centre.union(node.join(few, "key", "left_semi").select(*centre.columns))
-    x, y = node.alias("x"), centre.alias("y")
-    differing = sum(
-        (F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(bins // 64)), F.lit(0)
+    each = space.store(sets.select("id", F.explode("found").alias("x")), "each")
+    held = space.store(each.groupBy("x").agg(F.count(F.lit(1)).alias("f")), "held")
+    ordered = each.join(held, "x").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("f", "x")))["x"].alias("found"))
+    n = F.size("found")
+    most = (n - F.ceil(percent * n / 100) + 1).cast("int")
+    first = ordered.join(labels, "id", "left").select(
+        "id", F.coalesce("label", "id").alias("label"), n.alias("n"), F.posexplode(F.slice("found", F.lit(1), most))
     )
+    return first.select(F.col("col").alias("x"), "id", "label", "n", (F.col("pos") + 1).alias("place"))
+
+
+def _across(prefix: DataFrame, space: Workspace, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components that share a shingle of their prefixes and may still be linked.
+
+    Of the sets with a shingle all outside its largest component meet all others.  The first shingle that two sets share
+    leaves them no more in common than what follows it; both must then hold the overlap that a link takes.
+    """
+    group = prefix.groupBy("x", "label").agg(F.count(F.lit(1)).alias("c"))
+    mixed = group.groupBy("x").agg(
+        F.max(F.struct("c", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("k")
+    ).where("k > 1").select("x", "most")
+    # stored, so that the joins have exchanges of their own on both sides and a frequent shingle can be split
+    mixed = space.store(mixed, "mixed")
+    centre = space.store(prefix.join(mixed, "x").where("label <> most").select(*prefix.columns), "centre")
+    a, b = prefix.alias("a"), centre.alias("b")
+    rest = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place")) + 1
     alike = (
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
-        & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-        & (differing <= int(bins * (1 - SKETCH_AGREE)))
+        (F.col("a.x") == F.col("b.x")) & (F.col("a.label") != F.col("b.label"))
+        & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+        & ((100 + percent) * rest >= percent * (F.col("a.n") + F.col("b.n")))
     )
-    pair = x.join(y, alike)
-    return pair.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
+    return a.join(b, alike).select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")).distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -194,7 +192,7 @@ def near_duplicates(
     spark = docs.sparkSession
     space = Workspace(spark, "minhash")
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    kind = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
+    kind = "doc_id long, n_shingles long, digest binary, bands array<long>"
     signed = space.store(slim.mapInArrow(_signed(width, bins, rows), kind), "signed")
 
     # exact copies of a set stand behind their smallest document
@@ -203,8 +201,7 @@ def near_duplicates(
     lead = space.store(some.groupBy("digest").agg(F.min("doc_id").alias("lead")), "leads")
     first = F.col("doc_id") == F.col("lead")
     members = some.join(lead, "digest").select(
-        "doc_id", "n_shingles", "lead",
-        F.when(first, F.col("bands")).alias("bands"), F.when(first, F.col("sketch")).alias("sketch"),
+        "doc_id", "n_shingles", "lead", F.when(first, F.col("bands")).alias("bands"),
     )
     members = space.store(members, "members")
     alone = signed.where("digest is null or doc_id is null").select("doc_id", "n_shingles")
@@ -228,15 +225,21 @@ def near_duplicates(
     edges = space.store(_confirmed(star, sets, percent), "edges")
     labels = components(edges, space, "labels")
 
-    # buckets that still hold several components: every pair of a small one, new centres for a large one
-    node = large.select("key", F.col("v").alias("id")).distinct()
-    node = node.join(leads.select(F.col("lead").alias("id"), "n_shingles", "sketch"), "id")
-    node = space.store(node.join(labels, "id", "left"), "node")
-    fresh = space.store(_across(node, percent, bins).join(star, ["u", "v"], "left_anti"), "fresh")
+    # documents of buckets that still hold several components: all links between those components
+    node = large.select("key", F.col("v").alias("id")).join(labels, "id", "left")
+    node = node.select("key", "id", F.coalesce("label", "id").alias("label"))
+    several = node.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    several = space.store(several.select("key"), "several")
+    unsettled = space.store(node.join(several, "key").select("id").distinct(), "unsettled")
+    prefix = _prefixes(sets.join(unsettled, "id", "left_semi"), labels, space, percent)
+    prefix = space.store(prefix, "prefix")
+    space.drop("several", "unsettled", "each", "held", "buckets", "large")
+    fresh = space.store(_across(prefix, space, percent).join(star, ["u", "v"], "left_anti"), "fresh")
+    space.drop("prefix", "mixed", "centre")
     more = space.store(_confirmed(fresh, sets, percent), "more")
     if not more.isEmpty():
         labels = components(edges.union(more), space, "relabels")
-    space.drop("buckets", "large", "star", "sets", "edges", "node", "fresh", "more")
+    space.drop("star", "sets", "edges", "fresh", "more")
 
     named = members.select("doc_id", "n_shingles", "lead").join(
         labels.select(F.col("id").alias("lead"), "label"), "lead", "left"
