@@ -269,6 +269,19 @@ def test_leaks_exact_and_paraphrased(spark):
     assert decontaminate.leaks(docs.limit(0), bench).count() == 0 == decontaminate.leaks(docs, bench.limit(0)).count()
 
 
+def test_leaks_of_long_items_and_full_blocks(spark):
+    draw = random.Random(16)
+    items = [(k, " ".join(f"term{draw.randrange(20_000)}" for _ in range(n))) for k, n in enumerate([10, 600, 2000, *[30] * 300])]
+    rows = []
+    for k, text in items:
+        noise = [f"noise{draw.randrange(5000)}" for _ in range(200)]
+        at = draw.randrange(200)
+        rows.append((k, " ".join([*noise[:at], text, *noise[at:]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {(r.doc_id, r.item_id, r.lcs) for r in decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {(k, k, len(text.split())) for k, text in items}
+
+
 # line rules
 
 
