@@ -282,6 +282,21 @@ def test_leaks_of_long_items_and_full_blocks(spark):
     assert found == {(k, k, len(text.split())) for k, text in items}
 
 
+@pytest.mark.parametrize("fillers", [100, 20_000])
+def test_leaks_of_common_words_at_any_document_count(spark, fillers):
+    draw = random.Random(17)
+    words = [f"term{k}" for k in range(160)]
+    shuffled = draw.sample(words, 160)
+    items = [(k, " ".join(shuffled[16 * k : 16 * k + 16])) for k in range(10)]
+    items += [(10 + k, " ".join(draw.sample(words, 8))) for k in range(10)]
+    noise = lambda n: [f"noise{draw.randrange(5000)}" for _ in range(n)]
+    rows = [(k, " ".join([*noise(90 + 3 * k), text, *noise(100)])) for k, text in items]
+    rows += [(1000 + k, " ".join(draw.sample([*draw.sample(words, 32), *noise(40)], 72))) for k in range(fillers)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.where("doc_id < 1000").collect()} == {(k, k) for k, _ in items}
+
+
 # line rules
 
 
