@@ -318,6 +318,12 @@ def test_line_rules_on_odd_rows(spark):
     assert clean_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_line_rules_query_returns_the_cleaning(spark, sf):
+    got = {r.doc_id: (r.clean_chars, r.clean_sha256) for r in op_queries.QUERIES["op10_line_rules"](spark, sf).collect()}
+    clean = {r.doc_id: r.clean_text for r in clean_lines(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
+    assert got == {d: (None, None) if t is None else (len(t), hashlib.sha256(t.encode()).hexdigest()) for d, t in clean.items()}
+
+
 def test_repeated_words_by_brute_force(spark):
     draw = random.Random(8)
     rows = [(k, " ".join(draw.choice("ab") + draw.choice("cd") for _ in range(draw.randrange(40)))) for k in range(300)]

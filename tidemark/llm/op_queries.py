@@ -92,8 +92,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = r"""
-WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, text IS NULL AS missing FROM documents),
+w AS (SELECT doc_id, text, missing, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
              [l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines FROM t),
 j AS (
   SELECT *, [l FOR l IN lines IF
@@ -117,19 +117,23 @@ c AS (
          CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
          CAST(length(regexp_replace(array_to_string(failed, ''), '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS lost,
-         CAST(len(failed) AS BIGINT) AS n_failed_lines
+         CAST(len(failed) AS BIGINT) AS n_failed_lines,
+         CASE WHEN NOT missing THEN coalesce(array_to_string(
+           [l FOR l IN string_split(text, chr(10)) IF NOT list_contains(failed, l)], chr(10)), '') END AS clean_text
   FROM j LEFT JOIN r USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_failed_lines,
-       NOT base_failed AND 100 * lost <= 50 * word_chars AS kept FROM b
+       NOT base_failed AND 100 * lost <= 50 * word_chars AS kept,
+       CAST(length(clean_text) AS BIGINT) AS clean_chars, sha256(clean_text) AS clean_sha256 FROM b
 """
 
 
 @query("op10_line_rules", OP10_SQL)
 def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-first cleaning of every text."""
+    """Line-first cleaning of every text, with the length and digest of what is left."""
     found = clean_lines(table(spark, sf_dir, "documents"))
-    return found.drop("n_lines", "clean_text")
+    left = {"clean_chars": F.length("clean_text").cast("long"), "clean_sha256": F.sha2("clean_text", 256)}
+    return found.withColumns(left).drop("n_lines", "clean_text")
 
 
 @query("op8_kneser_ney")
