@@ -18,6 +18,7 @@ from tidemark.llm.packing import packed_documents
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.quotes import linked_conversations
 from tidemark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from tidemark.llm.spelling import spelling_groups
 
 OP1_SQL = r"""
 WITH RECURSIVE words AS (
@@ -203,3 +204,47 @@ SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread, turn) AS plac
 def op3_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations in reply order, quotes linked and left out."""
     return linked_conversations(table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+distinct_runs AS (SELECT doc_id, run, count(*) AS n, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS x FROM runs GROUP BY ALL),
+-- crc32 four bits at a time, the low half of each byte first; the list has the remainders of 0 to 15
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, [CAST(strpos('0123456789ABCDEF', substr(x, i + 2 - 2 * (i % 2), 1)) - 1 AS BIGINT) FOR i IN range(length(x))]),
+    lambda c, b: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384,
+      4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][1 + (xor(c, b) & 15)]))) AS h
+  FROM distinct_runs WHERE length(run) >= 5),
+typed AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+              ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+cut AS (SELECT word, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS pattern,
+               substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM places),
+near AS (
+  SELECT a.word AS u, b.word AS v FROM cut a JOIN cut b USING (pattern) WHERE a.word <> b.word
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON words.word = cut.less
+  UNION SELECT words.word, cut.word FROM cut JOIN words ON words.word = cut.less),
+best AS (
+  SELECT u, v, words.n, count(*) OVER (PARTITION BY u) AS n_near, row_number() OVER (PARTITION BY u ORDER BY words.n DESC, v) AS r
+  FROM near JOIN words ON words.word = v),
+formed AS (
+  SELECT word, CASE WHEN best.n >= 2 * words.n THEN v END AS form, words.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best.n >= 2 * words.n THEN best.n END AS form_n
+  FROM words LEFT JOIN best ON u = word AND r = 1),
+walk(word, here, step) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL SELECT walk.word, formed.form, step + 1 FROM walk JOIN formed ON formed.word = walk.here WHERE form IS NOT NULL),
+roots AS (SELECT word, max_by(here, step) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
+
+@query("op11_spelling_variants", OP11_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts, one in 97 of each document mistyped, with the spelling that each varies."""
+    return spelling_groups(table(spark, sf_dir, "documents"))
