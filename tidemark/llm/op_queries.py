@@ -13,6 +13,7 @@ from tidemark.llm.decontaminate import leaks
 from tidemark.llm.kneser_ney import language_scores
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.minhash import near_duplicates
+from tidemark.llm.mixing import mixture, taken_words
 from tidemark.llm.spans import digest
 from tidemark.llm.packing import packed_documents
 from tidemark.llm.quality import quality_scores
@@ -248,3 +249,10 @@ SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all texts, one in 97 of each document mistyped, with the spelling that each varies."""
     return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op12_mixed_sources")
+def op12_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of one and a half times all words takes of each document; sources weigh 3, 1, 2, repeating."""
+    mixed = mixture(table(spark, sf_dir, "documents"), lambda names: [(3, 1, 2)[k % 3] for k in range(len(names))])
+    return taken_words(mixed)
