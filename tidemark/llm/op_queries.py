@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import personal, warc
+from tidemark.llm.alignment import alignment
 from tidemark.llm import secrets as secret_rules
 from tidemark.llm.common import id_crc32
 from tidemark.llm.decontaminate import leaks
@@ -256,3 +257,10 @@ def op12_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of one and a half times all words takes of each document; sources weigh 3, 1, 2, repeating."""
     mixed = mixture(table(spark, sf_dir, "documents"), lambda names: [(3, 1, 2)[k % 3] for k in range(len(names))])
     return taken_words(mixed)
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level and sentencepiece tokens of every text, aligned, with the counts of their links."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment(table(spark, sf_dir, "documents"), *paths).documents
