@@ -90,18 +90,30 @@ def test_segments_give_the_ids_of_whole_texts():
     tokenizers = alignment.Pair(A, B)
     assert tokenizers.cuts
     texts = drawn_texts(4000, 1)
-    for text, (a, b) in zip(texts, tokenizers.encoded(texts)):
+    check_ids(tokenizers, texts)
+
+
+def check_ids(tokenizers, texts):
+    (a, sizes_a), (b, sizes_b) = tokenizers.encoded(texts)
+    a, b = (np.split(x, np.cumsum(sizes)[:-1]) for x, sizes in ((a, sizes_a), (b, sizes_b)))
+    for text, got_a, got_b in zip(texts, a, b):
         want_a, want_b = plain_tokens(text)
-        assert a.tolist() == [k for k, _ in want_a] and b.tolist() == [k for k, _ in want_b], text
+        assert got_a.tolist() == [k for k, _ in want_a] and got_b.tolist() == [k for k, _ in want_b], text
+
+
+def test_remembered_segments_are_bounded(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 50)
+    tokenizers = alignment.Pair(A, B)
+    for seed in range(8):
+        check_ids(tokenizers, drawn_texts(20, seed))
+    assert len(tokenizers.known) < 600
 
 
 def test_whole_texts_where_cutting_is_not_safe():
     tokenizers = alignment.Pair(A, B)
     tokenizers.cuts = False
     texts = drawn_texts(300, 2)
-    for text, (a, b) in zip(texts, tokenizers.encoded(texts)):
-        want_a, want_b = plain_tokens(text)
-        assert a.tolist() == [k for k, _ in want_a] and b.tolist() == [k for k, _ in want_b], text
+    check_ids(tokenizers, texts)
 
 
 def test_group_ends_are_the_common_ends():
@@ -124,7 +136,7 @@ def test_packed_numbers():
         assert alignment._unpacked(alignment._packed(np.array(values, np.int64))).tolist() == values
 
 
-@pytest.mark.parametrize("block_links", [4_000_000, 50])
+@pytest.mark.parametrize("block_links", [4_000_000, 500])
 def test_equals_plain_merging(spark, block_links):
     texts = [*drawn_texts(250, 5), "the same text", "the same text", None, ""]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)

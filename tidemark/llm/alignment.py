@@ -14,9 +14,11 @@ counts back.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,18 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import Workspace
 
-#: Links of a block of documents; a longer document is a block of its own.
+#: Links of a block of documents, unless texts that are aligned together have more.
 BLOCK_LINKS = 4_000_000
-#: Characters that are encoded together; segments that a worker remembers, and the longest of them.
-CHARS, REMEMBERED, LONGEST = 1 << 20, 400_000, 64
+#: Characters of texts that are aligned together, and of the segments that a worker remembers.
+CHARS, REMEMBERED = 1 << 20, 4_000_000
+#: New segments that are encoded as one text.
+GROUPED = 64
 #: Tokens in a row that agree before probing begins.
 WARM = 4
 
+_word = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+")  # one word for a byte-level tokenizer
+_apart = re.compile(r"^ |\s |\s$")
+
 
 def byte_letters() -> dict[str, int]:
     """The printable letter that byte-level vocabularies use for each byte."""
@@ -56,6 +63,7 @@ class Pair:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = byte_letters()
+        self.letters = {b: c for c, b in letters.items()}
         vocabulary = self.a.get_vocab()
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, k in vocabulary.items():
@@ -66,7 +74,13 @@ class Pair:
         splits = b'"ByteLevel"' in state and b'"use_regex":true' in state and b'"add_prefix_space":false' in state
         joined = any("▁" in p.lstrip("▁") for p in map(self.b.id_to_piece, range(self.b.get_piece_size())))
         self.cuts = splits and not joined and self.a.normalizer is None
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # segment to its place below
+        self.chars = 0
+        self.lost = np.zeros(0, bool)  # whether a tokenizer loses bytes of the segment
+        self.ids, self.starts, self.sizes = ([np.zeros(0, np.int64)] * 2 for _ in range(3))  # where its ids are, and how many
 
     def _piece(self, k: int) -> bytes:
         piece = self.b.id_to_piece(k)
@@ -79,7 +93,7 @@ class Pair:
         if not self.cuts:
             return [text]
         parts = text.split(" ")
-        if not any(not w or w[-1].isspace() for w in parts):
+        if not _apart.search(text):
             return parts
         out, held = [], None
         for w in parts:
@@ -93,31 +107,72 @@ class Pair:
             out[-1:] = [f"{out[-1]} {held}" if out else held]
         return out
 
-    def learn(self, segments: set[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """Ids of segments under both tokenizers as 32-bit numbers; None where the bytes are not those of the segment."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [s for s in segments if s not in self.known]
-        got = {}
-        if new:
-            ids_a = self.a.encode_batch_fast([" " + s for s in new], add_special_tokens=False)
-            for s, a, b in zip(new, ids_a, self.b.encode(new, num_threads=1)):
-                raw, a = b" " + s.encode(), a.ids
-                whole = b"".join([self.bytes_a[k] for k in a]) == raw == b"".join([self.bytes_b[k] for k in b])
-                found = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if whole else None
-                (self.known if len(s) <= LONGEST else got)[s] = found
-        return got
-
-    def encoded(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of each text under both tokenizers, none where a text is empty or its bytes are not whole."""
+    def _ids_a(self, words: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of segments and ids of each: ``words`` are letters only, ``others`` may stand one behind the other."""
+        of_words = [[t.id for t in self.a.model.tokenize("Ġ" + w.encode().decode("latin-1").translate(self.letters))] for w in words]
+        ids, sizes = np.fromiter(chain.from_iterable(of_words), np.int64), np.fromiter(map(len, of_words), np.int64, len(words))
+        if not others:
+            return ids, sizes
+        joined = [" " + " ".join(others[k : k + GROUPED]) for k in range(0, len(others), GROUPED)]
+        of_others = [x.ids for x in self.a.encode_batch_fast(joined, add_special_tokens=False)]
+        more = np.fromiter(chain.from_iterable(of_others), np.int64)
+        at, ends = np.cumsum(self.length_a[more]), np.cumsum([len(s.encode()) + 1 for s in others])
+        last = np.minimum(np.searchsorted(at, ends), len(at) - 1)
+        if (at[last] != ends).any():
+            raise ValueError("the tokenizer joins segments")
+        return np.concatenate([ids, more]), np.concatenate([sizes, np.diff(last, prepend=-1)])
+
+    def _learn(self, segments: list[str]) -> None:
+        """Remember new segments; and whether a tokenizer loses bytes of them."""
+        words = [s for s in segments if self.cuts and _word.fullmatch(s)]
+        taken = set(words)
+        others = [s for s in segments if s not in taken and self.cuts and s and not s[-1].isspace()]
+        taken.update(others)
+        alone = [s for s in segments if s not in taken]
+        ids_a, sizes_a = self._ids_a(words, others)
+        each = [x.ids for x in self.a.encode_batch_fast([" " + s for s in alone], add_special_tokens=False)]
+        ids_a = np.concatenate([ids_a, np.fromiter(chain.from_iterable(each), np.int64)])
+        sizes_a = np.concatenate([sizes_a, np.fromiter(map(len, each), np.int64, len(each))])
+        segments = words + others + alone
+        of_b = self.b.encode(segments, num_threads=1)
+        ids_b, sizes_b = np.fromiter(chain.from_iterable(of_b), np.int64), np.fromiter(map(len, of_b), np.int64, len(of_b))
+        first = len(self.known)
+        self.known.update(zip(segments, range(first, first + len(segments))))
+        self.chars += sum(map(len, segments))
+        raw = [b" " + s.encode() for s in segments]
+        lost = np.zeros(len(raw), bool)
+        for ids, sizes, letters in ((ids_a, sizes_a, self.bytes_a), (ids_b, sizes_b, self.bytes_b)):
+            got = [letters[k] for k in ids.tolist()]
+            ends = np.cumsum(sizes).tolist()
+            whole = [b"".join(got[low:high]) for low, high in zip([0, *ends], ends)]
+            lost |= np.fromiter((x != y for x, y in zip(whole, raw)), bool, len(raw))
+        for k, (ids, sizes) in enumerate(((ids_a, sizes_a), (ids_b, sizes_b))):
+            self.ids[k] = np.concatenate([self.ids[k], ids])
+            self.sizes[k] = np.concatenate([self.sizes[k], sizes])
+            starts = np.cumsum(sizes) - sizes + len(self.ids[k]) - len(ids)
+            self.starts[k] = np.concatenate([self.starts[k], starts])
+        self.lost = np.concatenate([self.lost, lost])
+
+    def encoded(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids of all texts, ids of each text) for both tokenizers; none for a text that is empty or loses bytes."""
+        if self.chars > REMEMBERED:
+            self._forget()
         cut = [self.segments(t) if t else [] for t in texts]
-        rare = self.learn(set().union(*cut))
-        known = self.known
-        for some in cut:
-            found = [known[s] if s in known else rare[s] for s in some]
-            if None in found:
-                found = []
-            yield tuple(np.frombuffer(b"".join([x[k] for x in found]), "<u4").astype(np.int64) for k in (0, 1))
+        new = set().union(*cut).difference(self.known)
+        if new:
+            self._learn(sorted(new))
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, sizes.sum())
+        text = np.repeat(np.arange(len(cut)), sizes)
+        lost = np.zeros(len(cut), bool)
+        lost[text[self.lost[at]]] = True
+        if lost.any():
+            at, text = at[~lost[text]], text[~lost[text]]
+        out = []
+        for ids, starts, own in zip(self.ids, self.starts, (s[at] for s in self.sizes)):
+            place = np.arange(own.sum()) + np.repeat(starts[at] - (np.cumsum(own) - own), own)
+            out.append((ids[place], np.bincount(text, own, len(cut)).astype(np.int64)))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -129,9 +184,10 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
     """Which tokens on either side end a group; both arrays ascend and close with the same end."""
     a, b = ends_a.tolist(), ends_b.tolist()
     raw_a, raw_b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
-    last_a, last_b = bytearray(len(a)), bytearray(len(b))
+    size_a, size_b = len(a), len(b)
+    last_a, last_b = bytearray(size_a), bytearray(size_b)
     i = j = run = 0
-    while i < len(a):
+    while i < size_a:
         x, y = a[i], b[j]
         if x == y:
             last_a[i] = last_b[j] = 1
@@ -140,7 +196,7 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
                 continue
             step, growing = WARM, True
             while step:
-                if i + step <= len(a) and raw_a[8 * i : 8 * (i + step)] == raw_b[8 * j : 8 * (j + step)]:
+                if i + step <= size_a and j + step <= size_b and raw_a[8 * i : 8 * (i + step)] == raw_b[8 * j : 8 * (j + step)]:
                     last_a[i : i + step] = last_b[j : j + step] = b"\1" * step
                     i, j = i + step, j + step
                     step = 2 * step if growing else step // 2
@@ -163,17 +219,28 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
 
 @dataclass(frozen=True)
 class Aligned:
-    """Tokens of a text under both tokenizers, and which of them end a group."""
+    """Tokens of some texts, one behind the other, under both tokenizers, and which of them end a group.
+
+    ``sizes_a``, ``sizes_b``: tokens of each text.  Every text ends a group, so groups stay within texts.
+    """
 
     a: np.ndarray
     b: np.ndarray
+    sizes_a: np.ndarray
+    sizes_b: np.ndarray
     ends_a: np.ndarray
     ends_b: np.ndarray
     last_a: np.ndarray
     last_b: np.ndarray
 
-    def links(self) -> np.ndarray:
-        """Id pairs, a << 32 | b, of all token pairs that share bytes.
+    def groups(self) -> np.ndarray:
+        """Groups of each text."""
+        total = np.concatenate([[0], np.cumsum(self.last_a)])
+        ends = np.cumsum(self.sizes_a)
+        return total[ends] - total[ends - self.sizes_a]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Id pairs, a << 32 | b, of all token pairs that share bytes, text by text, and links of each text.
 
         Every stretch between neighbouring ends lies in one token of each side and every such pair has one: that up to an
         end of a, or up to an end of b that is none of a.
@@ -181,44 +248,50 @@ class Aligned:
         under = np.searchsorted(self.ends_b, self.ends_a)
         inner = np.flatnonzero(~self.last_b)
         over = np.searchsorted(self.ends_a, self.ends_b[inner])
-        return np.concatenate([self.a << 32 | self.b[under], self.a[over] << 32 | self.b[inner]])
+        codes = np.concatenate([self.a << 32 | self.b[under], self.a[over] << 32 | self.b[inner]])
+        text_a = np.repeat(np.arange(len(self.sizes_a)), self.sizes_a)
+        text = np.concatenate([text_a, text_a[over]])
+        return codes[np.argsort(text, kind="stable")], np.bincount(text, minlength=len(self.sizes_a))
 
-    def text(self) -> bytes:
-        """The groups as ``a1,a2|b1;a3|b2,b3``."""
-        if not len(self.a):
-            return b""
+    def texts(self) -> Iterator[bytes]:
+        """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
         group_a, group_b = np.cumsum(self.last_a) - self.last_a, np.cumsum(self.last_b) - self.last_b
         close_a, close_b = np.flatnonzero(self.last_a) + 1, np.flatnonzero(self.last_b) + 1
         out = np.empty(len(self.a) + len(self.b), object)
-        inner, last = _numerals(b",", int(self.a.max()) + 1), _numerals(b"|", int(self.a.max()) + 1)
         before_b = np.concatenate([[0], close_b[:-1]])
-        out[np.arange(len(self.a)) + before_b[group_a]] = np.where(self.last_a, last[self.a], inner[self.a])
-        inner, last = _numerals(b",", int(self.b.max()) + 1), _numerals(b";", int(self.b.max()) + 1)
-        out[np.arange(len(self.b)) + close_a[group_b]] = np.where(self.last_b, last[self.b], inner[self.b])
-        return b"".join(out.tolist())[:-1]
+        for ids, last, ending, place in (
+            (self.a, self.last_a, b"|", np.arange(len(self.a)) + before_b[group_a] if len(self.a) else self.a),
+            (self.b, self.last_b, b";", np.arange(len(self.b)) + close_a[group_b] if len(self.b) else self.b),
+        ):
+            table = _numerals(ending, int(ids.max(initial=0)) + 1)
+            out[place] = table[ids + last * (len(table) // 2)]
+        parts, ends = out.tolist(), np.cumsum(self.sizes_a + self.sizes_b).tolist()
+        for low, high in zip([0, *ends], ends):
+            yield b"".join(parts[low:high])[:-1]
 
 
 _made: dict[bytes, np.ndarray] = {}
 
 
-def _numerals(end: bytes, least: int) -> np.ndarray:
-    """0, 1, 2, ... in decimal, each with ``end`` behind; at least ``least`` of them."""
-    have = _made.get(end)
-    if have is None or len(have) < least:
+def _numerals(ending: bytes, least: int) -> np.ndarray:
+    """0, 1, 2, ... in decimal, at least ``least`` of them, first with a comma behind, then all with ``ending``."""
+    have = _made.get(ending)
+    if have is None or len(have) < 2 * least:
         size = 1 << max(16, (least - 1).bit_length())
-        have = np.empty(size, object)
-        have[:] = [b"%d%s" % (k, end) for k in range(size)]
-        _made[end] = have
+        have = np.empty(2 * size, object)
+        have[:] = [b"%d%s" % (k, end) for end in (b",", ending) for k in range(size)]
+        _made[ending] = have
     return have
 
 
-def align(tokenizers: Pair, a: np.ndarray, b: np.ndarray) -> Aligned:
+def align(tokenizers: Pair, texts: list[str | None]) -> Aligned:
+    (a, sizes_a), (b, sizes_b) = tokenizers.encoded(texts)
     ends_a, ends_b = np.cumsum(tokenizers.length_a[a]), np.cumsum(tokenizers.length_b[b])
-    return Aligned(a, b, ends_a, ends_b, *group_ends(ends_a, ends_b))
+    return Aligned(a, b, sizes_a, sizes_b, ends_a, ends_b, *group_ends(ends_a, ends_b))
 
 
-def _aligned_rows(batch: pa.RecordBatch, path_a: str, path_b: str) -> Iterator[tuple[int | None, Aligned]]:
-    """(doc_id, alignment) of each row of a batch of (doc_id, text); texts are encoded some at a time."""
+def _aligned_rows(batch: pa.RecordBatch, path_a: str, path_b: str) -> Iterator[tuple[list[int | None], Aligned]]:
+    """(doc_ids, alignment) of the rows of a batch of (doc_id, text), some texts at a time."""
     tokenizers = pair(path_a, path_b)
     ids, texts, low = batch.column(0).to_pylist(), batch.column(1), 0
     while low < len(ids):
@@ -226,8 +299,7 @@ def _aligned_rows(batch: pa.RecordBatch, path_a: str, path_b: str) -> Iterator[t
         while low + len(some) < len(ids) and size < CHARS:
             some.append(texts[low + len(some)].as_py())
             size += len(some[-1] or "")
-        for doc, (a, b) in zip(ids[low:], tokenizers.encoded(some)):
-            yield doc, align(tokenizers, a, b)
+        yield ids[low : low + len(some)], align(tokenizers, some)
         low += len(some)
 
 
@@ -240,8 +312,9 @@ def token_groups(docs: DataFrame, path_a: str, path_b: str, *, id_column="doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, found in _aligned_rows(batch, path_a, path_b):
-                yield pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([found.text().decode()])], ["doc_id", "groups"])
+            for docs_here, found in _aligned_rows(batch, path_a, path_b):
+                groups = pa.array([x.decode() for x in found.texts()], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(docs_here, pa.int64()), groups], ["doc_id", "groups"])
 
     return _texts(docs, id_column, text_column).mapInArrow(run, "doc_id long, groups string")
 
@@ -272,8 +345,8 @@ def _block(number: int, rows: list[tuple], links: list[np.ndarray]) -> pa.Record
     """A block: a column for each field of its documents, its distinct pairs, how many of its documents have each, and each
     document's links as ascending places among the pairs."""
     codes = np.concatenate(links)
-    sizes = np.array([len(x) for x in links])
-    doc = np.repeat(np.arange(len(links)), sizes)
+    sizes = np.array([row[4] for row in rows])
+    doc = np.repeat(np.arange(len(rows)), sizes)
     order = np.argsort(codes, kind="stable")  # documents stay in order within a pair
     codes, of = codes[order], doc[order]
     new = np.ones(len(codes), bool)
@@ -299,15 +372,16 @@ def _blocks(path_a: str, path_b: str, block_links: int):
         number = TaskContext.get().partitionId() << 32
         rows, links, held = [], [], 0
         for batch in batches:
-            for doc, found in _aligned_rows(batch, path_a, path_b):
-                own = found.links()
-                digest = hashlib.sha256(found.text()).hexdigest() if len(found.a) else ""
-                if rows and held + len(own) > block_links:
+            for docs, found in _aligned_rows(batch, path_a, path_b):
+                codes, sizes = found.links()
+                if rows and held + len(codes) > block_links:
                     yield _block(number, rows, links)
                     number, rows, links, held = number + 1, [], [], 0
-                rows.append((doc, len(found.a), len(found.b), int(found.last_a.sum()), len(own), digest))
-                links.append(own)
-                held += len(own)
+                digests = [hashlib.sha256(x).hexdigest() if x else "" for x in found.texts()]
+                counts = (found.sizes_a, found.sizes_b, found.groups(), sizes)
+                rows += zip(docs, *(c.tolist() for c in counts), digests)
+                links.append(codes)
+                held += len(codes)
         if rows:
             yield _block(number, rows, links)
 
