@@ -65,6 +65,42 @@ def test_hot_key_is_cut_small(spark):
     assert find_cuts(df, ["k"], "ts").table is None
 
 
+def test_one_day_is_cut_by_the_next_column(spark):
+    """2,000 rows of one key and one day: about 20 slices, whatever kind the second column is."""
+    day = datetime(2024, 1, 1)
+    df = spark.range(2000).select(
+        F.lit(1).alias("k"), F.lit(day).cast("date").alias("d"), F.col("id"), F.concat(F.lit("n"), F.lpad("id", 4, "0")).alias("name")
+    )
+    for second in ("id", "name"):
+        cuts = find_cuts(df, ["k"], ["d", second], 100)
+        laid = with_slices(df, ["k"], ["d", second], cuts)
+        sizes = laid.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n"), F.min(second).alias("low"), F.max(second).alias("high")).orderBy(SLICE).collect()
+        assert 15 <= len(sizes) <= 35 and max(r.n for r in sizes) <= 200
+        assert all(a.high < b.low for a, b in zip(sizes, sizes[1:])) and sizes[0][SLICE] > 0
+        got = o.along_key(df, ["k"], ["d", second], {"n": o.ordinal()}, hot_rows=100)
+        assert all(r.n == r.id + 1 for r in got.collect())
+
+
+def test_heavy_values_among_others(spark):
+    """Days of very different size, NULL days, and equal rows that nothing tells apart."""
+    rng, t0 = random.Random(2), datetime(2024, 1, 1)
+    data = [(1, t0 + timedelta(days=rng.choice([3, 3, 3, 3, 9, 9, rng.randrange(30)])), rng.randrange(50), i) for i in range(1500)]
+    data += [(1, None, rng.randrange(3), i) for i in range(1500, 1900)] + [(2, t0, 0, i) for i in range(1900, 1910)]
+    df = spark.createDataFrame(data, "k int, ts timestamp, part int, id int").withColumn("d", F.to_date("ts"))
+    cuts = find_cuts(df, ["k"], ["d", "part", "id"], 40)
+    laid = with_slices(df, ["k"], ["d", "part", "id"], cuts)
+    sizes = {(r.k, r[SLICE]): r["count"] for r in laid.groupBy("k", SLICE).count().collect()}
+    assert max(sizes.values()) <= 80 and sizes[2, 0] == 10
+    steps = {"n": o.ordinal(), "prev": o.lag("id"), "run": o.running_sum("part")}
+    key = lambda r: r["id"]
+    for descending in (False, True):
+        plain = o.along_key(df, ["k"], ["d", "part", "id"], steps, descending=descending, hot_rows=None).collect()
+        sliced = o.along_key(df, ["k"], ["d", "part", "id"], steps, descending=descending, hot_rows=40).collect()
+        assert sorted(plain, key=key) == sorted(sliced, key=key)
+    same = df.select("k", "d", F.lit(1).alias("one"))
+    assert with_slices(same, ["k"], ["d", "one"], find_cuts(same, ["k"], ["d", "one"], 40)).count() == 1910
+
+
 def test_order_numbers_keep_the_order_of_local_times(spark):
     texts = ["2024-03-10 01:59:59.999999", "2024-03-10 02:30:00", "2024-03-10 03:00:00", "1960-01-01 00:00:00.5"]
     df = spark.createDataFrame([(x,) for x in texts], "x string").select(F.col("x").cast("timestamp_ntz").alias("t"))

@@ -1,3 +1,5 @@
+import json
+import shutil
 import time
 from datetime import date, datetime
 
@@ -39,6 +41,59 @@ def test_unfinished_versions_do_not_count(spark, lake, tmp_path):
     assert lake.versions("gold", "base", "t") == [1]
 
 
+def test_a_read_is_one_scan_of_a_list(spark, lake, tmp_path):
+    """500 appended versions: the list is planned at once, and old versions stay readable."""
+    lake.write(kv(spark, [(0, "a")]), "gold", "base", "t")
+    base = tmp_path / "lake/gold_dev/base/t"
+    (load,) = lake.folders("gold", "base", "t")
+    for i in range(499):  # as 499 appends leave it
+        shutil.copytree(base / load, base / f"_load=copy{i}")
+    listed = json.loads((base / "_versions/v1.json").read_text())
+    listed["folders"] += [f"_load=copy{i}" for i in range(499)]
+    (base / "_versions/v500.json").write_text(json.dumps(listed))
+    lake.read("gold", "base", "t")
+    began = time.time()
+    df = lake.read("gold", "base", "t")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert time.time() - began < 1.0
+    assert plan.count("Relation [") == 1 and df.count() == 500
+    assert lake.read("gold", "base", "t", version=1).count() == 1
+    assert lake.compact("gold", "base", "t") == 501 and len(lake.folders("gold", "base", "t")) == 1
+    assert lake.read("gold", "base", "t").count() == 500
+
+
+def test_new_columns_types_and_partitions_of_appends(spark, lake):
+    lake.write(kv(spark, [(1, "a")]), "gold", "base", "t", partition_by=["k"])
+    lake.write(spark.createDataFrame([(2, "b", 5)], "k int, v string, w int"), "gold", "base", "t", mode="append")
+    assert pairs(lake.read("gold", "base", "t"), "k", "v", "w") == [(1, "a", None), (2, "b", 5)]
+    with pytest.raises(ValueError):
+        lake.write(spark.createDataFrame([("x", "b")], "k string, v string"), "gold", "base", "t", mode="append")
+    with pytest.raises(ValueError):
+        lake.write(kv(spark, [(1, "a")]), "gold", "base", "t", mode="append", partition_by=["v"])
+    assert lake.versions("gold", "base", "t") == [1, 2]
+    lake.write(kv(spark, []), "gold", "base", "empty")
+    assert lake.read("gold", "base", "empty").collect() == []
+
+
+def test_replaced_periods_are_pruned_and_others_keep_their_files(spark, lake):
+    old = spark.createDataFrame([(f"2024-{m:02}", m) for m in range(1, 7)] + [(None, 0)], "p string, v int")
+    place = ("gold", "b", "h")
+    lake.write(old, *place, partition_by=["p"])
+    kept = lambda: {r.f.rsplit("/", 1)[-1] for r in lake.read(*place).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    before = kept()
+    lake.replace_periods(spark.createDataFrame([("2024-03", 33)], "p string, v int"), *place, "p")
+    assert len(before & kept()) == 6 and len(kept()) == 7
+    gone = spark.createDataFrame([("2024-05",), (None,)], "p string")
+    lake.replace_periods(spark.createDataFrame([("2024-07", 7)], "p string, v int"), *place, "p", gone=gone)
+    assert pairs(lake.read(*place), "p", "v") == [("2024-01", 1), ("2024-02", 2), ("2024-03", 33), ("2024-04", 4), ("2024-06", 6), ("2024-07", 7)]
+    plan = lake.read(*place).where("p = '2024-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan
+    # a table of another layout is laid out anew
+    lake.write(old, "gold", "b", "plain")
+    lake.replace_periods(spark.createDataFrame([("2024-03", 33)], "p string, v int"), "gold", "b", "plain", "p")
+    assert pairs(lake.read("gold", "b", "plain"), "v") == [(0,), (1,), (2,), (33,), (4,), (5,), (6,)]
+
+
 def test_purge_keeps_the_newest(spark, lake):
     for i in range(3):
         lake.write(kv(spark, [(i, "x")]), "gold", "base", "t")

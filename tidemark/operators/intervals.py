@@ -172,23 +172,32 @@ def business_seconds(
 
     ``calendar`` has one row per day (a few thousand rows), which is what makes
     its single running total safe; the joins with it are Catalyst's to plan.
-    Both times must lie inside the calendar.
+    Only days of the calendar count: time before its first or past its last day,
+    or on a day it leaves out, is no working time.
     """
-    by_day = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    cal = calendar.select(
-        F.col(day).alias("_day"),
-        F.col(is_open).cast("int").alias("_open"),
-        F.coalesce(F.sum(F.col(is_open).cast("int")).over(by_day), F.lit(0)).alias("_before"),
+    known = calendar.groupBy(F.col(day).alias("_day")).agg(F.max(F.col(is_open).cast("int")).alias("_open"))
+    ends = known.agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
+    days = ends.where("_first is not null").select(F.explode(F.sequence("_first", "_last")).alias("_day"))
+    by_day = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    cal = days.join(known, "_day", "left").select(
+        "_day",
+        F.coalesce("_open", F.lit(0)).alias("_open"),
+        F.coalesce(F.sum("_open").over(by_day), F.lit(0)).alias("_before"),
     )
+    first, last = ends.select("_first").scalar(), ends.select("_last").scalar()
+    total = F.coalesce(known.agg(F.sum("_open")).scalar(), F.lit(0)) * 86400
 
     def clock(frame: DataFrame, ts: str, name: str) -> DataFrame:
         c = cal.select(F.col("_day").alias("_d"), F.col("_open").alias("_o"), F.col("_before").alias("_b"))
         joined = frame.join(c, F.to_date(frame[ts]) == c["_d"], "left")
         into = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts))
-        return joined.withColumn(name, F.col("_b") * 86400 + F.col("_o") * into).drop("_d", "_o", "_b")
+        inside = F.col("_b") * 86400 + F.col("_o") * into
+        on = F.to_date(F.col(ts))
+        at = F.coalesce(inside, F.when(on < first, 0).when(on > last, total))
+        return joined.withColumn(name, at).drop("_d", "_o", "_b")
 
     both = clock(clock(df, start, "_from"), end, "_to")
-    return both.withColumn(out, F.col("_to") - F.col("_from")).drop("_from", "_to")
+    return both.withColumn(out, (F.col("_to") - F.col("_from")).cast("bigint")).drop("_from", "_to")
 
 
 def status_intervals(

@@ -129,6 +129,105 @@ def asof_validity(
     )
 
 
+def newest_inside(
+    spans: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    event_ts: str,
+    event_id: str,
+    take: Mapping[str, str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Attach to each span the newest event of its key that lies inside it, both ends included.
+
+    That is the last event up to the span's end, if it is not before its start: one time line, no pairs.  Of
+    events at one time the greatest ``event_id`` counts; spans without a key or an end, or without an event
+    inside, get NULLs.
+    """
+    dated = events.withColumn("_at", F.col(event_ts))
+    found = asof_validity(spans, dated, keys, end, event_ts, event_id, {**take, "_at": "_at"}, hot_rows)
+    inside = F.col("_at") >= F.col(start)
+    return found.select(*spans.columns, *[F.when(inside, F.col(n)).alias(n) for n in take.values()])
+
+
+def asof_first(
+    anchors: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    anchor_ts: str,
+    event_ts: str,
+    event_id: str,
+    take: Mapping[str, str],
+    days: int | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Attach to each anchor the first event of its key on its day or later, at most ``days`` days after it.
+
+    Time line as in ``asof_validity``, walked from its end, so the event seen last is the one that comes next.  Of
+    events at one time the smallest ``event_id`` counts.  A NULL key or time never matches.
+    """
+    keys = list(keys)
+    payload = F.struct(F.to_date(event_ts).alias("_on"), *[F.col(c).alias(n) for c, n in take.items()])
+    come = events.where(_all_known([*keys, event_ts])).select(
+        *keys,
+        F.to_date(event_ts).alias("_day"),
+        F.lit(1).alias("_side"),
+        F.col(event_ts).alias("_ts"),
+        F.col(event_id).alias("_eid"),
+        payload.alias("_event"),
+    )
+    asked = anchors.select(*keys, F.to_date(anchor_ts).alias("_day"), F.lit(0).alias("_side"), F.struct("*").alias("_anchor"))
+    line = come.unionByName(asked, allowMissingColumns=True)
+    order = ["_day", "_side", "_ts", "_eid"]
+    seen = along_key(line, keys, order, {"_next": last_seen("_event")}, descending=True, hot_rows=hot_rows)
+    away = F.datediff(F.col("_next._on"), F.col("_day"))
+    near = away >= 0 if days is None else away.between(0, days)
+    return seen.where(F.col("_side") == 0).select(
+        "_anchor.*", *[F.when(near, F.col("_next").getField(n)).alias(n) for n in take.values()]
+    )
+
+
+def tiered_match(
+    df: DataFrame,
+    targets: DataFrame,
+    tiers: Sequence[tuple[str, Sequence[Column], Sequence[Column]]],
+    take: Mapping[str, str],
+    tier_col: str = "match_tier",
+    rivals_col: str = "rivals",
+) -> DataFrame:
+    """Match each row with a target by the first tier of keys that only one target has.
+
+    A tier is (name, keys of ``df``, keys of ``targets``), best first.  A key that several targets share decides
+    nothing, so the row goes on to the next tier; ``rivals`` says how many shared such a key at most (0: none did).
+    Rows that no tier matches keep NULLs.  Targets become one row per key before each join, so no key multiplies rows.
+    """
+    out, names = df.select(F.struct("*").alias("_row"), "*"), list(take.values())
+    payload = F.struct(*[F.col(c).alias(n) for c, n in take.items()])
+    hit, passed, rivals = None, F.lit(True), [F.lit(0).cast("long")]
+    for i, (name, own, theirs) in enumerate(tiers):
+        right = [c.alias(f"_t{i}_{j}") for j, c in enumerate(theirs)]
+        keyed = targets.select(*right, payload.alias("_p"))
+        keyed = keyed.where(_all_known([f"_t{i}_{j}" for j in range(len(theirs))]))
+        single = keyed.groupBy(*[f"_t{i}_{j}" for j in range(len(theirs))]).agg(
+            F.count(F.lit(1)).alias(f"_n{i}"), F.min("_p").alias(f"_p{i}")
+        )
+        left = [c.alias(f"_l{i}_{j}") for j, c in enumerate(own)]
+        out = out.select("*", *left).join(
+            single, reduce(lambda a, b: a & b, [F.col(f"_l{i}_{j}") == F.col(f"_t{i}_{j}") for j in range(len(own))]), "left"
+        )
+        found = F.coalesce(F.col(f"_n{i}") == 1, F.lit(False))
+        entry = F.struct(F.lit(name).alias("tier"), F.col(f"_p{i}").alias("target"))
+        hit = F.when(found, entry) if hit is None else hit.when(found, entry)
+        passed = passed & ~found
+        rivals.append(F.when(passed & (F.col(f"_n{i}") > 1), F.col(f"_n{i}")).otherwise(0))
+    most = F.greatest(*rivals).alias(rivals_col)
+    return out.select("_row", hit.alias("_hit"), most).select(
+        "_row.*", *[F.col("_hit.target").getField(n).alias(n) for n in names], F.col("_hit.tier").alias(tier_col), rivals_col
+    )
+
+
 def lookback_counts(
     grid: DataFrame,
     events: DataFrame,

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import along_key, is_last, ordinal
-from tidemark.operators.skew import HOT_ROWS
+from tidemark.operators.ordered import along_key, is_last, ordinal, running_sum
+from tidemark.operators.skew import HOT_ROWS, find_cuts
 
 Order = Sequence[Column]
 
@@ -59,6 +59,28 @@ def dedupe_by_priority(
     return nth_by(df, keys, [priority.asc_nulls_last(), *then_by], 1)
 
 
+def representative_or_fallback(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], preferred: Column, allowed: Column
+) -> DataFrame:
+    """One row per key: its newest preferred row, or for a key without any its newest allowed one.
+
+    A key whose newest preferred row is not allowed has no row.  ``order_by`` ends with a unique column.  One
+    aggregation over one scan: the candidates of a key are carried along and combined map-side.
+    """
+    rest = [c for c in df.columns if c not in order_by]
+    row = F.struct(*order_by, *rest)
+    marked = df.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], row.alias("_row"),
+        F.coalesce(preferred, F.lit(False)).alias("_better"), F.coalesce(allowed, F.lit(False)).alias("_allowed"),
+    )
+    best = marked.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
+        F.max(F.when(F.col("_better"), F.struct("_row", "_allowed"))).alias("_best"),
+        F.max(F.when(F.col("_allowed"), F.col("_row"))).alias("_other"),
+    )
+    picked = F.when(F.col("_best").isNull(), F.col("_other")).when(F.col("_best._allowed"), F.col("_best._row"))
+    return best.select(picked.alias("_row")).where(F.col("_row").isNotNull()).select("_row.*").select(*df.columns)
+
+
 def number_versions(
     df: DataFrame,
     keys: Sequence[str],
@@ -81,10 +103,9 @@ def rank_with_gaps(
     Ranks the distinct values with their row counts, so a frequent value is
     one row by the time it reaches the window.
     """
-    from tidemark.operators.ordered import running_sum
-
     counts = df.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
-    upto = along_key(counts, keys, [order_col], {"_upto": running_sum("_n")})
+    # cuts of the rows serve their counts as well, and finding them takes no second aggregation of all values
+    upto = along_key(counts, keys, [order_col], {"_upto": running_sum("_n")}, cuts=find_cuts(df, keys, [order_col]))
     ranks = upto.select(
         *[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
         F.col(order_col).alias("_ro"),

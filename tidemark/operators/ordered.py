@@ -154,15 +154,15 @@ def along_key(
     """Add one column per step, computed along ``order_by`` inside each key.
 
     ``order_by`` must be total inside a key (end it with a unique column) and
-    start with a numeric, date or timestamp column.  NULL order values sort
-    first, or last when ``descending``.  Pass ``hot_rows=None`` only where the
-    rows per key are bounded anyway (one row per key and day); pass ``cuts``
+    start with a numeric, date, timestamp or text column.  NULL order values
+    sort first, or last when ``descending``.  Pass ``hot_rows=None`` only where
+    the rows per key are bounded anyway (one row per key and day); pass ``cuts``
     found before for the same keys and order to save the counting pass.
     """
     keys = list(keys)
     if cuts is None and hot_rows is not None:
-        cuts = find_cuts(df, keys, order_by[0], hot_rows)
-    laid = None if cuts is None else with_slices(df, keys, order_by[0], cuts)
+        cuts = find_cuts(df, keys, order_by, hot_rows)
+    laid = None if cuts is None else with_slices(df, keys, order_by, cuts)
     group = keys if laid is None else [*keys, SLICE]
     direction = [F.col(c).desc() if descending else F.col(c).asc() for c in order_by]
     whole = Window.partitionBy(*group)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.lake import store
+
 
 def cutover_union(old: DataFrame, new: DataFrame, ts: str, cut: Column) -> DataFrame:
     """Old system before the cut-over moment, new system from it on."""
@@ -45,11 +47,17 @@ def union_superset(
 def waterfall_union(
     branches: Sequence[DataFrame], keys: Sequence[str], rank_col: str = "branch"
 ) -> DataFrame:
-    """Stack branches; a key keeps only the rows of the first branch it occurs in."""
+    """Stack branches; a key keeps only the rows of the first branch it occurs in.
+
+    The first branch of each key is stored when this is called: every branch is then read twice, for its
+    keys and for its rows, however many there are.
+    """
     keys = list(keys)
     numbered = [df.withColumn(rank_col, F.lit(i + 1)) for i, df in enumerate(branches)]
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
-    return lowest_rank(every, keys, rank_col)
+    slim = reduce(DataFrame.unionByName, [df.select(*keys, rank_col) for df in numbered])
+    first = store(slim.groupBy(*keys).agg(F.min(rank_col).alias(rank_col)), "first-branches")
+    return every.join(first, [*keys, rank_col], "left_semi")
 
 
 def lowest_rank(df: DataFrame, keys: Sequence[str], rank_col: str) -> DataFrame:

@@ -63,7 +63,7 @@ def inbound_calls(
     call_values: Sequence[str],
 ) -> DataFrame:
     """Calls with their agent legs; calls without legs stay, call values sit on the last leg only."""
-    cuts = find_cuts(legs, call, order_by[0])
+    cuts = find_cuts(legs, call, order_by)
     flagged = transfers(legs, call, order_by, agent, skill, ignored, cuts)
     ranked = o.along_key(flagged, call, order_by, {"leg_no": o.ordinal(), "_last": o.is_last()}, cuts=cuts)
     joined = calls.join(ranked, list(call), "left")

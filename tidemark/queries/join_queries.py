@@ -592,7 +592,7 @@ def _(t):
 
 @query(
     "bad_spans_clipped",
-    f"""WITH {_SPANS} SELECT c.k, c.lo, CAST(coalesce(sum(greatest(0, date_diff('day', greatest(s.a, c.lo), least(coalesce(s.b, c.hi + 1), c.hi + 1)))), 0) AS BIGINT) AS days
+    f"""WITH {_SPANS} SELECT c.k, c.lo, CAST(coalesce(sum(CASE WHEN s.k IS NOT NULL THEN greatest(0, date_diff('day', greatest(s.a, c.lo), least(coalesce(s.b, c.hi + 1), c.hi + 1))) END), 0) AS BIGINT) AS days
         FROM c LEFT JOIN s ON s.k = c.k AND s.a IS NOT NULL AND (s.b IS NULL OR s.b >= s.a) GROUP BY 1, 2""",
 )
 def _(t):

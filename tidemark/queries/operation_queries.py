@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tidemark.operators.latest import latest_version
 from tidemark.operators.reshape import date_grid
 from tidemark.plans import calls as call_plans
 from tidemark.plans import churn, fieldservice, first_payment, operations, sales
@@ -116,25 +117,47 @@ def _(t):
     return first_payment.outreach(accounts(t), _billed(t), contacts, day())
 
 
+# loyalty ends, current speed and list price per contract, out of its newest order
+LOYAL = """loy AS (SELECT o_custkey AS contract_id, CAST(o_orderdate AS DATE) + 200 AS loyal_until FROM orders WHERE o_orderstatus <> 'P'),
+ net AS (SELECT o_custkey AS contract_id, o_orderkey % 900 + 100 AS units, o_orderkey % 3 AS unit, o_totalprice AS final_price, o_totalprice - o_orderkey % 30 AS list_price FROM orders
+         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
+ speed AS (SELECT contract_id, final_price, list_price, CAST(units AS DOUBLE) / CASE unit WHEN 1 THEN 1000 ELSE 1 END * CASE unit WHEN 2 THEN 1000 ELSE 1 END AS mbps FROM net)"""
 CHURN_KINDS = {"support": "1-URGENT", "service": "2-HIGH", "repair": "3-MEDIUM", "finance": "5-LOW"}
-GRID = f"""{ACC}, {INV}, g AS (SELECT acc.*, CAST(last_day(m) AS DATE) AS ref FROM acc, generate_series(DATE '2001-01-01', DATE '2001-06-01', INTERVAL 1 MONTH) AS s(m)
+GRID = f"""{ACC}, {INV}, {LOYAL}, g AS (SELECT acc.*, CAST(last_day(m) AS DATE) AS ref FROM acc, generate_series(DATE '2001-01-01', DATE '2001-06-01', INTERVAL 1 MONTH) AS s(m)
    WHERE activated <= CAST(last_day(m) AS DATE) AND (cancelled IS NULL OR cancelled >= CAST(m AS DATE))),
  n AS (SELECT contract_id, ref, {", ".join(f"count(*) FILTER (kind = '{k}') AS {n}" for n, k in CHURN_KINDS.items())} FROM g
    LEFT JOIN inv ON inv.client_id = contract_id AND issued BETWEEN ref - 60 AND ref GROUP BY ALL),
  p AS (SELECT contract_id, ref, max(paid_on) AS last_payment FROM g LEFT JOIN inv ON inv.client_id = contract_id AND paid_on <= ref GROUP BY ALL),
- w AS (SELECT *, ref - last_payment AS since, date_diff('month', activated, ref) - CASE WHEN day(activated) > day(ref) THEN 1 ELSE 0 END AS months FROM g JOIN n USING (contract_id, ref) JOIN p USING (contract_id, ref)),
+ f AS (SELECT contract_id, ref, max(loyal_until) AS loyal_until FROM g LEFT JOIN loy USING (contract_id) WHERE loyal_until >= ref GROUP BY ALL),
+ i AS (SELECT contract_id, ref, max(issued) AS last_invoice FROM g LEFT JOIN inv ON inv.client_id = contract_id AND issued <= ref GROUP BY ALL),
+ w AS (SELECT *, ref - last_payment AS since, date_diff('month', ref, loyal_until) - CASE WHEN day(ref) > day(loyal_until) THEN 1 ELSE 0 END AS loyal_months,
+   CAST(round(final_price - list_price) AS BIGINT) AS above, date_diff('month', activated, ref) - CASE WHEN day(activated) > day(ref) THEN 1 ELSE 0 END AS months FROM g JOIN n USING (contract_id, ref) JOIN p USING (contract_id, ref)
+   JOIN i USING (contract_id, ref) LEFT JOIN f USING (contract_id, ref) LEFT JOIN speed USING (contract_id)),
  grid AS (SELECT contract_id, ref, segment, CASE WHEN months <= 3 THEN '0-3' WHEN months <= 6 THEN '4-6' WHEN months <= 12 THEN '7-12' WHEN months <= 24 THEN '13-24' ELSE '25+' END AS tenure,
    CASE WHEN balance <= 0 THEN 'A' WHEN balance <= 2500 THEN 'B' WHEN balance <= 5000 THEN 'C' WHEN balance <= 7500 THEN 'D' ELSE 'E' END AS price_band,
    CASE WHEN since <= 30 THEN '30' WHEN since <= 60 THEN '60' WHEN since <= 90 THEN '90' WHEN since <= 120 THEN '120' WHEN since <= 150 THEN '150' WHEN since IS NULL THEN 'none' ELSE '150+' END AS payment_band,
    support, service, repair, finance, {", ".join(f"CAST({n} >= 1 AS INTEGER) AS {n}_flag" for n in CHURN_KINDS)}, {", ".join(f"CAST({n} > 1 AS INTEGER) AS {n}_repeat" for n in CHURN_KINDS)},
    {" + ".join(f"CAST({n} >= 1 AS INTEGER)" for n in CHURN_KINDS)} AS flags_total,
-   CAST(coalesce(date_trunc('month', cancelled) = date_trunc('month', ref), FALSE) AS INTEGER) AS left_in_month FROM w)"""
+   CAST(coalesce(date_trunc('month', cancelled) = date_trunc('month', ref), FALSE) AS INTEGER) AS left_in_month,
+   loyal_until, CASE WHEN loyal_months <= 3 THEN 'up to 3 months' WHEN loyal_months <= 6 THEN '4-6 months' WHEN loyal_months > 6 THEN 'over 6 months' ELSE 'none' END AS loyalty,
+   mbps, above, CASE WHEN above < 5 THEN 'under 5' WHEN above <= 10 THEN '5-10' WHEN above <= 15 THEN '11-15' WHEN above <= 20 THEN '16-20' WHEN above > 20 THEN 'over 20' END AS price_position,
+   CAST(coalesce(above >= 5, FALSE) OR coalesce(mbps < 300, FALSE) AS INTEGER) AS out_of_position, last_invoice FROM w)"""
 
 
 def _grid(t):
     contacts = invoices(t).select(F.col("client_id").alias("contract_id"), F.col("issued").alias("day"), "kind")
     kinds = {n: F.col("kind") == k for n, k in CHURN_KINDS.items()}
-    return churn.churn_grid(accounts(t), contacts, _billed(t), day("2001-01-01"), day("2001-06-30"), kinds)
+    loyalty = t.orders.where("o_orderstatus <> 'P'").select(
+        F.col("o_custkey").alias("contract_id"), F.date_add(F.to_date("o_orderdate"), 200).alias("loyal_until")
+    )
+    unit = F.element_at(F.array(F.lit(" MBPS"), F.lit(" KBPS"), F.lit(" GBPS")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    newest = latest_version(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select(
+        F.col("o_custkey").alias("contract_id"), F.concat((F.col("o_orderkey") % 900 + 100).cast("string"), unit).alias("speed"),
+        F.col("o_totalprice").alias("final_price"), (F.col("o_totalprice") - F.col("o_orderkey") % 30).alias("list_price"),
+    )
+    return churn.churn_grid(
+        accounts(t), contacts, _billed(t), day("2001-01-01"), day("2001-06-30"), kinds, loyalty=loyalty, services=newest
+    )
 
 
 @query("churn_grid", f"WITH {GRID} SELECT * FROM grid")
@@ -147,31 +170,86 @@ def _(t):
     f"""WITH {GRID} SELECT contract_id, ref, CASE WHEN flags_total = 0 AND tenure IN ('25+', '13-24', '7-12') AND price_band = 'A' THEN '1.1'
          WHEN flags_total = 0 AND tenure IN ('25+', '13-24', '7-12') AND price_band = 'B' THEN '1.2' WHEN flags_total = 0 AND price_band = 'E' THEN '1.4'
          WHEN flags_total = 0 THEN '1.5' WHEN flags_total = 1 THEN '2.1' WHEN flags_total = 2 THEN '2.2' ELSE '2.3' END AS cluster,
-         CASE WHEN finance_repeat = 1 THEN '3.2.1' WHEN support_repeat = 1 THEN '3.2.2' WHEN service_repeat = 1 THEN '3.2.3' WHEN repair_repeat = 1 THEN '3.2.4' END AS repeat_cluster FROM grid""",
+         CASE WHEN finance_repeat = 1 THEN '3.2.1' WHEN support_repeat = 1 THEN '3.2.2' WHEN service_repeat = 1 THEN '3.2.3' WHEN repair_repeat = 1 THEN '3.2.4' END AS repeat_cluster,
+         '3.1.' || CASE WHEN loyalty = 'none' THEN '1' ELSE '2' END || CASE WHEN out_of_position = 0 THEN '.1' ELSE '.2' END AS loyalty_cluster FROM grid""",
 )
 def _(t):
     order = [("finance_repeat", "3.2.1"), ("support_repeat", "3.2.2"), ("service_repeat", "3.2.3"), ("repair_repeat", "3.2.4")]
     return churn.churn_cluster(_grid(t), order)
 
 
-SO = """so AS (SELECT o_orderkey AS order_id, o_custkey AS client_id, o_orderkey % 100 AS company, CAST(o_orderdate AS DATE) AS opened,
-  CAST(o_orderdate AS DATE) + CAST(o_orderkey * 7 % 31 AS INTEGER) AS done, o_orderpriority AS kind FROM orders),
- ana AS (SELECT order_id, client_id, company, opened, 'ACTIVATION' AS indicator, CAST(done - opened <= 5 AS INTEGER) AS hit FROM so WHERE kind = '1-URGENT'
-  UNION ALL SELECT order_id, client_id, company, opened, 'REPAIR', CAST(done - opened <= 2 AS INTEGER) FROM so WHERE kind IN ('2-HIGH', '3-MEDIUM')
-  UNION ALL SELECT order_id, client_id, company, opened, 'MOVE', CAST(done - opened <= 10 AS INTEGER) FROM so WHERE kind = '5-LOW'
-  UNION ALL SELECT order_id, client_id, company, opened, 'REPEAT', CAST(coalesce(opened - lag(opened) OVER (PARTITION BY client_id ORDER BY opened, order_id) <= 30, FALSE) AS INTEGER) FROM so),
- ind AS (SELECT company, indicator, count(*) AS orders, CAST(sum(hit) AS BIGINT) AS hits, CAST(sum(hit) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS result FROM ana GROUP BY ALL)"""
+SO = f"""{ACC}, so AS (SELECT o_orderkey AS order_id, o_custkey * 100 + month(o_orderdate) AS ticket_id, o_custkey AS client_id, o_orderkey % 100 AS company,
+   o_orderdate AS opened, o_orderdate + to_hours(CAST(o_orderkey * 7 % 80 AS INTEGER)) AS done, o_orderpriority AS kind, o_orderstatus AS status,
+   o_orderstatus = 'F' AS performed, o_orderstatus <> 'P' AND o_orderkey % 13 <> 0 AS countable FROM orders),
+ act AS (SELECT contract_id AS client_id, contract_id % 100 AS company, activated - CAST(contract_id * 7 % 9 AS INTEGER) AS created, activated FROM acc),
+ rep AS (SELECT * FROM so WHERE kind IN ('2-HIGH', '3-MEDIUM')),
+ done AS (SELECT * FROM rep WHERE performed QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY order_id DESC) = 1),
+ moved AS (SELECT * FROM so WHERE kind = '5-LOW' AND performed QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY order_id DESC) = 1),
+ early AS (SELECT act.*, done.ticket_id, done.order_id, done.opened FROM act JOIN done USING (client_id) WHERE CAST(opened AS DATE) - activated BETWEEN 0 AND 60
+           QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY opened, order_id) = 1),
+ single AS (SELECT * FROM done UNION ALL (SELECT * FROM rep WHERE countable AND ticket_id NOT IN (SELECT ticket_id FROM done)
+            QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY order_id DESC) = 1)),
+ seq AS (SELECT *, lag(opened) OVER w AS po, lag(done) OVER w AS pd FROM done WINDOW w AS (PARTITION BY client_id ORDER BY opened, ticket_id)),
+ again AS (SELECT *, coalesce(CAST(opened AS DATE) - CAST(pd AS DATE) <= 30 AND opened > po AND done > pd, FALSE) AS again FROM seq),
+ took AS (SELECT *, CAST(done AS DATE) - CAST(opened AS DATE) AS d FROM moved), mins AS (SELECT *, date_diff('minute', opened, done) AS m FROM done),
+ wait AS (SELECT *, activated - created AS d FROM act),
+ ana AS (
+  SELECT ticket_id, order_id, client_id, company, CAST(opened AS DATE) AS opened, CASE WHEN order_id % 2 = 0 THEN 'ADDRESS MOVE' ELSE 'UPGRADE' END AS indicator, CAST(d AS BIGINT) AS ageing,
+    CASE WHEN d <= 2 THEN 'up to 2 d' WHEN d <= 4 THEN '3-4 d' WHEN d <= 7 THEN '5-7 d' ELSE 'over 7 d' END AS category, CAST(d <= 2 AS INTEGER) AS hit FROM took
+  UNION ALL SELECT ticket_id, order_id, client_id, company, CAST(opened AS DATE), 'EFFECTIVENESS', NULL, CASE WHEN performed THEN 'PERFORMED' ELSE 'NOT PERFORMED' END, CAST(performed AS INTEGER)
+    FROM so WHERE kind = '1-URGENT' AND status IN ('F', 'O')
+  UNION ALL SELECT NULL, NULL, client_id, company, created, 'ACTIVATION AGEING', d, CASE WHEN d BETWEEN 0 AND 2 THEN 'IN STANDARD' ELSE 'OUT OF STANDARD' END, CAST(d BETWEEN 0 AND 2 AS INTEGER) FROM wait
+  UNION ALL SELECT ticket_id, order_id, client_id, act.company, CAST(coalesce(opened, act.activated) AS DATE), 'INFANCY', CAST(opened AS DATE) - act.activated,
+    CASE WHEN order_id IS NULL THEN 'NONE' ELSE 'EARLY REPAIR' END, CAST(order_id IS NOT NULL AS INTEGER) FROM act LEFT JOIN early USING (client_id)
+  UNION ALL SELECT ticket_id, order_id, client_id, company, CAST(opened AS DATE), 'REPAIRS 24H', m,
+    CASE WHEN m <= 1080 THEN 'up to 18 h' WHEN m <= 1440 THEN 'up to 24 h' WHEN m <= 2880 THEN 'up to 48 h' ELSE 'over 48 h' END, CAST(m <= 1440 AS INTEGER) FROM mins
+  UNION ALL SELECT ticket_id, order_id, client_id, company, CAST(opened AS DATE), 'TECHNICAL REPAIR', NULL, CASE WHEN performed THEN 'PERFORMED' ELSE 'OPEN' END, 1
+    FROM single WHERE countable OR NOT performed
+  UNION ALL SELECT ticket_id, order_id, client_id, company, CAST(opened AS DATE), 'REPEATED REPAIR', CASE WHEN again THEN CAST(opened AS DATE) - CAST(pd AS DATE) END,
+    CASE WHEN again THEN 'REPEATED' ELSE 'SINGLE' END, CAST(again AS INTEGER) FROM again),
+ base AS (SELECT contract_id % 100 AS company, count(*) FILTER (WHERE cancelled IS NULL OR cancelled > DATE '2001-06-20') AS bn,
+            count(*) FILTER (WHERE cancelled IS NULL OR cancelled > DATE '2001-05-31') AS bb FROM acc GROUP BY 1),
+ ind AS (SELECT company, indicator, orders, CAST(hits AS BIGINT) AS hits, CAST(hits AS DOUBLE) / CAST(orders AS DOUBLE) AS result FROM (
+   SELECT company, indicator, CASE WHEN indicator = 'TECHNICAL REPAIR' THEN CAST(round((any_value(bn) + any_value(bb)) / 2) AS BIGINT) ELSE count(*) END AS orders,
+     CASE WHEN indicator = 'TECHNICAL REPAIR' THEN CAST(round(count(*) + count(*) / 20 * 10) AS BIGINT) ELSE sum(hit) END AS hits
+   FROM ana LEFT JOIN base USING (company) GROUP BY company, indicator))"""
+
+
+def _service(t):
+    hours = F.expr("make_dt_interval(0, cast(o_orderkey * 7 % 80 AS int))")
+    return t.orders.select(
+        F.col("o_orderkey").alias("order_id"), (F.col("o_custkey") * 100 + F.month("o_orderdate")).alias("ticket_id"),
+        F.col("o_custkey").alias("client_id"), (F.col("o_orderkey") % 100).alias("company"), F.col("o_orderdate").alias("opened"),
+        (F.col("o_orderdate") + hours).alias("done"), F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("status"),
+    )
+
+
+def _activations(t):
+    key = F.col("contract_id")
+    waited = F.date_sub("activated", (key * 7 % 9).cast("int"))
+    return accounts(t).select(F.col("client_id"), (key % 100).alias("company"), waited.alias("created"), "activated")
+
+
+def service_rules():
+    kind, status = F.col("kind"), F.col("status")
+    return fieldservice.ServiceRules(
+        activation=kind == "1-URGENT", repair=kind.isin("2-HIGH", "3-MEDIUM"),
+        moves=F.when(kind == "5-LOW", F.when(F.col("order_id") % 2 == 0, "ADDRESS MOVE").otherwise("UPGRADE")),
+        performed=status == "F", failed=status == "O", countable=(status != "P") & (F.col("order_id") % 13 != 0),
+        move_days=2, infancy_days=60,
+    )
 
 
 def _analytic(t):
-    opened = F.to_date("o_orderdate")
-    orders = t.orders.select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("client_id"), (F.col("o_orderkey") % 100).alias("company"),
-        opened.alias("opened"), F.date_add(opened, (F.col("o_orderkey") * 7 % 31).cast("int")).alias("done"), F.col("o_orderpriority").alias("kind"),
+    return fieldservice.kpi_analytic(_service(t), _activations(t), service_rules())
+
+
+def _indicators(t):
+    alive = lambda on: F.count_if(F.col("cancelled").isNull() | (F.col("cancelled") > day(on)))
+    bases = accounts(t).groupBy((F.col("contract_id") % 100).alias("company")).agg(
+        alive("2001-06-20").alias("base_now"), alive("2001-05-31").alias("base_before")
     )
-    kind = F.col("kind")
-    within = {"ACTIVATION": (kind == "1-URGENT", 5), "REPAIR": (kind.isin("2-HIGH", "3-MEDIUM"), 2), "MOVE": (kind == "5-LOW", 10)}
-    return fieldservice.kpi_analytic(orders, within, 30)
+    return fieldservice.kpi_indicators(_analytic(t), bases, day("2001-06-20"))
 
 
 @query("kpi_analytic", f"WITH {SO} SELECT * FROM ana")
@@ -181,12 +259,12 @@ def _(t):
 
 @query("kpi_indicators", f"WITH {SO} SELECT * FROM ind")
 def _(t):
-    return fieldservice.kpi_indicators(_analytic(t))
+    return _indicators(t)
 
 
 @query(
     "kpi_bonus",
-    f"""WITH {SO}, goal AS (SELECT * FROM (VALUES ('ACTIVATION', 'up', 0.2, 0.1, 30.0), ('REPAIR', 'up', 0.1, 0.05, 40.0), ('REPEAT', 'down', 0.08, 0.12, 30.0)) AS v(indicator, polarity, upper, lower, weight))
+    f"""WITH {SO}, goal AS (SELECT * FROM (VALUES ('EFFECTIVENESS', 'up', 0.2, 0.1, 30.0), ('REPAIRS 24H', 'up', 0.1, 0.05, 40.0), ('REPEATED REPAIR', 'down', 0.08, 0.12, 30.0)) AS v(indicator, polarity, upper, lower, weight))
        SELECT company, indicator, result, CAST(weight AS DOUBLE) AS weight, CAST(weight AS DOUBLE) * CAST(CASE WHEN polarity = 'up' THEN CASE WHEN result >= CAST(upper AS DOUBLE) THEN 1.0 WHEN result < CAST(lower AS DOUBLE) THEN 0.6 ELSE 0.8 END
          ELSE CASE WHEN result <= CAST(upper AS DOUBLE) THEN 1.0 WHEN result > CAST(lower AS DOUBLE) THEN 0.6 ELSE 0.8 END END AS DOUBLE) AS points
        FROM ind JOIN goal USING (indicator)""",
@@ -194,12 +272,12 @@ def _(t):
 def _(t):
     goals = t.spark.createDataFrame(
         [
-            ("ACTIVATION", "up", 0.5, 0.4, 10.0, 1), ("ACTIVATION", "up", 0.2, 0.1, 30.0, 2),
-            ("REPAIR", "up", 0.1, 0.05, 40.0, 2), ("REPEAT", "down", 0.08, 0.12, 30.0, 2),
+            ("EFFECTIVENESS", "up", 0.5, 0.4, 10.0, 1), ("EFFECTIVENESS", "up", 0.2, 0.1, 30.0, 2),
+            ("REPAIRS 24H", "up", 0.1, 0.05, 40.0, 2), ("REPEATED REPAIR", "down", 0.08, 0.12, 30.0, 2),
         ],
         "indicator string, polarity string, upper double, lower double, weight double, valid_from int",
     )
-    return fieldservice.kpi_bonus(fieldservice.kpi_indicators(_analytic(t)), goals)
+    return fieldservice.kpi_bonus(_indicators(t), goals)
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import anchor_dates
 from tidemark.queries.registry import query
 from tidemark.sources import extract
-from tidemark.sources.lake import Lake, load_seed, rename, work_dir
+from tidemark.sources.lake import Lake, children, load_seed, rename_parts, work_dir
 from tidemark.streaming import streams
 
 NATION = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
@@ -77,12 +77,12 @@ def _(t):
     """SELECT o_orderkey, DATE '2001-06-01' + CAST(o_orderkey % 3 AS INTEGER) AS _file_generation_date FROM orders""",
 )
 def _(t):
-    """One CSV drop a day, the date in its name; another file beside them is not read."""
+    """CSV drops of each day in several files, the date in their names; another file beside them is not read."""
     root = work_dir(t.spark, "drops")
-    for k, name in enumerate(("orders_20010601.csv", "orders_20010602.csv", "orders_20010603.csv", "other_20010603.csv")):
+    for k, name in enumerate(("orders_20010601", "orders_20010602", "orders_20010603", "other_20010603")):
         part = t.orders.where(F.col("o_orderkey") % 3 == k % 3).select("o_orderkey")
-        part.coalesce(1).write.csv(f"{root}/parts/{k}", header=True)
-        rename(t.spark, f"{root}/parts/{k}", ".csv", f"{root}/drops/{name}")
+        part.hint("rebalance").write.csv(f"{root}/parts/{k}", header=True)
+        rename_parts(t.spark, f"{root}/parts/{k}", ".csv", f"{root}/drops/{name}")
     return extract.read_file_drop(t.spark, f"{root}/drops", "orders_", "o_orderkey bigint")
 
 
@@ -116,16 +116,16 @@ def _(t):
     )
 
 
-@query("purged_versions", f"SELECT n_nationkey, CAST(2 AS BIGINT) AS versions_left FROM nation WHERE n_nationkey <> 3")
+@query("purged_versions", "SELECT n_nationkey, CAST(1 AS BIGINT) AS versions_left, CAST(2 AS BIGINT) AS folders_left FROM nation WHERE n_nationkey <> 3")
 def _(t):
-    """Retention keeps the newest version and the one it goes on from."""
+    """Retention keeps the newest version and the folders it reads: that of the second write and of the append."""
     lake, place = Lake(t.spark, work_dir(t.spark, "purge")), ("gold", "base", "nation")
     lake.write(_nation(t), *place)
     lake.write(_nation(t).where("n_nationkey > 3"), *place)
     lake.write(_nation(t).where("n_nationkey < 3"), *place, mode="append")
     lake.purge_versions(*place, keep_hours=1, now_ms=4_102_444_800_000)
-    left = len(lake.versions(*place))
-    return lake.read(*place).select("n_nationkey", F.lit(left).cast("bigint").alias("versions_left"))
+    left = [F.lit(len(lake.versions(*place))), F.lit(len([n for n, _ in children(t.spark, lake.path(*place)) if n.startswith("_load=")]))]
+    return lake.read(*place).select("n_nationkey", left[0].cast("bigint").alias("versions_left"), left[1].cast("bigint").alias("folders_left"))
 
 
 @query(

@@ -14,13 +14,18 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # merge the sessions of a frequent key before they are shuffled
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # listing the folders of a table with very many appends: few tasks of many folders each
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     "spark.ui.enabled": "false",
 }
 
 # On a cluster an exchange begins with many partitions, which adaptive execution
 # puts together as the sizes come in; it cannot split those of an aggregate or
 # a window.  20,000 parts of an exchange of 10 TB hold 500 MB each.
-CLUSTER = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+CLUSTER = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "500",
+}
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
