@@ -218,3 +218,45 @@ def test_scd2_runs_twice_alike(spark):
     want = sorted([(1, "a", 10, 20), (1, "b", 20, None), (2, "c", 15, None)], key=str)
     assert pairs(h2, "k", "v", "valid_from", "valid_to") == want
     assert pairs(writers.scd2_snapshot(now, h2, ["k"], "u"), "k", "v", "valid_from", "valid_to") == want
+
+
+def test_month_on_month_and_again(spark, lake):
+    place, month = ("gold", "r", "tv"), lambda m: F.lit(f"2024-{m:02}-01").cast("date")
+    frame = lambda rows: spark.createDataFrame(rows, "k int, f string, plan string, s int")
+    run = lambda rows, m: writers.roll_month(lake, place, frame(rows), ["k", "f"], ["plan", "s"], "month", month(m))
+    run([(1, "a", "p", None), (2, "a", "p", 0)], 1)
+    run([(1, "a", "p", None), (3, None, "p", 0)], 2)
+    third = [(1, "a", "q", None), (3, None, "p", 0), (2, "a", "p", 0)]
+    run(third, 3)
+    got = pairs(lake.read(*place), "month", "k", "plan", "previous_plan", "change")
+    d = lambda m: date(2024, m, 1)
+    assert got == sorted([
+        (d(1), 1, "p", None, "GAINED"), (d(1), 2, "p", None, "GAINED"),
+        (d(2), 1, "p", "p", "KEPT"), (d(2), 2, None, "p", "LOST"), (d(2), 3, "p", None, "GAINED"),
+        (d(3), 1, "q", "p", "CHANGED"), (d(3), 2, "p", None, "GAINED"), (d(3), 3, "p", "p", "KEPT"),
+    ], key=str)
+    before = lake.folders(*place)
+    run(third, 3)
+    assert pairs(lake.read(*place), "month", "k", "plan", "previous_plan", "change") == got
+    assert set(before[:2]) <= set(lake.folders(*place))
+
+
+def test_months_that_lose_nothing_keep_their_files(spark, lake):
+    place, d = ("gold", "r", "base"), lambda m, n=1: date(2024, m, n)
+    kind = "k int, ref date, month date"
+    for m in (1, 2, 3):
+        lake.replace_periods(spark.createDataFrame([(k, d(m, 28), d(m)) for k in (1, 2, m + 10)], kind), *place, "month")
+    files = lambda: {r.f for r in lake.read(*place).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    before = files()
+    today = spark.createDataFrame([(1, None), (2, d(2, 20)), (11, None), (13, d(3, 1))], "k int, cancelled date")
+    keep = F.col("today").isNull() | F.col("today.cancelled").isNull() | (F.col("today.cancelled") > F.col("ref"))
+    current = spark.createDataFrame([(1, d(4, 28), d(4))], kind)
+    writers.carry_under(lake, place, current, today, ["k"], "month", keep)
+    assert pairs(lake.read(*place), "k", "month") == sorted([
+        (1, d(1)), (2, d(1)), (11, d(1)), (1, d(2)), (12, d(2)), (1, d(3)), (1, d(4))], key=str)
+    january = {f for f in before if "month=2024-01-01" in f}
+    assert january and january <= files() and not {f for f in before - january} & files()
+    # a month that loses all its rows goes
+    none = spark.createDataFrame([(1, d(1, 1)), (2, d(1, 1)), (11, d(1, 1)), (12, None)], "k int, cancelled date")
+    writers.carry_under(lake, place, current, none, ["k"], "month", keep)
+    assert pairs(lake.read(*place), "k", "month") == [(1, d(4)), (12, d(2))]

@@ -65,3 +65,39 @@ def test_sessions(spark, tmp_path):
     streams.run_to_table(stream, out, str(tmp_path / "cp"))
     got = sorted((r.user, r.session_start, r.contacts) for r in spark.read.parquet(out).select("user", "session_start", "contacts").collect())
     assert got == [(1, T0, 2), (1, T0 + timedelta(minutes=90), 1)]
+
+
+def test_whole_results_across_a_restart(spark, tmp_path):
+    """Closed windows and sessions from the stream, open ones from the log: each once, before and after a restart."""
+    src = str(tmp_path / "in")
+    flow = {
+        "counts": lambda: streams.tumbling_counts(live(spark, src), "ts", ["kind"], "1 hour", "10 minutes"),
+        "sessions": lambda: streams.sessions(live(spark, src), "ts", "user", "30 minutes", "1 minute"),
+    }
+    out = {n: (str(tmp_path / n), str(tmp_path / f"{n}-cp")) for n in flow}
+
+    def whole(name):
+        path, checkpoint = out[name]
+        until = streams.handed_over(spark, checkpoint)
+        log = spark.read.schema(SCHEMA).parquet(f"{src}/*")
+        if name == "counts":
+            df = streams.whole_counts(spark.read.parquet(path), log, "ts", ["kind"], until).select("window_start", "kind", "rows")
+        else:
+            df = streams.whole_sessions(spark.read.parquet(path), log, "ts", "user", until, "30 minutes").select("user", "session_start", "contacts")
+        return sorted(map(tuple, df.collect()))
+
+    at = lambda m: T0 + timedelta(minutes=m)
+    drop(spark, src, "a", [(1, 1, 0, "x"), (2, 1, 40, "x"), (3, 1, 75, "x"), (4, 2, 130, "y"), (5, 2, 140, "y")])
+    for name, stream in flow.items():
+        streams.run_to_table(stream(), *out[name])
+    assert whole("counts") == [(at(0), "x", 2), (at(60), "x", 1), (at(120), "y", 2)]
+    assert whole("sessions") == [(1, at(0), 1), (1, at(40), 1), (1, at(75), 1), (2, at(130), 2)]
+    drop(spark, src, "b", [(6, 2, 155, "y"), (7, 1, 400, "x"), (8, 1, 410, "z")])
+    for name, stream in flow.items():  # a new query goes on from the checkpoint
+        streams.run_to_table(stream(), *out[name])
+    assert whole("counts") == [(at(0), "x", 2), (at(60), "x", 1), (at(120), "y", 3), (at(360), "x", 1), (at(360), "z", 1)]
+    assert whole("sessions") == [(1, at(0), 1), (1, at(40), 1), (1, at(75), 1), (1, at(400), 2), (2, at(130), 3)]
+    for name, stream in flow.items():  # nothing new
+        streams.run_to_table(stream(), *out[name])
+    assert len(whole("counts")) == 5 and len(whole("sessions")) == 5
+    assert streams.handed_over(spark, str(tmp_path / "none"))._jc is not None

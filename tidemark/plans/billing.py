@@ -1,4 +1,4 @@
-"""Billing: monthly base, class waterfall, tags, past months, events, discounts, pro rata, fiscal parts."""
+"""Billing: monthly base, class waterfall, past months, events, discounts, pro rata, fiscal parts."""
 
 from __future__ import annotations
 
@@ -11,26 +11,54 @@ from tidemark.functions.dates import day_in_month, days_between
 from tidemark.functions.text import rule_ladder
 from tidemark.operators.aggregates import cents, exact_sum, pivot_max, sum_money
 from tidemark.operators.intervals import clipped_length
+from tidemark.operators.joins import newest_inside
 from tidemark.operators.latest import dedupe_by_priority, latest_version
 from tidemark.operators.sets import lowest_rank
 
 
+# How item lists write fines, and the names of the fines.
+EQUIPMENT_ITEM, LOYALTY_TYPE = "%REPOS%", "MULTA DE FIDELIDADE"
+EQUIPMENT_FINE, LOYALTY_FINE, BOTH_FINES = "Equipamento", "Fidelidade", "Equipamento e Fidelidade"
+
+
+def migration_way(old_value: str = "old_value", new_value: str = "new_value") -> Column:
+    """Whether a plan change went up or down."""
+    old, new = F.col(old_value), F.col(new_value)
+    return rule_ladder([(new > old, "UP"), (new < old, "DOWN"), (new == old, "SAME")])
+
+
+def invoice_fines(items: DataFrame) -> DataFrame:
+    """Kind and value of the fines per invoice, out of its items (invoice_id, item_type, item_name, price)."""
+    equipment, loyalty = F.upper("item_name").like(EQUIPMENT_ITEM), F.upper("item_type") == LOYALTY_TYPE
+    either = F.coalesce(equipment, F.lit(False)) | F.coalesce(loyalty, F.lit(False))
+    found = items.where(either).groupBy("invoice_id").agg(
+        F.bool_or(F.coalesce(equipment, F.lit(False))).alias("_e"), F.bool_or(F.coalesce(loyalty, F.lit(False))).alias("_l"),
+        sum_money("price").alias("fine_value"),
+    )
+    kind = rule_ladder([(F.col("_e") & F.col("_l"), BOTH_FINES), (F.col("_e"), EQUIPMENT_FINE)], LOYALTY_FINE)
+    return found.select("invoice_id", kind.alias("fine"), "fine_value")
+
+
 def billing_base(
     invoices: DataFrame,
     contracts: DataFrame,
     suspensions: DataFrame,
-    discounts: DataFrame,
-    extras: DataFrame,
+    lines: DataFrame,
+    migrations: DataFrame,
+    items: DataFrame,
     month: Column,
 ) -> DataFrame:
-    """Invoices of a month with cycle, discounts, suspended days, extra services and net value.
+    """Invoices of a month with cycle, last migration, discounts, suspended days, extra services, fines and net value.
 
     A contract's cycle ends on its ``closing_day`` of the month (the last day of
     a shorter month) and starts the day after the one before.  Contracts active
     at the cycle end or cancelled inside the cycle take part.  ``suspensions``
-    (end day not included) and ``discounts`` are day spans per contract;
-    ``extras`` are dated amounts.  Every contract has one cycle, so spans meet
-    at most one cycle row and are summed right after that join.
+    (end day not included) are day spans per contract.  ``lines`` are what a contract
+    was sold: ``percent`` is a discount from ``begun`` to ``ended``, ``price`` an extra service
+    of the day ``begun``; either may be NULL.  Every contract has one cycle, so spans and lines meet
+    at most one cycle row and are summed right after that join, discounts and extras in one pass.
+    ``migrations`` (contract_id, migration_id, day, old_value, new_value, accepted) give the newest
+    accepted one inside the cycle; ``items`` are the lines of the invoices (see ``invoice_fines``).
     """
     first, last = F.trunc(month, "MM"), F.last_day(month)
     earliest = F.add_months(first, -1)  # no cycle of this month starts before
@@ -51,27 +79,29 @@ def billing_base(
         .groupBy("contract_id")
         .agg(F.sum(clipped_length("begun", "ended", "cycle_start", "cycle_end")).alias("_suspended"))
     )
-    reduced = (
-        discounts.where((F.col("begun") <= last) & (F.col("ended") >= earliest))
+    runs = F.col("percent").isNotNull() & (F.col("begun") <= F.col("cycle_end")) & (F.col("ended") >= F.col("cycle_start"))
+    sold = F.col("price").isNotNull() & F.col("begun").between(F.col("cycle_start"), F.col("cycle_end"))
+    touched = (
+        lines.where((F.col("begun") <= last) & ((F.col("ended") >= earliest) | (F.col("begun") >= earliest)))
         .join(window, "contract_id")
-        .where((F.col("begun") <= F.col("cycle_end")) & (F.col("ended") >= F.col("cycle_start")))
         .groupBy("contract_id")
-        .agg(F.count(F.lit(1)).alias("_discounts"), F.sum("percent").cast("double").alias("_percent"))
-    )
-    added = (
-        extras.where((F.col("sold") <= last) & (F.col("sold") >= earliest))
-        .join(window, "contract_id")
-        .where(F.col("sold").between(F.col("cycle_start"), F.col("cycle_end")))
-        .groupBy("contract_id")
-        .agg(F.count(F.lit(1)).alias("_extras"), sum_money("price").alias("_extra_value"))
+        .agg(
+            F.count_if(runs).alias("_discounts"),
+            F.sum(F.when(runs, F.col("percent"))).cast("double").alias("_percent"),
+            F.count_if(sold).alias("_extras"),
+            sum_money("price", sold).alias("_extra_value"),
+        )
     )
-    facts = cycles
-    for part in (stopped, reduced, added):
+    accepted = migrations.where(F.col("accepted") & (F.col("day") >= earliest) & (F.col("day") <= last))
+    take = {"migration_id": "migration_id", "day": "migrated_on", "old_value": "_old", "new_value": "_new"}
+    facts = newest_inside(cycles, accepted, ["contract_id"], "cycle_start", "cycle_end", "day", "migration_id", take)
+    for part in (stopped, touched):
         facts = facts.join(part, "contract_id", "left")
     billed = invoices.where((F.col("issued") >= first) & (F.col("issued") <= last))
+    fines = invoice_fines(items.join(billed.select("invoice_id"), "invoice_id", "left_semi"))
     days = days_between("cycle_start", "cycle_end") + 1
     none = F.lit(0).cast("bigint")
-    wide = billed.join(facts, "contract_id").select(
+    wide = billed.join(facts, "contract_id").join(fines, "invoice_id", "left").select(
         "invoice_id", "contract_id", "unit_id", "contract_status", "kind", "amount", "issued",
         "cycle_start", "cycle_end",
         days.alias("cycle_days"),
@@ -80,6 +110,8 @@ def billing_base(
         F.least(F.coalesce("_percent", F.lit(0.0)), F.lit(100.0)).alias("discount_percent"),
         F.coalesce("_extras", none).alias("extra_services"),
         F.coalesce("_extra_value", F.lit(0.0)).alias("extra_value"),
+        "migration_id", "migrated_on", migration_way("_old", "_new").alias("migration"),
+        "fine", F.coalesce("fine_value", F.lit(0.0)).alias("fine_value"),
     )
     kept = F.col("amount") * (F.col("cycle_days") - F.col("suspended_days")) / F.col("cycle_days")
     return wide.withColumn("net_value", kept * (1 - F.col("discount_percent") / 100) + F.col("extra_value"))
@@ -92,13 +124,6 @@ def billing_tree(invoices: DataFrame, classes: Sequence[str]) -> DataFrame:
     return dedupe_by_priority(known, ["contract_id"], rank, [F.asc("due"), F.asc("invoice_id")])
 
 
-def billing_tag(base: DataFrame, rules: Sequence[tuple[Column, str]], exempt: Sequence[tuple[Column, str]]) -> DataFrame:
-    """Why an invoice has its value: first matching rule, and first matching exemption."""
-    return base.withColumns(
-        {"billing_tag": rule_ladder(rules, "OUTROS"), "exemption_tag": rule_ladder(exempt)}
-    )
-
-
 def past_months(invoices: DataFrame, suspended: DataFrame, month: Column) -> DataFrame:
     """Open invoices of suspended contracts from the newest earlier month that has any: M-1, M-2, M-3, older."""
     first = F.trunc(month, "MM")
@@ -180,5 +205,5 @@ def last_migration(migrations: DataFrame, month: Column) -> DataFrame:
         F.col("accepted") & (F.col("day") >= F.trunc(month, "MM")) & (F.col("day") <= F.last_day(month))
     )
     newest = latest_version(inside, ["contract_id"], ["day", "migration_id"])
-    way = rule_ladder([(F.col("new_value") > F.col("old_value"), "UP"), (F.col("new_value") < F.col("old_value"), "DOWN")], "SAME")
+    way = F.coalesce(migration_way(), F.lit("SAME"))
     return newest.select("contract_id", "migration_id", "day", "old_value", "new_value", way.alias("direction"))

@@ -18,6 +18,8 @@ from tidemark.operators.joins import exclude, recurrence
 from tidemark.operators.latest import latest_version, nth_by, summary_row_per_key
 from tidemark.operators.linkage import earlier_link
 from tidemark.operators.sets import cutover_union, union_distinct
+from tidemark.sources.lake import Lake
+from tidemark.sources.writers import carry_under
 
 
 def replaced_contracts(contracts: DataFrame, keys: Sequence[str], from_days: int, to_days: int) -> DataFrame:
@@ -126,6 +128,17 @@ def big_base(
     )
 
 
+def store_big_base(lake: Lake, place: tuple[str, str, str], month: DataFrame, contracts: DataFrame) -> int:
+    """Store a month of the big base (``big_base`` with ``reference`` day and ``month``) and look at the months before again.
+
+    A stored row stays as long as its contract, as known today, was not cancelled by the row's reference day;
+    months that lose no row keep their files.
+    """
+    cancelled = F.col("today.cancelled")
+    keep = F.col("today").isNull() | cancelled.isNull() | (cancelled > F.col("reference"))
+    return carry_under(lake, place, month, contracts.select("contract_id", "cancelled"), ["contract_id"], "month", keep)
+
+
 def contract_sheet(contracts: DataFrame, speeds: DataFrame, markers: DataFrame) -> DataFrame:
     """Contract with its newest plan speed in Mbps and its markers as sorted text."""
     newest = latest_version(speeds, ["contract_id"], ["day", "version_id"])

@@ -1,8 +1,10 @@
 from pyspark.sql import functions as F
 
 from tidemark.plans import contracts as plans
+from tidemark.plans import partner_tv
 from tidemark.queries.registry import query
 from tidemark.queries.testbed import ACC, AS_OF, CON, INV, accounts, contracts, day, invoices
+from tidemark.sources.lake import Lake, work_dir
 
 def _channels():
     return [
@@ -87,6 +89,91 @@ def _(t):
     return plans.big_base(contracts(t), discounts, day(), {"A": "campaign", "N": "retention", "R": "loyalty"})
 
 
+def _base_of(t, ref):
+    """The big base as it was on a day, with the day and its month."""
+    begun = F.to_date("l_shipdate")
+    discounts = t.lineitem.select(
+        F.col("l_orderkey").alias("contract_id"), F.col("l_returnflag").alias("category"), begun.alias("begun"),
+        F.date_add(begun, 200).alias("ended"), (F.col("l_discount") * 100).alias("percent"),
+    )
+    found = plans.big_base(contracts(t), discounts, day(ref), {"A": "campaign", "N": "retention", "R": "loyalty"})
+    return found.select("contract_id", "plan", "total_percent", "final_price", day(ref).alias("reference"), F.trunc(day(ref), "MM").alias("month"))
+
+
+@query(
+    "big_base_months",
+    f"""WITH {CON}, m AS (SELECT unnest([DATE '2001-03-31', DATE '2001-04-30', DATE '2001-05-31']) AS reference),
+       d AS (SELECT l_orderkey AS contract_id, l_returnflag AS category, CAST(l_shipdate AS DATE) AS b, CAST(l_shipdate AS DATE) + 200 AS e, l_discount * 100 AS p FROM lineitem),
+       k AS (SELECT d.*, reference FROM d JOIN m ON b <= reference AND e >= reference QUALIFY row_number() OVER (PARTITION BY contract_id, category, reference ORDER BY e DESC, p DESC) = 1),
+       w AS (SELECT contract_id, reference, max(CASE WHEN category = 'A' THEN p END) AS c, max(CASE WHEN category = 'N' THEN p END) AS n, max(CASE WHEN category = 'R' THEN p END) AS r FROM k GROUP BY 1, 2),
+       x AS (SELECT con.*, m.reference, least(0.0::DOUBLE + coalesce(c, 0) + coalesce(n, 0) + coalesce(r, 0), 100) AS total_percent FROM con JOIN m ON activated <= m.reference AND (cancelled IS NULL OR cancelled > m.reference)
+             LEFT JOIN w ON w.contract_id = con.contract_id AND w.reference = m.reference)
+       SELECT contract_id, plan, total_percent, price * (1 - total_percent / 100) AS final_price, reference, CAST(date_trunc('month', reference) AS DATE) AS month FROM x
+       WHERE reference = DATE '2001-05-31' OR NOT coalesce(contract_id % 3 = 0 AND cancelled - 20 <= reference, FALSE)""",
+)
+def _(t):
+    """Two months are stored; by the third, some contracts turn out to have ended twenty days earlier."""
+    lake, place = Lake(t.spark, work_dir(t.spark, "big-base")), ("gold", "reports", "big_base")
+    known = contracts(t)
+    for ref in ("2001-03-31", "2001-04-30"):
+        lake.replace_periods(_base_of(t, ref), *place, "month")
+    today = known.withColumn("cancelled", F.when(F.col("contract_id") % 3 == 0, F.date_sub("cancelled", 20)).otherwise(F.col("cancelled")))
+    plans.store_big_base(lake, place, _base_of(t, "2001-05-31"), today)
+    return lake.read(*place)
+
+
+TV = {"streaming": "%U%", "sports": "%H%", "kids": "%LOW"}
+
+
+def _subscribed(t, ref, number):
+    """Contracts of a month end; every fifth has another plan each month."""
+    alive = contracts(t).where((F.col("activated") <= day(ref)) & (F.col("cancelled").isNull() | (F.col("cancelled") > day(ref))))
+    plan = F.when((F.col("contract_id") + number) % 5 == 0, "5-LOW").otherwise(F.col("plan"))
+    status = F.when(F.col("contract_id") % 9 == number, "SUSPENDED").otherwise("ENABLED")
+    return alive.select("contract_id", plan.alias("plan"), status.alias("status"))
+
+
+@query(
+    "partner_tv_months",
+    f"""WITH {CON}, m AS (SELECT * FROM (VALUES (4, DATE '2001-04-30', DATE '2001-04-01'), (5, DATE '2001-05-31', DATE '2001-05-01'), (6, DATE '2001-06-30', DATE '2001-06-01')) AS v(no, ref, month)),
+       s AS (SELECT contract_id, m.no, m.month, CASE WHEN (contract_id + no) % 5 = 0 THEN '5-LOW' ELSE plan END AS plan, CASE WHEN contract_id % 9 = no THEN 'SUSPENDED' ELSE 'ENABLED' END AS status
+             FROM con JOIN m ON activated <= ref AND (cancelled IS NULL OR cancelled > ref)),
+       f AS (SELECT contract_id, feature, no, month, plan, status, CAST(status = 'SUSPENDED' AS INTEGER) AS suspended FROM s
+             JOIN (VALUES ('streaming', '%U%'), ('sports', '%H%'), ('kids', '%LOW')) AS p(feature, pattern) ON plan LIKE pattern),
+       j AS (SELECT coalesce(a.contract_id, b.contract_id) AS contract_id, coalesce(a.feature, b.feature) AS feature, coalesce(a.no, b.no + 1) AS no, a.plan, a.status, a.suspended,
+               b.plan AS previous_plan, b.status AS previous_status, b.suspended AS previous_suspended, a.plan IS NULL AS lost, b.plan IS NULL AS gained
+             FROM f a FULL JOIN f b ON a.contract_id = b.contract_id AND a.feature = b.feature AND a.no = b.no + 1)
+       SELECT contract_id, feature, m.month, plan, status, suspended, previous_plan, previous_status, previous_suspended,
+         CASE WHEN gained THEN 'GAINED' WHEN lost THEN 'LOST' WHEN plan = previous_plan AND status = previous_status THEN 'KEPT' ELSE 'CHANGED' END AS change FROM j JOIN m USING (no)""",
+)
+def _(t):
+    """Three months, the last one run twice."""
+    lake, place = Lake(t.spark, work_dir(t.spark, "partner-tv")), ("gold", "reports", "partner_tv")
+    for ref, number in (("2001-04-30", 4), ("2001-05-31", 5), ("2001-06-30", 6), ("2001-06-30", 6)):
+        partner_tv.partner_tv_month(lake, place, _subscribed(t, ref, number), TV, ["SUSPENDED"], day(ref))
+    return lake.read(*place)
+
+
+@query(
+    "partner_tv_failed",
+    """WITH p AS (SELECT 'signal' AS provider, o_orderkey AS subscriber_id, o_orderdate AS created, o_orderstatus = 'F' AS active, CASE o_orderkey % 3 WHEN 0 THEN 'activate' WHEN 1 THEN 'cancel' ELSE 'change' END AS state FROM orders WHERE o_orderkey % 2 = 0
+                  UNION ALL SELECT 'cinema', o_orderkey, o_orderdate, o_orderstatus = 'O', CASE o_orderkey % 3 WHEN 0 THEN 'activate' WHEN 1 THEN 'cancel' ELSE 'change' END FROM orders WHERE o_orderkey % 2 = 1)
+       SELECT provider, subscriber_id, created, state, CAST(date_trunc('month', created) AS DATE) AS month FROM p
+       WHERE NOT active AND state IN ('activate', 'cancel') AND created >= TIMESTAMP '2001-04-01' AND created < TIMESTAMP '2001-06-01'""",
+)
+def _(t):
+    def provider(rest, active):
+        state = F.when(F.col("o_orderkey") % 3 == 0, "activate").when(F.col("o_orderkey") % 3 == 1, "cancel").otherwise("change")
+        return t.orders.where(F.col("o_orderkey") % 2 == rest).select(
+            F.col("o_orderkey").alias("subscriber_id"), F.col("o_orderdate").alias("created"), (F.col("o_orderstatus") == active).alias("active"), state.alias("state")
+        )
+
+    lake, place = Lake(t.spark, work_dir(t.spark, "partner-tv")), ("gold", "reports", "partner_tv_failed")
+    for ref in ("2001-04-30", "2001-05-31", "2001-05-31"):
+        partner_tv.store_failed_activations(lake, place, {"signal": provider(0, "F"), "cinema": provider(1, "O")}, ["activate", "cancel"], day(ref))
+    return lake.read(*place).drop("active")
+
+
 @query(
     "contract_sheet",
     f"""WITH {CON}, s AS (SELECT l_orderkey AS contract_id, CAST(l_quantity AS INTEGER) * (CASE WHEN l_tax > 0.04 THEN 1000 ELSE 1 END) AS v FROM lineitem

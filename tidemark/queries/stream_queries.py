@@ -66,3 +66,36 @@ def _(t):
         "user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
         F.col("session_end").cast("timestamp_ntz").alias("session_end"), "contacts",
     )
+
+
+@query(
+    "stream_hourly_whole",
+    """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS rows
+       FROM events GROUP BY ALL""",
+)
+def _(t):
+    """Closed windows from the stream, open ones from the table: all windows."""
+    root = work_dir(t.spark, "stream-hourly")
+    seen = _live(t).withColumn("ts", F.col("ts").cast("timestamp"))
+    streams.run_to_table(streams.tumbling_counts(seen, "ts", ["event_type"]), f"{root}/out", f"{root}/checkpoint")
+    rows = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    until = streams.handed_over(t.spark, f"{root}/checkpoint")
+    out = streams.whole_counts(t.spark.read.parquet(f"{root}/out"), rows, "ts", ["event_type"], until)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query(
+    "stream_sessions_whole",
+    """WITH s AS (SELECT *, sum(CASE WHEN p IS NULL OR ts >= p + INTERVAL 24 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS n
+                  FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events))
+       SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 24 HOUR AS session_end, count(*) AS contacts FROM s GROUP BY user_id, n""",
+)
+def _(t):
+    """Closed sessions from the stream, open ones from the table: all sessions."""
+    root = work_dir(t.spark, "stream-sessions")
+    seen = _live(t).withColumn("ts", F.col("ts").cast("timestamp"))
+    streams.run_to_table(streams.sessions(seen, "ts", "user_id"), f"{root}/out", f"{root}/checkpoint")
+    rows = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    until = streams.handed_over(t.spark, f"{root}/checkpoint")
+    out = streams.whole_sessions(t.spark.read.parquet(f"{root}/out"), rows, "ts", "user_id", until)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})

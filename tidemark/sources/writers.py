@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_version
+from tidemark.sources.lake import Lake, store
 
 
 def new_rows(src: DataFrame, tgt: DataFrame, col: str, strict: bool = True, floor=None) -> DataFrame:
@@ -74,6 +75,68 @@ def carry_forward(
     return current.unionByName(kept)
 
 
+def month_on_month(
+    current: DataFrame, stored: DataFrame | None, keys: Sequence[str], values: Sequence[str], period: str, month: Column
+) -> DataFrame:
+    """A month's rows against the last stored month before it.
+
+    Keys, ``period``, the values now and before (``previous_*``), and ``change``: GAINED, KEPT, CHANGED (some value
+    differs) or LOST (stored for the month before, gone now).  ``current`` has the keys and values, one row per
+    key, and ``stored`` is what earlier calls returned; it may hold the month itself or later ones, which don't count.
+    """
+    keys, values = list(keys), list(values)
+    now = current.select(F.struct(*keys).alias("_key"), F.struct(*values).alias("_now"))
+    if stored is None:
+        both = now.withColumn("_then", F.lit(None).cast(now.schema["_now"].dataType))
+    else:
+        earlier = stored.where(F.col(period) < month)
+        newest = earlier.agg(F.max(period)).scalar()
+        there = earlier.where((F.col(period) == newest) & (F.col("change") != "LOST"))
+        then = there.select(F.struct(*keys).alias("_old"), F.struct(*values).alias("_then"))
+        joined = now.join(then, F.col("_key").eqNullSafe(F.col("_old")), "full")
+        both = joined.select(F.coalesce("_key", "_old").alias("_key"), "_now", "_then")
+    a, b = F.col("_now"), F.col("_then")
+    change = (
+        F.when(b.isNull(), "GAINED").when(a.isNull(), "LOST").when(a.eqNullSafe(b), "KEPT").otherwise("CHANGED").alias("change")
+    )
+    previous = [b.getField(v).alias(f"previous_{v}") for v in values]
+    return both.select("_key.*", month.alias(period), *[a.getField(v).alias(v) for v in values], *previous, change)
+
+
+def roll_month(
+    lake: Lake, place: tuple[str, str, str], current: DataFrame, keys: Sequence[str], values: Sequence[str], period: str, month: Column
+) -> int:
+    """Add a month to a table that compares itself with its own last stored month (see ``month_on_month``).
+
+    Only the month's partition is written.  Running it again for the same month leaves the same rows, since the month
+    itself is not what it is compared with.
+    """
+    stored = lake.read(*place) if lake.exists(*place) else None
+    return lake.replace_periods(month_on_month(current, stored, keys, values, period, month), *place, period)
+
+
+def carry_under(
+    lake: Lake, place: tuple[str, str, str], current: DataFrame, today: DataFrame, keys: Sequence[str], period: str, keep: Column
+) -> int:
+    """Replace the periods of ``current`` and drop stored rows of other periods that ``keep`` does not hold for any more.
+
+    ``keep`` sees the stored row (its columns) and the row of ``today`` with its keys (struct ``today``, NULL without
+    one).  Earlier periods are written again only where they lose rows; all others keep their files.
+    """
+    stored = lake.read(*place)
+    facts = today.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], F.struct("*").alias("today"))
+    fresh = current.select(period).distinct()
+    old = stored.join(fresh, period, "left_anti")
+    judged = old
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & (F.col(k) == F.col(f"_t{i}"))
+    judged = old.join(facts, match, "left").withColumn("_keep", F.coalesce(keep, F.lit(False)))
+    losing = store(judged.where(~F.col("_keep")).select(period).distinct(), "losing-periods")
+    kept = judged.where("_keep").select(*stored.columns).join(losing, period, "left_semi")
+    return lake.replace_periods(kept.unionByName(current.select(*stored.columns)), *place, period, gone=losing)
+
+
 def refresh_window(new: DataFrame, old: DataFrame, date_col: str, cutoff) -> DataFrame:
     """Rows from the cutoff on come from the rebuild, older ones from the stored table."""
     mark = F.lit(cutoff).cast("date")

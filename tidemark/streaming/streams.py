@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_version, nth_by
+from tidemark.sources.lake import children, read_text
 
 
 def drop_folder(spark: SparkSession, folder: str, schema, fmt: str = "parquet", files_per_batch: int = 100) -> DataFrame:
@@ -93,7 +95,7 @@ def read_deduped(spark: SparkSession, path: str, row_id: str, first_by: Sequence
 def tumbling_counts(stream: DataFrame, ts: str, keys: Sequence[str], width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     """Counts per closed window and key; rows later than the delay are left out.
 
-    Windows still open when the stream ends are not there; ``open_counts`` has them from a batch read.
+    Windows still open when the stream ends are not there; ``whole_counts`` adds them from a batch read.
     """
     counted = stream.withWatermark(ts, delay).groupBy(F.window(ts, width), *keys).agg(F.count(F.lit(1)).alias("rows"))
     return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "rows")
@@ -105,9 +107,55 @@ def open_counts(rows: DataFrame, ts: str, keys: Sequence[str], since: Column, wi
     return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "rows")
 
 
+def handed_over(spark: SparkSession, checkpoint: str) -> Column:
+    """Up to which time a stream has closed its windows: the watermark of the last batch that it committed.
+
+    It is read from the checkpoint, which says what was written even if the driver was lost right after.  Before
+    the first batch nothing is closed.
+    """
+    done = [int(n) for n, _ in children(spark, f"{checkpoint}/commits") if n.isdigit()]
+    if not done:
+        return F.timestamp_millis(F.lit(0))
+    batch = read_text(spark, f"{checkpoint}/offsets/{max(done)}").split("\n")[1]
+    return F.timestamp_millis(F.lit(json.loads(batch)["batchWatermarkMs"]))
+
+
+def whole_counts(
+    closed: DataFrame, rows: DataFrame, ts: str, keys: Sequence[str], closed_until: Column, width: str = "1 hour"
+) -> DataFrame:
+    """All windows, each once: those the stream has closed, and the others counted from the stored rows.
+
+    ``closed`` is what ``tumbling_counts`` wrote, ``closed_until`` its hand-over (``handed_over``).  Rows that the stream left
+    out as too late belong to closed windows and stay out.
+    """
+    return closed.unionByName(open_counts(rows, ts, keys, closed_until, width))
+
+
 def sessions(stream: DataFrame, ts: str, key: str, gap: str = "24 hours", delay: str = "1 hour") -> DataFrame:
     """Contacts of a key that follow each other within the gap, as closed sessions; open ones come when they close."""
     grouped = stream.withWatermark(ts, delay).groupBy(F.session_window(ts, gap), key)
     return grouped.agg(F.count(F.lit(1)).alias("contacts")).select(
         key, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "contacts"
     )
+
+
+def open_sessions(closed: DataFrame, rows: DataFrame, ts: str, key: str, closed_until: Column, gap: str = "24 hours") -> DataFrame:
+    """The sessions that a stream has not closed yet, from the stored rows.
+
+    An open session begins after the last closed one of its key, so only rows since then are looked at; what ends
+    by ``closed_until`` was closed, or left out as too late.
+    """
+    last = closed.groupBy(F.col(key).alias("_k")).agg(F.max("session_end").alias("_until"))
+    joined = rows.select(ts, key).join(last, F.col(key).eqNullSafe(F.col("_k")), "left")
+    since = joined.where(F.col("_until").isNull() | (F.col(ts) >= F.col("_until")))
+    # the end is computed from the rows: a filter on the window's own end would be pushed below the merging of sessions
+    grouped = since.groupBy(F.session_window(ts, gap), key).agg(F.count(F.lit(1)).alias("contacts"), F.max(ts).alias("_last"))
+    found = grouped.select(
+        key, F.col("session_window.start").alias("session_start"), (F.col("_last") + F.expr(f"interval {gap}")).alias("session_end"), "contacts"
+    )
+    return found.where(F.col("session_end") > closed_until)
+
+
+def whole_sessions(closed: DataFrame, rows: DataFrame, ts: str, key: str, closed_until: Column, gap: str = "24 hours") -> DataFrame:
+    """All sessions, each once: those the stream has closed and those still open."""
+    return closed.unionByName(open_sessions(closed, rows, ts, key, closed_until, gap))
