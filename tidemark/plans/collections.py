@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between
-from tidemark.functions.text import bucketize
+from tidemark.functions.text import bucketize, clean_text_key, first_match, valid_email
 from tidemark.operators.aggregates import list_parts, pivot_max, sum_money
 from tidemark.operators.joins import exclude
 from tidemark.operators.latest import nth_by, topk_per_key
@@ -171,3 +171,29 @@ def contact_priority(systems: Sequence[DataFrame], how_many: int) -> DataFrame:
     order = [F.asc("_system"), F.desc("updated"), F.asc("contact")]
     top = topk_per_key(once, ["client_id"], order, how_many, "n")
     return pivot_max(top, ["client_id"], "n", "contact", {i: f"contact_{i}" for i in range(1, how_many + 1)})
+
+
+def cadastre(
+    contracts: DataFrame, units: DataFrame, places: DataFrame, contacts: DataFrame, hubs: Sequence[tuple[str, str]],
+    blocked: Sequence[str], systems: Sequence[str], phones: int = 3, emails: int = 2,
+) -> DataFrame:
+    """One row per contract with hub, region and the first phones and e-mails that each system knows of its client.
+
+    ``contracts``: contract_id, client_id, unit_id, city, state; ``units``: unit_id, brand; ``hubs``: LIKE patterns of
+    brands; ``places``: city, state, region, compared without accents and case; ``contacts``: client_id, system, kind
+    (phone, email), contact, recorded; oldest first, e-mails that match a blocked pattern and repeated contacts left out.
+    """
+    named = contracts.join(units.select("unit_id", "brand"), "unit_id", "left")
+    named = named.select("*", clean_text_key("city").alias("_city"), clean_text_key("state").alias("_state"))
+    where = places.select(clean_text_key("city").alias("_city"), clean_text_key("state").alias("_state"), "region")
+    where = where.groupBy("_city", "_state").agg(F.min("region").alias("region"))
+    usable = (F.col("kind") == "phone") | ((F.col("kind") == "email") & valid_email("contact", blocked))
+    once = contacts.where(usable & F.col("system").isin(list(systems))).groupBy("client_id", "system", "kind", "contact").agg(
+        F.min("recorded").alias("recorded")
+    )
+    top = topk_per_key(once, ["client_id", "system", "kind"], [F.asc("recorded"), F.asc("contact")], max(phones, emails), "n")
+    slot = top.withColumn("_slot", F.concat_ws("_", "kind", "n", "system"))
+    wanted = [f"{kind}_{i}_{s}" for s in systems for kind, k in (("phone", phones), ("email", emails)) for i in range(1, k + 1)]
+    sheet = pivot_max(slot, ["client_id"], "_slot", "contact", {w: w for w in wanted})
+    joined = named.join(where, ["_city", "_state"], "left").join(sheet, "client_id", "left")
+    return joined.select("contract_id", "client_id", "brand", first_match("brand", hubs).alias("hub"), "region", *wanted)

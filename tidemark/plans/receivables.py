@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between, period_key
-from tidemark.functions.text import bucketize, rule_ladder
+from tidemark.functions.text import bucketize, digits_only, rule_ladder
 from tidemark.operators.aggregates import ratio, sum_money
+from tidemark.operators.joins import asof_validity
 from tidemark.operators.latest import dedupe_by_priority, latest_version
 
 # Class names of the doubtful-debt report and of the payer profile.
@@ -140,6 +141,32 @@ def invoice_current(
     )
 
 
+def invoice_clients(invoices: DataFrame, clients: DataFrame, contracts: DataFrame) -> DataFrame:
+    """The client and brand of each invoice, out of the billing system's tax id: one row per invoice.
+
+    Of the clients with the invoice's tax id (compared by digits) the newest one created by the time of the invoice
+    counts, else the newest of all; among those created at once one that is not excluded.  ``rivals`` says how
+    many clients share the tax id besides.  ``invoices``: invoice_id, contract_id, tax_id, created; ``clients``:
+    client_id, tax_id, created, excluded; ``contracts``: contract_id, client_id, brand.  Tax ids meet on a time line,
+    so one that very many clients and invoices share makes no pairs.
+    """
+    digits = F.nullif(digits_only("tax_id"), F.lit(""))
+    best = F.struct(~F.col("excluded"), F.col("client_id"))
+    known = clients.select(digits.alias("_tax"), F.col("created").alias("_since"), best.alias("_best"), "client_id")
+    known = known.where(F.col("_tax").isNotNull())
+    asked = invoices.withColumn("_tax", digits)
+    before = asof_validity(asked, known, ["_tax"], "created", "_since", "_best", {"client_id": "_before"})
+    any_time = known.groupBy("_tax").agg(
+        F.max_by("client_id", F.struct("_since", "_best")).alias("_any"), (F.count(F.lit(1)) - 1).alias("_rivals")
+    )
+    found = before.join(any_time, "_tax", "left").select(
+        *invoices.columns, F.coalesce("_before", "_any").alias("client_id"),
+        F.when(F.col("_before").isNotNull(), "CREATED BEFORE").when(F.col("_any").isNotNull(), "CREATED LATER").alias("matched"),
+        F.coalesce("_rivals", F.lit(0)).alias("rivals"),
+    )
+    return found.join(contracts.select("contract_id", "client_id", "brand"), ["contract_id", "client_id"], "left").select(*found.columns, "brand")
+
+
 def collected_months(invoices: DataFrame, as_of: Column) -> DataFrame:
     """Invoices paid in the month of ``as_of`` or the month before, by how late they were paid."""
     first = F.trunc(as_of, "MM")

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import tiered_match
 from tidemark.plans import collections, receivables
 from tidemark.queries.registry import query
 from tidemark.sources.lake import Lake, work_dir
@@ -88,6 +89,108 @@ def _(t):
     return receivables.invoice_current(versions, clients, _units(t), day(), 100000)
 
 
+@query(
+    "invoice_client_match",
+    """WITH inv AS (SELECT o_orderkey AS invoice_id, o_custkey % 40 AS contract_id, CASE WHEN o_orderkey % 19 <> 0 THEN '0' || CAST(o_custkey % 40 AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN '-1' ELSE '.1' END END AS tax_id, o_orderdate AS created FROM orders),
+       cli AS (SELECT c_custkey AS client_id, '0' || CAST(c_custkey % 50 AS VARCHAR) || '/1' AS tax_id, TIMESTAMP '1995-01-01' + to_days(CAST(c_custkey // 4 * 37 % 2400 AS INTEGER)) AS created, c_custkey % 5 = 0 AS excluded FROM customer),
+       con AS (SELECT contract_id, client_id, CASE WHEN client_id % 2 = 0 THEN 'CLICK' ELSE 'GIGA' END AS brand FROM (SELECT client_id % 40 AS contract_id, client_id FROM cli)),
+       j AS (SELECT inv.*, client_id, cli.created AS since, count(client_id) OVER (PARTITION BY invoice_id) AS n,
+               row_number() OVER (PARTITION BY invoice_id ORDER BY CASE WHEN cli.created <= inv.created THEN 1 ELSE 2 END, cli.created DESC, excluded, client_id DESC) AS r
+             FROM inv LEFT JOIN cli ON regexp_replace(inv.tax_id, '[^0-9]', '', 'g') = regexp_replace(cli.tax_id, '[^0-9]', '', 'g'))
+       SELECT invoice_id, j.contract_id, tax_id, created, j.client_id, CASE WHEN since <= created THEN 'CREATED BEFORE' WHEN since > created THEN 'CREATED LATER' END AS matched,
+         greatest(n - 1, 0) AS rivals, brand FROM j LEFT JOIN con ON con.contract_id = j.contract_id AND con.client_id = j.client_id WHERE r = 1""",
+)
+def _(t):
+    last = F.when(F.col("o_orderkey") % 2 == 0, "-1").otherwise(".1")
+    tax = F.concat(F.lit("0"), F.col("o_custkey") % 40, last)
+    billed = t.orders.select(
+        F.col("o_orderkey").alias("invoice_id"), (F.col("o_custkey") % 40).alias("contract_id"),
+        F.when(F.col("o_orderkey") % 19 != 0, tax).alias("tax_id"), F.col("o_orderdate").alias("created"),
+    )
+    key = F.col("c_custkey")
+    since = F.date_add(day("1995-01-01"), (F.floor(key / 4) * 37 % 2400).cast("int")).cast("timestamp_ntz")
+    clients = t.customer.select(
+        key.alias("client_id"), F.concat(F.lit("0"), key % 50, F.lit("/1")).alias("tax_id"), since.alias("created"), (key % 5 == 0).alias("excluded")
+    )
+    owned = t.customer.select((key % 40).alias("contract_id"), key.alias("client_id"), F.when(key % 2 == 0, "CLICK").otherwise("GIGA").alias("brand"))
+    return receivables.invoice_clients(billed, clients, owned)
+
+
+def _tier_key(n, of):
+    """Some keys are shared by two or more, others single."""
+    shared = F.concat(F.lit("s"), F.floor(of / (2 * n)))
+    return F.when(of % n == 0, shared).otherwise(F.concat(F.lit("u"), of))
+
+
+def _tier_sql(n, of):
+    return f"CASE WHEN {of} % {n} = 0 THEN 's' || CAST({of} // {2 * n} AS VARCHAR) ELSE 'u' || CAST({of} AS VARCHAR) END"
+
+
+@query(
+    "client_match_tiers",
+    f"""WITH p AS (SELECT c_custkey AS client_id, c_name AS client, {_tier_sql(3, 'c_custkey')} AS tax, {_tier_sql(4, 'c_custkey')} AS mail, CASE WHEN c_custkey % 5 <> 0 THEN {_tier_sql(2, 'c_custkey')} END AS phone FROM customer),
+       b AS (SELECT o_orderkey AS bill, {_tier_sql(3, 'o_custkey')} AS tax, {_tier_sql(4, '(o_custkey + 1)')} AS mail, {_tier_sql(2, '(o_custkey + 2)')} AS phone FROM orders),
+       """
+    + ", ".join(f"{k} AS (SELECT {k} AS key, count(*) AS n, min((client_id, client)) AS who FROM p WHERE {k} IS NOT NULL GROUP BY 1)" for k in ("tax", "mail", "phone"))
+    + """, j AS (SELECT b.bill, tax.n AS n1, tax.who AS w1, mail.n AS n2, mail.who AS w2, phone.n AS n3, phone.who AS w3 FROM b
+           LEFT JOIN tax ON tax.key = b.tax LEFT JOIN mail ON mail.key = b.mail LEFT JOIN phone ON phone.key = b.phone),
+       k AS (SELECT *, CASE WHEN n1 = 1 THEN 1 WHEN n2 = 1 THEN 2 WHEN n3 = 1 THEN 3 END AS hit FROM j)
+       SELECT bill, CASE hit WHEN 1 THEN w1[1] WHEN 2 THEN w2[1] WHEN 3 THEN w3[1] END AS client_id, CASE hit WHEN 1 THEN w1[2] WHEN 2 THEN w2[2] WHEN 3 THEN w3[2] END AS client,
+         CASE hit WHEN 1 THEN 'tax id' WHEN 2 THEN 'e-mail' WHEN 3 THEN 'phone' END AS match_tier,
+         greatest(0, CASE WHEN coalesce(hit > 1, TRUE) AND n1 > 1 THEN n1 END, CASE WHEN coalesce(hit > 2, TRUE) AND n2 > 1 THEN n2 END, CASE WHEN hit IS NULL AND n3 > 1 THEN n3 END) AS rivals FROM k""",
+)
+def _(t):
+    key, owner = F.col("c_custkey"), F.col("o_custkey")
+    people = t.customer.select(
+        key.alias("client_id"), F.col("c_name").alias("client"), _tier_key(3, key).alias("tax"), _tier_key(4, key).alias("mail"),
+        F.when(key % 5 != 0, _tier_key(2, key)).alias("phone"),
+    )
+    bills = t.orders.select(
+        F.col("o_orderkey").alias("bill"), _tier_key(3, owner).alias("tax"), _tier_key(4, owner + 1).alias("mail"), _tier_key(2, owner + 2).alias("phone")
+    )
+    tiers = [(name, [F.col(c)], [F.col(c)]) for name, c in (("tax id", "tax"), ("e-mail", "mail"), ("phone", "phone"))]
+    matched = tiered_match(bills, people, tiers, {"client_id": "client_id", "client": "client"})
+    return matched.drop("tax", "mail", "phone")
+
+
+SYSTEMS = ("air", "sydle")
+
+
+@query(
+    "cadastre",
+    """WITH con AS (SELECT c_custkey AS contract_id, c_custkey // 2 AS client_id, c_nationkey AS unit_id, CASE WHEN c_custkey % 2 = 0 THEN 'São João' ELSE 'niteroi' END AS city, CASE WHEN c_custkey % 3 = 0 THEN 'sp' ELSE 'RJ' END AS state FROM customer),
+       x AS (SELECT o_custkey // 2 AS client_id, CASE WHEN o_orderkey % 2 = 0 THEN 'air' ELSE 'sydle' END AS system, CASE WHEN o_orderkey % 5 < 3 THEN 'phone' ELSE 'email' END AS kind,
+               CASE WHEN o_orderkey % 5 < 3 THEN '2199' || CAST(o_orderkey % 900 AS VARCHAR) WHEN o_orderkey % 11 = 0 THEN 'naotem@x.br' WHEN o_orderkey % 13 = 0 THEN 'none' ELSE 'c' || CAST(o_orderkey % 700 AS VARCHAR) || '@mail.br' END AS contact, o_orderdate AS recorded FROM orders),
+       u AS (SELECT client_id, system, kind, contact, min(recorded) AS recorded FROM x WHERE kind = 'phone' OR (contact LIKE '%@%' AND contact NOT LIKE 'naotem%') GROUP BY ALL),
+       r AS (SELECT *, row_number() OVER (PARTITION BY client_id, system, kind ORDER BY recorded, contact) AS n FROM u),
+       s AS (SELECT client_id, """
+    + ", ".join(
+        f"max(CASE WHEN system = '{s}' AND kind = '{k}' AND n = {i} THEN contact END) AS {k}_{i}_{s}"
+        for s in SYSTEMS for k, m in (("phone", 3), ("email", 2)) for i in range(1, m + 1)
+    )
+    + """ FROM r GROUP BY 1)
+       SELECT contract_id, con.client_id, n_name AS brand, CASE WHEN n_name LIKE 'A%' THEN 'NORTH' WHEN n_name LIKE '%IN%' THEN 'SOUTH' END AS hub,
+         CASE WHEN city = 'niteroi' AND state = 'RJ' THEN 'R1' WHEN city LIKE 'S%' AND state = 'sp' THEN 'R2' END AS region, s.* EXCLUDE (client_id)
+       FROM con LEFT JOIN nation ON unit_id = n_nationkey LEFT JOIN s ON s.client_id = con.client_id""",
+)
+def _(t):
+    key, order = F.col("c_custkey"), F.col("o_orderkey")
+    owned = t.customer.select(
+        key.alias("contract_id"), F.floor(key / 2).alias("client_id"), F.col("c_nationkey").alias("unit_id"),
+        F.when(key % 2 == 0, "São João").otherwise("niteroi").alias("city"), F.when(key % 3 == 0, "sp").otherwise("RJ").alias("state"),
+    )
+    units = t.nation.select(F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("brand"))
+    is_phone = order % 5 < 3
+    mail = F.when(order % 11 == 0, "naotem@x.br").when(order % 13 == 0, "none").otherwise(F.concat(F.lit("c"), order % 700, F.lit("@mail.br")))
+    contacts = t.orders.select(
+        F.floor(F.col("o_custkey") / 2).alias("client_id"), F.when(order % 2 == 0, "air").otherwise("sydle").alias("system"),
+        F.when(is_phone, "phone").otherwise("email").alias("kind"),
+        F.when(is_phone, F.concat(F.lit("2199"), order % 900)).otherwise(mail).alias("contact"), F.col("o_orderdate").alias("recorded"),
+    )
+    places = t.spark.createDataFrame([("Niterói", "RJ", "R1"), ("SAO JOAO", "SP", "R2")], "city string, state string, region string")
+    return collections.cadastre(owned, units, places, contacts, [("A%", "NORTH"), ("%IN%", "SOUTH")], ["naotem%"], SYSTEMS)
+
+
 @query(
     "collected_month",
     f"""WITH {INV} SELECT CAST(date_trunc('month', paid_on) AS DATE) AS period, kind, CASE WHEN paid_on - due <= 0 THEN 'on time' WHEN paid_on - due <= 5 THEN '1-5'
