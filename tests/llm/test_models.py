@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -176,6 +177,44 @@ def test_packing_of_odd_rows_and_many_tasks(spark):
     assert packing.packed_documents(docs.limit(0), PATH).count() == 0
 
 
+def test_words_whose_last_letter_brings_a_mark():
+    """Letters that decompose or lower to several signs, before each sign that may end a word."""
+    whole, encoder = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    odd = [c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x20000)]) if len(unicodedata.normalize("NFC", c).lower()) > 1]
+    assert len(odd) > 50 and "\u0130" in odd and "\u0958" in odd
+    words = ["VAL\u0130L\u0130\u011e\u0130,", "\u0130STANBUL VAL\u0130L\u0130\u011e\u0130, ANKARA", "e\u0301.", "\u00c9t\u00c9!", "\u1e9e?", "a\u0308,"]
+    words += [f"{c}{t}" for c in odd for t in ",.*_"] + [f"x{c}{chr(t)}" for c in odd[:12] for t in packing._TAIL]
+    for w in words:
+        assert encoder.ids(w) == np.asarray(whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes(), w
+
+
+def improving(bins, sizes, capacity):
+    """Whether any move or exchange of one or two for one raises squared fill; by trying all."""
+    fill = [sum(sizes[k] for k in b) for b in bins]
+    for a in range(len(bins)):
+        gives = [(sizes[k],) for k in bins[a]] + [(sizes[i], sizes[j]) for i in bins[a] for j in bins[a] if i < j]
+        for b in range(len(bins)):
+            if a != b:
+                for given in gives:
+                    for taken in [0] + [sizes[k] for k in bins[b]]:
+                        d = sum(given) - taken
+                        if 0 < d <= capacity - fill[b] and (fill[a] - d) ** 2 + (fill[b] + d) ** 2 > fill[a] ** 2 + fill[b] ** 2:
+                            if len(given) == 1 or taken:
+                                return True
+    return False
+
+
+def test_local_search_runs_to_its_end():
+    draw = random.Random(12)
+    for turn in range(40):
+        low, high = draw.choice([(1, 40), (34, 38), (20, 60), (45, 70)])
+        sizes = [draw.randint(low, high) for _ in range(draw.randint(2, 40))]
+        bins = packing.local_search(packing.best_fit(sizes, 100), sizes, 100)
+        assert sorted(k for b in bins for k in b) == list(range(len(sizes)))
+        open_bins = [b for b in bins if sum(sizes[k] for k in b) < 99]
+        assert not improving(open_bins, sizes, 100)
+
+
 def test_local_search_only_improves():
     draw = random.Random(1)
     for _ in range(60):

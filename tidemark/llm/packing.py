@@ -2,9 +2,10 @@
 
 Every task packs a share of the pieces.  Pieces go, longest first, into the fullest bin that still takes them.
 Then documents are exchanged one for one, two for one, or moved between underfull bins wherever that raises the sum
-of squared fills, so bins drift to full or empty and empty ones go.  The bins that stay underfull are dealt out again
-to ever fewer tasks and packed anew, so a task leaves no more than a few underfull bins and the last one sees what
-is left of all.
+of squared fills, so bins drift to full or empty and empty ones go.  Partners are looked up in a sorted list of
+(length to be replaced, free room), so the search goes on until no such step is left between any two bins.  The
+bins that stay underfull are dealt out again and packed anew, to as many tasks as their pieces need, while fewer
+tasks are needed or fewer bins stay underfull: no task gets more than its share, and the last one sees what is left of all.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ NEARLY = 0.002
 REMEMBERED = 1_000_000
 
 _TAIL = b".,;:!?*$%&#|()/+=-\"<>[]{}~^_@`\\"
+#: Letters and digits that stay one sign when they are normalised and lower-cased; behind others a mark may
+#: come, which the tokenizer takes together with punctuation.
+_PLAIN = frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") | {chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)}
 
 
 class Encoder:
@@ -54,7 +58,7 @@ class Encoder:
         core = word.rstrip(_TAIL)
         if core and len(core) < len(word):
             last = core[-4:].decode("utf-8", "ignore")[-1:]
-            if last.isalpha() or last in "0123456789":
+            if last in _PLAIN:
                 tail = word[len(core) :]
                 ids = (self.known.get(core) or self._whole(core)) + (self.known.get(tail) or self._whole(tail))
                 return self._keep(word, ids)
@@ -131,86 +135,108 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+class _Partners:
+    """What underfull bins could take, sorted: for each length in a bin (and 0, for nothing) the bin's free room."""
+
+    def __init__(self, capacity: int):
+        self.wide = capacity + 1
+        self.keys, self.bins = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.count: dict[int, int] = {}  # bins that have the length
+
+    def add(self, b: int, sizes: set[int], room: int) -> None:
+        new = np.array(sorted({0, *sizes}), np.int64) * self.wide + room
+        at = np.searchsorted(self.keys, new)
+        self.keys, self.bins = np.insert(self.keys, at, new), np.insert(self.bins, at, b)
+        for y in sizes:
+            self.count[y] = self.count.get(y, 0) + 1
+
+    def remove(self, b: int, sizes: set[int], room: int) -> None:
+        old = np.array(sorted({0, *sizes}), np.int64) * self.wide + room
+        low, high = np.searchsorted(self.keys, old), np.searchsorted(self.keys, old, "right")
+        at = [lo + int(np.flatnonzero(self.bins[lo:hi] == b)[0]) for lo, hi in zip(low.tolist(), high.tolist())]
+        self.keys, self.bins = np.delete(self.keys, at), np.delete(self.bins, at)
+        for y in sizes:
+            self.count[y] -= 1
+            if not self.count[y]:
+                del self.count[y]
+
+    def best(self, given: np.ndarray, taken: np.ndarray) -> tuple[int, int, int, int] | None:
+        """(room left, length given, length taken, bin) of the exchange that leaves the least room."""
+        x, y = (v.ravel() for v in np.meshgrid(given, taken, indexing="ij"))
+        more = x > y
+        x, y = x[more], y[more]
+        asked = y * self.wide + x - y
+        at = np.searchsorted(self.keys, asked)
+        fits = at < len(self.keys)
+        fits[fits] = self.keys[at[fits]] < (y[fits] + 1) * self.wide
+        if not fits.any():
+            return None
+        x, y, asked, at = x[fits], y[fits], asked[fits], at[fits]
+        k = int((self.keys[at] - asked).argmin())
+        return int(self.keys[at[k]] - asked[k]), int(x[k]), int(y[k]), int(self.bins[at[k]])
+
+
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Moves and exchanges between underfull bins, each raising the sum of squared fills, until none is found or
-    200 tries for each underfull bin are spent.
+    """Moves and exchanges between underfull bins, each raising the sum of squared fills, until there is none.
 
-    A gain of a transfer of ``d`` tokens from a bin of fill ``a`` to one of ``b`` is 2d(b - a) + 2d^2 > 0; for
-    each receiver the transfer that fills it best is taken, so every step is an improvement and the search ends.  Where thousands of bins stay underfull the tries end first.
+    A transfer of ``d`` tokens from a bin of fill ``a`` to one of ``b`` gains 2d(b - a) + 2d^2, which is above 0 where the
+    other bin then holds more than the first did.  So of all partners the one that is filled best decides whether
+    there is a step, and it is taken.  Squared fills are whole numbers with a bound: the search ends.
     """
     fills = [sum(lengths[k] for k in b) for b in bins]
     limit = capacity - max(1, int(capacity * NEARLY))
-    order = sorted((b for b in range(len(bins)) if fills[b] < limit), key=lambda b: fills[b])
-    if len(order) < 2:
-        return [b for b in bins if b]
-    items = {b: sorted((lengths[k], k) for k in bins[b]) for b in order}
-    # the emptiest bins give, the fullest take, pass after pass while anything moves
-    tries, most, moved_any = 0, 200 * len(order), True
-    while moved_any and tries < most:
-        moved_any = False
-        order = sorted((b for b in order if items[b]), key=lambda b: fills[b])
-        for low, giver in enumerate(order):
-            for b in reversed(order[low + 1 :]):
-                room = capacity - fills[b]
-                if room <= 0 or not items[b]:
-                    continue
-                tries += 1
-                step = _best_step(items[giver], items[b], room, fills[giver] - fills[b])
-                if step:
-                    moved = _transfer(items[giver], items[b], *step)
-                    fills[b] += moved
-                    fills[giver] -= moved
-                    moved_any = True
-                if not items[giver] or tries >= most:
-                    break
-    order = list(items)
-    for b in order:
-        bins[b] = [k for _, k in items[b]]
+    items: dict[int, dict[int, list[int]]] = {}  # length to pieces, of each underfull bin
+    partners = _Partners(capacity)
+    for b, fill in enumerate(fills):
+        if fill < limit:
+            items[b] = {}
+            for k in bins[b]:
+                items[b].setdefault(lengths[k], []).append(k)
+            partners.add(b, set(items[b]), capacity - fill)
+
+    def step(giver: int) -> bool:
+        own, nothing = items[giver], np.zeros(1, np.int64)
+        single, held = np.array(sorted(own), np.int64), np.array(sorted(partners.count), np.int64)
+        pairs = {}
+        for given, taken in ((single, nothing), (single, held), (None, held)):
+            if given is None:  # two for one
+                sizes = single.tolist()
+                pairs = {a + c: (a, c) for i, a in enumerate(sizes) for c in sizes[i:] if a != c or len(own[a]) > 1}
+                given = np.array(sorted(pairs), np.int64)
+            found = partners.best(given, taken) if len(given) and len(taken) else None
+            if found and capacity - found[0] > fills[giver]:
+                _, x, y, other = found
+                partners.remove(other, set(items[other]), capacity - fills[other])
+                _transfer(own, items[other], pairs[x] if x in pairs else (x,))
+                _transfer(items[other], own, (y,) if y else ())
+                fills[other] += x - y
+                fills[giver] -= x - y
+                if fills[other] < limit:
+                    partners.add(other, set(items[other]), capacity - fills[other])
+                return True
+        return False
+
+    moved = True
+    while moved:
+        moved = False
+        for giver in sorted((b for b in items if items[b] and fills[b] < limit), key=lambda b: (fills[b], b)):
+            if fills[giver] >= limit or not items[giver]:
+                continue
+            partners.remove(giver, set(items[giver]), capacity - fills[giver])
+            while items[giver] and step(giver):
+                moved = True
+            if items[giver]:
+                partners.add(giver, set(items[giver]), capacity - fills[giver])
+    for b, held in items.items():
+        bins[b] = [k for _, ks in sorted(held.items()) for k in ks]
     return [b for b in bins if b]
 
 
-def _transfer(mine: list, other: list, give: list, take: list) -> int:
-    """Carry out a step on the sorted items of two bins; the tokens that the other bin gains."""
-    for x in give:
-        mine.remove(x)
-        bisect.insort(other, x)
-    for x in take:
-        other.remove(x)
-        bisect.insort(mine, x)
-    return sum(x[0] for x in give) - sum(x[0] for x in take)
-
-
-def _best_step(mine: list, other: list, room: int, above: int) -> tuple[list, list] | None:
-    """What to give and take so that the other bin gains most, at most ``room``, and squared fill rises.
-
-    ``above`` is own fill less the other's; a gain of d tokens raises squared fill where d > above.
-    """
-    best, found = max(0, above), None
-
-    def fits(size: int) -> int:
-        return bisect.bisect_right(mine, (size, float("inf"))) - 1
-
-    at = fits(room)
-    if at >= 0 and mine[at][0] > best:  # move one
-        best, found = mine[at][0], ([mine[at]], [])
-    if best < room:
-        for got in other:  # one for one
-            at = fits(room + got[0])
-            if at >= 0 and mine[at][0] - got[0] > best:
-                best, found = mine[at][0] - got[0], ([mine[at]], [got])
-    if best < room and len(mine) > 1:
-        for got in other:  # two for one
-            target = room + got[0]
-            left, right = 0, len(mine) - 1
-            while left < right:
-                total = mine[left][0] + mine[right][0]
-                if total > target:
-                    right -= 1
-                else:
-                    if total - got[0] > best:
-                        best, found = total - got[0], ([mine[left], mine[right]], [got])
-                    left += 1
-    return found
+def _transfer(mine: dict[int, list[int]], other: dict[int, list[int]], sizes: tuple[int, ...]) -> None:
+    for size in sizes:
+        other.setdefault(size, []).append(mine[size].pop())
+        if not mine[size]:
+            del mine[size]
 
 
 def _packed(capacity: int):
@@ -233,8 +259,8 @@ def pack(pieces: DataFrame, *, capacity: int, share: int = SHARE) -> DataFrame:
     """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
 
     Sequences hold at most ``capacity`` tokens, gapless from 0.  Pieces of full length are sequences of their own.
-    Others are dealt to tasks of about ``share`` pieces.  The underfull bins of a turn are opened and dealt to half
-    as many tasks in the next, as long as their number falls; then they stay.
+    Others are dealt to tasks of about ``share`` pieces.  The underfull bins of a turn are opened and dealt out anew in the
+    next, to tasks of as many pieces, as long as that takes fewer tasks or has left fewer of them; then they stay.
     """
     space = Workspace(pieces.sparkSession, "packing")
     stored = space.store(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
@@ -243,22 +269,24 @@ def pack(pieces: DataFrame, *, capacity: int, share: int = SHARE) -> DataFrame:
     out = stored.where(F.col("length") >= capacity).select(*pieces.columns, F.col("row").alias("sequence_id"), zero)
     rest = stored.where(F.col("length") < capacity)
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest.schema.fields)
-    count, tasks, turn = rest.count(), None, 0
+    full = int(capacity * (1 - NEARLY))
+    count, tasks, turn, stayed = rest.count(), 0, 0, None
     while count:
-        least = -(-count // share)
-        tasks, turn = max(1, least if tasks is None else min(least, tasks // 2)), turn + 1
+        tasks, turn = -(-count // share), turn + 1
         dealt = rest.withColumn("deal", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(tasks)))
         packed = dealt.groupBy("deal").applyInPandas(
             _packed(capacity), f"{kind}, deal long, sequence_id long, offset long, fill long"
         )
         packed = space.store(packed, f"turn-{turn}")
-        open_bins = packed.where(F.col("fill") < int(capacity * (1 - NEARLY)))
-        left = open_bins.count() if tasks > 1 else 0
-        if left > 0.8 * count or not left:
+        open_bins = packed.where(F.col("fill") < full)
+        facts = open_bins.agg(F.count(F.lit(1)).alias("pieces"), F.count_if(F.col("offset") == 0).alias("bins")).first()
+        left = facts["pieces"]
+        fewer = -(-left // share) < tasks or stayed is None or facts["bins"] < stayed
+        if tasks == 1 or not left or not fewer:
             out = out.unionByName(packed.select(*columns))
             break
-        out = out.unionByName(packed.where(F.col("fill") >= int(capacity * (1 - NEARLY))).select(*columns))
-        rest, count = open_bins.select(*rest.columns), left
+        out = out.unionByName(packed.where(F.col("fill") >= full).select(*columns))
+        rest, count, stayed = open_bins.select(*rest.columns), left, facts["bins"]
     return out
 
 
