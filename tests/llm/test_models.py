@@ -308,6 +308,82 @@ def test_leaks_exact_and_paraphrased(spark):
     assert decontaminate.leaks(docs.limit(0), bench).count() == 0 == decontaminate.leaks(docs, bench.limit(0)).count()
 
 
+def plain_leaks(documents, items):
+    """All pairs: somewhere in the document, a span of twice the item holds most of it in order."""
+    words = {k: re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower()) for k, t in items}
+    texts = [(d, re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())) for d, t in documents]
+    seen = Counter(w for _, ws in texts for w in set(ws))
+    out = set()
+    for k, own in words.items():
+        masks = {w: sum(1 << i for i, x in enumerate(own) if x == w) for w in set(own)}
+        answer = set(sorted(masks, key=lambda w: (seen[w], w))[:3])
+        for d, ws in texts:
+            inside = [(i, w) for i, w in enumerate(ws) if w in masks]
+            for at in range(0, max(1, len(ws)), max(1, len(own) // 2)):
+                span = [w for i, w in inside if at <= i < at + 2 * len(own)]
+                if len(span) >= 0.5 * len(own):
+                    lcs = decontaminate.common_subsequence(masks, span)
+                    if lcs >= 0.7 * len(own) or lcs >= 0.5 * len(own) and answer <= set(span):
+                        out.add((d, k))
+                        break
+    return out
+
+
+@pytest.mark.parametrize("share", [decontaminate.SHARE, None])
+def test_leaks_against_all_pairs(spark, share):
+    """Recall over all document-item pairs, by the cosine alone as well."""
+    sf = "/root/testdata/sf0.01"
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    want = plain_leaks([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench, share=share).collect()}
+    assert len(want) > 20 and len(want & got) >= 0.9 * len(want)
+    assert len(got - want) <= 0.1 * len(want) + 1
+
+
+def test_leaks_of_paraphrases_by_other_words(spark):
+    """Every meaning has two words that the corpus uses in the same company; the paraphrase has the other one of most."""
+    draw = random.Random(23)
+    word = lambda topic, m, form: f"t{topic}m{m}{form}"
+    said = lambda topic, n: [word(topic, draw.randrange(25), draw.choice("ab")) for _ in range(n)]
+    corpus = [(1000 + k, " ".join(said(k % 20, 160))) for k in range(600)]
+    items, rows, want = [], [], set()
+    for k in range(20):
+        own = [word(k, m, "a") for m in draw.sample(range(25), 25)]
+        answer = [f"name{k}x{j}" for j in range(3)]
+        text = own[:8] + answer[:1] + own[8:16] + answer[1:2] + own[16:] + answer[2:]
+        items.append((k, " ".join(text)))
+        other = [w[:-1] + "b" if w[0] == "t" and draw.random() < 0.62 else w for w in text]
+        before, after = said((k + 7) % 20, 90), said((k + 11) % 20, 90)
+        rows.append((k, " ".join(before + other + after)))
+        want.add((k, k))
+        rows.append((200 + k, " ".join(said(k, 150))))  # about the same, without the answer
+        rows.append((300 + k, " ".join(said((k + 3) % 20, 60) + answer + said((k + 5) % 20, 60))))  # the answer in other company
+    docs = spark.createDataFrame(corpus + rows, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(docs, bench).collect()}
+    assert len(want & set(found)) >= 18 and not set(found) - want
+    assert sum(r.lcs < 0.5 * r.item_words for r in found.values()) >= 15
+    # no plain count of common words would do: most lines of the paraphrase are not the item's
+    assert sum(r.lcs for r in found.values()) < 0.55 * sum(r.item_words for r in found.values())
+
+
+def test_the_space_holds_the_main_directions(spark):
+    """Against numpy's decomposition of the same rows."""
+    draw = np.random.default_rng(5)
+    topics = draw.integers(1, 400, (6, 40))
+    rows = np.sort(np.take_along_axis(topics[draw.integers(0, 6, 900)], draw.integers(0, 40, (900, 32)), 1), axis=1).astype("<u2")
+    weights = np.concatenate([[0.0], 1 + draw.random(399)])
+    df = spark.createDataFrame([(r.tobytes(), 1.0) for r in rows], "words binary, weight double").repartition(5)
+    got = decontaminate.latent_space(df, "<u2", weights, 6)
+    dense = np.zeros((900, 400))
+    np.add.at(dense, (np.repeat(np.arange(900), 32), rows.ravel()), weights[rows.ravel()])
+    norms = np.linalg.norm(weights[rows], axis=1)
+    _, values, main = np.linalg.svd(dense / norms[:, None], full_matrices=False)
+    assert np.allclose(got.T @ got, np.eye(6), atol=1e-3)
+    kept = np.linalg.norm((dense / norms[:, None]) @ got, axis=0)
+    assert np.allclose(np.sort(kept)[::-1], values[:6], rtol=0.02)
+
+
 def test_leaks_of_long_items_and_full_blocks(spark):
     draw = random.Random(16)
     items = [(k, " ".join(f"term{draw.randrange(20_000)}" for _ in range(n))) for k, n in enumerate([10, 600, 2000, *[30] * 300])]
