@@ -1,14 +1,16 @@
-"""An interpolated modified Kneser-Ney model of word pairs, counted in Spark and scored from sorted hash arrays.
+"""An interpolated modified Kneser-Ney model of word n-grams, counted in Spark and scored from sorted hash arrays.
 
-Counting: every task counts the pairs (word before, word) of a chunk and sends them as sorted arrays to the shard of
-the pair's hash; a shard adds them up, writes its hashes and counts as sorted arrays to the shared folder, and sends
-sums per word to the shards of the words, which write arrays likewise.  Hashes are dealt by their leading bits, so
-shards are even whatever the words are, and their number follows the size of the input.
+Counting goes down the orders, a shuffle each.  Every task counts the n-grams of a chunk and sends them as arrays to
+the shard of the n-gram's hash; a shard adds them up, writes its sorted hashes and counts to the shared folder, and sends
+on to the shards of the next order, by (n-1)-gram: what follows it (sum, and how many values are 1, 2 or more), and how many
+different words stand before it.  Hashes are dealt by their leading bits, so shards are even whatever the words are,
+and their number follows the size of the input.
 
 Scoring: workers map the arrays into memory and look up the sorted distinct hashes of a batch by binary search.
 
-P(w | v) = max(c(v w) - D, 0) / c(v) + g(v) P(w), where D depends on c(v w) being 1, 2 or more and g(v) is the mass
-taken from v; P(w) does the same with the number of different words before w, and falls back to 1 / (V + 1).
+P(w | u v) = max(c(u v w) - D, 0) / c(u v) + g(u v) P(w | v), where D depends on c(u v w) being 1, 2 or more and g(u v) is
+the mass taken from u v; below the highest order c(v w) is the number of different words before v w, and below the
+words it falls back to 1 / (V + 1).
 """
 
 from __future__ import annotations
@@ -28,15 +30,18 @@ from tidemark.llm.common import Workspace, batch_words
 LOW = np.uint64(0xFFFFFFFFFFFFFF00)
 #: Marks of a text's begin and end; no word has these hashes but by a chance of one in 2^56.
 BEGIN, END = np.uint64(0x243F6A8885A30800), np.uint64(0x13198A2E03707300)
+#: Words of an n-gram.
+ORDER = 3
 #: Tokens that a task counts at once, and scores at once.
-COUNTED, SCORED = 1 << 21, 1 << 20
+COUNTED, SCORED = 1 << 20, 1 << 19
 #: Bytes of input (as stored) for a shard.
 SHARD_BYTES = 2 << 20
-MOST_BITS = 17
+#: Bytes of arrays that a worker keeps where the shared folder is no file system to map.
+KEPT = 256 << 20
 
-PAIR, WORD = 0, 1
-#: Columns of the arrays of a shard, after the sorted hashes.
-FIELDS = {PAIR: ("count",), WORD: ("count", "types", "after", "n1", "n2", "n3")}
+#: Columns of the arrays below the highest order, after the sorted hashes: occurrences, different words before, and of
+#: what follows the sum and the number of values 1, 2 and more.  The highest order has its counts only.
+FIELDS = ("count", "types", "after", "n1", "n2", "n3")
 
 
 def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -45,17 +50,16 @@ def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _word_shard(words: np.ndarray, bits: int) -> np.ndarray:
-    return (words >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
+def gram_hash(words: list[np.ndarray]) -> np.ndarray:
+    """Hash of n-grams, word by word; that of single words is their own."""
+    out = words[0]
+    for more in words[1:]:
+        out = pair_hash(out, more)
+    return out
 
 
-def _totals(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted distinct keys with the sums of the columns."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    sums = [np.add.reduceat(c[order], first) if len(first) else c[:0] for c in columns]
-    return keys[first], *sums
+def _shard(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
 def _blob(*columns: np.ndarray) -> bytes:
@@ -67,22 +71,6 @@ def _seven(words: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(words, "<u8").view(np.uint8).reshape(-1, 8)[:, 1:]
 
 
-def _unblob(blobs: list[bytes], rows: list[int], kinds: list[str]) -> list[np.ndarray]:
-    parts: list[list[np.ndarray]] = [[] for _ in kinds]
-    for blob, n in zip(blobs, rows):
-        at = 0
-        for part, kind in zip(parts, kinds):
-            if kind == "word":
-                whole = np.zeros((n, 8), np.uint8)
-                whole[:, 1:] = np.frombuffer(blob, np.uint8, 7 * n, at).reshape(n, 7)
-                part.append(whole.view("<u8").ravel())
-                at += 7 * n
-            else:
-                part.append(np.frombuffer(blob, kind, n, at))
-                at += n * np.dtype(kind).itemsize
-    return [np.concatenate(p) for p in parts]
-
-
 def _sequences(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[tuple[list, list[int], np.ndarray]]:
     """Chunks of texts: (batch and row of each, words of each, all words in order)."""
     where, sizes, words, total = [], [], [], 0
@@ -99,39 +87,78 @@ def _sequences(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Ite
         yield where, sizes, np.concatenate(words)
 
 
-def _pairs(sizes: list[int], words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word before, word) of every token, texts one behind the other, each with its end."""
+def _grams(sizes: list[int], words: np.ndarray, order: int) -> list[np.ndarray]:
+    """The n-gram that each token ends, as an array per place; texts one behind the other, each with its end."""
     lengths = np.asarray(sizes, np.int64) + 1
     ends = np.cumsum(lengths) - 1
-    right = np.full(int(lengths.sum()), END, np.uint64)
-    inner = np.ones(len(right), bool)
+    last = np.full(int(lengths.sum()), END, np.uint64)
+    inner = np.ones(len(last), bool)
     inner[ends] = False
-    right[inner] = words
-    left = np.empty_like(right)
-    left[1:] = right[:-1]
-    left[ends - lengths + 1] = BEGIN
-    return left, right
+    last[inner] = words
+    place = np.arange(len(last)) - np.repeat(ends - lengths + 1, lengths)
+    out = [last]
+    for back in range(1, order):
+        before = np.full(len(last), BEGIN, np.uint64)
+        before[back:] = last[: len(last) - back]
+        before[place < back] = BEGIN
+        out.insert(0, before)
+    return out
+
+
+def _merged(keys: np.ndarray, words: list[np.ndarray], columns: list[np.ndarray]) -> tuple[np.ndarray, list, list]:
+    """Sorted distinct keys, the words of each, and the sums of the columns."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    sums = [np.add.reduceat(c[order], first) if len(first) else c[:0] for c in columns]
+    return keys[first], [w[order[first]] for w in words], sums
+
+
+def _dealt(keys: np.ndarray, words: list[np.ndarray], columns: list[np.ndarray], bits: int) -> list[tuple[int, int, bytes]]:
+    """Sorted n-grams by shard: (shard, n, their words and columns)."""
+    shards = _shard(keys, bits)
+    first = np.flatnonzero(np.diff(shards, prepend=-1))
+    rows = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)]):
+        by = a + np.argsort(words[0][a:b], kind="stable")  # equal words side by side are packed well
+        packed = [_narrow_part(c[by]) for c in columns]
+        rows.append((int(shards[a]), b - a, _blob(*[_seven(w[by]) for w in words], *packed)))
+    return rows
+
+
+def _narrow_part(counts: np.ndarray) -> np.ndarray:
+    """Counts in the smallest unsigned numbers that hold them, their width in front."""
+    small = _narrow(counts)
+    return np.concatenate([np.array([small.dtype.itemsize], np.uint8), small.view(np.uint8)])
 
 
-def _count(bits: int):
+def _opened(blobs: list[bytes], rows: list[int], order: int, columns: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Words and columns of n-grams as ``_dealt`` has packed them."""
+    words: list[list[np.ndarray]] = [[] for _ in range(order)]
+    sums: list[list[np.ndarray]] = [[] for _ in range(columns)]
+    for blob, n in zip(blobs, rows):
+        at = 0
+        for part in words:
+            whole = np.zeros((n, 8), np.uint8)
+            whole[:, 1:] = np.frombuffer(blob, np.uint8, 7 * n, at).reshape(n, 7)
+            part.append(whole.view("<u8").ravel())
+            at += 7 * n
+        for part in sums:
+            width = blob[at]
+            part.append(np.frombuffer(blob, f"<u{width}", n, at + 1).astype(np.uint64))
+            at += 1 + width * n
+    return [np.concatenate(p) for p in words], [np.concatenate(p) for p in sums]
+
+
+def _count(bits: int, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sizes, words in _sequences(batches, 0, COUNTED):
-            left, right = _pairs(sizes, words)
-            keys = pair_hash(left, right)
-            order = np.argsort(keys)
-            keys = keys[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            left, right = left[order[first]], right[order[first]]
-            counts = np.diff(first, append=len(keys)).astype(np.uint32)
-            shards = _word_shard(keys[first], bits)
-            cuts = np.searchsorted(shards, np.arange((1 << bits) + 1))
-            rows = []
-            for s in range(1 << bits):
-                a, b = cuts[s], cuts[s + 1]
-                if a < b:
-                    by = np.argsort(left[a:b], kind="stable")
-                    rows.append((s, b - a, _blob(_seven(left[a:b][by]), _seven(right[a:b][by]), counts[a:b][by])))
-            yield _rows(rows)
+            grams = _grams(sizes, words, order)
+            keys, grams, (counts,) = _merged(gram_hash(grams), grams, [np.ones(len(grams[0]), np.uint64)])
+            if order == 1:  # what the merge of the highest order would send on
+                yield _rows(_dealt(keys, grams, [counts, counts, *[np.zeros_like(counts)] * 4], bits))
+            else:
+                yield _rows(_dealt(keys, grams, [counts], bits))
 
     return run
 
@@ -162,63 +189,73 @@ def _counts_of_counts(counts: np.ndarray) -> list[int]:
     return [int(np.count_nonzero(counts == k)) for k in (1, 2, 3, 4)]
 
 
-def _merge_pairs(folder: str, bits: int):
-    """Adds up a shard of pairs; writes it; sums per word go on.  Shard -1 - s carries the counts of counts."""
+def _values(column: np.ndarray) -> list[np.ndarray]:
+    """The values, and which of them are 1, 2 and more."""
+    return [column, *(x.astype(np.uint64) for x in (column == 1, column == 2, column > 2))]
+
+
+def _below(words: list[np.ndarray], count: np.ndarray, value: np.ndarray, bits: int) -> list[tuple[int, int, bytes]]:
+    """What n-grams of these values mean to the order below, dealt to its shards."""
+    ahead, behind = words[:-1], words[1:]
+    front = _merged(gram_hash(ahead), ahead, _values(value))
+    back = _merged(gram_hash(behind), behind, [count, np.ones(len(value), np.uint64)])
+    none = lambda part: np.zeros(len(part[0]), np.uint64)
+    columns = [*([none(front), c] for c in back[2]), *([c, none(back)] for c in front[2])]
+    keys, grams, sums = _merged(
+        np.concatenate([front[0], back[0]]), [np.concatenate(w) for w in zip(front[1], back[1])], [np.concatenate(c) for c in columns]
+    )
+    return _dealt(keys, grams, sums, bits)
+
+
+def _merge_grams(folder: str, bits: int, order: int, highest: bool):
+    """Adds up a shard of n-grams, writes it, and sends on what the order below needs.
+
+    Shard -1 - s carries the counts of counts of the order; those of higher ones go through.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
-        sizes = group.column("n").to_pylist()
-        left, right, counts = _unblob(group.column("data").to_pylist(), sizes, ["word", "word", "<u4"])
-        keys = pair_hash(left, right)
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        total = np.add.reduceat(counts[order].astype(np.uint64), first)
-        left, right = left[order[first]], right[order[first]]
-        _write(folder, f"{PAIR}-{shard}-hash", keys[first])
-        _write(folder, f"{PAIR}-{shard}-count", _narrow(total))
-        one, two, more = (total == 1), (total == 2), (total > 2)
-        before = _totals(left, total, *(x.astype(np.uint64) for x in (one, two, more)))
-        behind = _totals(right, total, np.ones(len(right), np.uint64))
-        words = np.concatenate([before[0], behind[0]])
-        none = lambda other: np.zeros(len(other), np.uint64)
-        columns = [
-            np.concatenate([none(before[0]), behind[1]]), np.concatenate([none(before[0]), behind[2]]),
-            *(np.concatenate([c, none(behind[0])]) for c in before[1:]),
-        ]
-        words, *columns = _totals(words, *columns)
-        shards = _word_shard(words, bits)
-        cuts = np.searchsorted(shards, np.arange((1 << bits) + 1))
-        rows = [(-1 - shard, 4, np.asarray(_counts_of_counts(total), "<u8").tobytes())]
-        for s in range(1 << bits):
-            a, b = cuts[s], cuts[s + 1]
-            if a < b:
-                rows.append((s, b - a, _blob(_seven(words[a:b]), *(c[a:b] for c in columns))))
-        return pa.Table.from_batches([_rows(rows)])
+        sizes, blobs = group.column("n").to_pylist(), group.column("data").to_pylist()
+        if shard < 0:
+            return pa.Table.from_batches([_rows([(shard, n, blob) for n, blob in zip(sizes, blobs)])])
+        words, columns = _opened(blobs, sizes, order, 1 if highest else len(FIELDS))
+        keys, words, columns = _merged(gram_hash(words), words, columns)
+        _write(folder, f"{order}-{shard}-hash", keys)
+        for name, column in zip(FIELDS, columns):
+            if highest or name != "count":  # occurrences only go on, down to the words
+                _write(folder, f"{order}-{shard}-{name}", _narrow(column))
+        count, value = columns[0], columns[0] if highest else columns[1]
+        real = value > 0  # others are only what n-grams begin with
+        words, count, value = [w[real] for w in words], count[real], value[real]
+        facts = (-1 - shard, order, np.asarray(_counts_of_counts(value), "<u8").tobytes())
+        return pa.Table.from_batches([_rows([facts, *_below(words, count, value, bits)])])
 
     return run
 
 
-def _merge_words(folder: str):
-    """Adds up a shard of words, writes it, and returns its sums: tokens, words, types, and counts of type counts.
+def _merge_words(folder: str, order: int):
+    """Adds up a shard of words, writes it, and returns sums: tokens, words, types, and counts of counts of each order.
 
-    Shards below 0 bring the counts of counts of pairs, which follow as four more sums.
+    Shards below 0 bring the counts of counts of higher orders.
     """
 
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
-        sizes = group.column("n").to_pylist()
+        sizes, blobs = group.column("n").to_pylist(), group.column("data").to_pylist()
+        sums = [0] * (3 + 4 * order)
         if shard < 0:
-            (counts,) = _unblob(group.column("data").to_pylist(), sizes, ["<u8"])
-            return _sums([0] * 7 + counts.reshape(-1, 4).sum(axis=0).tolist())
-        words, *columns = _unblob(group.column("data").to_pylist(), sizes, ["word", *["<u8"] * len(FIELDS[WORD])])
-        words, *columns = _totals(words, *columns)
-        _write(folder, f"{WORD}-{shard}-hash", words)
-        for name, column in zip(FIELDS[WORD], columns):
-            _write(folder, f"{WORD}-{shard}-{name}", _narrow(column))
+            for k, blob in zip(sizes, blobs):
+                for i, n in enumerate(np.frombuffer(blob, "<u8").tolist()):
+                    sums[3 + 4 * (k - 1) + i] += n
+            return _sums(sums)
+        words, columns = _opened(blobs, sizes, 1, len(FIELDS))
+        keys, _, columns = _merged(words[0], words, columns)
+        _write(folder, f"1-{shard}-hash", keys)
+        for name, column in zip(FIELDS, columns):
+            _write(folder, f"1-{shard}-{name}", _narrow(column))
         count, types = columns[0], columns[1]
-        sums = [int(count.sum()), int(np.count_nonzero(count)), int(types.sum()), *_counts_of_counts(types)]
-        return _sums([*sums, 0, 0, 0, 0])
+        sums[:7] = [int(count.sum()), int(np.count_nonzero(count)), int(types.sum()), *_counts_of_counts(types)]
+        return _sums(sums)
 
     return run
 
@@ -237,106 +274,128 @@ def _discounts(n: list[int]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Where the arrays are, and the sums over all training tokens."""
+    """Where the arrays are, and the sums over all training tokens; ``counts`` are the counts of counts from words up."""
 
     folder: str
     bits: int
+    order: int
     tokens: int
     words: int
     types: int
-    pair_counts: tuple[int, ...]
-    type_counts: tuple[int, ...]
+    counts: tuple[tuple[int, ...], ...]
 
 
-def train(docs: DataFrame, space: Workspace, *, text_column: str = "text") -> Model:
-    """Count the texts of ``docs``; null texts count as empty, that is as one end."""
+def train(docs: DataFrame, space: Workspace, *, order: int = ORDER, text_column: str = "text") -> Model:
+    """Count the n-grams of the texts of ``docs``; null texts count as empty, that is as one end."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size > 1 << 60:  # not known for rows that come from no files
         size = docs.agg(F.sum(F.octet_length(F.col(text_column)))).first()[0] or 0
-    bits = min(MOST_BITS, max(2, (size // SHARD_BYTES).bit_length()))
+    bits = max(2, (size // SHARD_BYTES).bit_length())
     folder = space.folder("arrays")
     kind = "shard long, n long, data binary"
     texts = docs.select(F.col(text_column).cast("string"))
-    counted = texts.mapInArrow(_count(bits), kind).repartition(1 << bits, "shard")
-    pairs = counted.groupBy("shard").applyInArrow(_merge_pairs(folder, bits), kind)
-    words = pairs.repartition(1 << bits, "shard").groupBy("shard")
-    names = [f"s{k}" for k in range(11)]
-    sums = words.applyInArrow(_merge_words(folder), ", ".join(f"{n} long" for n in names))
+    grams = texts.mapInArrow(_count(bits, order), kind)
+    for k in range(order, 1, -1):
+        grams = grams.repartition(1 << bits, "shard").groupBy("shard").applyInArrow(_merge_grams(folder, bits, k, k == order), kind)
+    words = grams.repartition(1 << bits, "shard").groupBy("shard")
+    names = [f"s{k}" for k in range(3 + 4 * order)]
+    sums = words.applyInArrow(_merge_words(folder, order), ", ".join(f"{n} long" for n in names))
     total = [x or 0 for x in sums.agg(*[F.sum(n) for n in names]).first()]
-    return Model(folder, bits, *total[:3], tuple(total[7:]), tuple(total[3:7]))
+    counts = tuple(tuple(total[3 + 4 * k : 7 + 4 * k]) for k in range(order))
+    return Model(folder, bits, order, *total[:3], counts)
 
 
 class _Arrays:
-    """The arrays of a model, each mapped when first asked for; from a store without files they are read."""
+    """The arrays of a model, each mapped when first asked for.
+
+    From a store without files to map they are read; the ones used last are kept, up to ``KEPT`` bytes.
+    """
 
     def __init__(self, model: Model):
-        self.model, self.open = model, {}
+        self.model, self.open, self.held = model, {}, 0
         self.fs, self.path = files.FileSystem.from_uri(model.folder)
 
-    def get(self, kind: int, shard: int, name: str) -> np.ndarray:
-        key = (kind, shard, name)
-        if key not in self.open:
-            path = f"{self.path}/{kind}-{shard}-{name}"
-            info = self.fs.get_file_info(path)
-            if info.type != files.FileType.File or not info.size:
-                self.open[key] = np.zeros(0, "<u8")
-                return self.open[key]
-            width = 8 if name == "hash" else info.size // len(self.get(kind, shard, "hash"))
-            if not isinstance(self.fs, files.LocalFileSystem):
-                with self.fs.open_input_stream(path, compression=None) as data:
-                    return np.frombuffer(data.read(), f"<u{width}")
+    def get(self, order: int, shard: int, name: str) -> np.ndarray:
+        key = (order, shard, name)
+        if key in self.open:
+            self.open[key] = self.open.pop(key)  # used last
+            return self.open[key]
+        path = f"{self.path}/{order}-{shard}-{name}"
+        info = self.fs.get_file_info(path)
+        if info.type != files.FileType.File or not info.size:
+            self.open[key] = np.zeros(0, "<u8")
+            return self.open[key]
+        width = 8 if name == "hash" else info.size // len(self.get(order, shard, "hash"))
+        if isinstance(self.fs, files.LocalFileSystem):
             self.open[key] = np.memmap(path, f"<u{width}", "r")
-        return self.open[key]
-
-    def look_up(self, kind: int, wanted: np.ndarray) -> list[np.ndarray]:
+            return self.open[key]
+        with self.fs.open_input_stream(path, compression=None) as data:
+            found = np.frombuffer(data.read(), f"<u{width}")
+        self.held += found.nbytes
+        while self.held > KEPT and self.open:
+            self.held -= self.open.pop(next(iter(self.open))).nbytes
+        self.open[key] = found
+        return found
+
+    def look_up(self, order: int, wanted: np.ndarray, fields: tuple[str, ...]) -> list[np.ndarray]:
         """The fields of sorted hashes, 0 for unknown ones."""
-        out = [np.zeros(len(wanted), np.int64) for _ in FIELDS[kind]]
-        shards = _word_shard(wanted, self.model.bits)
-        cuts = np.searchsorted(shards, np.arange((1 << self.model.bits) + 1))
-        for s in np.unique(shards).tolist():
-            a, b = cuts[s], cuts[s + 1]
-            keys = self.get(kind, s, "hash")
+        out = [np.zeros(len(wanted), np.int64) for _ in fields]
+        shards = _shard(wanted, self.model.bits)
+        first = np.flatnonzero(np.diff(shards, prepend=-1))
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(wanted)]):
+            s = int(shards[a])
+            keys = self.get(order, s, "hash")
             if not len(keys):
                 continue
             at = np.minimum(np.searchsorted(keys, wanted[a:b]), len(keys) - 1)
             hit = np.flatnonzero(keys[at] == wanted[a:b])
-            for column, name in zip(out, FIELDS[kind]):
-                column[a + hit] = self.get(kind, s, name)[at[hit]]
+            for column, name in zip(out, fields):
+                column[a + hit] = self.get(order, s, name)[at[hit]]
         return out
 
 
+def _chances(model: Model, arrays: _Arrays, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of the last word of each n-gram, and how often that word was seen in training."""
+    cut = [_discounts(list(c)) for c in model.counts]
+    spread = 1.0 / (model.words + 1)
+    known, back = np.unique(grams[-1], return_inverse=True)
+    count, types = arrays.look_up(1, known, ("count", "types"))
+    if model.types:
+        n1, n2 = model.counts[0][:2]
+        more = model.words - n1 - n2  # every word of the training tokens stands behind some word
+        left_over = (cut[0][1] * n1 + cut[0][2] * n2 + cut[0][3] * more) / model.types
+        single = np.maximum(types - cut[0][np.minimum(types, 3)], 0) / model.types + left_over * spread
+    else:
+        single = np.full(len(known), spread)
+    chance, seen = single[back], count[back]
+    for order in range(2, model.order + 1):
+        own = grams[len(grams) - order :]
+        keys, place = np.unique(gram_hash(own), return_inverse=True)
+        (value,) = arrays.look_up(order, keys, ("count",) if order == model.order else ("types",))
+        ahead, of = np.unique(gram_hash(own[:-1]), return_inverse=True)
+        after, n1, n2, n3 = arrays.look_up(order - 1, ahead, ("after", "n1", "n2", "n3"))
+        d = cut[order - 1]
+        share = np.where(after > 0, (d[1] * n1 + d[2] * n2 + d[3] * n3) / np.maximum(after, 1), 1.0)
+        value = value[place]
+        direct = np.maximum(value - d[np.minimum(value, 3)], 0) / np.maximum(after, 1)[of]
+        chance = np.where(after[of] > 0, direct, 0.0) + share[of] * chance
+    return chance, seen
+
+
 def _score(model: Model):
     names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "learnt"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = _Arrays(model)
-        cut, low = _discounts(list(model.pair_counts)), _discounts(list(model.type_counts))
-        m1, m2 = model.type_counts[:2]
-        spread = 1.0 / (model.words + 1)
         for where, sizes, words in _sequences(batches, 1, SCORED):
-            left, right = _pairs(sizes, words)
-            known, back = np.unique(np.concatenate([left, right]), return_inverse=True)
-            count, types, after, n1, n2, n3 = arrays.look_up(WORD, known)
-            if model.types:
-                more = model.words - m1 - m2  # every word of the training tokens stands behind some word
-                left_over = (low[1] * m1 + low[2] * m2 + low[3] * more) / model.types
-                single = np.maximum(types - low[np.minimum(types, 3)], 0) / model.types + left_over * spread
-            else:
-                single = np.full(len(known), spread)
-            share = np.where(after > 0, (cut[1] * n1 + cut[2] * n2 + cut[3] * n3) / np.maximum(after, 1), 1.0)
-            before, behind = back[: len(left)], back[len(left) :]
-            pairs, place = np.unique(pair_hash(left, right), return_inverse=True)
-            both = arrays.look_up(PAIR, pairs)[0][place]
-            seen = after[before]
-            chance = np.where(seen > 0, np.maximum(both - cut[np.minimum(both, 3)], 0) / np.maximum(seen, 1), 0.0)
-            chance += share[before] * single[behind]
-            base = np.log10((count + 1) / (model.tokens + (model.words + 1)))
+            chance, seen = _chances(model, arrays, _grams(sizes, words, model.order))
+            base = np.log10((seen + 1) / (model.tokens + (model.words + 1)))
             begins = np.concatenate([[0], np.cumsum(np.asarray(sizes) + 1)[:-1]]).astype(np.int64)
             columns = [
                 [batch.column(0)[row].as_py() for batch, row in where], np.asarray(sizes) + 1,
-                np.add.reduceat((count > 0).astype(np.int64)[behind], begins), np.full(len(sizes), model.tokens),
-                np.add.reduceat(base[behind], begins), np.add.reduceat(np.log10(chance), begins),
+                np.add.reduceat((seen > 0).astype(np.int64), begins), np.full(len(sizes), model.tokens),
+                np.add.reduceat(base, begins), np.add.reduceat(np.log10(chance), begins),
                 [batch.column(2)[row].as_py() for batch, row in where],
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
@@ -345,9 +404,9 @@ def _score(model: Model):
 
 
 def language_scores(
-    docs: DataFrame, learn: Column, *, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, learn: Column, *, order: int = ORDER, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """Train on the rows where ``learn`` holds (null counts as false) and score every row.
+    """Train a model of ``order`` words on the rows where ``learn`` holds (null counts as false) and score every row.
 
     Columns: doc_id, learnt, n_tokens (words and one end), n_known (tokens seen in training), train_tokens, base_score
     (add-one unigrams), score (log10 probability), perplexity.  Null and empty texts are the end alone; ids may be null
@@ -358,7 +417,7 @@ def language_scores(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"),
         F.coalesce(learn, F.lit(False)).alias("learnt"),
     )
-    model = train(slim.where("learnt").select("text"), space)
+    model = train(slim.where("learnt").select("text"), space, order=order)
     kind = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     found = slim.mapInArrow(_score(model), f"{kind}, learnt boolean")
     return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
