@@ -51,6 +51,18 @@ def test_long_chains_and_odd_rows(spark):
     assert all(r.place is None for r in got if r.conv_id is None or r.turn is None)
 
 
+def test_one_thread_of_a_hot_conversation_is_cut(spark):
+    """All answers lead to one message: the thread is cut along its turns."""
+    talk = [(5, 0, "a", "What do you think?")] + [(5, k, "b", f"> What do you think?\nanswer {k}") for k in range(1, 700)]
+    spark.conf.set("spark.tidemark.hotRows", "60")
+    try:
+        got = rows(spark, talk)
+    finally:
+        spark.conf.unset("spark.tidemark.hotRows")
+    assert {r.thread for r in got} == {0}
+    assert sorted((r.place, r.turn) for r in got) == [(k + 1, k) for k in range(700)]
+
+
 def test_empty(spark):
     assert rows(spark, []) == []
 
