@@ -209,7 +209,7 @@ SO = f"""{ACC}, so AS (SELECT o_orderkey AS order_id, o_custkey * 100 + month(o_
     CASE WHEN again THEN 'REPEATED' ELSE 'SINGLE' END, CAST(again AS INTEGER) FROM again),
  base AS (SELECT contract_id % 100 AS company, count(*) FILTER (WHERE cancelled IS NULL OR cancelled > DATE '2001-06-20') AS bn,
             count(*) FILTER (WHERE cancelled IS NULL OR cancelled > DATE '2001-05-31') AS bb FROM acc GROUP BY 1),
- ind AS (SELECT company, indicator, orders, CAST(hits AS BIGINT) AS hits, CAST(hits AS DOUBLE) / CAST(orders AS DOUBLE) AS result FROM (
+ ind AS (SELECT company, indicator, orders, CAST(hits AS BIGINT) AS hits, CAST(hits AS DOUBLE) / nullif(CAST(orders AS DOUBLE), 0) AS result FROM (
    SELECT company, indicator, CASE WHEN indicator = 'TECHNICAL REPAIR' THEN CAST(round((any_value(bn) + any_value(bb)) / 2) AS BIGINT) ELSE count(*) END AS orders,
      CASE WHEN indicator = 'TECHNICAL REPAIR' THEN CAST(round(count(*) + count(*) / 20 * 10) AS BIGINT) ELSE sum(hit) END AS hits
    FROM ana LEFT JOIN base USING (company) GROUP BY company, indicator))"""
