@@ -19,6 +19,7 @@ from tidemark.operators.intervals import business_seconds, handover_intervals
 from tidemark.operators.joins import asof_first
 from tidemark.operators.latest import representative_or_fallback
 from tidemark.operators.ordered import along_key, lag
+from tidemark.sources.lake import store
 
 EFFECTIVENESS, ACTIVATION_AGEING, INFANCY = "EFFECTIVENESS", "ACTIVATION AGEING", "INFANCY"
 REPAIRS_24H, TECHNICAL_REPAIR, REPEATED_REPAIR = "REPAIRS 24H", "TECHNICAL REPAIR", "REPEATED REPAIR"
@@ -118,8 +119,11 @@ def repeated_repairs(repairs: DataFrame, rules: ServiceRules) -> DataFrame:
 
 
 def kpi_analytic(orders: DataFrame, activations: DataFrame, rules: ServiceRules) -> DataFrame:
-    """All seven KPI sets in one list: what each is about, its ageing (days, minutes for repairs), band, and 1/0."""
-    repairs = newest_performed(orders.where(rules.repair), rules)
+    """All seven KPI sets in one list: what each is about, its ageing (days, minutes for repairs), band, and 1/0.
+
+    The performed repairs are stored when this is called, since three sets look at them.
+    """
+    repairs = store(newest_performed(orders.where(rules.repair), rules), "repairs")
     sets = [
         moves(orders, rules), effectiveness(orders, rules), activation_ageing(activations, rules),
         infancy(activations, repairs, rules), repairs_24h(repairs), technical_repair(orders, rules), repeated_repairs(repairs, rules),
