@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tokenizers import Tokenizer
 
 from oracle import compare, connect
 from tidemark.llm import decontaminate, kneser_ney, op_queries, packing, quality, warc
-from tidemark.llm.common import id_crc32
+from tidemark.llm.common import batch_words, id_crc32
 from tidemark.llm.line_rules import clean_lines
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +71,79 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert quality.quality_scores(odd.limit(0), some, F.lit(False)).count() == 0
 
 
+def plain_score(net, text):
+    """Score of one text passage by passage, with dictionaries and loops."""
+    data = (text or "").encode()
+    words = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    hashes = [h for _, h, _, _ in batch_words(pa.array([text or ""]))][0]
+    rows = [[0.0] * quality.FEATURES]
+    for low in range(0, len(words), quality.PASSAGE):
+        own = words[low : low + quality.PASSAGE]
+        end = words[low + quality.PASSAGE][0] if low + quality.PASSAGE < len(words) else len(data)
+        part = data[own[0][0] if low else 0 : end]
+        kinds = [0] * (len(quality._KINDS) + 2)
+        for byte in part:
+            hits = [k for k, signs in enumerate(quality._KINDS) if byte < 128 and chr(byte) in signs]
+            kinds[hits[0] if hits else len(quality._KINDS) + (byte > 127)] += 1
+        row = [k / len(part) for k in kinds]
+        row += [sum(i >= b and words[i][2] == words[i - b][2] for i in range(low, low + len(own))) / len(own) for b in (1, 2, 3, 4)]
+        long = [b - a for a, b, _ in own]
+        row += [sum(long) / len(own) / 10, sum(min(x, 40) ** 2 for x in long) / len(own) / 100, len(own) / quality.PASSAGE]
+        buckets = [0.0] * quality.BUCKETS
+        for h in hashes[low : low + len(own)]:
+            buckets[int(h) % quality.BUCKETS] += 1 if int(h) >> 40 & 1 else -1
+        rows = rows if low else []
+        rows.append(row + [b / math.sqrt(len(own)) for b in buckets])
+    codes, weights = [], []
+    for row in rows:
+        x = (np.array(row) - net.mean) / net.scale
+        h = [math.tanh(x @ net.p["W"][:, j] + net.p["b"][j]) for j in range(len(net.p["b"]))]
+        gate = lambda name, j: sum(a * b for a, b in zip(h, net.p[name][:, j]))
+        weights.append(math.exp(sum(
+            math.tanh(gate("V", j)) / (1 + math.exp(-gate("U", j))) * w for j, w in enumerate(net.p["w"])
+        )))
+        codes.append(h)
+    mean = [sum(w * h[j] for w, h in zip(weights, codes)) / sum(weights) for j in range(len(codes[0]))]
+    return 1 / (1 + math.exp(-(sum(a * b for a, b in zip(mean, net.p["c"])) + net.p["c0"][0])))
+
+
+def test_scores_by_loops(spark, monkeypatch):
+    monkeypatch.setattr(quality, "_BLOCK", 3)  # texts of several blocks
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").selectExpr("doc_id", "quality label")
+    net = quality.train(docs, labels)
+    texts = [r.text for r in docs.collect()] + [None, "", " \n", "é" * 9, "a a " * 400]
+    got = net.score(quality._texts(pa.record_batch([pa.array(texts)], ["text"]), 0))
+    assert len(got) == len(texts)
+    assert all(math.isclose(a, plain_score(net, t), rel_tol=1e-4, abs_tol=1e-6) for a, t in zip(got, texts))
+
+
+def test_quality_knows_words(spark):
+    """Good and bad texts have the same letters, lengths and marks; only their words differ."""
+    draw = random.Random(4)
+    stems = ["".join(draw.sample("abcdefghijklmnop", 6)) for _ in range(120)]
+    rows = []
+    for d in range(900):
+        own = stems if d % 2 else [w[::-1] for w in stems]
+        rows.append((d, " ".join(draw.choice(own) for _ in range(draw.randint(30, 300))), d % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    held = F.col("doc_id") >= 600
+    got = quality.quality_scores(docs.drop("label"), docs.select("doc_id", "label"), held).where("held_out").collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in got) >= 0.97 * len(got)
+
+
+def test_long_texts_are_learnt_from_evenly_and_labels_are_checked(spark):
+    text = " ".join(f"w{k}" for k in range(quality.PASSAGE * 50))
+    (count, blocks), = quality._texts(pa.record_batch([pa.array([text])], ["text"]), 0)
+    whole = np.concatenate(list(blocks))
+    (_, blocks), = quality._texts(pa.record_batch([pa.array([text])], ["text"]), 0)
+    few = quality._bag(count, blocks, 8)
+    assert len(whole) == 50 and np.array_equal(few, whole[[0, 7, 14, 21, 28, 35, 42, 49]])
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        quality.train(docs, spark.createDataFrame([(1, 2)], "doc_id long, label int"))
+
+
 # language model
 
 

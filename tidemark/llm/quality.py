@@ -1,8 +1,11 @@
 """Document quality by attention over passages (multiple-instance learning with gated attention).
 
-A document is a bag of passages of ``PASSAGE`` words.  A small network encodes every passage, learns from document
-labels how much each passage counts (tanh times sigmoid gates, softmax over the bag), and scores the weighted mean of
-the encodings.  It is trained with numpy on a bounded sample of labelled documents; scoring is one pass over all.
+A document is a bag of passages of ``PASSAGE`` words, each described by its words (signed counts in ``BUCKETS`` buckets
+of their hashes) and by how it is written (shares of kinds of bytes, repeats, word lengths).  A small network encodes
+every passage, learns from document labels how much each passage counts (tanh times sigmoid gates, softmax over the
+bag), and scores the weighted mean of the encodings.  It is trained with numpy on a bounded sample of labelled
+documents; scoring is one pass over all passages of all texts, which are encoded block by block, so of a long text only
+the encodings are held.
 """
 
 from __future__ import annotations
@@ -19,7 +22,11 @@ from tidemark.llm.common import batch_words, text_bytes
 PASSAGE = 64
 #: Labelled documents that the network is fitted on, at most: those with the smallest hashes of their ids.
 SAMPLE = 4000
-#: Passages whose bytes are looked at together.
+#: Passages that are learnt from of one of these documents, at most: evenly spaced ones of a longer text.
+BAG = 64
+#: Buckets of word hashes; the sign of a word is another bit of its hash.
+BUCKETS = 256
+#: Passages that are described and encoded together.
 _BLOCK = 1 << 13
 
 #: Kinds of bytes whose shares describe a passage.
@@ -31,38 +38,63 @@ for _k, _signs in enumerate(_KINDS):
     _KIND[[ord(c) for c in _signs]] = _k
 _WIDTH = len(_KINDS) + 2
 _BACK = 4
-FEATURES = _WIDTH + _BACK + 3
+_PLAIN = _WIDTH + _BACK + 3
+FEATURES = _PLAIN + BUCKETS
 
 
-def passages(raw: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A row of features for each passage of a text; a text without words is one row of zeros."""
+def passages(raw: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of features for the passages of a text, ``_BLOCK`` at a time; a text without words is one row of zeros."""
     if not len(hashes):
-        return np.zeros((1, FEATURES), np.float32)
+        yield np.zeros((1, FEATURES), np.float32)
+    step = PASSAGE * _BLOCK
+    for low in range(0, len(hashes), step):
+        high = min(low + step, len(hashes))
+        begin = int(starts[low]) if low else 0
+        end = int(starts[high]) if high < len(hashes) else len(raw)
+        back = hashes[max(low - _BACK, 0) : low]
+        yield _describe(raw[begin:end], hashes[low:high], back, starts[low:high] - begin, ends[low:high] - begin)
+
+
+def _describe(raw: np.ndarray, hashes: np.ndarray, back: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Features of the passages of a block; ``back`` are the hashes of the words before it."""
     firsts = np.arange(0, len(hashes), PASSAGE)
-    out = np.zeros((len(firsts), FEATURES), np.float32)
+    count, n = np.diff(np.append(firsts, len(hashes))), len(firsts)
+    out = np.zeros((n, FEATURES), np.float32)
     places = np.append(starts[firsts], len(raw))
     places[0] = 0
-    for a in range(0, len(firsts), _BLOCK):
-        b = min(a + _BLOCK, len(firsts))
-        sizes = np.diff(places[a : b + 1])
-        kind = _KIND[raw[places[a] : places[b]]] + np.repeat(np.arange(b - a) * _WIDTH, sizes)
-        out[a:b, :_WIDTH] = np.bincount(kind, minlength=(b - a) * _WIDTH).reshape(b - a, _WIDTH) / sizes[:, None]
-    count = np.diff(np.append(firsts, len(hashes)))
+    sizes = np.diff(places)
+    kind = _KIND[raw] + np.repeat(np.arange(n) * _WIDTH, sizes)
+    out[:, :_WIDTH] = np.bincount(kind, minlength=n * _WIDTH).reshape(n, _WIDTH) / sizes[:, None]
+    known = np.concatenate([back, hashes])
     for k in range(1, _BACK + 1):
-        same = np.zeros(len(hashes))
-        same[k:] = hashes[k:] == hashes[:-k]
-        out[:, _WIDTH + k - 1] = np.add.reduceat(same, firsts) / count
+        same = np.zeros(len(known))
+        same[k:] = known[k:] == known[:-k]
+        out[:, _WIDTH + k - 1] = np.add.reduceat(same[len(back) :], firsts) / count
     long = (ends - starts).astype(float)
-    out[:, -3] = np.add.reduceat(long, firsts) / count / 10
-    out[:, -2] = np.add.reduceat(np.minimum(long, 40) ** 2, firsts) / count / 100
-    out[:, -1] = count / PASSAGE
+    out[:, _PLAIN - 3] = np.add.reduceat(long, firsts) / count / 10
+    out[:, _PLAIN - 2] = np.add.reduceat(np.minimum(long, 40) ** 2, firsts) / count / 100
+    out[:, _PLAIN - 1] = count / PASSAGE
+    bucket = (hashes % np.uint64(BUCKETS)).astype(np.int64) + np.arange(len(hashes)) // PASSAGE * BUCKETS
+    sign = ((hashes >> np.uint64(40)) & np.uint64(1)).astype(np.float64) * 2 - 1
+    words = np.bincount(bucket, weights=sign, minlength=n * BUCKETS).reshape(n, BUCKETS)
+    out[:, _PLAIN:] = words / np.sqrt(count)[:, None]
     return out
 
 
-def _bags(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
+def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+    """Number of passages and the blocks of each text of a column."""
     raw, at = text_bytes(batch.column(column))
     for row, hashes, starts, ends in batch_words(batch.column(column)):
-        yield passages(raw[at[row] : at[row + 1]], hashes, starts, ends)
+        yield max(-(-len(hashes) // PASSAGE), 1), passages(raw[at[row] : at[row + 1]], hashes, starts, ends)
+
+
+def _bag(count: int, blocks: Iterator[np.ndarray], most: int) -> np.ndarray:
+    """All passages of a text, or ``most`` evenly spaced ones."""
+    chosen, low, kept = np.linspace(0, count - 1, min(count, most)).astype(np.int64), 0, []
+    for block in blocks:
+        kept.append(block[chosen[(chosen >= low) & (chosen < low + len(block))] - low])
+        low += len(block)
+    return np.concatenate(kept)
 
 
 class Network:
@@ -77,16 +109,26 @@ class Network:
             "w": normal(gates), "c": np.zeros(hidden), "c0": np.zeros(1),
         }
 
-    def forward(self, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, dict]:
-        """Scores of the bags whose passages begin at ``first``."""
-        p, sizes = self.p, np.diff(np.append(first, len(x)))
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Encodings, both gates and weights before the softmax of passages."""
+        p = self.p
         h = np.tanh(x @ p["W"] + p["b"])
         t, g = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-(h @ p["U"])))
-        s = (t * g) @ p["w"]
+        return h, t, g, (t * g) @ p["w"]
+
+    def pool(self, h: np.ndarray, s: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Scores, shares and weighted encodings of the bags whose passages begin at ``first``."""
+        p, sizes = self.p, np.diff(np.append(first, len(h)))
         e = np.exp(s - np.repeat(np.maximum.reduceat(s, first), sizes))
         a = e / np.repeat(np.add.reduceat(e, first), sizes)
         z = np.add.reduceat(a[:, None] * h, first, axis=0)
         out = 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["c0"], -30, 30)))
+        return out, a, z, sizes
+
+    def forward(self, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, dict]:
+        """Scores of the bags whose passages begin at ``first``, and what the gradient needs."""
+        h, t, g, s = self.encode(x)
+        out, a, z, sizes = self.pool(h, s, first)
         return out, {"x": x, "sizes": sizes, "h": h, "t": t, "g": g, "a": a, "z": z}
 
     def gradient(self, out: np.ndarray, label: np.ndarray, first: np.ndarray, f: dict) -> dict[str, np.ndarray]:
@@ -125,32 +167,47 @@ class Network:
                     v[k] = 0.99 * v[k] + 0.01 * grad**2
                     self.p[k] = self.p[k] - pace * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
 
-    def score(self, bags: list[np.ndarray]) -> np.ndarray:
-        first = np.concatenate([[0], np.cumsum([len(b) for b in bags])[:-1]]).astype(np.int64)
-        return self.forward((np.concatenate(bags) - self.mean) / self.scale, first)[0]
-
+    def score(self, texts: Iterator[tuple[int, Iterator[np.ndarray]]]) -> np.ndarray:
+        """Scores of texts given as blocks of passages; blocks are dropped once they are encoded."""
+        sizes, waiting, held, codes, weights = [], [], 0, [], []
+
+        def encode():
+            h, _, _, s = self.encode((np.concatenate(waiting) - self.mean) / self.scale)
+            codes.append(h)
+            weights.append(s)
+            waiting.clear()
+
+        for count, blocks in texts:
+            sizes.append(count)
+            for block in blocks:
+                waiting.append(block)
+                held += len(block)
+                if held >= _BLOCK:
+                    encode()
+                    held = 0
+        if waiting:
+            encode()
+        if not sizes:
+            return np.zeros(0)
+        first = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        return self.pool(np.concatenate(codes), np.concatenate(weights), first)[0]
+
+
+def _encode(bag: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_bag(count, blocks, bag).ravel() for count, blocks in _texts(batch, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(rows, pa.list_(pa.float32())), batch.column(2)], ["doc_id", "bag", "label"]
+            )
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [bag.ravel() for bag in _bags(batch, 1)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(rows, pa.list_(pa.float32())), batch.column(2)], ["doc_id", "bag", "label"]
-        )
+    return run
 
 
 def _scores(network: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores, bags, size = [], [], 0
-            for bag in _bags(batch, 1):
-                bags.append(bag)
-                size += len(bag)
-                if size > _BLOCK:
-                    scores.append(network.score(bags))
-                    bags, size = [], 0
-            if bags:
-                scores.append(network.score(bags))
-            out = np.concatenate(scores) if scores else np.zeros(0)
+            out = network.score(_texts(batch, 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:1], pa.array(out), *batch.columns[2:]],
                                              ["doc_id", "score", "held_out"])
 
@@ -160,23 +217,24 @@ def _scores(network: Network):
 def _good(network: Network, where: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [bool(network.score([bag])[0] >= 0.5) for bag in _bags(batch, where)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield batch.filter(pa.array(network.score(_texts(batch, where)) >= 0.5, pa.bool_()))
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Network:
-    """A network fitted on ``sample`` documents at most; ``labels`` has doc_id and label (1 good, 0 bad).
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, bag: int = BAG) -> Network:
+    """A network fitted on ``bag`` passages each of ``sample`` documents at most; ``labels`` has doc_id and label.
 
-    Null labels and ids are left out, of several labels of a document the lowest counts.  Without labels every score
-    is one half.
+    Labels are 1 (good) or 0 (bad); another one is an error.  Null labels and ids are left out, of several labels of a
+    document the lowest counts.  Without labels every score is one half.
     """
-    some = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
+    wrong = F.raise_error(F.concat(F.lit("label neither 0 nor 1: "), F.col("label").cast("string"))).cast("int")
+    checked = F.when(F.col("label").isin(0, 1), F.col("label").cast("int")).otherwise(wrong)
+    some = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min(checked).alias("label"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # no more than ``sample`` rows
     rows = chosen.select("doc_id", "text", F.col("label").cast("double").alias("label")).mapInArrow(
-        _encode, "doc_id long, bag array<float>, label double"
+        _encode(bag), "doc_id long, bag array<float>, label double"
     ).toArrow().sort_by("doc_id")
     network = Network()
     if rows.num_rows:
@@ -203,10 +261,10 @@ def quality_scores(
 
 
 def good_documents(
-    docs: DataFrame, labels: DataFrame, held_out: Column, *, sample: int = SAMPLE, text_column: str = "text"
+    docs: DataFrame, labels: DataFrame, held_out: Column, *, sample: int = SAMPLE, id_column="doc_id", text_column="text"
 ) -> DataFrame:
     """The rows of ``docs`` that score one half or more, with all their columns; trained as in ``quality_scores``."""
     out = F.coalesce(held_out, F.lit(False))
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     network = train(slim, labels.where(~out), sample=sample)
     return docs.mapInArrow(_good(network, docs.columns.index(text_column)), docs.schema)
