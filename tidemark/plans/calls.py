@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import rule_ladder, surrogate_key
+from tidemark.functions.text import digits_only, hms_to_seconds, rule_ladder, surrogate_key, to_int_lenient
 from tidemark.operators import ordered as o
+from tidemark.operators.aggregates import ratio
 from tidemark.operators.latest import nth_by
+from tidemark.operators.sets import cutover_union
 from tidemark.operators.skew import Cuts, find_cuts
+from tidemark.sources.writers import append_missing
 
 
 def transfers(
@@ -111,3 +114,45 @@ def chat_fact(turns: DataFrame, chat: str, turn: str, role: str, text: str, clie
         F.sum(F.length(text)).alias("characters"),
     )
     return fact.withColumn("chat_key", surrogate_key(chat))
+
+
+def outbound_calls(legacy: DataFrame, current: DataFrame, cut: Column, whole: Sequence[str], stored: DataFrame | None = None) -> DataFrame:
+    """Outbound calls of both systems with their key; with ``stored``, that table and the calls that it does not hold.
+
+    The old system has everything as text: ``started`` is read as a time, the ``whole`` columns as numbers (``12.0`` is
+    12), what can't be read is NULL.  A call without a readable start belongs to neither side of the cut.
+    """
+    numbers = {c: to_int_lenient(c) for c in whole}
+    read = legacy.withColumns({"started": F.col("started").try_cast("timestamp_ntz"), **numbers})
+    every = cutover_union(read, current, "started", cut).withColumn("call_key", surrogate_key("call_id"))
+    return every if stored is None else append_missing(every, stored, ["call_key"])
+
+
+def agent_states(legacy: DataFrame, current: DataFrame, cut: Column) -> DataFrame:
+    """States of agents in both systems (agent, since, state, reason, held as HH:MM:SS) with key and seconds held."""
+    read = legacy.withColumn("since", F.col("since").try_cast("timestamp_ntz"))
+    every = cutover_union(read, current, "since", cut)
+    return every.withColumns({"held_seconds": hms_to_seconds("held"), "state_key": surrogate_key("agent", "since", "state")})
+
+
+def agent_day(states: DataFrame, working: Column) -> DataFrame:
+    """Per agent and day: seconds signed in, seconds in ``working`` states and their share."""
+    per = states.groupBy("agent", F.to_date("since").alias("day")).agg(
+        F.sum("held_seconds").alias("seconds"), F.sum(F.when(working, F.col("held_seconds")).otherwise(0)).alias("working_seconds")
+    )
+    return per.withColumn("occupancy", ratio(F.col("working_seconds"), F.col("seconds")))
+
+
+def point_clients(points: DataFrame, contracts: DataFrame, clients: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Retention points with client, unit and city where tax id and contract belong together.
+
+    ``points`` has tax_id and contract_id; a client's tax id is the digits of its personal id, else of its company id.
+    ``contracts``, ``clients`` and ``addresses`` hold an id once, so no point comes back twice.
+    """
+    tax = digits_only(F.coalesce("personal_id", "company_id"))
+    known = (
+        contracts.join(clients.select("client_id", tax.alias("tax_id")), "client_id")
+        .join(addresses.select("address_id", "city"), "address_id", "left")
+        .select("contract_id", "tax_id", "client_id", "unit_id", "city")
+    )
+    return points.join(known, ["contract_id", "tax_id"], "left")

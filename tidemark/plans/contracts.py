@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between, whole_months_between
 from tidemark.functions.numbers import discounted_value
-from tidemark.functions.text import bucketize, extract_after, rule_ladder, speed_mbps
+from tidemark.functions.text import bucketize, digits_only, extract_after, rule_ladder, speed_mbps
 from tidemark.operators.aggregates import distinct_list, joined_set, pivot_max, sum_money
 from tidemark.operators.joins import exclude, recurrence
 from tidemark.operators.latest import latest_version, nth_by, summary_row_per_key
@@ -204,3 +204,104 @@ def enabled_log(contracts: DataFrame, logins: DataFrame, invoices: DataFrame, as
         .join(seen, "contract_id", "left")
         .join(billed, "contract_id", "left")
     )
+
+
+def contract_terms(
+    contracts: DataFrame, migrations: DataFrame, sales: DataFrame, due_days: DataFrame, suspensions: DataFrame,
+    discounts: DataFrame, as_of: Column, forced: Column, weak: Column, legacy: Column, loyalty_days: int = 365,
+) -> DataFrame:
+    """Contracts with their last accepted migration, due day, suspension rule and loyalty mark.
+
+    ``migrations``: migration_id, contract_id, version, sale_id, rejected; the newest one that was not rejected counts,
+    and only for the version that it led to.  ``sales``: sale_id, kind, sold.  ``due_days`` has due_id and due_day,
+    ``suspensions`` rule_id, rule and late_days.  ``discounts`` (discount_id, contract_id, ...) are those that bind a
+    contract, by the newest one, unless it is ``weak``.  ``forced`` looks at the migration's kind: it binds nobody.
+    Otherwise a contract is bound for ``loyalty_days`` after its migration, or else its activation, as of today or of its
+    cancellation; one of the ``legacy`` system cancelled before it was created says nothing.
+    """
+    accepted = migrations.where(~F.coalesce(F.col("rejected"), F.lit(True)))
+    last = nth_by(accepted, ["contract_id"], [F.desc("migration_id")], 1)
+    moved = last.join(sales, "sale_id", "left").select(
+        "contract_id", "version", "migration_id", F.col("kind").alias("migration_kind"), F.col("sold").alias("migrated")
+    )
+    newest = nth_by(discounts, ["contract_id"], [F.desc("discount_id")], 1)
+    bound = newest.where(~F.coalesce(weak, F.lit(False))).select("contract_id", F.lit(True).alias("_bound"))
+    lived = days_between(F.coalesce("migrated", "activated"), F.coalesce("cancelled", as_of))
+    active = F.col("activated").isNotNull()
+    mark = rule_ladder(
+        [
+            ((F.col("cancelled") < F.col("created")) & legacy, "NO INFORMATION"),
+            (active & F.col("_bound"), "YES"),
+            (active & forced, "NO"),
+            (active & lived.between(0, loyalty_days), "YES"),
+        ],
+        "NO",
+    )
+    return (
+        contracts.join(moved, ["contract_id", "version"], "left")
+        .join(due_days, "due_id", "left")
+        .join(suspensions, "rule_id", "left")
+        .join(bound, "contract_id", "left")
+        .select(
+            "contract_id", "client_id", "version", "migration_id", "migration_kind", "migrated", "due_day", "rule",
+            "late_days", mark.alias("loyal"),
+        )
+    )
+
+
+def retention_requests(
+    requests: DataFrame, cancellations: DataFrame, discounts: DataFrame, groups: Sequence[tuple[Column, str]],
+    tools: Sequence[tuple[Column, str]], days: int = 90,
+) -> DataFrame:
+    """Requests to cancel, cancellations, and retention discounts that nobody profiled, in one list.
+
+    All frames have row_id, contract_id, at, agent, reason and tool.  Of requests of one contract, day, agent and reason
+    the newest counts; a discount is unprofiled where its agent has no such request of the contract that day.  ``groups``
+    and ``tools`` class reason and tool.  Each row has the number of requests of its contract in the ``days`` days
+    before its day, and of the newest of them its time, tool and reason.
+    """
+    day = F.to_date("at").alias("day")
+    named = lambda df, kind: df.select(F.lit(kind).alias("kind"), "row_id", "contract_id", "at", day, "agent", "reason", "tool")
+    asked = nth_by(
+        named(requests, "REQUEST"), ["contract_id", "day", "agent", "reason"], [F.desc("at"), F.desc("row_id")], 1
+    )
+    profiled = asked.select("contract_id", "day", "agent").distinct()
+    bare = named(discounts, "NOT PROFILED").join(profiled, ["contract_id", "day", "agent"], "left_anti")
+    every = asked.unionByName(named(cancellations, "CANCELLATION")).unionByName(bare)
+    newest = F.max(F.when(F.col("kind") == "REQUEST", F.struct("at", "row_id", "tool", "reason")))
+    daily = every.groupBy("contract_id", "day").agg(F.count_if(F.col("kind") == "REQUEST").alias("_n"), newest.alias("_last"))
+    back = Window.partitionBy("contract_id").orderBy(F.unix_date("day")).rangeBetween(-days, -1)  # a row per day
+    facts = daily.select(
+        "contract_id", "day", F.coalesce(F.sum("_n").over(back), F.lit(0)).alias("requests_before"),
+        F.last("_last", ignorenulls=True).over(back).alias("_last"),
+    )
+    return every.join(facts, ["contract_id", "day"], "left").select(
+        "kind", "row_id", "contract_id", "at", "agent", "reason", "tool",
+        rule_ladder(groups, "OTHER").alias("reason_group"), rule_ladder(tools, "OTHER").alias("tool_group"),
+        F.coalesce("requests_before", F.lit(0)).alias("requests_before"), F.col("_last.at").alias("last_request"),
+        F.col("_last.tool").alias("last_tool"), F.col("_last.reason").alias("last_reason"),
+    )
+
+
+def listed_payments(
+    contracts: DataFrame, clients: DataFrame, invoices: DataFrame, tickets: DataFrame, negotiations: DataFrame,
+    listed: Column, counts: Column,
+) -> DataFrame:
+    """Invoices that count (``counts``, over invoices) of cancelled contracts whose client is ``listed``.
+
+    Each has the debtor's document (kind and digits), the client's newest ticket (client_id, ticket_id, opened, queue)
+    and the number and list of invoices that it renegotiates (``negotiations``: invoice_id, original).
+    """
+    digits = digits_only(F.coalesce("personal_id", "company_id"))
+    letter = F.when(F.col("person") == "NATURAL", "F").when(F.col("person") == "LEGAL", "J")
+    debtors = clients.where(listed).select("client_id", F.concat(letter, digits).alias("document"))
+    gone = contracts.where(F.col("cancelled").isNotNull()).select("contract_id", "client_id")
+    newest = nth_by(tickets, ["client_id"], [F.desc("opened"), F.desc("ticket_id")], 1)
+    parts = negotiations.select("invoice_id", "original").distinct().groupBy("invoice_id").agg(
+        F.count("original").alias("negotiated"), joined_set(F.col("original")).alias("originals")
+    )
+    owed = invoices.where(counts).join(gone, "contract_id").join(debtors, "client_id")
+    return (
+        owed.join(newest.select("client_id", F.col("queue").alias("last_queue"), F.col("opened").alias("last_ticket")), "client_id", "left")
+        .join(parts, "invoice_id", "left")
+    )

@@ -184,3 +184,36 @@ def backoffice_sla(tickets: DataFrame, key: str, ts: str, row_id: str, calendar:
     timed = business_seconds(held, "held_from", ts, calendar, "day", "is_open")
     band = bucketize("business_seconds", [4 * 3600, 86_400, 7 * 86_400], ["4 hours", "1 day", "7 days", "over 7 days"])
     return timed.select(key, row_id, ts, "held_seconds", "business_seconds", band.alias("sla_band"))
+
+
+def order_dimension(
+    orders: DataFrame, events: DataFrame, technicians: DataFrame, contractors: DataFrame, queues: DataFrame, reasons: DataFrame,
+    start: str, finish: str, conclusions: Sequence[tuple[Column, str]], system_user: str, own_company: str,
+) -> DataFrame:
+    """Service orders with technician, contractor, queue, reason, newest event, first start and who closed them.
+
+    ``events``: order_id, event_id, at, kind, user; ``technicians``: technician_id, technician, contractor_id;
+    ``conclusions`` are rules over reason_code and reason_group.  An order closed by ``system_user`` was closed by its
+    technician; a technician without contractor belongs to ``own_company``.  All of an order's events pass through one
+    aggregation.
+    """
+    at = F.struct("at", "event_id")
+    only = lambda kind, value: F.min_by(value, F.when(F.col("kind") == kind, at))
+    facts = events.groupBy("order_id").agg(
+        F.max_by(F.struct("kind", "at"), at).alias("_newest"),
+        only(start, F.col("at")).alias("work_began"), only(finish, F.col("user")).alias("_closer"),
+    )
+    closer = F.when(F.col("_closer") == system_user, F.col("technician")).otherwise(F.col("_closer"))
+    return (
+        orders.join(technicians, "technician_id", "left")
+        .join(contractors, "contractor_id", "left")
+        .join(queues, "queue_code", "left")
+        .join(reasons, "reason_code", "left")
+        .join(facts, "order_id", "left")
+        .select(
+            "order_id", "ticket_id", "opened", "technician_id", "technician", "queue",
+            F.coalesce("contractor", F.lit(own_company)).alias("contractor"),
+            "reason_code", "reason", rule_ladder(conclusions, None).alias("conclusion"),
+            F.col("_newest.kind").alias("event"), F.col("_newest.at").alias("event_at"), "work_began", closer.alias("closed_by"),
+        )
+    )

@@ -14,7 +14,8 @@ from tidemark.functions.dates import days_between, period_key
 from tidemark.functions.text import bucketize, digits_only, rule_ladder
 from tidemark.operators.aggregates import ratio, sum_money
 from tidemark.operators.joins import asof_validity
-from tidemark.operators.latest import dedupe_by_priority, latest_version
+from tidemark.operators.latest import dedupe_by_priority, latest_version, nth_by
+from tidemark.sources.lake import Lake
 
 # Class names of the doubtful-debt report and of the payer profile.
 DOUBTFUL, DRAGGED, NOT_DUE, OVERDUE = "PDD", "PDD ARRASTO", "A VENCER", "VENCIDO DE 1 A 90"
@@ -195,3 +196,35 @@ def negotiation_reversal(invoices: DataFrame, agreed: Column, as_of: Column) ->
         (1 - ratio(F.col("agreed_value"), F.col("debt_before"))).alias("discount_share"),
         bucketize("_age", [30, 90, 365], ["up to 30", "31-90", "91-365", "366+"]).alias("age_band"),
     )
+
+
+def cancelled_month(
+    invoices: DataFrame, contracts: DataFrame, addresses: DataFrame, units: DataFrame, hubs: Sequence[tuple[Column, str]], as_of: Column
+) -> DataFrame:
+    """Invoices cancelled in the month of ``as_of``, with class, person and place of their contract.
+
+    ``invoices``: invoice_id, contract_id, status, updated, due, amount; ``contracts``: contract_id, client_id, unit_id,
+    business, small, public; ``addresses``: contract_id, address_id, city, unit_id, of which the newest counts and goes
+    before the contract's own unit; ``units``: unit_id, brand; ``hubs`` are rules over brand.
+    """
+    first = F.trunc(as_of, "MONTH")
+    gone = invoices.where((F.col("status") == "CANCELLED") & (F.trunc("updated", "MONTH") == first))
+    newest = nth_by(addresses, ["contract_id"], [F.desc("address_id")], 1)
+    placed = contracts.join(newest.select("contract_id", "city", F.col("unit_id").alias("_unit")), "contract_id", "left")
+    segment = F.when(F.col("business"), "B2B").when(F.col("small"), "PME").otherwise("B2C")
+    legal = F.when(F.col("business"), "LEGAL").otherwise("NATURAL")
+    public = F.col("public") & (F.col("business") | F.col("small"))
+    known = placed.select(
+        "contract_id", "client_id", "city", F.coalesce("_unit", "unit_id").alias("unit_id"), segment.alias("segment"),
+        F.when(public, F.concat(legal, F.lit("-PUBLIC"))).otherwise(legal).alias("person"),
+    )
+    wide = gone.join(known, "contract_id", "left").join(units, "unit_id", "left")
+    return wide.select(
+        "invoice_id", "contract_id", "client_id", "updated", "due", "amount", "segment", "person", "city", "brand",
+        rule_ladder(hubs, None).alias("hub"), first.alias("month"),
+    )
+
+
+def store_cancelled_month(lake: Lake, place: tuple[str, str, str], month: DataFrame) -> int:
+    """Put a month of ``cancelled_month`` into its table; other months stay, a second run replaces its own."""
+    return lake.replace_periods(month, *place, "month")

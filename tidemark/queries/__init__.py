@@ -5,6 +5,7 @@ from tidemark.queries import (  # noqa: F401
     billing_queries,
     contract_queries,
     join_queries,
+    mart_queries,
     operation_queries,
     quality_queries,
     receivable_queries,
