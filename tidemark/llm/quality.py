@@ -146,9 +146,9 @@ class Network:
 
     def fit(self, bags: list[np.ndarray], labels: np.ndarray, *, turns: int = 40, batch: int = 128, rate: float = 0.01) -> None:
         """Cross entropy by Adam over shuffled batches; the order is drawn from a fixed seed."""
-        every = np.concatenate(bags)
-        self.mean, self.scale = every.mean(axis=0), every.std(axis=0) + 1e-3
-        bags = [(b - self.mean) / self.scale for b in bags]
+        rows = sum(len(b) for b in bags)
+        self.mean = sum(b.sum(axis=0, dtype=np.float64) for b in bags) / rows
+        self.scale = np.sqrt(sum(((b - self.mean) ** 2).sum(axis=0) for b in bags) / rows) + 1e-3
         draw, step = np.random.default_rng(3), 0
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
@@ -156,7 +156,7 @@ class Network:
             order = draw.permutation(len(bags))
             for at in range(0, len(order), batch):
                 own = order[at : at + batch]
-                x = np.concatenate([bags[i] for i in own])
+                x = (np.concatenate([bags[i] for i in own]) - self.mean) / self.scale
                 first = np.concatenate([[0], np.cumsum([len(bags[i]) for i in own])[:-1]])
                 out, kept = self.forward(x, first)
                 step += 1
@@ -238,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, bag: int
     ).toArrow().sort_by("doc_id")
     network = Network()
     if rows.num_rows:
-        bags = [np.asarray(b.values, np.float64).reshape(-1, FEATURES) for b in rows.column("bag")]
+        bags = [np.asarray(b.values).reshape(-1, FEATURES) for b in rows.column("bag")]
         network.fit(bags, rows.column("label").to_numpy())
     return network
 
