@@ -26,6 +26,8 @@ SAMPLE = 4000
 BAG = 64
 #: Buckets of word hashes; the sign of a word is another bit of its hash.
 BUCKETS = 256
+#: Strength of the prior that holds the weights of words near zero.
+WORD_PRIOR = 0.3
 #: Passages that are described and encoded together.
 _BLOCK = 1 << 13
 
@@ -108,6 +110,7 @@ class Network:
             "W": normal(FEATURES, hidden), "b": np.zeros(hidden), "V": normal(hidden, gates), "U": normal(hidden, gates),
             "w": normal(gates), "c": np.zeros(hidden), "c0": np.zeros(1),
         }
+        self.p["W"][_PLAIN:] = 0  # a bucket says nothing until it is learnt
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
         """Encodings, both gates and weights before the softmax of passages."""
@@ -145,10 +148,17 @@ class Network:
         }
 
     def fit(self, bags: list[np.ndarray], labels: np.ndarray, *, turns: int = 40, batch: int = 128, rate: float = 0.01) -> None:
-        """Cross entropy by Adam over shuffled batches; the order is drawn from a fixed seed."""
+        """Cross entropy by Adam over shuffled batches; the order is drawn from a fixed seed.
+
+        Words together vary as much as the other inputs together, and their weights are held back by a prior of
+        ``WORD_PRIOR`` documents, so few labels teach few words.
+        """
         rows = sum(len(b) for b in bags)
         self.mean = sum(b.sum(axis=0, dtype=np.float64) for b in bags) / rows
         self.scale = np.sqrt(sum(((b - self.mean) ** 2).sum(axis=0) for b in bags) / rows) + 1e-3
+        self.scale[_PLAIN:] *= np.sqrt(BUCKETS / _PLAIN)
+        hold = {k: np.full(x.shape, 1e-4) for k, x in self.p.items()}
+        hold["W"][_PLAIN:] += WORD_PRIOR / len(bags)
         draw, step = np.random.default_rng(3), 0
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
@@ -162,7 +172,7 @@ class Network:
                 step += 1
                 pace = rate * (1 - turn / turns) + 1e-4
                 for k, grad in self.gradient(out, labels[own], first, kept).items():
-                    grad = grad + 1e-4 * self.p[k]
+                    grad = grad + hold[k] * self.p[k]
                     m[k] = 0.9 * m[k] + 0.1 * grad
                     v[k] = 0.99 * v[k] + 0.01 * grad**2
                     self.p[k] = self.p[k] - pace * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
