@@ -1,6 +1,7 @@
 """Join and interval operators against brute force, with and without sliced keys."""
 
 import random
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -218,3 +219,15 @@ def test_status_intervals_need_the_very_next_event(spark, hot_rows):
     df = spark.createDataFrame([(1, i, day(n), k) for i, (k, n) in enumerate(log)], "k int, id int, ts date, kind string")
     got = intervals.status_intervals(df, ["k"], "ts", "id", F.col("kind") == "s", F.col("kind") == "r", hot_rows=hot_rows)
     assert rows(got, "open_event", "close_event") == sorted([(0, 1), (2, None), (5, None), (6, 7), (8, None)], key=str)
+
+
+def test_contains_join_shuffles_no_grams(spark):
+    texts = spark.createDataFrame([(1, "the quick\nbrown fox"), (2, "no fox, quick"), (2, "no fox, quick"), (3, "fox")], "id int, body string")
+    needles = spark.createDataFrame([("quick\nbrown",), ("fox",), ("the quick brown",), ("no fox, quick",)], "word string")
+    got = joins.contains_join(texts, "body", needles, "word", ["word"])
+    want = [(1, "fox"), (1, "quick\nbrown"), (2, "fox"), (2, "fox"), (2, "no fox, quick"), (2, "no fox, quick"), (3, "fox")]
+    assert rows(got, "id", "word") == sorted(want, key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # a text is shuffled by its hash, not once for each of its grams
+    assert not re.search(r"hashpartitioning\([^)]*_gram#", plan)
+    assert rows(joins.contains_join(texts, "body", needles.limit(0), "word", ["word"]), "id") == []

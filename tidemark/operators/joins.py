@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import along_key, last_seen, ordinal, running_sum
 from tidemark.operators.skew import HOT_ROWS
+from tidemark.sources.lake import store
 
 
 def _all_known(columns: Sequence[str]) -> Column:
@@ -330,40 +331,40 @@ def pair_positionally(
 
 
 def contains_join(
-    df: DataFrame, text: str, needles: DataFrame, needle: str, take: Sequence[str], gram: int = 3
+    df: DataFrame, text: str, needles: DataFrame, needle: str, take: Sequence[str], gram: int = 8
 ) -> DataFrame:
     """Rows of ``df`` with each needle whose text occurs inside ``text``.
 
-    Texts and needles meet on character n-grams: of a text only a hash goes with
-    its grams, and only grams that some needle has are kept.  A needle is looked
-    up by the one of its grams that the fewest texts hold, then verified in the
-    text itself.  Frequent grams are split by adaptive execution.
+    Texts and needles meet on character n-grams, as wide as the needle but no
+    wider than ``gram``.  A needle is looked up by the one of its grams that the
+    fewest texts hold, then verified in the text itself.  The grams of the
+    needles are stored tables whose size Catalyst knows, so where they are few
+    enough to be broadcast the grams of the texts are counted and dropped where
+    they are made; what is shuffled is texts, once, and a hash for each needle
+    that one may hold.
     """
     cols = list(dict.fromkeys([needle, *take]))
     usable = needles.where(F.length(needle) > 0).select(*cols).withColumn("_needle", F.struct(*cols))
-    # the characters become a column first: inside the transform they would be split anew for each of them
-    asked = usable.select("_needle", F.split(needle, "").alias("_signs"))
-    asked = asked.select("_needle", F.explode(F.array_distinct(_grams("_signs", gram, False))).alias("_gram"))
-    keyed = df.where(F.length(text) > 0).withColumn("_text", F.sha2(F.col(text).cast("binary"), 256))
-    held = keyed.select("_text", F.split(text, "").alias("_signs"))
-    held = held.select("_text", F.explode(F.array_distinct(_grams("_signs", gram, True))).alias("_gram"))
-    held = held.join(asked.select("_gram").distinct(), "_gram", "left_semi").distinct()
-    spread = held.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    own = F.when(F.length(needle) < gram, F.array(needle)).otherwise(_runs(needle, gram))
+    width = F.least(F.length(needle), F.lit(gram)).alias("_width")
+    asked = store(usable.select("_needle", width, F.explode(F.array_distinct(own)).alias("_gram")), "needle-grams")
+    # no more than ``gram`` numbers
+    widths = sorted(r[0] for r in asked.select("_width").distinct().collect()) or [gram]
+    keyed = df.where(F.length(text) > 0).withColumn("_text", F.unhex(F.sha2(F.col(text).cast("binary"), 256)))
+    made = F.array_distinct(F.concat(*[_runs(text, n) for n in widths]))
+    held = keyed.select("_text", F.explode(made).alias("_gram"))
+    spread = held.join(asked.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     # a needle with a gram that no text holds is nowhere; so all its grams must be counted
     rarest = asked.join(spread, "_gram", "left").groupBy("_needle").agg(
         F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram")).alias("_r")
     ).where("_r.n > 0").select("_needle", F.col("_r._gram").alias("_gram"))
-    maybe = held.join(rarest, "_gram").select("_text", "_needle")
+    # rows with equal texts are candidates together
+    maybe = held.join(store(rarest, "needle-rarest"), "_gram").select("_text", "_needle").distinct()
     hit = keyed.join(maybe, "_text").where(F.contains(F.col(text), F.col("_needle").getField(needle)))
     names = [c for c in take if c not in df.columns]
     return hit.select(*df.columns, *[F.col("_needle").getField(c).alias(c) for c in names])
 
 
-def _grams(signs: str, width: int, shorter: bool) -> Column:
-    """Runs of ``width`` of an array of characters; of a shorter one the whole, or with ``shorter`` all shorter runs besides."""
-    run = lambda n: lambda c, i: F.concat(c, *[F.get(signs, i + k) for k in range(1, n)])
-    of = lambda n: F.filter(F.transform(signs, run(n)), lambda g: g.isNotNull() & (g != ""))
-    if shorter:
-        return F.concat(*[of(n) for n in range(1, width + 1)])
-    whole = F.array_join(signs, "")
-    return F.when(F.length(whole) < width, F.array(whole)).otherwise(of(width))
+def _runs(text: str, width: int) -> Column:
+    """All runs of ``width`` characters of a text, overlapping; none of a shorter one."""
+    return F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
