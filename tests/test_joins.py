@@ -231,3 +231,25 @@ def test_contains_join_shuffles_no_grams(spark):
     # a text is shuffled by its hash, not once for each of its grams
     assert not re.search(r"hashpartitioning\([^)]*_gram#", plan)
     assert rows(joins.contains_join(texts, "body", needles.limit(0), "word", ["word"]), "id") == []
+
+
+def test_lookback_steps_work_in_parts_that_follow_the_rows(spark):
+    rng, d0 = random.Random(8), date(2024, 1, 1)
+    events = [(rng.choice([1, 1, 1, 2, 3, None]), d0 + timedelta(days=rng.randrange(90)), rng.randrange(3)) for _ in range(300)]
+    grid = [(k, d0 + timedelta(days=d)) for k in (1, 2, 4, None) for d in (0, 20, 40, 89, 40)]
+    seen, asked = spark.createDataFrame(events, "k int, day date, v int"), spark.createDataFrame(grid, "k int, ref date")
+    spark.conf.set("spark.tidemark.partRows", "40")
+    try:
+        counts = joins.lookback_counts(asked, seen, ["k"], "ref", "day", 30, {"n": F.lit(True), "twos": F.col("v") == 2})
+        last = joins.asof_last(asked, seen, ["k"], "ref", "day", "last")
+        known = sum(k is not None for k, _, _ in events)
+        for df, parts in ((counts, -(-(known + 2 * len(grid)) // 40)), (last, -(-(known + len(grid)) // 40))):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall(rf"hashpartitioning\(.*, {parts}\), REPARTITION_BY_NUM", plan)) == 2
+        inside = lambda k, ref: [v for kk, d, v in events if k is not None and kk == k and 0 <= (ref - d).days <= 30]
+        want = [(k, ref, len(inside(k, ref)), inside(k, ref).count(2)) for k, ref in {*grid}]
+        assert rows(counts, "k", "ref", "n", "twos") == sorted(want, key=str)
+        want = [(k, ref, max((d for kk, d, _ in events if k is not None and kk == k and d <= ref), default=None)) for k, ref in {*grid}]
+        assert rows(last, "k", "ref", "last") == sorted(want, key=str)
+    finally:
+        spark.conf.unset("spark.tidemark.partRows")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import along_key, last_seen, ordinal, running_sum
-from tidemark.operators.skew import HOT_ROWS
+from tidemark.operators.skew import HOT_ROWS, parts_for
 from tidemark.sources.lake import store
 
 
@@ -229,6 +229,17 @@ def tiered_match(
     )
 
 
+def _per_day(rows: DataFrame, keys: Sequence[str], parts: int, facts: Mapping[str, Column]) -> DataFrame:
+    """Facts of the rows of a key and day, in up to 16 parts of them, which the caller adds up.
+
+    The rows are spread by all their columns first, so that no task groups more than its part of them and those of
+    a frequent key become few before they meet.
+    """
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(16)))
+    spread = spread.repartition(parts, *keys, "_day", "_salt").groupBy(*keys, "_day", "_salt")
+    return spread.agg(*[c.alias(n) for n, c in facts.items()]).drop("_salt")
+
+
 def lookback_counts(
     grid: DataFrame,
     events: DataFrame,
@@ -246,10 +257,12 @@ def lookback_counts(
     per distinct (key, reference date).
     """
     keys, names = list(keys), list(conditions)
-    daily = events.where(_all_known(keys)).groupBy(*keys, F.col(event_date).alias("_day")).agg(
-        *[F.count_if(c).alias(n) for n, c in conditions.items()]
+    known = events.where(_all_known(keys)).select(
+        *keys, F.col(event_date).alias("_day"), *[c.cast("boolean").alias(n) for n, c in conditions.items()]
     )
-    points = grid.select(*keys, F.col(ref_date).alias("_ref")).distinct()
+    points = grid.select(*keys, F.col(ref_date).alias("_ref"))
+    parts = parts_for(known.count() + 2 * points.count())
+    daily = _per_day(known, keys, parts, {n: F.count_if(n) for n in names})
     asked = points.select(
         "*",
         F.explode(
@@ -259,7 +272,8 @@ def lookback_counts(
             )
         ).alias("_p"),
     ).select(*keys, "_ref", "_p.*")
-    line = daily.withColumn("_side", F.lit(1)).unionByName(asked, allowMissingColumns=True)
+    line = daily.withColumn("_side", F.lit(1)).unionByName(asked, allowMissingColumns=True).repartition(parts, *keys)
+    line = line.groupBy(*keys, "_day", "_side", "_ref").agg(*[F.sum(n).alias(n) for n in names])
     # at most a few rows per key and day, so the window groups are bounded
     steps = {f"_r_{n}": running_sum(n) for n in names}
     totals = along_key(line, keys, ["_day", "_side", "_ref"], steps, hot_rows=None)
@@ -282,9 +296,11 @@ def asof_last(
     """Per (key, reference date): the last event time on or before the reference date."""
     keys = list(keys)
     days = events.where(_all_known(keys)).select(*keys, F.to_date(event_ts).alias("_day"), F.col(event_ts).alias("_ts"))
-    daily = days.groupBy(*keys, "_day").agg(F.max("_ts").alias("_ts")).withColumn("_side", F.lit(0))
-    points = grid.select(*keys, F.col(ref_date).alias("_day"), F.lit(1).alias("_side")).distinct()
-    line = daily.unionByName(points, allowMissingColumns=True)
+    points = grid.select(*keys, F.col(ref_date).alias("_day"), F.lit(1).alias("_side"))
+    parts = parts_for(days.count() + points.count())
+    daily = _per_day(days, keys, parts, {"_ts": F.max("_ts")}).withColumn("_side", F.lit(0))
+    line = daily.unionByName(points, allowMissingColumns=True).repartition(parts, *keys)
+    line = line.groupBy(*keys, "_day", "_side").agg(F.max("_ts").alias("_ts"))
     seen = along_key(line, keys, ["_day", "_side"], {out: last_seen("_ts")}, hot_rows=None)
     return seen.where(F.col("_side") == 1).select(*keys, F.col("_day").alias(ref_date), out)
 
