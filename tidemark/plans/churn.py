@@ -11,6 +11,7 @@ from tidemark.functions.dates import days_between, whole_months_between
 from tidemark.functions.text import bucketize, rule_ladder, speed_mbps
 from tidemark.operators.joins import asof_last, lookback_counts
 from tidemark.operators.reshape import month_ends
+from tidemark.operators.skew import parts_for
 
 TENURE = ([3, 6, 12, 24], ["0-3", "4-6", "7-12", "13-24", "25+"])
 RECENCY = ([30, 60, 90, 120, 150], ["30", "60", "90", "120", "150", "150+"])
@@ -37,18 +38,22 @@ def churn_grid(
     served = services.select(
         "contract_id", speed_mbps("speed").alias("mbps"), F.round(F.col("final_price") - F.col("list_price")).cast("long").alias("above")
     )
-    grid = contracts.select(
-        "contract_id", "segment", "balance", "activated", "cancelled", F.explode(month_ends(first, last)).alias("ref")
-    ).where((F.col("activated") <= F.col("ref")) & (F.col("cancelled").isNull() | (F.col("cancelled") >= F.trunc("ref", "MM"))))
-    keys = grid.select("contract_id", "ref")
+    lived = (F.col("activated") <= F.col("ref")) & (F.col("cancelled").isNull() | (F.col("cancelled") >= F.trunc("ref", "MM")))
+    months = F.explode(month_ends(first, last)).alias("ref")
+    keys = contracts.select("contract_id", "activated", "cancelled", months).where(lived).select("contract_id", "ref")
+    # what a contract has is joined once for all its months
+    told = contracts.join(bound, "contract_id", "left").join(served, "contract_id", "left")
+    grid = told.select("contract_id", "segment", "balance", "activated", "cancelled", "_until", "mbps", "above", months).where(lived)
     counts = lookback_counts(keys, contacts, ["contract_id"], "ref", "day", days, kinds)
     paid = invoices.where(F.col("paid_on").isNotNull()).select("contract_id", "paid_on")
     last_paid = asof_last(keys, paid, ["contract_id"], "ref", "paid_on", "last_payment")
     last_issued = asof_last(keys, invoices.select("contract_id", "issued"), ["contract_id"], "ref", "issued", "last_invoice")
-    wide = grid
+    # the joins work in parts that do not grow with the rows
+    on = ["contract_id", "ref"]
+    parts = parts_for(4 * keys.count())
+    wide = grid.repartition(parts, *on)
     for part in (counts, last_paid, last_issued):
-        wide = wide.join(part, ["contract_id", "ref"], "left")
-    wide = wide.join(bound, "contract_id", "left").join(served, "contract_id", "left")
+        wide = wide.join(part.repartition(parts, *on), on, "left")
     wide = wide.withColumn("loyal_until", F.when(F.col("_until") >= F.col("ref"), F.col("_until")))
     since = days_between("last_payment", "ref")
     flags = {f"{n}_flag": (F.col(n) >= 1).cast("int") for n in kinds}
