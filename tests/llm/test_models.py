@@ -144,6 +144,41 @@ def test_long_texts_are_learnt_from_evenly_and_labels_are_checked(spark):
         quality.train(docs, spark.createDataFrame([(1, 2)], "doc_id long, label int"))
 
 
+def test_all_passages_of_all_labelled_documents_are_learnt_from(spark, monkeypatch):
+    draw = random.Random(6)
+    good, bad = ([a + b + c for a in x for b in x for c in x] for x in (("ka", "lo", "mi"), ("ru", "se", "to")))
+    rows = [(d, " ".join(draw.choice(good if d % 2 else bad) for _ in range(draw.choice([5, 100, 6000]))), d % 2) for d in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    learnt, plain = [], quality._fit_shards
+    monkeypatch.setattr(quality, "_fit_shards", lambda net, shards, documents: (
+        learnt.append((shards.agg(F.count(F.lit(1)), F.sum(F.length("bag")), F.countDistinct("shard")).first(), documents)),
+        plain(net, shards, documents),
+    ))
+    net = quality.train(docs.drop("label"), docs.select("doc_id", "label"), shard_passages=3000)
+    passages = sum(-(-len(t.split()) // quality.PASSAGE) for _, t, _ in rows)
+    ((count, size, shards), documents), = learnt
+    assert documents == count == 400 and size == passages * quality._PACKED and shards == -(-passages // 3000) > 1
+    fresh = [(d, " ".join(draw.choice(good if d % 2 else bad) for _ in range(50))) for d in range(60)]
+    got = net.score(quality._texts(pa.record_batch([pa.array([t for _, t in fresh])], ["text"]), 0))
+    assert sum((score >= 0.5) == d % 2 for (d, _), score in zip(fresh, got)) >= 57
+    again = quality.train(docs.drop("label").repartition(7), docs.select("doc_id", "label"), shard_passages=3000)
+    assert np.allclose(net.state(), again.state(), rtol=1e-9, atol=1e-9)
+
+
+def test_packed_passages_and_gradients_by_blocks(monkeypatch):
+    text = " ".join(f"w{k % 37}{'!' * (k % 5)}" for k in range(quality.PASSAGE * 20 + 9))
+    raw = pa.record_batch([pa.array([text, "", "a B c"])], ["text"])
+    bags = [np.concatenate(list(blocks)) for _, blocks in quality._texts(raw, 0)]
+    packed = [quality._packed(b) for b in bags]
+    assert all(np.array_equal(quality._unpacked(p), b) for p, b in zip(packed, bags))
+    net, label = quality.Network(), np.array([1.0, 0, 1])
+    net.p["c"] = np.random.default_rng(1).normal(size=24)
+    whole = net._slope(packed, label)
+    monkeypatch.setattr(quality, "_BLOCK", 4)
+    by_blocks = net._slope(packed, label)
+    assert all(np.allclose(whole[k], by_blocks[k]) for k in whole)
+
+
 # language model
 
 
