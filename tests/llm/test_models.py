@@ -305,6 +305,19 @@ def test_words_whose_last_letter_brings_a_mark():
         assert encoder.ids(w) == np.asarray(whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes(), w
 
 
+def test_remembered_words_are_bounded():
+    """Over 300,000 different words: few stay, words that come again do, and forgotten ones get the same ids."""
+    encoder = packing.Encoder(PATH)
+    letters = [a + b for a in "abcdefghijklmnop" for b in "qrstuvwxyzklmnop"]
+    first = encoder.ids("qaqa again, kept")
+    for a in letters:
+        encoder.ids("again, kept " + " ".join(f"{a}{b}{c}" for b in letters for c in ("a", "e,", "i", "o.", "ox")))
+    held = [set(v) for v in vars(encoder).values() if isinstance(v, dict)]
+    assert sum(map(len, held)) <= 300_000
+    assert any(b"kept" in v for v in held) and not any(b"qaqa" in v for v in held)
+    assert encoder.ids("qaqa again, kept") == first
+
+
 def improving(bins, sizes, capacity):
     """Whether any move or exchange of one or two for one raises squared fill; by trying all."""
     fill = [sum(sizes[k] for k in b) for b in bins]
