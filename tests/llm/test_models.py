@@ -14,12 +14,13 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from oracle import compare, connect
 from tidemark.llm import decontaminate, kneser_ney, op_queries, packing, quality, warc
-from tidemark.llm.common import batch_words, id_crc32
+from tidemark.llm.common import Workspace, batch_words, id_crc32
 from tidemark.llm.line_rules import clean_lines
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -256,6 +257,50 @@ def test_packed_grams_are_small_and_whole():
     assert got == want
 
 
+def test_each_order_is_looked_up_once_a_chunk(spark, monkeypatch):
+    """What stands before a word is what the word before ends: its table is not asked a second time."""
+    texts = {d: " ".join(f"w{d * k % 7}" for k in range(40)) for d in range(1, 20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    model = kneser_ney.train(docs.select("text"), Workspace(spark, "look-ups"))
+    asked, look_up = [], kneser_ney._Arrays.look_up
+    monkeypatch.setattr(kneser_ney._Arrays, "look_up", lambda self, order, *a: asked.append(order) or look_up(self, order, *a))
+    monkeypatch.setattr(kneser_ney, "MAPPED", 2)  # files are closed and opened again
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values())), pa.array([True] * len(texts))], ["d", "t", "l"])
+    found = pa.Table.from_batches(list(kneser_ney._score(model)(iter([batch])))).to_pylist()
+    check_scores([Row(**r) for r in found], texts, list(texts))
+    assert sorted(asked) == [0, 1, 2, 3]
+
+
+def test_hashes_alike_in_leading_bits_are_sorted_and_found(tmp_path):
+    draw = np.random.default_rng(5)
+    keys = np.unique(draw.integers(0, 1 << 64, 3000, dtype=np.uint64))
+    close = np.uint64(0x3123456789ABC000) + np.arange(40, dtype=np.uint64)
+    alike = close[0] + np.arange(40, dtype=np.uint64) * np.uint64(1 << 17)  # the same 32 bits behind those of the bucket
+    for all_keys in (np.append(keys, close), np.append(keys, alike), close, close[:1], keys[:0]):
+        given = draw.permutation(np.append(all_keys, all_keys[::2]))
+        got, place = kneser_ney._distinct(given)
+        assert (got == np.unique(all_keys)).all() and (got[place] == given).all()
+    keys = np.unique(np.append(keys, alike))
+    for shard in range(4):
+        own = keys[keys >> np.uint64(62) == shard]
+        kneser_ney._write_table(tmp_path.as_uri(), f"3-{shard}", own, [own >> np.uint64(16)], 2)
+    other = alike + np.uint64(1 << 30)
+    for arrays in (kneser_ney._Arrays(kneser_ney.Model(tmp_path.as_uri(), 2, 3, 0, 0, 0, ())) for _ in range(2)):
+        assert (arrays.look_up(3, keys)[0][:, 0] == (keys >> np.uint64(16)).astype(np.int64)).all()
+        assert not arrays.look_up(3, other)[0].any()
+        arrays.mapped = False
+
+
+def test_grams_too_wide_for_one_number_come_back_whole():
+    draw = np.random.default_rng(6)
+    for width in (20, 40, 63):
+        words = [draw.integers(1, 1 << width, 5000).astype(np.uint64) for _ in range(3)]
+        keys, words, (counts,) = kneser_ney._merged(kneser_ney.gram_hash(words), words, [np.ones(5000, np.uint64)])
+        _, sizes, blobs = zip(*kneser_ney._dealt(keys, words, [counts], 3))
+        back, sums = kneser_ney._opened(list(blobs), list(sizes), 3, 1)
+        assert sorted(zip(*(x.tolist() for x in [*back, *sums]))) == sorted(zip(*(x.tolist() for x in [*words, counts])))
+
+
 def test_scores_of_odd_rows(spark):
     texts = {1: None, 2: "", 3: "a b a b c", 4: "A  b\nnever", 5: "a " * 100_000, 6: "é"}
     docs = spark.createDataFrame([(d, t, 1.0) for d, t in texts.items()], "doc_id long, text string, score double").repartition(3)
