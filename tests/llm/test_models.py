@@ -301,6 +301,27 @@ def test_grams_too_wide_for_one_number_come_back_whole():
         assert sorted(zip(*(x.tolist() for x in [*back, *sums]))) == sorted(zip(*(x.tolist() for x in [*words, counts])))
 
 
+def test_small_shards_are_packed_together(monkeypatch):
+    """Thousands of shards are put in order at once; small and large values of senders of unlike widths come back whole."""
+    draw, sorts, by_words = np.random.default_rng(7), [], kneser_ney._by_words
+    monkeypatch.setattr(kneser_ney, "_by_words", lambda *a: sorts.append(1) or by_words(*a))
+    rows, sent = [], Counter()
+    for width in (5, 12, 30):
+        words = [draw.integers(0, 1 << width, 4000).astype(np.uint64) for _ in range(2)]
+        values = [draw.choice([0, 1, 2, 3, 4, 255, 256, (1 << 40) + width], 4000).astype(np.uint64) for _ in range(5)]
+        keys, words, sums = kneser_ney._merged(kneser_ney.gram_hash(words), words, values)
+        sent.update(zip(*(x.tolist() for x in [*words, *sums])))
+        rows += kneser_ney._dealt(keys, words, sums, 11)
+    assert len(sorts) == 3 and kneser_ney._dealt(keys[:0], [w[:0] for w in words], [c[:0] for c in sums], 11) == []
+    got, shards = Counter(), {s for s, _, _ in rows}
+    for shard in shards:
+        sizes, blobs = zip(*((n, b) for s, n, b in rows if s == shard))
+        words, sums = kneser_ney._opened(list(blobs), list(sizes), 2, 5)
+        assert (kneser_ney._shard(kneser_ney.gram_hash(words), 11) == shard).all()
+        got.update(zip(*(x.tolist() for x in [*words, *sums])))
+    assert len(shards) > 1500 and got == sent
+
+
 def test_scores_of_odd_rows(spark):
     texts = {1: None, 2: "", 3: "a b a b c", 4: "A  b\nnever", 5: "a " * 100_000, 6: "é"}
     docs = spark.createDataFrame([(d, t, 1.0) for d, t in texts.items()], "doc_id long, text string, score double").repartition(3)
